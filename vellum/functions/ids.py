@@ -103,7 +103,8 @@ def fold_ascii(c: Column) -> Column:
 
 def clean_doi(c: Column) -> Column:
     """DOI as sent to a source: no query part, no reserved characters, ASCII, single slashes."""
-    stripped = F.regexp_replace(F.trim(c), r'\?.*|[%:="+;\[\]\\]', "")
+    trimmed = F.regexp_replace(c, r"^\s+|\s+$", "")
+    stripped = F.regexp_replace(trimmed, r'\?[^\n]*|[%:="+;\[\]\\]', "")
     return F.replace(fold_ascii(stripped), F.lit("//"), F.lit("/"))
 
 

@@ -299,3 +299,9 @@ def merge_any_id(
     added = incoming.join(matched, incoming_key, "left_anti")
     return merged.unionByName(added.select(*[c for c in incoming.columns if c in existing.columns]),
                               allowMissingColumns=True)
+
+
+def with_enough_ids(references: DataFrame, id_cols: Sequence[str], at_least: int = 2) -> DataFrame:
+    """References that carry at least so many of the given identifiers."""
+    present = sum((F.col(c).isNotNull().cast("int") for c in id_cols), F.lit(0))
+    return references.where(present >= at_least)

@@ -251,3 +251,39 @@ def import_items(item: DataFrame, academic_item: DataFrame, request: DataFrame,
         F.col("text").alias("abstract"),
         raw.alias("raw"),
     )
+
+
+def written_state(request: DataFrame) -> DataFrame:
+    """Cache rows per source and done flag."""
+    return request.groupBy("wrapper", "solarized").agg(F.count(F.lit(1)).alias("n"))
+
+
+def queue_depth(queue: DataFrame) -> DataFrame:
+    """Queue entries per number of sources left; entries without a list count apart."""
+    left = F.when(F.col("sources").isNotNull(), F.size("sources")).alias("num_sources")
+    return queue.groupBy(left).agg(F.count(F.lit(1)).alias("n"))
+
+
+def frequencies(df: DataFrame, column: str, name: str = "num_works") -> DataFrame:
+    """Rows per value, most frequent first."""
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), column)
+
+
+def repair_worklist(request: DataFrame, source: str | None = None) -> DataFrame:
+    """Cache rows with a DOI but no catalogue id, newest first."""
+    rows = request.where(F.col("doi").isNotNull() & F.col("openalex_id").isNull())
+    rows = rows if source is None else rows.where(F.col("wrapper") == source)
+    return rows.orderBy(F.desc("time_created"), "record_id")
+
+
+def without_doi(request: DataFrame, source: str) -> DataFrame:
+    """Cache rows of a source that carry no DOI."""
+    return request.where((F.col("wrapper") == source) & F.col("doi").isNull())
+
+
+def missed_in(sample: DataFrame, infos: DataFrame, key: str, groups: Sequence[str]) -> DataFrame:
+    """Per group, how many sampled rows there are and how many have no info row."""
+    found = infos.select(F.col(key)).distinct().withColumn("_found", F.lit(True))
+    return sample.join(found, key, "left").groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("n_sampled"), F.count_if(F.col("_found").isNull()).alias("n_missed")
+    )

@@ -1 +1,11 @@
 """Registered queries over the driver tables, with their SQL oracles."""
+
+import importlib
+
+GROUPS = ("columns", "flattening", "tables", "matches", "reporting", "searching", "queue_jobs", "scans", "streams")
+
+
+def load() -> None:
+    """Import every group, which registers its queries."""
+    for group in GROUPS:
+        importlib.import_module(f"vellum.plans.{group}")

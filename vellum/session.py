@@ -25,6 +25,7 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "vellum
         .appName(app)
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     for key, value in SETTINGS.items():
