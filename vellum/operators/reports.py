@@ -269,11 +269,15 @@ def frequencies(df: DataFrame, column: str, name: str = "num_works") -> DataFram
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), column)
 
 
-def repair_worklist(request: DataFrame, source: str | None = None) -> DataFrame:
-    """Cache rows with a DOI but no catalogue id, newest first."""
+def repairable(request: DataFrame, source: str | None = None) -> DataFrame:
+    """Cache rows with a DOI but no catalogue id."""
     rows = request.where(F.col("doi").isNotNull() & F.col("openalex_id").isNull())
-    rows = rows if source is None else rows.where(F.col("wrapper") == source)
-    return rows.orderBy(F.desc("time_created"), "record_id")
+    return rows if source is None else rows.where(F.col("wrapper") == source)
+
+
+def repair_worklist(request: DataFrame, source: str | None = None) -> DataFrame:
+    """The same, newest first."""
+    return repairable(request, source).orderBy(F.desc("time_created"), "record_id")
 
 
 def without_doi(request: DataFrame, source: str) -> DataFrame:
@@ -287,3 +291,19 @@ def missed_in(sample: DataFrame, infos: DataFrame, key: str, groups: Sequence[st
     return sample.join(found, key, "left").groupBy(*groups).agg(
         F.count(F.lit(1)).alias("n_sampled"), F.count_if(F.col("_found").isNull()).alias("n_missed")
     )
+
+
+def fill_rate(df: DataFrame, column: str) -> DataFrame:
+    """How many rows have the column, how many do not."""
+    c = F.col(column)
+    return df.agg(F.count(c).alias("filled"), F.count_if(c.isNull()).alias("empty"))
+
+
+def date_range(works: DataFrame) -> DataFrame:
+    """First and last day of creation and of update."""
+    return works.agg(
+        F.min("created_date").alias("first_created"),
+        F.max("created_date").alias("last_created"),
+        F.min("updated_date").alias("first_updated"),
+        F.max("updated_date").alias("last_updated"),
+    )

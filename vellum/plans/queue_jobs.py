@@ -1 +1,344 @@
-"""Placeholder."""
+"""The gap-filling queue."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vellum.operators import matching, queueing
+from vellum.plans import fixtures as fx
+from vellum.plans.matches import MATCH
+from vellum.plans.registry import job
+from vellum.plans.tables import now
+
+# What the sources answer: matched by DOI only, some answers too short to be an abstract.
+RESPONSES = {
+    "record_id": "1000000000 + doc_id * 4 + k",
+    "wrapper": "wrapper",
+    "doi": "concat('10.5555/D', CAST(doc_id AS STRING))",
+    "openalex_id": "CAST(NULL AS STRING)",
+    "pubmed_id": "CASE WHEN wrapper = 'PUBMED' THEN CAST(doc_id AS STRING) END",
+    "scopus_id": "CASE WHEN wrapper = 'SCOPUS' THEN concat('2-s2.0-', CAST(doc_id AS STRING)) END",
+    "wos_id": "CASE WHEN wrapper = 'WOS' THEN concat('WOS:', CAST(doc_id AS STRING)) END",
+    "title": "split_part(text, chr(10), 1)",
+    "abstract": "CASE WHEN source = 'src1' AND wrapper = 'DIMENSIONS' THEN 'too short' WHEN lang = 'fr' THEN NULL "
+    "ELSE concat('answer ', text) END",
+    "raw": "concat('{\"n\":', CAST(n_chars AS STRING), '}')",
+    "time_created": "<HOURS>(<TS>'2024-06-01 00:00:00', k)",
+}
+_WRAPPER_ROWS = ", ".join(f"({i}, '{w}')" for i, w in enumerate(fx.WRAPPERS))
+_RESPONSES_CTE = (
+    "responses AS (SELECT " + ", ".join(f"{e} AS {n}" for n, e in RESPONSES.items())
+    + f" FROM documents CROSS JOIN (VALUES {_WRAPPER_ROWS}) AS w(k, wrapper))"
+)
+
+# The queue with its source lists as lists of (source, priority).
+_LISTS = (
+    "SELECT * REPLACE (list_transform(from_json(sources, '[[\"JSON\"]]'), "
+    "lambda p: {'source': p[1]->>'$', 'priority': CAST(p[2] AS INT)}) AS sources) FROM queue"
+)
+_DEFAULT = "[{'source': 'DIMENSIONS', 'priority': 2}, {'source': 'SCOPUS', 'priority': 2}]"
+_AS_TEXT = (
+    "concat('[', array_to_string(list_transform(sources, lambda s: concat('[\"', s.source, '\",', s.priority, ']')), "
+    "','), ']')"
+)
+_ELIGIBLE = """(priority = 1 OR on_conflict = 1 OR (on_conflict = 3 AND num_has_abstract = 0)
+        OR (on_conflict = 4 AND num_has_source_raw = 0) OR (on_conflict = 2 AND num_has_source_request = 0))"""
+
+
+def responses(spark, sf_dir):
+    wrappers = F.posexplode(F.array(*map(F.lit, fx.WRAPPERS))).alias("k", "wrapper")
+    rows = fx.table(spark, sf_dir, "documents").select("*", wrappers)
+    return rows.selectExpr(*[f"{fx.spark_sql(e)} AS {n}" for n, e in RESPONSES.items()])
+
+
+def _text(df):
+    return df.withColumn("sources", queueing.format_sources(F.col("sources")))
+
+
+@job(
+    "que_default_sources",
+    f"""
+    WITH <<queue>>, q AS ({_LISTS}), d AS (SELECT queue_id, COALESCE(sources, {_DEFAULT}) AS sources FROM q)
+    SELECT queue_id, {_AS_TEXT} AS sources FROM d
+    """,
+)
+def que_default_sources(spark, sf_dir):
+    return _text(queueing.default_sources(fx.queue(spark, sf_dir))).select("queue_id", "sources")
+
+
+@job(
+    "que_enqueue",
+    """
+    WITH <<index>>, <<queue>>, <<request>>
+    SELECT id AS openalex_id, doi, CAST(NULL AS STRING) AS pubmed_id,
+           '[["DIMENSIONS",2],["SCOPUS",2],["PUBMED",2],["WOS",2]]' AS sources, 2 AS on_conflict
+    FROM idx
+    WHERE abstract IS NULL AND doi IS NOT NULL
+      AND id NOT IN (SELECT openalex_id FROM request WHERE abstract IS NOT NULL AND openalex_id IS NOT NULL
+                                                           AND wrapper = 'WOS')
+      AND id NOT IN (SELECT openalex_id FROM queue WHERE openalex_id IS NOT NULL AND on_conflict > 2)
+    """,
+)
+def que_enqueue(spark, sf_dir):
+    candidates = fx.index(spark, sf_dir).where(F.col("abstract").isNull()).select(
+        F.col("id").alias("openalex_id"), "doi", F.lit(None).cast("string").alias("pubmed_id")
+    )
+    entries = queueing.enqueue(
+        candidates,
+        fx.request(spark, sf_dir).where("wrapper = 'WOS'"),
+        fx.queue(spark, sf_dir).where("on_conflict > 2"),
+        now(),
+        sources=queueing.GAP_SOURCES,
+        need_doi=True,
+    )
+    return _text(entries).drop("time_created")
+
+
+@job(
+    "srt_pending_topn",
+    """
+    WITH <<queue>>
+    SELECT queue_id, strftime(time_created, '%Y-%m-%d %H:%M:%S') AS time_created FROM queue
+    WHERE sources IS NOT NULL AND strpos(sources, '[["SCOPUS"') = 1
+      AND time_created BETWEEN <TS>'2024-03-02 00:00:00' AND <TS>'2024-03-18 00:00:00'
+    ORDER BY time_created, queue_id LIMIT 25
+    """,
+)
+def srt_pending_topn(spark, sf_dir):
+    after, before = (F.expr(fx.spark_sql(f"<TS>'2024-03-{d} 00:00:00'")) for d in ("02", "18"))
+    rows = queueing.pending(fx.queue(spark, sf_dir), "SCOPUS", 25, True, after, before)
+    return rows.select("queue_id", F.date_format("time_created", "yyyy-MM-dd HH:mm:ss").alias("time_created"))
+
+
+_COUNTED = f"""SELECT q.queue_id, any_value(q.on_conflict) AS on_conflict, any_value(q.sources[1].source) AS source,
+             any_value(q.sources[1].priority) AS priority,
+             count(*) FILTER (WHERE r.abstract IS NOT NULL) AS num_has_abstract,
+             count(*) FILTER (WHERE r.raw IS NOT NULL AND r.wrapper = q.sources[1].source) AS num_has_source_raw,
+             count(*) FILTER (WHERE r.record_id IS NOT NULL AND r.wrapper = q.sources[1].source)
+               AS num_has_source_request
+      FROM {{queue}} q LEFT JOIN {{request}} r ON {MATCH} GROUP BY q.queue_id"""
+
+
+@job(
+    "que_eligible",
+    f"""
+    WITH <<queue>>, <<request>>, q AS ({_LISTS}),
+    d AS (SELECT * REPLACE (COALESCE(sources, {_DEFAULT}) AS sources) FROM q),
+    c AS ({_COUNTED.format(queue="d", request="request")})
+    SELECT queue_id, source, CAST(priority AS INT) AS priority, num_has_abstract, num_has_source_raw,
+           num_has_source_request, {_ELIGIBLE} AS eligible FROM c
+    """,
+)
+def que_eligible(spark, sf_dir):
+    entries = queueing.default_sources(fx.queue(spark, sf_dir))
+    counted = queueing.with_counts(entries, fx.request(spark, sf_dir))
+    return counted.select(
+        "queue_id", "source", "priority", "num_has_abstract", "num_has_source_raw", "num_has_source_request",
+        queueing.is_eligible().alias("eligible"),
+    )
+
+
+def _list_sql(column: str, before: str, after: str) -> str:
+    return (
+        f"list_transform(list_sort(list_distinct(list({column}) FILTER (WHERE {column} IS NOT NULL))), "
+        f"lambda x: concat('{before}', x, '{after}'))"
+    )
+
+
+def _in_sql(name: str, column: str, separator: str, opening: str, closing: str, quote: str) -> str:
+    return (
+        f"CASE WHEN count({column}) > 0 THEN concat('{name}{opening}', "
+        f"array_to_string({_list_sql(column, quote, quote)}, '{separator}'), '{closing}') END"
+    )
+
+
+_CLAUSES = {
+    "SCOPUS": "array_to_string(list_concat({}, {}), ' OR ')".format(
+        _list_sql("scopus_id", "EID(", ")"), _list_sql("doi", 'DOI("', '")')
+    ),
+    "PUBMED": "array_to_string(list_concat({}, {}), ' OR ')".format(
+        _list_sql("pubmed_id", '"', '"[PMID]'), _list_sql("doi", '"', '"[DOI]')
+    ),
+    "WOS": "concat_ws(' OR ', {}, {}, {})".format(
+        _in_sql("DO", "doi", " OR ", "=(", ")", '"'),
+        _in_sql("PMID", "pubmed_id", " OR ", "=(", ")", ""),
+        _in_sql("UT", "wos_id", " OR ", "=(", ")", ""),
+    ),
+    "DIMENSIONS": "concat_ws(' or ', {}, {})".format(
+        _in_sql("doi", "doi", ",", " in [", "]", '"'), _in_sql("pmid", "pubmed_id", ",", " in [", "]", '"')
+    ),
+}
+_HELD = {"SCOPUS": "scopus_id, doi", "PUBMED": "pubmed_id, doi", "WOS": "doi, pubmed_id, wos_id",
+         "DIMENSIONS": "doi, pubmed_id"}
+
+
+@job(
+    "que_batches",
+    f"WITH <<queue>>, q AS ({_LISTS}), d AS (SELECT * REPLACE (COALESCE(sources, {_DEFAULT}) AS sources) FROM q) "
+    + " UNION ALL ".join(
+        f"""SELECT '{source}' AS source, batch, count(*) AS n_entries, {clause} AS clause
+        FROM (SELECT *, (row_number() OVER (ORDER BY time_created, queue_id) - 1) // 25 AS batch FROM d
+              WHERE sources[1].source = '{source}' AND COALESCE({_HELD[source]}) IS NOT NULL) GROUP BY batch"""
+        for source, clause in _CLAUSES.items()
+    ),
+)
+def que_batches(spark, sf_dir):
+    entries = queueing.default_sources(fx.queue(spark, sf_dir))
+    merged = None
+    for source in _CLAUSES:
+        waiting = entries.where(F.get("sources", F.lit(0))["source"] == source)
+        batches = queueing.lookup_batches(waiting, source, 25).drop("slice")
+        merged = batches if merged is None else merged.unionByName(batches)
+    return merged
+
+
+def _complete(kinds, answers: str, donors: str, prefix: str) -> tuple[str, str]:
+    """Completion of identifiers step by step, as table expressions."""
+    steps, previous = [], answers
+    for n, kind in enumerate(kinds):
+        filled = ", ".join(
+            f"r.{c}" if c == kind else
+            f"COALESCE(r.{c}, arg_min(q.{c}, (q.time_created, q.queue_id)) FILTER (WHERE q.{c} IS NOT NULL)) AS {c}"
+            for c in kinds
+        )
+        steps.append(
+            f"{prefix}{n} AS (SELECT r.record_id, {filled} FROM {previous} r LEFT JOIN {donors} q "
+            f"ON q.{kind} = r.{kind} GROUP BY r.record_id, {', '.join('r.' + c for c in kinds)})"
+        )
+        previous = f"{prefix}{n}"
+    return ", ".join(steps), previous
+
+
+_KINDS = ("doi", "openalex_id", "pubmed_id", "scopus_id", "wos_id", "queue_id")
+_LAND, _LANDED = _complete(_KINDS, "answers", "queue", "c")
+
+
+@job(
+    "que_land",
+    f"""
+    WITH <<queue>>, {_RESPONSES_CTE},
+    answers AS (SELECT *, CAST(NULL AS BIGINT) AS queue_id FROM responses WHERE wrapper = 'SCOPUS'), {_LAND}
+    SELECT a.record_id, c.doi, c.openalex_id, c.pubmed_id, c.scopus_id, c.wos_id, c.queue_id,
+           CASE WHEN length(a.abstract) >= 1000 THEN a.abstract END AS abstract
+    FROM answers a JOIN {_LANDED} c USING (record_id)
+    """,
+)
+def que_land(spark, sf_dir):
+    answers = responses(spark, sf_dir).where("wrapper = 'SCOPUS'")
+    landed = queueing.land(answers, fx.queue(spark, sf_dir), min_abstract_length=1000)
+    return landed.select(
+        "record_id", "doi", "openalex_id", "pubmed_id", "scopus_id", "wos_id", "queue_id", "abstract"
+    )
+
+
+@job(
+    "que_drop_sources",
+    f"""
+    WITH <<queue>>, <<request>>, q AS ({_LISTS}), found AS (
+      SELECT DISTINCT openalex_id FROM request WHERE wrapper = 'PUBMED' AND abstract IS NOT NULL),
+    n AS (SELECT queue_id, CASE WHEN openalex_id IN (SELECT openalex_id FROM found WHERE openalex_id IS NOT NULL)
+                 THEN list_filter(sources, lambda s: s.priority = 1)
+                 ELSE list_filter(sources, lambda s: s.source <> 'SCOPUS') END AS sources
+          FROM q WHERE sources IS NOT NULL)
+    SELECT queue_id, {_AS_TEXT} AS sources FROM n
+    """,
+)
+def que_drop_sources(spark, sf_dir):
+    asked = fx.queue(spark, sf_dir).where(F.col("sources").isNotNull())
+    with_text = fx.request(spark, sf_dir).where("wrapper = 'PUBMED' AND abstract IS NOT NULL")
+    found = asked.join(with_text, "openalex_id", "left_semi")
+    return _text(queueing.advance(asked, found, "SCOPUS"))
+
+
+@job(
+    "que_drop_finished",
+    """
+    WITH <<queue>>, kept AS (
+      SELECT queue_id, time_created FROM queue
+      WHERE (sources IS NULL OR sources <> '[["WOS",1]]') AND time_created <= <TS>'2024-03-15 00:00:00')
+    SELECT queue_id FROM kept WHERE queue_id NOT IN (SELECT doc_id FROM labels)
+    """,
+)
+def que_drop_finished(spark, sf_dir):
+    queue = fx.queue(spark, sf_dir)
+    emptied = queue.withColumn("sources", queueing.without_source(F.col("sources"), "WOS"))
+    moment = F.expr(fx.spark_sql("<TS>'2024-03-15 00:00:00'"))
+    kept = queueing.drop_created_after(queueing.drop_finished(emptied), moment)
+    labelled = fx.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("queue_id"))
+    return queueing.drop_queued(kept, labelled).select("queue_id")
+
+
+@job(
+    "que_record_misses",
+    """
+    WITH <<queue>>, <<request>>
+    SELECT 'PUBMED' AS wrapper, q.openalex_id, q.doi, q.pubmed_id, CAST(NULL AS STRING) AS abstract FROM queue q
+    WHERE NOT EXISTS (SELECT 1 FROM request r WHERE r.wrapper = 'PUBMED' AND r.abstract IS NOT NULL
+                      AND (r.doi = q.doi OR r.openalex_id = q.openalex_id OR r.pubmed_id = q.pubmed_id))
+    """,
+)
+def que_record_misses(spark, sf_dir):
+    answers = fx.request(spark, sf_dir).where("wrapper = 'PUBMED' AND abstract IS NOT NULL")
+    missed = queueing.record_misses(
+        fx.queue(spark, sf_dir), answers, "queue_id", "PUBMED", now(), ("doi", "openalex_id", "pubmed_id")
+    )
+    return missed.select("wrapper", "openalex_id", "doi", "pubmed_id", "abstract")
+
+
+ROUND_SOURCES, ROUND_BATCH = ("DIMENSIONS", "SCOPUS"), 150
+_CACHE_COLUMNS = "record_id, wrapper, doi, openalex_id, pubmed_id, scopus_id, wos_id, title, abstract, raw"
+
+
+def _turn(n: int, source: str) -> str:
+    """One source's turn as table expressions, from queue{n} and cache{n} to the next ones."""
+    steps, completed = _complete(_KINDS, f"answers{n}", f"asked{n}", f"c{n}_")
+    counted = _COUNTED.format(queue=f"taken{n}", request=f"cache{n}")
+    return f"""
+    taken{n} AS (SELECT * FROM queue{n} WHERE sources[1].source = '{source}'
+                 ORDER BY time_created, queue_id LIMIT {ROUND_BATCH}),
+    counted{n} AS ({counted}),
+    asked{n} AS (SELECT t.* FROM taken{n} t JOIN counted{n} c USING (queue_id) WHERE {_ELIGIBLE.replace("on_conflict", "c.on_conflict")}),
+    answers{n} AS (SELECT r.*, CAST(NULL AS BIGINT) AS queue_id FROM responses r
+                   WHERE r.wrapper = '{source}' AND EXISTS (SELECT 1 FROM asked{n} q WHERE {MATCH})),
+    {steps},
+    landed{n} AS (SELECT a.record_id, a.wrapper, c.doi, c.openalex_id, c.pubmed_id, c.scopus_id, c.wos_id, a.title,
+                         CASE WHEN length(a.abstract) >= 25 THEN a.abstract END AS abstract, a.raw, c.queue_id
+                  FROM answers{n} a JOIN {completed} c USING (record_id)),
+    found{n} AS (SELECT DISTINCT queue_id FROM landed{n} WHERE abstract IS NOT NULL AND queue_id IS NOT NULL),
+    queue{n + 1} AS (
+      SELECT * FROM (
+        SELECT * REPLACE (CASE WHEN queue_id IN (SELECT queue_id FROM found{n})
+                               THEN list_filter(sources, lambda s: s.priority = 1)
+                               WHEN queue_id IN (SELECT queue_id FROM taken{n})
+                               THEN list_filter(sources, lambda s: s.source <> '{source}')
+                               ELSE sources END AS sources) FROM queue{n})
+      WHERE len(sources) > 0),
+    cache{n + 1} AS (SELECT {_CACHE_COLUMNS} FROM cache{n} UNION ALL SELECT {_CACHE_COLUMNS} FROM landed{n})"""
+
+
+@job(
+    "que_round",
+    f"""
+    WITH <<queue>>, <<request>>, {_RESPONSES_CTE}, q AS ({_LISTS}),
+    queue0 AS (SELECT * REPLACE (COALESCE(sources, {_DEFAULT}) AS sources) FROM q),
+    cache0 AS (SELECT {_CACHE_COLUMNS} FROM request),
+    {_turn(0, "DIMENSIONS")}, {_turn(1, "SCOPUS")}
+    SELECT 'queue' AS part, queue_id, {_AS_TEXT} AS content FROM queue2
+    UNION ALL
+    SELECT 'landed', queue_id, concat_ws('|', record_id, doi, openalex_id, wrapper, abstract) FROM landed0
+    UNION ALL
+    SELECT 'landed', queue_id, concat_ws('|', record_id, doi, openalex_id, wrapper, abstract) FROM landed1
+    """,
+)
+def que_round(spark, sf_dir):
+    queue, landed = queueing.run_rounds(
+        fx.queue(spark, sf_dir), fx.request(spark, sf_dir), responses(spark, sf_dir), ROUND_SOURCES, ROUND_BATCH, 1
+    )
+    left = queue.select(
+        F.lit("queue").alias("part"), "queue_id", queueing.format_sources(F.col("sources")).alias("content")
+    )
+    rows = landed.select(
+        F.lit("landed").alias("part"), "queue_id",
+        F.concat_ws("|", "record_id", "doi", "openalex_id", "wrapper", "abstract").alias("content"),
+    )
+    return left.unionByName(rows)

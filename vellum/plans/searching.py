@@ -1 +1,207 @@
-"""Placeholder."""
+"""Text search."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vellum.functions.text import STOP_WORDS, highlight
+from vellum.operators import reports, search
+from vellum.operators.search import And, AnyOf, Near, Not, Or, Phrase, Term
+from vellum.plans import fixtures as fx
+from vellum.plans.registry import job
+
+_STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
+_INDEXED = f"<<tokens>>, t AS (SELECT * FROM tokens WHERE term NOT IN ({_STOP}))"
+
+
+def postings(spark, sf_dir):
+    return search.build_postings(fx.table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def full_postings(spark, sf_dir):
+    """Postings with the stop words in, which make the longest lists."""
+    return search.build_postings(fx.table(spark, sf_dir, "documents"), "doc_id", "text", stop_words=())
+
+
+@job(
+    "txt_postings",
+    f"""
+    WITH {_INDEXED}
+    SELECT doc_id, term, string_agg(CAST(pos AS STRING), ',' ORDER BY pos) AS positions FROM t GROUP BY doc_id, term
+    """,
+)
+def txt_postings(spark, sf_dir):
+    return postings(spark, sf_dir).select("doc_id", "term", F.array_join("positions", ",").alias("positions"))
+
+
+@job(
+    "txt_boolean",
+    """
+    WITH <<tokens>>, d AS (
+      SELECT doc_id, max(term = 'the') AS a, max(term = 'and') AS b, max(term = 'la') AS c, max(term = 'le') AS e,
+             max(term = 'for') AS f FROM tokens GROUP BY doc_id)
+    SELECT doc_id FROM d WHERE ((a AND b) OR (c AND NOT e)) AND NOT (f AND e)
+    """,
+)
+def txt_boolean(spark, sf_dir):
+    expr = And(
+        (
+            Or((And((Term("the"), Term("and"))), And((Term("la"), Not(Term("le")))))),
+            Not(And((Term("for"), Term("le")))),
+        )
+    )
+    return search.search(full_postings(spark, sf_dir), expr)
+
+
+@job(
+    "txt_not",
+    """
+    SELECT doc_id FROM documents
+    WHERE NOT list_contains(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]{1,127}'), 'the')
+    """,
+)
+def txt_not(spark, sf_dir):
+    documents = fx.table(spark, sf_dir, "documents")
+    return search.search(full_postings(spark, sf_dir), Not(Term("the")), documents)
+
+
+@job(
+    "txt_phrase",
+    """
+    WITH <<tokens>>
+    SELECT DISTINCT x.doc_id FROM tokens x JOIN tokens y ON y.doc_id = x.doc_id AND y.pos = x.pos + 1
+    JOIN tokens z ON z.doc_id = y.doc_id AND z.pos = y.pos + 1
+    WHERE x.term IN ('and', 'by') AND y.term = 'the' AND z.term LIKE 'th%'
+    """,
+)
+def txt_phrase(spark, sf_dir):
+    phrase = Phrase((AnyOf((Term("and"), Term("by"))), Term("the"), Term("th*")))
+    return search.search(full_postings(spark, sf_dir), phrase)
+
+
+@job(
+    "txt_distance_exact",
+    """
+    WITH <<tokens>>
+    SELECT DISTINCT x.doc_id FROM tokens x JOIN tokens y ON y.doc_id = x.doc_id AND y.pos = x.pos + 3
+    WHERE x.term = 'the' AND y.term = 'and'
+    """,
+)
+def txt_distance_exact(spark, sf_dir):
+    return search.search(full_postings(spark, sf_dir), Phrase((Term("the"), Term("and")), (3,)))
+
+
+@job(
+    "txt_near",
+    """
+    WITH <<tokens>>
+    SELECT DISTINCT x.doc_id FROM tokens x JOIN tokens y ON y.doc_id = x.doc_id
+     AND abs(y.pos - x.pos) BETWEEN 1 AND 4
+    WHERE x.term = 'of' AND y.term = 'to'
+    """,
+)
+def txt_near(spark, sf_dir):
+    return search.search(full_postings(spark, sf_dir), Near(Term("of"), Term("to"), 4))
+
+
+@job(
+    "txt_wildcard",
+    f"""
+    WITH {_INDEXED}
+    SELECT DISTINCT doc_id FROM t WHERE term LIKE 'ent%' OR term LIKE 'on%er'
+    """,
+)
+def txt_wildcard(spark, sf_dir):
+    return search.search(postings(spark, sf_dir), Or((Term("ent*"), Term("on*er"))))
+
+
+@job("txt_substring", "SELECT doc_id FROM documents WHERE strpos(text, 'tion th') > 0")
+def txt_substring(spark, sf_dir):
+    return fx.table(spark, sf_dir, "documents").where(F.col("text").contains("tion th")).select("doc_id")
+
+
+@job(
+    "txt_rank_topk",
+    """
+    WITH <<tokens>>
+    SELECT x.doc_id, round(sum(1.0 / abs(y.pos - x.pos)), 6) AS score
+    FROM tokens x JOIN tokens y ON y.doc_id = x.doc_id AND abs(y.pos - x.pos) BETWEEN 1 AND 5
+    WHERE x.term = 'the' AND y.term = 'and' GROUP BY x.doc_id ORDER BY score DESC, x.doc_id LIMIT 10
+    """,
+)
+def txt_rank_topk(spark, sf_dir):
+    return search.rank_near(full_postings(spark, sf_dir), Term("the"), Term("and"), 5, 10)
+
+
+@job(
+    "txt_highlight",
+    r"""
+    WITH <<tokens>>, hits AS (SELECT DISTINCT doc_id FROM tokens WHERE term = 'the'),
+    once AS (SELECT doc_id, regexp_replace(text, '(?i)(^|[^\p{L}\p{N}_])(the|and)($|[^\p{L}\p{N}_])',
+                                           concat('\1', chr(1), '\2', chr(2), '\3'), 'g') AS t
+             FROM documents JOIN hits USING (doc_id)),
+    twice AS (SELECT doc_id, regexp_replace(t, '(?i)(^|[^\p{L}\p{N}_\x01\x02]|\x02)(the|and)($|[^\p{L}\p{N}_\x01\x02]|\x01)',
+                                            concat('\1', chr(1), '\2', chr(2), '\3'), 'g') AS t FROM once)
+    SELECT doc_id, replace(replace(t, chr(1), '<b>'), chr(2), '</b>') AS marked FROM twice
+    """,
+)
+def txt_highlight(spark, sf_dir):
+    hits = search.search(full_postings(spark, sf_dir), Term("the"))
+    marked = highlight(F.col("text"), ["the", "and"]).alias("marked")
+    return fx.table(spark, sf_dir, "documents").join(hits, "doc_id", "left_semi").select("doc_id", marked)
+
+
+@job(
+    "txt_hits_per_year",
+    """
+    WITH <<works>>, <<tokens>>, hits AS (SELECT DISTINCT doc_id FROM tokens WHERE term = 'the'),
+    years AS (SELECT unnest(range(1990, 2031)) AS year),
+    n AS (SELECT publication_year AS year, count(*) AS n FROM works JOIN hits USING (doc_id) GROUP BY 1)
+    SELECT CAST(y.year AS INT) AS year, COALESCE(n.n, 0) AS n_hits FROM years y LEFT JOIN n USING (year)
+    """,
+)
+def txt_hits_per_year(spark, sf_dir):
+    hits = search.search(full_postings(spark, sf_dir), Term("the"))
+    works = fx.works(spark, sf_dir).join(hits, "doc_id", "left_semi")
+    return reports.per_year(spark, works, 1990, 2030, {"n_hits": F.count(F.lit(1))})
+
+
+@job(
+    "txt_term_stats",
+    f"""
+    WITH {_INDEXED}
+    SELECT term, count(DISTINCT doc_id) AS doc_freq, count(*) AS total_freq FROM t GROUP BY term
+    """,
+)
+def txt_term_stats(spark, sf_dir):
+    return search.term_statistics(postings(spark, sf_dir))
+
+
+@job(
+    "set_union_hits",
+    """
+    WITH <<works>>, <<tokens>>, title_hits AS (
+      SELECT doc_id FROM works WHERE list_contains(regexp_extract_all(lower(title), '[\\p{L}\\p{N}]{1,127}'), 'by'))
+    SELECT doc_id FROM title_hits
+    UNION
+    SELECT doc_id FROM tokens JOIN works USING (doc_id) WHERE term = 'ent' AND abstract IS NOT NULL
+    """,
+)
+def set_union_hits(spark, sf_dir):
+    works = fx.works(spark, sf_dir)
+    titles = search.build_postings(works, "doc_id", "title", stop_words=())
+    abstracts = search.build_postings(works, "doc_id", "abstract", stop_words=())
+    return search.search(titles, Term("by")).union(search.search(abstracts, Term("ent"))).distinct()
+
+
+@job(
+    "flt_missing_in_range",
+    """
+    WITH <<index>>
+    SELECT id, doi FROM idx
+    WHERE abstract IS NULL AND (created_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'
+                                OR updated_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20')
+    """,
+)
+def flt_missing_in_range(spark, sf_dir):
+    return search.missing_in_range(fx.index(spark, sf_dir), "2024-01-10", "2024-01-20").select("id", "doi")
