@@ -111,7 +111,8 @@ def unmatched_coverage(request: DataFrame, since: Column | None = None) -> DataF
     )
 
 
-def _stats() -> list[Column]:
+def stats_columns() -> list[Column]:
+    """Counters of cache rows: all, with title, with abstract, answered by two of the sources."""
     answered = F.col("raw").isNotNull()
     return [
         F.count(F.lit(1)).alias("n_total"),
@@ -125,12 +126,12 @@ def _stats() -> list[Column]:
 def daily_stats(request: DataFrame, limit: int = 10) -> DataFrame:
     """Cache growth per day, latest days first."""
     day = F.date_trunc("day", "time_created").alias("day")
-    return request.groupBy(day).agg(*_stats()).orderBy(F.desc("day")).limit(limit)
+    return request.groupBy(day).agg(*stats_columns()).orderBy(F.desc("day")).limit(limit)
 
 
 def total_stats(request: DataFrame) -> DataFrame:
     """The same counters over the whole cache."""
-    return request.agg(*_stats())
+    return request.agg(*stats_columns())
 
 
 def completeness(df: DataFrame, flags: Sequence[str], columns: Sequence[str]) -> DataFrame:

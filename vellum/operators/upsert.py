@@ -145,15 +145,14 @@ def fill_abstracts(index: DataFrame, best: DataFrame, now: Column, force: bool =
     )
 
 
-def apply_update(index: DataFrame, update: DataFrame, now: Column) -> DataFrame:
-    """Put updated works into the index without losing abstracts.
+def updated_documents(index: DataFrame, update: DataFrame, now: Column) -> DataFrame:
+    """The documents to write for updated works, so that no abstract is lost.
 
-    Updated works replace their document. Where only the old document has an abstract it is kept, and its source
+    An updated work replaces its document. Where only the old document has an abstract it is kept, and its source
     becomes ``OpenAlex_old`` when it was ``OpenAlex``. A changed abstract gets a new ``abstract_date``, an
     unchanged one keeps the old date.
     """
-    had = F.col("_abstract").isNotNull()
-    keeps = F.col("abstract").isNull() & had
+    keeps = F.col("abstract").isNull() & F.col("_abstract").isNotNull()
     before = index.select(
         F.col("id").alias("_id"),
         F.col("abstract").alias("_abstract"),
@@ -167,13 +166,18 @@ def apply_update(index: DataFrame, update: DataFrame, now: Column) -> DataFrame:
     changes = {
         "abstract": abstract,
         "title_abstract": title_abstract(F.col("title"), abstract),
-        "abstract_source": F.when(keeps, retired)
-        .when(F.col("abstract").isNotNull(), F.coalesce("abstract_source", F.lit("OpenAlex"))),
+        "abstract_source": F.when(keeps, retired).when(
+            F.col("abstract").isNotNull(), F.coalesce("abstract_source", F.lit("OpenAlex"))
+        ),
         "abstract_date": F.when(unchanged, F.col("_date")).otherwise(now),
     }
     columns = list(dict.fromkeys([*update.columns, *changes]))
-    merged = joined.select(*[changes[c].alias(c) if c in changes else F.col(c) for c in columns])
-    return upsert(index, merged, "id")
+    return joined.select(*[changes[c].alias(c) if c in changes else F.col(c) for c in columns])
+
+
+def apply_update(index: DataFrame, update: DataFrame, now: Column) -> DataFrame:
+    """The whole index after an update; ``update`` has one row per id."""
+    return upsert(index, updated_documents(index, update, now), "id")
 
 
 def retain_old(old: DataFrame, index: DataFrame, now: Column) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -1 +1,109 @@
-"""Placeholder."""
+"""Incremental jobs, replayed to their end; each must give what the batch job gives."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vellum.functions.ids import strip_id
+from vellum.plans import fixtures as fx
+from vellum.plans.registry import ORACLES, job
+from vellum.plans.scans import published_snapshot
+from vellum.plans.tables import now
+from vellum.session import scratch_path
+from vellum.sources.writers import append_batch, read_log
+from vellum.streaming import incremental
+
+
+@job(
+    "str_snapshot_incremental",
+    """
+    WITH <<works>>
+    SELECT concat('W', doc_id) AS id, title, CAST(updated_date AS STRING) AS updated_date FROM works
+    """,
+)
+def str_snapshot_incremental(spark, sf_dir):
+    root = scratch_path(spark, "ingest")
+    records = incremental.stream_snapshot(
+        spark, published_snapshot(spark, sf_dir), "work", "id STRING, title STRING", maxFilesPerTrigger="20"
+    )
+
+    def shape(rows):
+        return rows.select(
+            strip_id(F.col("id")).alias("id"), "title", F.col("updated_date").cast("string").alias("updated_date")
+        )
+
+    incremental.start_ingest(records, "id", f"{root}/log", f"{root}/checkpoint", shape).awaitTermination()
+    return read_log(spark, f"{root}/log", "id STRING, title STRING, updated_date STRING", "id")
+
+
+@job(
+    "str_daily_update",
+    ORACLES["upd_preserve_abstract"].replace("SELECT id, title,", "SELECT 'index' AS part, id, title,")
+    + """
+    UNION ALL
+    SELECT 'queue', id, doi, NULL, NULL, '2024-06-01 12:00:00' FROM upd WHERE abstract IS NULL AND doi IS NOT NULL
+    """,
+)
+def str_daily_update(spark, sf_dir):
+    root = scratch_path(spark, "daily")
+    index = fx.index(spark, sf_dir)
+    update = fx.update(spark, sf_dir)
+    # the index as it was, and the changes as one folder per day
+    append_batch(index, f"{root}/index", -1)
+    update.withColumn("day", F.col("updated_date")).write.partitionBy("day").parquet(f"{root}/changes")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in update.schema.fields)
+    changes = (
+        spark.readStream.schema(f"{schema}, day DATE").option("maxFilesPerTrigger", "2").parquet(f"{root}/changes")
+    ).drop("day")
+    incremental.start_daily_update(
+        changes, f"{root}/index", f"{root}/queue", f"{root}/checkpoint", now()
+    ).awaitTermination()
+    rows = read_log(spark, f"{root}/index", f"{schema}, title_abstract STRING, abstract_date TIMESTAMP_NTZ", "id")
+    queued = spark.read.schema("openalex_id STRING, doi STRING, time_created TIMESTAMP_NTZ, batch BIGINT").parquet(
+        f"{root}/queue"
+    )
+    stamp = "yyyy-MM-dd HH:mm:ss"
+    return rows.select(
+        F.lit("index").alias("part"), "id", "title", "abstract", "abstract_source",
+        F.date_format("abstract_date", stamp).alias("abstract_date"),
+    ).unionByName(
+        queued.select(
+            F.lit("queue").alias("part"), F.col("openalex_id").alias("id"), F.col("doi").alias("title"),
+            F.lit(None).cast("string").alias("abstract"), F.lit(None).cast("string").alias("abstract_source"),
+            F.date_format("time_created", stamp).alias("abstract_date"),
+        )
+    )
+
+
+@job(
+    "str_daily_stats",
+    """
+    SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, count(*) AS n_total,
+           count(*) FILTER (WHERE value > 10) AS n_with_title, count(*) FILTER (WHERE value > 20) AS n_with_abstract,
+           count(*) FILTER (WHERE event_type = 'click') AS n_with_scopus,
+           count(*) FILTER (WHERE event_type = 'view') AS n_with_dimensions
+    FROM events GROUP BY 1
+    """,
+)
+def str_daily_stats(spark, sf_dir):
+    root = scratch_path(spark, "stats")
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parq*")
+    requests = events.select(
+        F.col("ts").cast("timestamp").alias("time_created"),
+        F.when(F.col("value") > 10, F.lit("t")).alias("title"),
+        F.when(F.col("value") > 20, F.lit("a")).alias("abstract"),
+        F.col("props").alias("raw"),
+        F.when(F.col("event_type") == "click", "SCOPUS")
+        .when(F.col("event_type") == "view", "DIMENSIONS")
+        .otherwise("WOS")
+        .alias("wrapper"),
+    )
+    incremental.start_daily_stats(requests, f"{root}/log", f"{root}/checkpoint").awaitTermination()
+    return read_log(
+        spark,
+        f"{root}/log",
+        "day STRING, n_total BIGINT, n_with_title BIGINT, n_with_abstract BIGINT, n_with_scopus BIGINT, "
+        "n_with_dimensions BIGINT",
+        "day",
+    )

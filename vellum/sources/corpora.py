@@ -103,18 +103,26 @@ TABLES = {
 }
 
 
-def _typed(data: Column, path: str, kind: str) -> Column:
-    value = F.get_json_object(data, path)
+def json_to_table(lines: DataFrame, table: str, data: str = "value") -> DataFrame:
+    """Typed columns of one corpus table from JSON text; values that do not convert become NULL.
+
+    The text is parsed once for all top-level keys; only a nested path parses its own, small part again.
+    """
+    fields = [(name, path.removeprefix("$.").split("."), kind) for name, path, kind in TABLES[table]]
+    keys = list(dict.fromkeys(path[0] for _, path, _ in fields))
+    parts = lines.select(F.json_tuple(data, *keys).alias(*[f"_{k}" for k in keys]))
+    return parts.select(*[_typed(path, kind).alias(name) for name, path, kind in fields])
+
+
+def _typed(path: list[str], kind: str) -> Column:
+    value = F.col(f"_{path[0]}")
+    if len(path) > 1:
+        value = F.get_json_object(value, "$." + ".".join(path[1:]))
     if kind == "present":
         return value.isNotNull()
     return value if kind in ("string", "json") else value.try_cast(kind)
 
 
-def json_to_table(lines: DataFrame, table: str, data: str = "value") -> DataFrame:
-    """Typed columns of one corpus table from JSON text; values that do not convert become NULL."""
-    return lines.select(*[_typed(F.col(data), path, kind).alias(name) for name, path, kind in TABLES[table]])
-
-
 def split_full_text(archive: DataFrame, id_col: str = "coreId", text_col: str = "fullText") -> tuple[DataFrame, DataFrame]:
     """(records without their full text, full texts that exist). Both prune the other's columns at the scan."""
     return archive.drop(text_col), archive.select(id_col, text_col).where(F.col(text_col).isNotNull())

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vellum.operators.joins import first_per_key
+
 
 def write_tables(tables: dict[str, DataFrame], root: str, form: str = "parquet") -> None:
     """One folder per table; ``form="csv"`` gives gzip CSV with a header for a bulk load."""
@@ -42,6 +44,25 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
     return None if version is None else spark.read.parquet(f"{root}/version={version:09d}")
 
 
+def append_batch(rows: DataFrame, root: str, batch: int) -> None:
+    """Write one batch of a table's log. A repeated batch replaces itself, so replays are harmless."""
+    rows.write.mode("overwrite").parquet(f"{root}/batch={batch}")
+
+
+def read_log(spark: SparkSession, root: str, schema: str, key: str, before: int | None = None) -> DataFrame:
+    """The state a log describes: per key the row of the latest batch (below ``before``).
+
+    ``schema`` is that of the rows; batches not asked for are pruned as partitions.
+    """
+    spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(
+        spark._jvm.org.apache.hadoop.fs.Path(root)
+    )
+    log = spark.read.schema(f"{schema}, batch BIGINT").parquet(root)
+    if before is not None:
+        log = log.where(F.col("batch") < before)
+    return first_per_key(log, [key], ["batch"], last=True).drop("batch")
+
+
 def hit_list(hits: DataFrame) -> DataFrame:
     """Ids of search hits with 0/1 flags, id descending."""
     return hits.select(
