@@ -95,10 +95,13 @@ def _latin_folds() -> tuple[str, str]:
 def fold_ascii(c: Column) -> Column:
     """Latin letters to ASCII, inside codegen. Other scripts stay as they are."""
     accented, plain = _latin_folds()
-    folded = F.translate(c, accented, plain)
-    for char, replacement in SPECIAL_FOLDS.items():
-        folded = F.replace(folded, F.lit(char), F.lit(replacement))
-    return F.regexp_replace(folded, "\\p{Mn}+", "")
+    single = {char: fold for char, fold in SPECIAL_FOLDS.items() if len(fold) == 1}
+    folded = F.translate(c, accented + "".join(single), plain + "".join(single.values()))
+    for char, fold in SPECIAL_FOLDS.items():
+        if len(fold) > 1:
+            folded = F.replace(folded, F.lit(char), F.lit(fold))
+    # nearly all identifiers are ASCII already
+    return F.when(c.rlike(r"[^\x00-\x7F]"), F.regexp_replace(folded, r"\p{Mn}+", "")).otherwise(c)
 
 
 def clean_doi(c: Column) -> Column:

@@ -22,14 +22,12 @@ def _let(value: Column, body) -> Column:
 
 def _placed_tokens(index: Column) -> Column:
     """Tokens of an inverted index as (position, key order, token), in position order."""
-    placed = F.transform(
-        F.map_entries(index),
-        lambda entry, order: F.transform(
-            entry["value"],
-            lambda p: F.struct(p.alias("p"), order.alias("o"), entry["key"].alias("t")),
-        ),
-    )
-    return F.array_sort(F.flatten(placed))
+    positions = F.flatten(F.map_values(index))
+    words = F.flatten(F.transform(F.map_entries(index), lambda e: F.array_repeat(e["key"], F.size(e["value"]))))
+    order = F.sequence(F.lit(1), F.size(positions))
+    placed = F.arrays_zip(positions.alias("p"), order.alias("o"), words.alias("t"))
+    # sort_array compares rows directly, array_sort would run its comparator as an expression
+    return F.when(F.size(positions) > 0, F.sort_array(placed)).otherwise(F.slice(placed, 1, 0))
 
 
 def _blank_to_null(c: Column) -> Column:
@@ -45,32 +43,33 @@ def rebuild_positional(index: Column) -> Column:
 
     def render(s: Column) -> Column:
         n = F.size(s)
-        kept = F.filter(
+        # the usual case: every slot is used exactly once
+        full = (n > 0) & (s["p"][0] == 0) & (F.get(s["p"], n - 1) == n - 1) & (F.size(F.array_distinct(s["p"])) == n)
+        return F.when(full, F.array_join(s["t"], " ")).otherwise(_let(_kept(s, n), lambda k: fill(k, n)))
+
+    def _kept(s: Column, n: Column) -> Column:
+        return F.filter(
             s,
-            lambda x, i: (x["p"] >= 0)
-            & (x["p"] < n)
-            & ((i == n - 1) | (F.get(s, i + 1)["p"] != x["p"])),
+            lambda x, i: (x["p"] >= 0) & (x["p"] < n) & ((i == n - 1) | (F.get(s, i + 1)["p"] != x["p"])),
         )
 
-        def join(k: Column) -> Column:
-            spaced = F.transform(
-                k,
-                lambda x, i: F.concat(
-                    F.repeat(F.lit(" "), x["p"] - F.when(i == 0, F.lit(0)).otherwise(F.get(k, i - 1)["p"])),
-                    x["t"],
-                ),
-            )
-            tail = F.repeat(F.lit(" "), n - 1 - F.get(k, F.size(k) - 1)["p"])
-            return F.when(F.size(k) > 0, F.concat(F.array_join(spaced, ""), tail))
-
-        return _let(kept, join)
+    def fill(k: Column, n: Column) -> Column:
+        spaced = F.transform(
+            k,
+            lambda x, i: F.concat(
+                F.repeat(F.lit(" "), x["p"] - F.when(i == 0, F.lit(0)).otherwise(F.get(k, i - 1)["p"])),
+                x["t"],
+            ),
+        )
+        tail = F.repeat(F.lit(" "), n - 1 - F.get(k, F.size(k) - 1)["p"])
+        return F.when(F.size(k) > 0, F.concat(F.array_join(spaced, ""), tail))
 
     return _blank_to_null(_let(_placed_tokens(index), render))
 
 
 def rebuild_sorted(index: Column) -> Column:
     """Text of an inverted index with all tokens in position order and no gaps."""
-    return F.array_join(F.transform(_placed_tokens(index), lambda x: x["t"]), " ")
+    return F.array_join(_placed_tokens(index)["t"], " ")
 
 
 def title_abstract(title: Column, abstract: Column) -> Column:

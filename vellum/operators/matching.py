@@ -29,10 +29,16 @@ def id_rows(df: DataFrame, id_cols: Sequence[str], *keep: str | Column) -> DataF
     return df.select(*keep, F.inline(F.filter(entries, lambda e: e["id_value"].isNotNull())))
 
 
-def semi_match(left: DataFrame, right: DataFrame, key: str, id_cols: Sequence[str] | None = None) -> DataFrame:
-    """Keys of the ``left`` rows that share at least one identifier with ``right``, each once."""
+def semi_match(
+    left: DataFrame, right: DataFrame, key: str, id_cols: Sequence[str] | None = None, few: bool = False
+) -> DataFrame:
+    """Keys of the ``left`` rows that share at least one identifier with ``right``, each once.
+
+    ``few`` says that ``right`` is cut to a fixed number of rows, which makes its identifiers safe to broadcast.
+    """
     kinds = shared_ids(left, right, id_cols)
     known = id_rows(right, kinds).distinct()
+    known = F.broadcast(known) if few else known
     return id_rows(left, kinds, key).join(known, ["id_type", "id_value"], "left_semi").select(key).distinct()
 
 
@@ -101,6 +107,8 @@ def count_matches(
     key: str,
     conditions: dict[str, Column],
     id_cols: Sequence[str] | None = None,
+    few: bool = False,
+    right_key: str = "record_id",
 ) -> DataFrame:
     """Per ``left`` key, how many distinct ``right`` rows match on any identifier, by condition.
 
@@ -109,13 +117,21 @@ def count_matches(
     aggregated before the shuffle) and to add the counts up with their signs. The work is linear in both tables
     for a fixed number of identifier kinds, also when one identifier value fills a third of each of them; no
     pair of rows is ever formed. Keys without a match are absent.
+
+    ``few`` says that ``left`` is cut to a fixed number of rows: its identifiers are then broadcast, and only
+    right rows that carry one of them are looked at further.
     """
     kinds = shared_ids(left, right, id_cols)
-    flags = right.select(*kinds, *[c.cast("int").alias(name) for name, c in conditions.items()])
-    # rows that look alike collapse before they are expanded into subsets
-    collapsed = flags.groupBy(*kinds).agg(*[F.sum(F.coalesce(n, F.lit(0))).alias(n) for n in conditions])
+    flags = [F.coalesce(c, F.lit(False)).cast("int").alias(name) for name, c in conditions.items()]
+    rows = right.select(*kinds, *flags)
+    if few:
+        known = F.broadcast(id_rows(left, kinds).distinct())
+        # a row is met once per identifier it shares
+        tagged = right.select(F.col(right_key).alias("_row"), *kinds, *flags)
+        near = id_rows(tagged, kinds, *tagged.columns).join(known, ["id_type", "id_value"], "left_semi")
+        rows = near.drop("id_type", "id_value").dropDuplicates(["_row"])
     counted = (
-        _subset_keys(collapsed, kinds, *conditions)
+        _subset_keys(rows, kinds, *conditions)
         .groupBy("subset_key")
         .agg(*[F.sum(n).alias(n) for n in conditions])
     )
@@ -132,14 +148,16 @@ def complete_ids(
     queue: DataFrame,
     id_cols: Sequence[str],
     order: Sequence[str] = ("time_created", "queue_id"),
+    key: str = "record_id",
 ) -> DataFrame:
     """Fill missing identifiers of a response from the queued rows it matches.
 
     Identifier kinds are tried in the given order. At each step the queued rows with the same value are taken in
     ``order`` and the first value present fills what is still missing, including kinds used by later steps. The
-    queued rows of a value are reduced to one row first, so each step is a join with at most one partner.
+    queued rows of a value are reduced to one row first, so each step is a join with at most one partner. Only
+    identifiers go through the steps; texts and payloads join the result once, by ``key``.
     """
-    completed = responses
+    completed = responses.select(key, *id_cols)
     for kind in id_cols:
         others = [c for c in id_cols if c != kind]
         donors = (
@@ -152,13 +170,16 @@ def complete_ids(
                 ]
             )
         )
-        completed = left_lookup(completed, donors, kind, "_value", responses.columns).select(
+        completed = left_lookup(completed, donors, kind, "_value", [key]).select(
             *[
                 F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) if c in others else F.col(c)
                 for c in completed.columns
             ]
         )
-    return completed
+    others = [c for c in responses.columns if c not in id_cols]
+    if others == [key]:
+        return completed.select(*responses.columns)
+    return responses.select(*others).join(completed, key).select(*responses.columns)
 
 
 def skip_existing(
@@ -197,9 +218,10 @@ def repair_ids(request: DataFrame, catalogue: DataFrame, reference_ids: DataFram
         .agg(F.max("_id").alias("_id"))
     )
     broken = F.col("openalex_id").isNull() & F.col("doi").isNotNull()
-    keyed = request.withColumn("_key", F.when(broken, F.lower("doi")))
-    found = left_lookup(keyed, known.withColumnRenamed("_key", "_doi"), "_key", "_doi", ["record_id"])
-    return found.withColumn("openalex_id", F.coalesce("openalex_id", "_id")).select(*request.columns)
+    # the rows that need no repair, texts and all, stay out of the join
+    repaired = request.where(broken).withColumn("_key", F.lower("doi")).join(known, "_key", "left")
+    repaired = repaired.withColumn("openalex_id", F.col("_id")).select(*request.columns)
+    return request.where(~broken).unionByName(repaired)
 
 
 def lookup_status(

@@ -95,9 +95,9 @@ def enqueue(
 
 
 def number_entries(entries: DataFrame, queue: DataFrame) -> DataFrame:
-    """Give new entries ids above those in use. The rows are fixed on storage first, so ids survive retries."""
+    """Give new entries ids above those in use, and store them: later reads all see the same ids."""
     last = queue.agg(F.coalesce(F.max("queue_id"), F.lit(0))).first()[0]
-    return cut_lineage(entries).withColumn("queue_id", F.monotonically_increasing_id() + F.lit(last + 1))
+    return cut_lineage(entries.withColumn("queue_id", F.monotonically_increasing_id() + F.lit(last + 1)), "entries")
 
 
 def default_sources(queue: DataFrame) -> DataFrame:
@@ -123,10 +123,13 @@ def pending(
     return rows.orderBy(by("time_created"), "queue_id").limit(limit)
 
 
-def with_counts(entries: DataFrame, request: DataFrame, source: str | None = None) -> DataFrame:
+def with_counts(
+    entries: DataFrame, request: DataFrame, source: str | None = None, few: bool = False
+) -> DataFrame:
     """Entries with eight counters of their cache rows: all, and those from the entry's source.
 
-    ``source`` is the source whose turn it is; None takes each entry's own next source.
+    ``source`` is the source whose turn it is; None takes each entry's own next source. ``few`` says that the
+    entries are cut to a fixed number.
     """
     present = {
         "request": F.col("record_id").isNotNull(),
@@ -138,7 +141,7 @@ def with_counts(entries: DataFrame, request: DataFrame, source: str | None = Non
     if source is not None:
         conditions = {f"num_has_{n}": c for n, c in present.items()}
         conditions |= {f"num_has_source_{n}": c & (F.col("wrapper") == source) for n, c in present.items()}
-        counts = count_matches(entries, request, "queue_id", conditions)
+        counts = count_matches(entries, request, "queue_id", conditions, few=few)
     else:
         counts = _counts_by_next_source(entries, request, present)
     names = [f"num_has_{n}" for n in COUNTERS] + [f"num_has_source_{n}" for n in COUNTERS]
@@ -352,11 +355,13 @@ def work_source(
 
     ``responses`` stands for the source: whatever it holds for an eligible entry is its answer.
     """
-    taken = pending(queue, source, batch, **bounds)
-    asked = with_counts(taken, request, source).where(is_eligible()).select(*taken.columns)
+    few = batch <= ENQUEUE_GUARD
+    taken = cut_lineage(pending(queue, source, batch, **bounds), "taken")
+    asked = with_counts(taken, request, source, few).where(is_eligible()).select(*taken.columns)
+    asked = cut_lineage(asked, "asked")
     offered = responses.where(F.col("wrapper") == source)
-    answers = offered.join(semi_match(offered, asked, "record_id"), "record_id", "left_semi")
-    landed = land(answers, asked, min_abstract_length=min_abstract_length)
+    answers = offered.join(semi_match(offered, asked, "record_id", few=few), "record_id", "left_semi")
+    landed = cut_lineage(land(answers, asked, min_abstract_length=min_abstract_length), "landed")
     found = landed.where(F.col("abstract").isNotNull() & F.col("queue_id").isNotNull())
     return taken, advance(taken, found, source), landed
 
@@ -385,14 +390,12 @@ def run_rounds(
             taken, advanced, answers = work_source(
                 current, cache, responses, source, batch, min_abstract_length
             )
-            advanced = cut_lineage(advanced)
-            n = advanced.count()
+            n = taken.count()
             if not n:
                 continue
             worked += n
             older = None if changes is None else changes.join(advanced, "queue_id", "left_anti")
-            answers = cut_lineage(answers)
-            changes = advanced if older is None else cut_lineage(older.unionByName(advanced))
+            changes = cut_lineage(advanced if older is None else older.unionByName(advanced), "changes")
             landed = answers if landed is None else landed.unionByName(answers)
         if not worked:
             break

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions.text import title_abstract
-from vellum.operators.joins import first_per_key, left_lookup
+from vellum.operators.joins import first_per_key
 
 # Which tables an entity owns, and by which column.
 OWNED_TABLES = {
@@ -108,9 +108,12 @@ def delete_merged(tables: dict[str, DataFrame], merged: DataFrame, entity: str)
 
 def mark_written(request: DataFrame, written: DataFrame, id_col: str = "openalex_id") -> DataFrame:
     """Set the done flag on *every* cache row of the written works, not only on the row that was used."""
-    ids = written.select(F.col(id_col).alias("_id")).distinct().withColumn("_written", F.lit(True))
-    marked = left_lookup(request, ids, id_col, "_id", ["record_id"])
-    return marked.withColumn("solarized", F.coalesce("_written", "solarized")).drop("_written")
+    ids = written.select(id_col).distinct().withColumn("_written", F.lit(True))
+    # rows that are done already, or have no id, stay out of the join
+    settled = F.col(id_col).isNull() | F.coalesce("solarized", F.lit(False))
+    marked = request.where(~settled).join(ids, id_col, "left")
+    marked = marked.withColumn("solarized", F.coalesce("_written", "solarized")).select(*request.columns)
+    return request.where(settled).unionByName(marked)
 
 
 def reset_written(request: DataFrame) -> DataFrame:
@@ -122,7 +125,8 @@ def fill_abstracts(index: DataFrame, best: DataFrame, now: Column, force: bool =
     """Write cached abstracts into the index.
 
     ``best`` has one row per openalex_id (title, abstract, abstract_source). Only documents without an abstract
-    change, unless ``force``; all other columns stay. Ids the index does not have are left out.
+    change, unless ``force``; all other columns stay. Ids the index does not have are left out. Documents with an
+    abstract, the bulk of the index, are neither joined nor shuffled unless ``force``.
     """
     staged = best.select(
         F.col("openalex_id").alias("_id"),
@@ -131,8 +135,8 @@ def fill_abstracts(index: DataFrame, best: DataFrame, now: Column, force: bool =
         F.col("abstract_source").alias("_source"),
         F.lit(True).alias("_found"),
     )
-    joined = index.join(staged, F.col("id") == F.col("_id"), "left")
-    write = F.col("_found") if force else F.col("_found") & F.col("abstract").isNull()
+    open_documents = index if force else index.where(F.col("abstract").isNull())
+    joined = open_documents.join(staged, F.col("id") == F.col("_id"), "left")
     changes = {
         "title": F.col("_title"),
         "abstract": F.col("_abstract"),
@@ -140,8 +144,13 @@ def fill_abstracts(index: DataFrame, best: DataFrame, now: Column, force: bool =
         "abstract_source": F.col("_source"),
         "abstract_date": now,
     }
-    return joined.select(
-        *[F.when(write, changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in index.columns]
+    filled = _set_where(joined, F.col("_found"), changes, index.columns)
+    return filled if force else index.where(F.col("abstract").isNotNull()).unionByName(filled)
+
+
+def _set_where(df: DataFrame, condition: Column, changes: dict[str, Column], columns: Sequence[str]) -> DataFrame:
+    return df.select(
+        *[F.when(condition, changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in columns]
     )
 
 
@@ -153,7 +162,8 @@ def updated_documents(index: DataFrame, update: DataFrame, now: Column) -> DataF
     unchanged one keeps the old date.
     """
     keeps = F.col("abstract").isNull() & F.col("_abstract").isNotNull()
-    before = index.select(
+    # an update is small beside the index: its ids, not the index's texts, travel first
+    before = index.join(update.select("id"), "id", "left_semi").select(
         F.col("id").alias("_id"),
         F.col("abstract").alias("_abstract"),
         F.col("abstract_source").alias("_source"),
@@ -189,17 +199,16 @@ def retain_old(old: DataFrame, index: DataFrame, now: Column) -> tuple[DataFrame
     usable = old.where(F.col("abstract").isNotNull()).select(
         F.col("openalex_id").alias("_id"), F.col("abstract").alias("_old")
     )
-    joined = index.join(usable, F.col("id") == F.col("_id"), "left")
-    write = F.col("_old").isNotNull() & F.col("abstract").isNull()
+    joined = index.where(F.col("abstract").isNull()).join(usable, F.col("id") == F.col("_id"), "left")
+    write = F.col("_old").isNotNull()
     changes = {
         "abstract": F.col("_old"),
         "title_abstract": title_abstract(F.col("title"), F.col("_old")),
         "abstract_source": F.lit("OpenAlex_old"),
         "abstract_date": now,
     }
-    following = joined.select(
-        *[F.when(write, changes[c]).otherwise(F.col(c)).alias(c) if c in changes else F.col(c) for c in index.columns]
-    )
+    filled = _set_where(joined, write, changes, index.columns)
+    following = index.where(F.col("abstract").isNotNull()).unionByName(filled)
     cache_rows = joined.where(write).select(
         F.lit("OpenAlex_old").alias("wrapper"),
         F.col("id").alias("openalex_id"),

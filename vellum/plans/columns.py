@@ -12,6 +12,7 @@ from vellum.operators.language import tag_language
 from vellum.plans import fixtures as fx
 from vellum.plans.nested import inverted_works, nested_works
 from vellum.plans.registry import job
+from vellum.session import widen
 
 
 @job(
@@ -59,7 +60,7 @@ def prj_clean_doi(spark, sf_dir):
         F.lit("  10.5555//"), F.col("lang"), F.lit("="), F.col("text"), F.lit('+a[b]:"c"\\;?q=1&'), F.col("source"),
         F.lit(" "),
     )
-    return fx.table(spark, sf_dir, "documents").select("doc_id", ids.clean_doi(raw).alias("doi"))
+    return widen(fx.table(spark, sf_dir, "documents")).select("doc_id", ids.clean_doi(raw).alias("doi"))
 
 
 @job(
@@ -121,7 +122,7 @@ def prj_min_abstract_len(spark, sf_dir):
 )
 def prj_clean_list(spark, sf_dir):
     sentences = F.split("text", r"\. ")
-    return fx.table(spark, sf_dir, "documents").select(
+    return widen(fx.table(spark, sf_dir, "documents")).select(
         "doc_id", F.array_join(text.clean_list(sentences), "|").alias("items")
     )
 
@@ -168,7 +169,7 @@ def prj_json_first_match(spark, sf_dir):
     """,
 )
 def prj_unify_payloads(spark, sf_dir):
-    documents = fx.table(spark, sf_dir, "documents").select(
+    documents = widen(fx.table(spark, sf_dir, "documents")).select(
         "doc_id", "source", "lang", F.regexp_replace("text", "[^a-zA-Z0-9 .]", "").alias("t"),
         F.concat(F.lit("10.5555/D"), F.col("doc_id").cast("string")).alias("doi"),
         F.concat(F.lit("About "), F.col("source")).alias("title"),

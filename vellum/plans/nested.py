@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.plans.fixtures import table
+from vellum.session import widen
 
 _URL = "https://openalex.org/"
 
@@ -117,14 +118,15 @@ _WORK = {
 
 def nested_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Works with authors, locations, concepts and the rest as nested lists."""
-    return table(spark, sf_dir, "documents").selectExpr(*[f"{e} AS {name}" for name, e in _WORK.items()])
+    return widen(table(spark, sf_dir, "documents")).selectExpr(*[f"{e} AS {name}" for name, e in _WORK.items()])
 
 
 def inverted_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inverted abstracts: token to positions, for the whole text of every document."""
     words = F.regexp_extract_all("text", F.lit(r"[^ \t\r\n]+"), F.lit(0))
-    placed = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(words).alias("pos", "token"))
-    listed = placed.groupBy("doc_id", "token").agg(F.array_sort(F.collect_list("pos")).alias("positions"))
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
+    placed = texts.select("doc_id", F.posexplode(words).alias("pos", "token"))
+    listed = placed.groupBy("doc_id", "token").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
     entries = F.map_from_entries(F.collect_list(F.struct("token", "positions")))
     return listed.groupBy("doc_id").agg(entries.alias("abstract_inverted_index"))
 

@@ -9,18 +9,23 @@ from vellum.operators import reports, search
 from vellum.operators.search import And, AnyOf, Near, Not, Or, Phrase, Term
 from vellum.plans import fixtures as fx
 from vellum.plans.registry import job
+from vellum.session import widen
 
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 _INDEXED = f"<<tokens>>, t AS (SELECT * FROM tokens WHERE term NOT IN ({_STOP}))"
 
 
 def postings(spark, sf_dir):
-    return search.build_postings(fx.table(spark, sf_dir, "documents"), "doc_id", "text")
+    return search.build_postings(widen(fx.table(spark, sf_dir, "documents")), "doc_id", "text")
 
 
 def full_postings(spark, sf_dir):
     """Postings with the stop words in, which make the longest lists."""
-    return search.build_postings(fx.table(spark, sf_dir, "documents"), "doc_id", "text", stop_words=())
+    return search.build_postings(widen(fx.table(spark, sf_dir, "documents")), "doc_id", "text", stop_words=())
+
+
+def whole_index(spark, sf_dir):
+    return search.build_index(fx.table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @job(
@@ -31,7 +36,7 @@ def full_postings(spark, sf_dir):
     """,
 )
 def txt_postings(spark, sf_dir):
-    return postings(spark, sf_dir).select("doc_id", "term", F.array_join("positions", ",").alias("positions"))
+    return whole_index(spark, sf_dir).select("doc_id", "term", F.array_join("positions", ",").alias("positions"))
 
 
 @job(
@@ -174,7 +179,7 @@ def txt_hits_per_year(spark, sf_dir):
     """,
 )
 def txt_term_stats(spark, sf_dir):
-    return search.term_statistics(postings(spark, sf_dir))
+    return search.term_statistics_of(fx.table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 @job(

@@ -48,10 +48,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise on reliable storage, so a lost executor does not replay the whole history."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(spark))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "state") -> DataFrame:
+    """Write to the shared folder and read back, so a lost executor does not replay the whole history.
+
+    A written table is computed once, where an eager checkpoint computes its input twice, and its size is known
+    to the joins that follow.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a scan with fewer tasks than cores (one large row group, a gzip file) before heavy per-row work.
+
+    A table that already has enough tasks is returned as it is, without a shuffle.
+    """
+    cores, tasks = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    return df.repartition(min(cores, 32 * tasks)) if tasks < cores else df
