@@ -91,7 +91,8 @@ def _subset_keys(df: DataFrame, kinds: Sequence[str], *keep: str) -> DataFrame:
             for i, c in enumerate(kinds)
         ]
     )
-    rows = df.select(*keep, F.filter(entries, lambda e: e.isNotNull()).alias("_ids")).where(F.size("_ids") > 0)
+    some = F.coalesce(*[F.col(c).cast("string") for c in kinds]).isNotNull()
+    rows = df.where(some).select(*keep, F.filter(entries, lambda e: e.isNotNull()).alias("_ids"))
     masks = F.expr("sequence(1, shiftleft(1, size(_ids)) - 1)")
     rows = rows.withColumn("_mask", F.explode(masks))
     return rows.select(

@@ -80,8 +80,8 @@ def unify_pubmed(payloads: DataFrame, raw: str = "raw") -> DataFrame:
     title, abstract = parts("(//ArticleTitle)[1]//text()"), parts("(//Abstract)[1]//text()")
     return _unified(
         payloads,
-        title=F.when(F.size(title) > 0, F.array_join(title, " ")),
-        abstract=F.when(F.size(abstract) > 0, F.array_join(abstract, "\n\n")),
+        title=F.nullif(F.array_join(title, " "), F.lit("")),
+        abstract=F.nullif(F.array_join(abstract, "\n\n"), F.lit("")),
         doi=F.get(parts('(//ArticleId[@IdType="doi"])[1]/text()'), F.lit(0)),
         pubmed_id=F.get(parts("(//PMID)[1]/text()"), F.lit(0)),
         raw=F.col(raw),

@@ -77,12 +77,20 @@ class Not:
 def build_postings(
     df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] = STOP_WORDS, stemmed: bool = False
 ) -> DataFrame:
-    """Postings of a table of texts. Stop words are left out but keep their positions.
+    """Postings of a table of texts. Stop words are left out but keep their positions."""
+    words = _word_rows(df, id_col, text_col, stop_words, stemmed)
+    return words.groupBy("doc_id", "term").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
 
-    For a search without a stored index: the searched words are filtered before anything is shuffled.
+
+def scan_postings(
+    df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] = STOP_WORDS, stemmed: bool = False
+) -> DataFrame:
+    """Postings for a single search without a stored index: one row per word, nothing grouped yet.
+
+    A search filters its own words before the one shuffle it needs.
     """
     words = _word_rows(df, id_col, text_col, stop_words, stemmed)
-    return words.groupBy("doc_id", "term").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+    return words.select("doc_id", "term", F.array("pos").alias("positions"))
 
 
 def _word_rows(

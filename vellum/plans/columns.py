@@ -158,7 +158,7 @@ def prj_json_first_match(spark, sf_dir):
 @job(
     "prj_unify_payloads",
     """
-    WITH letters AS (SELECT doc_id, source, lang, regexp_replace(text, '[^a-zA-Z0-9 .]', '', 'g') AS t FROM documents)
+    WITH letters AS (SELECT doc_id, source, lang, translate(text, '<>&', '') AS t FROM documents)
     SELECT doc_id, w.wrapper AS wrapper, concat('About ', source) AS title,
            CASE WHEN w.wrapper = 'PUBMED' THEN concat(t, chr(10), chr(10), 'End of ', lang) ELSE t END AS abstract,
            concat('10.5555/D', CAST(doc_id AS STRING)) AS doi,
@@ -170,7 +170,7 @@ def prj_json_first_match(spark, sf_dir):
 )
 def prj_unify_payloads(spark, sf_dir):
     documents = widen(fx.table(spark, sf_dir, "documents")).select(
-        "doc_id", "source", "lang", F.regexp_replace("text", "[^a-zA-Z0-9 .]", "").alias("t"),
+        "doc_id", "source", "lang", F.translate("text", "<>&", "").alias("t"),
         F.concat(F.lit("10.5555/D"), F.col("doc_id").cast("string")).alias("doi"),
         F.concat(F.lit("About "), F.col("source")).alias("title"),
     )

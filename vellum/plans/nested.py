@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.plans.fixtures import table
-from vellum.session import widen
+from vellum.session import scratch_path, widen
 
 _URL = "https://openalex.org/"
 
 
 def _lines(element: str, keep: str | None = None) -> str:
-    """SQL of a list with one ``element`` per line; ``line``, ``i`` and ``length(line)`` may be used."""
-    source = "split(text, '\\n')"
+    """SQL of a list with one ``element`` per line, which may use ``line`` and its place ``i``."""
+    source = "ls"
     if keep:
         source = f"filter({source}, line -> {keep})"
     return f"transform({source}, (line, i) -> {element})"
@@ -34,7 +36,7 @@ _LOCATION = f"""named_struct(
 _AUTHORSHIP = f"""named_struct(
     'author', named_struct('id', CASE WHEN line <> '' THEN concat('{_URL}A', length(line)) END,
                            'display_name', concat('name ', length(line)), 'orcid', CAST(NULL AS STRING)),
-    'author_position', CASE WHEN i = 0 THEN 'first' WHEN i = size(split(text, '\\n')) - 1 THEN 'last'
+    'author_position', CASE WHEN i = 0 THEN 'first' WHEN i = size(ls) - 1 THEN 'last'
                             ELSE 'middle' END,
     'countries', array(upper(lang)),
     'institutions', transform(filter(split(line, '[.] '), s -> s <> ''), s -> named_struct(
@@ -116,13 +118,35 @@ _WORK = {
 }
 
 
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+
+def _staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table, written once per session as a catalogue would hold it, so that scans can prune columns."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGED:
+        path = scratch_path(spark, name)
+        build().write.parquet(path)
+        _STAGED[key] = path
+    return spark.read.parquet(_STAGED[key])
+
+
 def nested_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Works with authors, locations, concepts and the rest as nested lists."""
-    return widen(table(spark, sf_dir, "documents")).selectExpr(*[f"{e} AS {name}" for name, e in _WORK.items()])
+
+    def build() -> DataFrame:
+        documents = widen(table(spark, sf_dir, "documents")).withColumn("ls", F.split("text", "\n"))
+        return documents.selectExpr(*[f"{e} AS {name}" for name, e in _WORK.items()])
+
+    return _staged(spark, sf_dir, "works", build)
 
 
 def inverted_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inverted abstracts: token to positions, for the whole text of every document."""
+    return _staged(spark, sf_dir, "inverted", lambda: _inverted(spark, sf_dir))
+
+
+def _inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.regexp_extract_all("text", F.lit(r"[^ \t\r\n]+"), F.lit(0))
     texts = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
     placed = texts.select("doc_id", F.posexplode(words).alias("pos", "token"))

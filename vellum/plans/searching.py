@@ -16,12 +16,12 @@ _INDEXED = f"<<tokens>>, t AS (SELECT * FROM tokens WHERE term NOT IN ({_STOP}))
 
 
 def postings(spark, sf_dir):
-    return search.build_postings(widen(fx.table(spark, sf_dir, "documents")), "doc_id", "text")
+    return search.scan_postings(widen(fx.table(spark, sf_dir, "documents")), "doc_id", "text")
 
 
 def full_postings(spark, sf_dir):
     """Postings with the stop words in, which make the longest lists."""
-    return search.build_postings(widen(fx.table(spark, sf_dir, "documents")), "doc_id", "text", stop_words=())
+    return search.scan_postings(widen(fx.table(spark, sf_dir, "documents")), "doc_id", "text", stop_words=())
 
 
 def whole_index(spark, sf_dir):
@@ -194,8 +194,8 @@ def txt_term_stats(spark, sf_dir):
 )
 def set_union_hits(spark, sf_dir):
     works = fx.works(spark, sf_dir)
-    titles = search.build_postings(works, "doc_id", "title", stop_words=())
-    abstracts = search.build_postings(works, "doc_id", "abstract", stop_words=())
+    titles = search.scan_postings(works, "doc_id", "title", stop_words=())
+    abstracts = search.scan_postings(works, "doc_id", "abstract", stop_words=())
     return search.search(titles, Term("by")).union(search.search(abstracts, Term("ent"))).distinct()
 
 
