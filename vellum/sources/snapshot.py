@@ -98,10 +98,11 @@ def unprocessed(files: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def split_corrupt(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readable records, quarantined lines)."""
-    good = records.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = records.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
-    return good, bad
+    """(readable records, quarantined lines with whatever fields could be read).
+
+    Spark does not scan JSON for broken lines alone: read at least one field beside ``_corrupt_record``.
+    """
+    return records.where(F.col(CORRUPT).isNull()).drop(CORRUPT), records.where(F.col(CORRUPT).isNotNull())
 
 
 def decode_lines(lines: DataFrame, column: str, schema: str) -> DataFrame:
