@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions.ids import parse_id, remove_prefix, strip_id
-from vellum.functions.text import clean_list
+from vellum.functions.text import clean_list, rebuild_sorted
 from vellum.operators.documents import encoded_nested, is_primary, with_abstract
 
 # Prefixes of the numeric taxonomies.
@@ -452,6 +452,61 @@ def referenced_works(works: DataFrame) -> DataFrame:
     return rows.where(F.length("other") > 0).select("work_id", _prefix_free("other").alias("referenced_work_id"))
 
 
+def institutions_v0(institutions: DataFrame) -> dict[str, DataFrame]:
+    """The older institutions layout."""
+    linked = F.coalesce("associated_institutions", "associated_insitutions")
+    links = institutions.select(_prefix_free().alias("institution_id"), F.explode(linked).alias("other"))
+    return {
+        "institutions": institutions.select(
+            _prefix_free().alias("id"), "ror", "display_name", "country_code", "type", "homepage_url",
+            F.to_json("display_name_acronyms").alias("display_name_acronyms"),
+            F.to_json("display_name_alternatives").alias("display_name_alternatives"), "works_count",
+            "cited_by_count", "updated_date",
+        ),
+        "institutions_ids": side_table(institutions, "institution", "ids"),
+        "institutions_geo": side_table(institutions, "institution", "geo"),
+        "institutions_associated_institutions": links.where(F.col("other.id").isNotNull()).select(
+            "institution_id", remove_prefix(F.col("other.id")).alias("associated_institution_id"),
+            F.col("other.relationship").alias("relationship"),
+        ),
+        "institutions_counts_by_year": counts_by_year(institutions, "institution"),
+    }
+
+
+def authors_v0(authors: DataFrame) -> dict[str, DataFrame]:
+    """The older authors layout."""
+    return {
+        "authors": authors.where(F.col("id").isNotNull()).select(
+            _prefix_free().alias("id"), "orcid", "display_name",
+            F.to_json("display_name_alternatives").alias("display_name_alternatives"), "works_count",
+            "cited_by_count", F.col("last_known_institution.id").alias("last_known_institution"), "updated_date",
+        ),
+        "authors_ids": side_table(authors, "author", "ids"),
+        "authors_counts_by_year": counts_by_year(authors, "author"),
+    }
+
+
+def concepts_v0(concepts: DataFrame) -> dict[str, DataFrame]:
+    """The older concepts layout."""
+    above = concepts.select(_prefix_free().alias("concept_id"), F.explode("ancestors").alias("other"))
+    related = concepts.select(_prefix_free().alias("concept_id"), F.explode("related_concepts").alias("other"))
+    return {
+        "concepts": concepts.select(
+            _prefix_free().alias("id"), "wikidata", "display_name", "level", "description", "works_count",
+            "cited_by_count", "updated_date",
+        ),
+        "concepts_ancestors": above.where(F.col("other.id").isNotNull()).select(
+            "concept_id", remove_prefix(F.col("other.id")).alias("ancestor_id")
+        ),
+        "concepts_related_concepts": related.where(F.col("other.id").isNotNull()).select(
+            "concept_id", remove_prefix(F.col("other.id")).alias("related_concept_id"),
+            F.col("other.score").alias("score"),
+        ),
+        "concepts_ids": side_table(concepts, "concept", "ids"),
+        "concepts_counts_by_year": counts_by_year(concepts, "concept"),
+    }
+
+
 def venues_v0(sources: DataFrame) -> dict[str, DataFrame]:
     """The older venues table with its id and yearly count tables."""
     table = sources.select(
@@ -464,8 +519,6 @@ def venues_v0(sources: DataFrame) -> dict[str, DataFrame]:
 
 def works_v0(works: DataFrame) -> dict[str, DataFrame]:
     """All tables of the older works layout."""
-    from vellum.functions.text import rebuild_sorted
-
     table = works.select(
         _prefix_free().alias("id"), "doi", "ids.mag", "ids.pmid", "ids.pmcid", "title", "publication_year",
         "publication_date", "type", "cited_by_count", "is_retracted", "is_paratext",
@@ -488,6 +541,14 @@ def works_v0(works: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+FLATTENERS_V0 = {
+    "work": works_v0,
+    "author": authors_v0,
+    "institution": institutions_v0,
+    "concept": concepts_v0,
+    "source": venues_v0,
+}
+
 FLATTENERS = {
     "work": flatten_works,
     "author": flatten_authors,
@@ -501,3 +562,9 @@ FLATTENERS = {
     "field": lambda taxa: flatten_taxonomy(taxa, "field"),
     "domain": lambda taxa: flatten_taxonomy(taxa, "domain"),
 }
+
+
+def flatten_entity(records: DataFrame, entity: str, layout: str = "v1") -> dict[str, DataFrame]:
+    """All tables of one entity. ``records`` should come from a columnar copy (``stage_snapshot``): each table then
+    reads its own columns only, where every table over JSON would parse the text again."""
+    return (FLATTENERS if layout == "v1" else FLATTENERS_V0)[entity](records)

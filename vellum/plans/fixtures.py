@@ -27,8 +27,8 @@ WORKS = {
     "id": f"concat('https://openalex.org/W', {_DOC})",
     "doi": f"CASE WHEN source IN ('src3', 'src11', 'src17') THEN NULL ELSE concat('https://doi.org/10.5555/D', {_DOC}) END",
     "title": f"CASE WHEN source = 'src14' THEN NULL ELSE {_TITLE} END",
-    "abstract": "CASE WHEN source IN ('src2', 'src5', 'src8', 'src13') THEN NULL ELSE text END",
-    "abstract_source": "CASE WHEN source IN ('src2', 'src5', 'src8', 'src13') THEN NULL "
+    "abstract": "CASE WHEN source IN ('src2', 'src5', 'src8', 'src13', 'src18') THEN NULL ELSE text END",
+    "abstract_source": "CASE WHEN source IN ('src2', 'src5', 'src8', 'src13', 'src18') THEN NULL "
     "WHEN source IN ('src1', 'src7') THEN 'SCOPUS' ELSE 'OpenAlex' END",
     "language": "CASE WHEN source = 'src19' THEN NULL ELSE lang END",
     "source_id": "source",
@@ -43,7 +43,7 @@ WORKS = {
 INDEX = {
     "id": f"concat('W', {_DOC})",
     **{c: WORKS[c] for c in ("doi", "title", "abstract")},
-    "title_abstract": "CASE WHEN source = 'src14' AND source IN ('src2', 'src5', 'src8', 'src13') THEN NULL ELSE "
+    "title_abstract": "CASE WHEN source = 'src14' AND source IN ('src2', 'src5', 'src8', 'src13', 'src18') THEN NULL ELSE "
     f"concat(COALESCE({WORKS['title']}, ''), ' ', COALESCE({WORKS['abstract']}, '')) END",
     "abstract_source": WORKS["abstract_source"],
     "abstract_date": "CASE WHEN source = 'src1' THEN <TS>'2023-06-01 00:00:00' ELSE CAST(NULL AS <TSTYPE>) END",
@@ -67,7 +67,7 @@ REQUEST = {
     "dimensions_id": f"CASE WHEN wrapper = 'DIMENSIONS' THEN concat('pub.', {_DOC}) END",
     "item_id": f"CASE WHEN wrapper = 'PUBMED' AND source = 'src16' THEN concat('I', {_DOC}) END",
     "title": f"CASE WHEN wrapper = 'DIMENSIONS' AND source = 'src12' THEN NULL ELSE {_TITLE} END",
-    "abstract": "CASE WHEN wrapper = 'WOS' AND source IN ('src0', 'src1', 'src2', 'src3') THEN NULL "
+    "abstract": "CASE WHEN source = 'src18' THEN NULL WHEN wrapper = 'WOS' AND source IN ('src0', 'src1', 'src2', 'src3') THEN NULL "
     "WHEN wrapper = 'SCOPUS' AND source IN ('src2', 'src3', 'src4') THEN NULL "
     "WHEN wrapper = 'DIMENSIONS' AND lang IN ('de', 'es') THEN NULL "
     "WHEN wrapper = 'PUBMED' AND lang <> 'en' THEN NULL "

@@ -444,6 +444,51 @@ def flt_authorships_outer(spark, sf_dir):
     return flatten.works_authorships_v0(nested_works(spark, sf_dir))
 
 
+@job(
+    "flt_parents_v0",
+    """
+    SELECT 'authors' AS part, concat('A', c_custkey) AS id,
+           concat_ws('|', c_name, concat('["\\"', c_name, '\\"","', c_mktsegment, ', etc",""]'), c_nationkey,
+                     CAST(floor(c_acctbal) AS INT), concat('https://openalex.org/I', c_nationkey), '2024-02-01') AS content
+    FROM customer
+    UNION ALL
+    SELECT 'institutions', concat('I', s_suppkey),
+           concat_ws('|', concat('https://ror.org/', s_suppkey), s_name, 'DE', 'education',
+                     concat('http://example.org/', s_suppkey), '["''"]',
+                     concat('["', s_name, '","a,', s_nationkey, '"]'), s_nationkey, CAST(floor(s_acctbal) AS INT),
+                     '2024-02-01')
+    FROM supplier
+    UNION ALL
+    SELECT 'concepts', concat('C', p_partkey), concat_ws('|', 'Q1', p_name, p_size, p_type, p_size, p_size + 3, '2024-02-01')
+    FROM part
+    UNION ALL
+    SELECT 'venues', concat('S', p_partkey),
+           concat_ws('|', '1234-5678', '["1234-5678"]', p_name, p_brand, p_size, p_size + 3,
+                     CASE WHEN p_size > 20 THEN 'true' ELSE 'false' END, CASE WHEN p_size > 25 THEN 'true' ELSE 'false' END,
+                     '2024-02-01')
+    FROM part
+    UNION ALL
+    SELECT 'works', concat('W', doc_id),
+           concat_ws('|', concat('https://doi.org/10.5555/D', doc_id), doc_id, split_part(text, chr(10), 1),
+                     1990 + n_chars % 36, '2024-01-01', 'article', n_chars,
+                     CASE WHEN source = 'src13' THEN 'true' ELSE 'false' END, 'false',
+                     CASE WHEN source = 'src9' THEN 'true' ELSE 'false' END,
+                     concat('about ', source, ' in ', lang))
+    FROM documents
+    """,
+)
+def flt_parents_v0(spark, sf_dir):
+    merged = None
+    for entity, table in (("author", "authors"), ("institution", "institutions"), ("concept", "concepts"),
+                          ("source", "venues"), ("work", "works")):
+        records = nested_works(spark, sf_dir) if entity == "work" else nested_entities(spark, sf_dir, entity)
+        rows = flatten.flatten_entity(records, entity, "v0")[table]
+        rest = [c for c in rows.columns if c != "id"]
+        rows = rows.select(F.lit(table).alias("part"), "id", F.concat_ws("|", *rest).alias("content"))
+        merged = rows if merged is None else merged.unionByName(rows)
+    return merged
+
+
 @job(
     "flt_host_venues",
     """

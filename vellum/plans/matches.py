@@ -41,12 +41,11 @@ def join_any_id_counts(spark, sf_dir):
     f"""
     WITH <<queue>>, <<request>>
     SELECT r.record_id, r.wrapper, r.title FROM request r
-    WHERE EXISTS (SELECT 1 FROM queue q WHERE q.on_conflict = 4 AND ({MATCH}))
+    WHERE EXISTS (SELECT 1 FROM queue q WHERE {MATCH})
     """,
 )
 def join_any_id_lookup(spark, sf_dir):
-    references = fx.queue(spark, sf_dir).where("on_conflict = 4")
-    found = matching.lookup_records(references, fx.request(spark, sf_dir))
+    found = matching.lookup_records(fx.queue(spark, sf_dir), fx.request(spark, sf_dir))
     return found.select("record_id", "wrapper", "title")
 
 
@@ -105,15 +104,12 @@ def join_missing_abstract(spark, sf_dir):
     """
     WITH <<index>>, <<queue>>, <<request>>
     SELECT id AS openalex_id, doi FROM idx
-    WHERE id NOT IN (SELECT openalex_id FROM request WHERE abstract IS NOT NULL AND wrapper = 'WOS'
-                                                             AND openalex_id IS NOT NULL
-                     UNION SELECT openalex_id FROM queue WHERE openalex_id IS NOT NULL AND on_conflict = 2)
+    WHERE id NOT IN (SELECT openalex_id FROM request WHERE abstract IS NOT NULL AND openalex_id IS NOT NULL
+                     UNION SELECT openalex_id FROM queue WHERE openalex_id IS NOT NULL)
     """,
 )
 def join_exclude_known(spark, sf_dir):
-    known = queueing.known_ids(
-        fx.request(spark, sf_dir).where("wrapper = 'WOS'"), fx.queue(spark, sf_dir).where("on_conflict = 2")
-    )
+    known = queueing.known_ids(fx.request(spark, sf_dir), fx.queue(spark, sf_dir))
     candidates = fx.index(spark, sf_dir).select(F.col("id").alias("openalex_id"), "doi")
     return candidates.join(known, "openalex_id", "left_anti")
 
@@ -149,14 +145,15 @@ def join_items_import(spark, sf_dir):
     """
     WITH <<request>>, <<works>>, known AS (
       SELECT lower(replace(doi, 'https://doi.org/', '')) AS k, max(upper(replace(id, 'https://openalex.org/', ''))) AS id
-      FROM works WHERE doi IS NOT NULL AND language IN ('fr', 'en') GROUP BY 1)
+      FROM works JOIN labels USING (doc_id) WHERE doi IS NOT NULL GROUP BY 1)
     SELECT r.record_id, COALESCE(r.openalex_id, k.id) AS openalex_id
     FROM request r LEFT JOIN known k ON k.k = lower(r.doi)
     """,
 )
 def join_doi_repair(spark, sf_dir):
     works = fx.works(spark, sf_dir)
-    references = works.where(F.col("language").isin("fr", "en")).selectExpr("concat('w', doc_id) AS openalex_id")
+    # the works somebody asked for, in the spelling of a hand-made list
+    references = fx.table(spark, sf_dir, "labels").selectExpr("concat('w', doc_id) AS openalex_id")
     repaired = matching.repair_ids(fx.request(spark, sf_dir), works, references)
     return repaired.select("record_id", "openalex_id")
 

@@ -74,9 +74,8 @@ def que_default_sources(spark, sf_dir):
            '[["DIMENSIONS",2],["SCOPUS",2],["PUBMED",2],["WOS",2]]' AS sources, 2 AS on_conflict
     FROM idx
     WHERE abstract IS NULL AND doi IS NOT NULL
-      AND id NOT IN (SELECT openalex_id FROM request WHERE abstract IS NOT NULL AND openalex_id IS NOT NULL
-                                                           AND wrapper = 'WOS')
-      AND id NOT IN (SELECT openalex_id FROM queue WHERE openalex_id IS NOT NULL AND on_conflict > 2)
+      AND id NOT IN (SELECT openalex_id FROM request WHERE abstract IS NOT NULL AND openalex_id IS NOT NULL)
+      AND id NOT IN (SELECT openalex_id FROM queue WHERE openalex_id IS NOT NULL)
     """,
 )
 def que_enqueue(spark, sf_dir):
@@ -85,8 +84,8 @@ def que_enqueue(spark, sf_dir):
     )
     entries = queueing.enqueue(
         candidates,
-        fx.request(spark, sf_dir).where("wrapper = 'WOS'"),
-        fx.queue(spark, sf_dir).where("on_conflict > 2"),
+        fx.request(spark, sf_dir),
+        fx.queue(spark, sf_dir),
         now(),
         sources=queueing.GAP_SOURCES,
         need_doi=True,

@@ -31,6 +31,18 @@ def read_snapshot(
     return _scan(spark, [f"{root}/{entity}s"], f"{root}/{entity}s", schema or ENTITIES[entity], since, inclusive, skip, spread)
 
 
+def stage_snapshot(
+    spark: SparkSession, root: str, out: str, entity: str = "work", since: str | None = None, spread: int | None = None
+) -> DataFrame:
+    """A columnar copy of a snapshot, one folder per update day, broken lines left out.
+
+    Worth its one pass: gzip JSON is neither splittable nor prunable, the copy is both.
+    """
+    records, _ = split_corrupt(read_snapshot(spark, root, entity, since=since, spread=spread))
+    records.write.mode("overwrite").partitionBy("updated_date").parquet(f"{out}/{entity}s")
+    return spark.read.parquet(f"{out}/{entity}s")
+
+
 def _scan(
     spark: SparkSession,
     paths: list[str],
