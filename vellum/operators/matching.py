@@ -302,26 +302,28 @@ def merge_any_id(
     """
     kinds = shared_ids(existing, incoming, id_cols)
     fields = [c for c in incoming.columns if c in existing.columns and c != "record_id"]
-    latest = {
-        c: F.max(F.when(F.col(c).isNotNull(), F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
-                                                         F.col(c).alias("v"))))
-        for c in fields
-    }
-    news = fold_matches(
-        existing,
-        incoming,
-        "record_id",
-        {f"_{c}": latest[c] for c in fields},
-        {f"_{c}": F.max(f"_{c}") for c in fields},
-        kinds,
+    # which incoming row wins each field: places in the order and keys only, no texts
+    place = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col(incoming_key).alias("key"))
+    rows = incoming.select(*kinds, *[F.when(F.col(c).isNotNull(), place).alias(f"_{c}") for c in fields])
+    latest = {f"_{c}": F.max(f"_{c}") for c in fields}
+    winners = fold_matches(existing.select("record_id", *kinds), rows, "record_id", latest, latest, kinds)
+    keys = F.array_distinct(F.array_compact(F.array(*[F.col(f"_{c}.key") for c in fields])))
+    wanted = winners.select(F.col("record_id").alias("_record"), F.explode(keys).alias("_key"), *latest)
+    # every winning row is fetched once, and gives the fields it has won
+    offered = incoming.select(F.col(incoming_key).alias("_from"), *[F.col(c).alias(f"v_{c}") for c in fields])
+    news = (
+        wanted.join(offered, F.col("_key") == F.col("_from"))
+        .groupBy("_record")
+        .agg(*[F.max(F.when(F.col(f"_{c}.key") == F.col("_key"), F.col(f"v_{c}"))).alias(f"n_{c}") for c in fields])
     )
-    merged = existing.join(news, "record_id", "left").select(
-        *[F.coalesce(F.col(f"_{c}.v"), F.col(c)).alias(c) if c in fields else F.col(c) for c in existing.columns]
+    merged = existing.join(news, F.col("record_id") == F.col("_record"), "left").select(
+        *[F.coalesce(F.col(f"n_{c}"), F.col(c)).alias(c) if c in fields else F.col(c) for c in existing.columns]
     )
     matched = semi_match(incoming, existing, incoming_key, kinds)
     added = incoming.join(matched, incoming_key, "left_anti")
-    return merged.unionByName(added.select(*[c for c in incoming.columns if c in existing.columns]),
-                              allowMissingColumns=True)
+    return merged.unionByName(
+        added.select(*[c for c in incoming.columns if c in existing.columns]), allowMissingColumns=True
+    )
 
 
 def with_enough_ids(references: DataFrame, id_cols: Sequence[str], at_least: int = 2) -> DataFrame:

@@ -49,10 +49,18 @@ def append_batch(rows: DataFrame, root: str, batch: int) -> None:
     rows.write.mode("overwrite").parquet(f"{root}/batch={batch}")
 
 
-def read_log(spark: SparkSession, root: str, schema: str, key: str, before: int | None = None) -> DataFrame:
+def read_log(
+    spark: SparkSession,
+    root: str,
+    schema: str,
+    key: str,
+    before: int | None = None,
+    only: DataFrame | None = None,
+) -> DataFrame:
     """The state a log describes: per key the row of the latest batch (below ``before``).
 
-    ``schema`` is that of the rows; batches not asked for are pruned as partitions.
+    ``schema`` is that of the rows; batches not asked for are pruned as partitions. ``only`` holds the keys
+    wanted: other rows are dropped before the latest ones are picked.
     """
     spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(
         spark._jvm.org.apache.hadoop.fs.Path(root)
@@ -60,6 +68,8 @@ def read_log(spark: SparkSession, root: str, schema: str, key: str, before: int
     log = spark.read.schema(f"{schema}, batch BIGINT").parquet(root)
     if before is not None:
         log = log.where(F.col("batch") < before)
+    if only is not None:
+        log = log.join(only.select(key), key, "left_semi")
     return first_per_key(log, [key], ["batch"], last=True).drop("batch")
 
 

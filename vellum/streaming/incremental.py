@@ -61,12 +61,13 @@ def start_daily_update(
 
     def write(batch: DataFrame, number: int) -> None:
         order = F.struct("updated_date", F.xxhash64(*[c for c in batch.columns if c != "id"]))
-        latest = first_per_key(batch.where(F.col("id").isNotNull()), ["id"], [order], last=True)
-        before = read_log(batch.sparkSession, index_log, schema, "id", before=number)
+        latest = first_per_key(batch.where(F.col("id").isNotNull()), ["id"], [order], last=True).persist()
+        before = read_log(batch.sparkSession, index_log, schema, "id", before=number, only=latest)
         append_batch(updated_documents(before, latest, now), index_log, number)
         lacking = latest.where(F.col("abstract").isNull() & F.col("doi").isNotNull())
         entries = lacking.select(F.col("id").alias("openalex_id"), "doi", now.alias("time_created"))
         append_batch(entries, queue_log, number)
+        latest.unpersist()
 
     return (
         updates.writeStream.foreachBatch(write)
