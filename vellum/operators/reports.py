@@ -8,6 +8,7 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vellum.functions.ids import ID_COLUMNS
 from vellum.operators.joins import first_per_key
 
 # How much a source is trusted, by name; any other source has the last value.
@@ -231,7 +232,9 @@ def venue_report(works: DataFrame, host_venues: DataFrame, venues: DataFrame) ->
     return named.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in counts]).orderBy(F.desc("documents"), *keys)
 
 
-def import_items(item: DataFrame, academic_item: DataFrame, request: DataFrame, min_length: int = 100) -> DataFrame:
+def import_items(
+    item: DataFrame, academic_item: DataFrame, request: DataFrame, min_length: int = 100, wrapper: str = "PROJECT"
+) -> DataFrame:
     """Cache rows from project items with text and a catalogue id that have no cached abstract yet.
 
     ``meta`` is a map of text; its ``places`` entry is not taken over.
@@ -244,10 +247,9 @@ def import_items(item: DataFrame, academic_item: DataFrame, request: DataFrame,
         F.struct(meta.alias("meta"), F.col("project_id"), F.col("publication_year"))
     )
     return joined.join(known, "item_id", "left_anti").select(
-        F.lit("PROJECT").alias("wrapper"),
+        F.lit(wrapper).alias("wrapper"),
         "item_id",
-        "doi",
-        "openalex_id",
+        *[c for c in ID_COLUMNS if c != "item_id" and c in academic_item.columns],
         "title",
         F.col("text").alias("abstract"),
         raw.alias("raw"),

@@ -90,7 +90,8 @@ def str_daily_stats(spark, sf_dir):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parq*")
     requests = events.select(
-        F.col("ts").cast("timestamp").alias("time_created"),
+        # event time must be an instant: the wall clock of the events is taken as UTC
+        F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()).alias("time_created"),
         F.when(F.col("value") > 10, F.lit("t")).alias("title"),
         F.when(F.col("value") > 20, F.lit("a")).alias("abstract"),
         F.col("props").alias("raw"),

@@ -78,13 +78,16 @@ def start_daily_update(
 
 
 def start_daily_stats(requests: DataFrame, out: str, checkpoint: str, lateness: str = "2 days") -> StreamingQuery:
-    """Daily counters kept while cache rows arrive; a day's state is dropped once rows for it are too late."""
+    """Counters per UTC day kept while cache rows arrive; a day's state is dropped once rows for it are too late."""
+    start = F.to_utc_timestamp("w.start", F.current_timezone())
     counted = (
         requests.withWatermark("time_created", lateness)
         .groupBy(F.window("time_created", "1 day").alias("w"))
         .agg(*stats_columns())
-        .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "n_total", "n_with_title", "n_with_abstract",
-                "n_with_scopus", "n_with_dimensions")
+        .select(
+            F.date_format(start, "yyyy-MM-dd").alias("day"), "n_total", "n_with_title", "n_with_abstract",
+            "n_with_scopus", "n_with_dimensions",
+        )
     )
 
     def write(batch: DataFrame, number: int) -> None:
