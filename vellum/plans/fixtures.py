@@ -218,7 +218,7 @@ CTES = {
     "(SELECT text, min(doc_id) AS keep FROM documents GROUP BY text) USING (text) WHERE doc_id > keep)",
     # one row per line of a text, numbered from 0
     "lines": "lines AS (SELECT doc_id, source, lang, len(ls) AS n_lines, unnest(ls) AS line, "
-    "generate_subscripts(ls, 1) - 1 AS i FROM (SELECT *, string_split(text, chr(10)) AS ls FROM documents))",
+    "CAST(generate_subscripts(ls, 1) - 1 AS INT) AS i FROM (SELECT *, string_split(text, chr(10)) AS ls FROM documents))",
     # one row per token, positions from 0
     "tokens": r"tokens AS (SELECT doc_id, unnest(ts) AS term, generate_subscripts(ts, 1) - 1 AS pos FROM "
     r"(SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]{1,127}') AS ts FROM documents))",

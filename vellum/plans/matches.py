@@ -164,7 +164,7 @@ def join_doi_repair(spark, sf_dir):
     SELECT p.p_name AS display_name, p.p_brand AS publisher, p.p_type AS homepage_url, count(*) AS documents,
            count(CASE WHEN w.type = 'journal-article' THEN 1 END) AS journal_documents,
            count(CASE WHEN w.type <> 'journal-article' THEN 1 END) AS other_documents,
-           sum(CASE WHEN w.type IS NULL THEN 1 ELSE 0 END) AS no_type_documents
+           CAST(sum(CASE WHEN w.type IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS no_type_documents
     FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'journal-article' WHEN o_orderstatus = 'O' THEN 'book' END
             AS type FROM orders) w
     LEFT JOIN lineitem l ON l.l_orderkey = w.o_orderkey
@@ -204,7 +204,7 @@ def join_works_abstracts(spark, sf_dir):
     "join_year_spine",
     """
     WITH <<works>>, years AS (SELECT unnest(range(1900, 2031)) AS year)
-    SELECT y.year AS year, count(w.doc_id) AS cnt_all, count(*) FILTER (WHERE w.language = 'en') AS cnt_en,
+    SELECT CAST(y.year AS INT) AS year, count(w.doc_id) AS cnt_all, count(*) FILTER (WHERE w.language = 'en') AS cnt_en,
            count(*) FILTER (WHERE w.language <> 'en') AS cnt_other,
            count(*) FILTER (WHERE w.doc_id IS NOT NULL AND w.language IS NULL) AS cnt_null
     FROM years y LEFT JOIN works w ON w.publication_year = y.year GROUP BY y.year
