@@ -294,14 +294,14 @@ def test_search_against_reading_the_text(spark, tree, stored):
     rng = random.Random(11)
     texts = [[rng.choice(WORDS) for _ in range(rng.randint(0, 7))] for _ in range(80)]
     table = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id int, text string")
-    build = search.build_index if stored else search.scan_postings
+    build = search.build_postings if stored else search.scan_postings
     hits = search.search(build(table, "doc_id", "text", stop_words=()), tree, table)
     assert sorted(r["doc_id"] for r in hits.collect()) == [i for i, t in enumerate(texts) if holds(tree, t)]
 
 
 def test_stop_words_keep_their_place(spark):
     table = spark.createDataFrame([(1, "carbon in storage")], "doc_id int, text string")
-    postings = search.build_index(table, "doc_id", "text")
+    postings = search.build_postings(table, "doc_id", "text")
     assert rows(postings, "term", "positions") == [("carbon", [0]), ("storage", [2])]
     assert search.search(postings, Phrase((Term("carbon"), Term("storage")), (2,))).count() == 1
 
@@ -314,7 +314,7 @@ def test_bare_not_needs_documents(spark):
 
 def test_index_file_prunes_by_term(spark, folder):
     table = spark.range(200).selectExpr("id AS doc_id", "concat('w', id, ' common') AS text")
-    search.write_index(search.build_index(table, "doc_id", "text"), f"{folder}/index")
+    search.write_index(search.build_postings(table, "doc_id", "text"), f"{folder}/index")
     stored = spark.read.parquet(f"{folder}/index")
     hits = search.search(stored, Term("w17"))
     assert [r["doc_id"] for r in hits.collect()] == [17]

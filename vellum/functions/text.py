@@ -31,7 +31,7 @@ def _placed_tokens(index: Column) -> Column:
 
 
 def _blank_to_null(c: Column) -> Column:
-    return F.when(c.rlike(r"\S"), c)
+    return _let(c, lambda value: F.when(value.rlike(r"\S"), value))
 
 
 def rebuild_positional(index: Column) -> Column:
@@ -44,7 +44,12 @@ def rebuild_positional(index: Column) -> Column:
     def render(s: Column) -> Column:
         n = F.size(s)
         # the usual case: every slot is used exactly once
-        full = (n > 0) & (s["p"][0] == 0) & (F.get(s["p"], n - 1) == n - 1) & (F.size(F.array_distinct(s["p"])) == n)
+        full = (
+            (n > 0)
+            & (F.get(s, F.lit(0))["p"] == 0)
+            & (F.get(s, n - 1)["p"] == n - 1)
+            & (F.size(F.array_distinct(s["p"])) == n)
+        )
         return F.when(full, F.array_join(s["t"], " ")).otherwise(_let(_kept(s, n), lambda k: fill(k, n)))
 
     def _kept(s: Column, n: Column) -> Column:
@@ -100,6 +105,36 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), pattern, F.lit(0))
 
 
+def positions_by_item(items: Column) -> Column:
+    """A list of words as a list of (term, positions), each term once; NULL for an empty list.
+
+    The words are sorted with their places and cut where the word changes, all inside the row: grouping the words
+    of a text needs no shuffle, since the text is already in one place.
+    """
+
+    def cut(s: Column) -> Column:
+        n = F.size(s)
+        starts = F.filter(
+            F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(s, i)["t"] != F.get(s, i - 1)["t"])
+        )
+
+        def runs(places: Column) -> Column:
+            return _let(
+                starts,
+                lambda b: F.transform(
+                    b,
+                    lambda start, j: F.struct(
+                        F.get(s, start)["t"].alias("term"),
+                        F.slice(places, start + 1, F.coalesce(F.get(b, j + 1), n) - start).alias("positions"),
+                    ),
+                ),
+            )
+
+        return F.when(n > 0, _let(s["p"], runs))
+
+    return _let(F.sort_array(F.transform(items, lambda t, i: F.struct(t.alias("t"), i.alias("p")))), cut)
+
+
 def light_stem(term: Column) -> Column:
     """A small English suffix rule set, for matching stemmed against unstemmed. Not a full stemmer."""
     stem = F.regexp_replace(term, "(sses)$", "ss")

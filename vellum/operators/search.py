@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.functions.text import STOP_WORDS, light_stem, tokens
+from vellum.functions.text import STOP_WORDS, light_stem, positions_by_item, tokens
 
 
 @dataclass(frozen=True)
@@ -77,9 +77,14 @@ class Not:
 def build_postings(
     df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] = STOP_WORDS, stemmed: bool = False
 ) -> DataFrame:
-    """Postings of a table of texts. Stop words are left out but keep their positions."""
-    words = _word_rows(df, id_col, text_col, stop_words, stemmed)
-    return words.groupBy("doc_id", "term").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+    """All postings of a table of texts. Stop words are left out but keep their positions.
+
+    The words of a text are grouped inside its row, so nothing is shuffled.
+    """
+    words = tokens(F.col(text_col))
+    words = F.transform(words, light_stem) if stemmed else words
+    postings = df.select(F.col(id_col).alias("doc_id"), F.inline(positions_by_item(words)))
+    return postings.where(~F.col("term").isin(list(stop_words))) if stop_words else postings
 
 
 def scan_postings(
@@ -89,28 +94,10 @@ def scan_postings(
 
     A search filters its own words before the one shuffle it needs.
     """
-    words = _word_rows(df, id_col, text_col, stop_words, stemmed)
-    return words.select("doc_id", "term", F.array("pos").alias("positions"))
-
-
-def _word_rows(
-    df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] = STOP_WORDS, stemmed: bool = False
-) -> DataFrame:
     words = df.select(F.col(id_col).alias("doc_id"), F.posexplode(tokens(F.col(text_col))).alias("pos", "term"))
     words = words.where(~F.col("term").isin(list(stop_words))) if stop_words else words
-    return words.withColumn("term", light_stem(F.col("term"))) if stemmed else words
-
-
-def build_index(
-    df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] = STOP_WORDS, stemmed: bool = False
-) -> DataFrame:
-    """All postings, to be stored sorted by term.
-
-    The texts are distributed by document before they are split into words, so the words themselves, several
-    times as large, are grouped where they are.
-    """
-    placed = df.select(id_col, text_col).repartition(id_col)
-    return build_postings(placed, id_col, text_col, stop_words, stemmed)
+    words = words.withColumn("term", light_stem(F.col("term"))) if stemmed else words
+    return words.select("doc_id", "term", F.array("pos").alias("positions"))
 
 
 def write_index(postings: DataFrame, path: str) -> None:
@@ -239,20 +226,10 @@ def rank_near(postings: DataFrame, left: Term, right: Term, window: int, k: int)
 
 
 def term_statistics(postings: DataFrame) -> DataFrame:
-    """Document frequency and total frequency per term of stored postings."""
-    return _frequencies(postings.select("term", F.size("positions").alias("n")))
-
-
-def term_statistics_of(
-    df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] = STOP_WORDS
-) -> DataFrame:
-    """The same from texts, with counts in place of position lists."""
-    words = _word_rows(df.select(id_col, text_col).repartition(id_col), id_col, text_col, stop_words)
-    return _frequencies(words.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("n")))
-
-
-def _frequencies(counted: DataFrame) -> DataFrame:
-    return counted.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("n").alias("total_freq"))
+    """Document frequency and total frequency per term."""
+    return postings.groupBy("term").agg(
+        F.count(F.lit(1)).alias("doc_freq"), F.sum(F.size("positions")).alias("total_freq")
+    )
 
 
 def missing_in_range(index: DataFrame, since: str, until: str, ids: DataFrame | None = None) -> DataFrame:

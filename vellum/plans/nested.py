@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vellum.functions.text import positions_by_item
 from vellum.plans.fixtures import table
 from vellum.session import scratch_path, widen
 
 _URL = "https://openalex.org/"
+_ENTRIES = "ARRAY<STRUCT<term: STRING, positions: ARRAY<INT>>>"
 
 
 def _lines(element: str, keep: str | None = None) -> str:
@@ -148,11 +150,8 @@ def inverted_works(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.regexp_extract_all("text", F.lit(r"[^ \t\r\n]+"), F.lit(0))
-    texts = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
-    placed = texts.select("doc_id", F.posexplode(words).alias("pos", "token"))
-    listed = placed.groupBy("doc_id", "token").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
-    entries = F.map_from_entries(F.collect_list(F.struct("token", "positions")))
-    return listed.groupBy("doc_id").agg(entries.alias("abstract_inverted_index"))
+    entries = F.map_from_entries(F.coalesce(positions_by_item(words), F.array().cast(_ENTRIES)))
+    return widen(table(spark, sf_dir, "documents")).select("doc_id", entries.alias("abstract_inverted_index"))
 
 
 _STATS = "named_struct('yr_mean_citedness', 1.0D, 'h_index', {h}, 'i10_index', {i})"

@@ -25,7 +25,7 @@ def full_postings(spark, sf_dir):
 
 
 def whole_index(spark, sf_dir):
-    return search.build_index(fx.table(spark, sf_dir, "documents"), "doc_id", "text")
+    return search.build_postings(widen(fx.table(spark, sf_dir, "documents")), "doc_id", "text")
 
 
 @job(
@@ -179,7 +179,7 @@ def txt_hits_per_year(spark, sf_dir):
     """,
 )
 def txt_term_stats(spark, sf_dir):
-    return search.term_statistics_of(fx.table(spark, sf_dir, "documents"), "doc_id", "text")
+    return search.term_statistics(whole_index(spark, sf_dir))
 
 
 @job(
