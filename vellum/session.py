@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,13 +34,21 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "vellum
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor sees: ``spark.checkpoint.dir``, or a local one when unset (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder every executor sees: ``spark.checkpoint.dir``.
+
+    A local session without that setting gets a folder of its own, deleted when the session's JVM ends. On a cluster the
+    setting is required, because executors do not share local folders.
+    """
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
-    if not hasattr(shared_root, "fallback"):
-        shared_root.fallback = tempfile.mkdtemp(prefix="vellum-")
-    return shared_root.fallback
+    if not re.fullmatch(r"local(\[[^-]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    root = f"file:/tmp/vellum-{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
