@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vellum.llm.bpe import bpe_digests
 from vellum.llm.common import fold, read_table
 from vellum.llm.language import fit_language, identify_language
+from vellum.llm.lattice import lattice_scores
 from vellum.llm.neardup import near_duplicates
 from vellum.llm.packing import pack, word_length
 from vellum.llm.quality import fit_quality, score_quality
+from vellum.llm.tokenfiles import token_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUALITY = 0.7
@@ -22,6 +26,11 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places and checksums of every document's ids, read back from token files."""
+    return token_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three of four folds."""
     docs = read_table(spark, sf_dir, "documents")
@@ -37,6 +46,20 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", predicted)
 
 
+def op8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lattice likelihood of every document, learned from six of seven folds."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 7) == 2
+    scores = lattice_scores(docs, public_tokenizers.path("piece_bpe_32k.model"), ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of what they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe_digests(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of words; equal texts are a cluster."""
     docs = read_table(spark, sf_dir, "documents")
@@ -45,8 +68,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
+    "op3_token_files": op3_token_files,
     "op5_language": op5_language,
     "op6_quality": op6_quality,
+    "op8_lattice": op8_lattice,
+    "op9_bpe": op9_bpe,
     "op10_packing": op10_packing,
 }
 
