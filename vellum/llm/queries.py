@@ -16,6 +16,7 @@ from vellum.llm.neardup import near_duplicates
 from vellum.llm.packing import pack, word_length
 from vellum.llm.quality import fit_quality, score_quality
 from vellum.llm.tokenfiles import token_digests
+from vellum.llm.winnow import edited_fingerprints
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUALITY = 0.7
@@ -26,6 +27,11 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places and checksums of every document's ids, read back from token files."""
     return token_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -68,6 +74,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_winnowing": op2_winnowing,
     "op3_token_files": op3_token_files,
     "op5_language": op5_language,
     "op6_quality": op6_quality,
