@@ -12,11 +12,13 @@ from vellum.llm.bpe import bpe_digests
 from vellum.llm.common import fold, read_table
 from vellum.llm.language import fit_language, identify_language
 from vellum.llm.lattice import lattice_scores
+from vellum.llm.multiprobe import nearest
 from vellum.llm.neardup import near_duplicates
 from vellum.llm.packing import pack, word_length
 from vellum.llm.quality import fit_quality, score_quality
 from vellum.llm.tokenfiles import token_digests
 from vellum.llm.winnow import edited_fingerprints
+from vellum.llm.wrappers import main_texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUALITY = 0.7
@@ -37,6 +39,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_texts(read_table(spark, sf_dir, "pages"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from three of four folds."""
     docs = read_table(spark, sf_dir, "documents")
@@ -52,6 +59,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", predicted)
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest vectors of every twentieth vector."""
+    return nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lattice likelihood of every document, learned from six of seven folds."""
     docs = read_table(spark, sf_dir, "documents")
@@ -76,8 +88,10 @@ QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_winnowing": op2_winnowing,
     "op3_token_files": op3_token_files,
+    "op4_main_text": op4_main_text,
     "op5_language": op5_language,
     "op6_quality": op6_quality,
+    "op7_neighbours": op7_neighbours,
     "op8_lattice": op8_lattice,
     "op9_bpe": op9_bpe,
     "op10_packing": op10_packing,
