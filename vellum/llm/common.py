@@ -24,8 +24,8 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def fold(id_col: str | Column, folds: int) -> Column:
-    """The fold of a document: crc32 of its id as text, modulo the number of folds."""
-    return F.crc32(F.col(id_col).cast("string") if isinstance(id_col, str) else id_col.cast("string")) % folds
+    """The fold of a document: crc32 of its id as text, modulo the number of folds; -1 without id."""
+    return F.coalesce(F.crc32((F.col(id_col) if isinstance(id_col, str) else id_col).cast("string")) % folds, F.lit(-1))
 
 
 def write_shared(df: DataFrame, name: str) -> DataFrame:

@@ -17,6 +17,7 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q ruby s samp small span strike strong "
     "sub sup time tt u var wbr".split()
 )
+UNSEEN = frozenset("script style template noscript".split())
 #: An element ends open ones of the first kind, as far as the next of the second.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -183,11 +184,12 @@ def content(parts: list[Node], template: set[int]) -> str:
             elif x.text is not None:
                 if id(x) not in template:
                     out.append(x.text)
-            elif not x.noise:
+            elif x.tag not in UNSEEN:
                 if x.tag not in INLINE:
                     out.append(" ")
                     todo.append(" ")
-                todo.extend(reversed(x.children))
+                if not x.noise:
+                    todo.extend(reversed(x.children))
 
     for part in parts:
         walk(part)

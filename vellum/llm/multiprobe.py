@@ -231,7 +231,7 @@ def nearest(table: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     norm = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
     facts = rows.agg(F.max(norm).alias("top"), F.max(F.size("vector")).alias("d"), F.count("*").alias("n")).first()
     few = rows.orderBy(F.xxhash64("id"), "id").limit(config.sample).collect()
-    sample = np.array([r["vector"] for r in few]).reshape(len(few), -1)
+    sample = np.array([r["vector"] for r in few]).reshape(len(few), facts["d"] or 1)
     config = replace(config, hashes=config.hashes or hashes_for(facts["n"]))
     hasher = Hasher(facts["d"] or 1, float(np.sqrt(facts["top"] or 1.0)), config)
     limit = fit_probes(hasher, sample, config)

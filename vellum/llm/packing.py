@@ -10,7 +10,7 @@ source nor a hot cluster meets in one task.
 
 A document longer than a bin is cut into pieces of the bin's capacity and a rest; no piece is dropped. A length that is
 null or below one counts as one; a null source or cluster conflicts with nothing. Repeated rows are placed once each.
-Ties go by length, id, piece. An empty table gives no rows.
+Ties go by length, id (missing ones first), piece. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,17 +88,17 @@ def pack(
         F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).alias("shard"),
     )
 
-    def place(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
-        sources, clusters = ([None if pd.isna(v) else v for v in group[c]] for c in ("source", "cluster"))
-        placed = best_fit(group["length"].tolist(), bits(sources), bits(clusters), capacity)
-        out = group[["doc_id", "piece", "start", "length"]].copy()
-        out["bin_id"] = [(int(shard) << 24) + b for shard, (b, _) in zip(group["shard"], placed, strict=True)]
-        out["bin_offset"] = [x for _, x in placed]
-        return out
+    def place(group: pa.Table) -> pa.Table:
+        ids, pieces, lengths, shards = (group.column(c).to_pylist() for c in ("doc_id", "piece", "length", "shard"))
+        order = sorted(range(len(ids)), key=lambda i: (-lengths[i], ids[i] is not None, ids[i] if ids[i] is not None else 0, pieces[i]))
+        sources, clusters = (bits([group.column(c)[i].as_py() for i in order]) for c in ("source", "cluster"))
+        placed = best_fit([lengths[i] for i in order], sources, clusters, capacity)
+        out = group.select(["doc_id", "piece", "start", "length"]).take(pa.array(order))
+        out = out.append_column("bin_id", pa.array([(shards[0] << 24) + b for b, _ in placed], pa.int64()))
+        return out.append_column("bin_offset", pa.array([x for _, x in placed], pa.int64()))
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return dealt.groupBy("shard").applyInPandas(
+    return dealt.groupBy("shard").applyInArrow(
         place, f"doc_id {kind}, piece long, start long, length long, bin_id long, bin_offset long"
     )
 

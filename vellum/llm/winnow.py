@@ -8,7 +8,7 @@ A position is chosen exactly if so many neighbours to its left have no smaller h
 a whole window fits among them. That is what the expressions test, so the hashes of a text are computed once and no window is
 built.
 
-Null texts count as empty and have an empty fingerprint. A text shorter than ``gram`` bytes is one hash of all of it; with
+Null texts count as empty and have an empty fingerprint; documents without id come before all others. A text shorter than ``gram`` bytes is one hash of all of it; with
 fewer hashes than ``window`` the one window is the whole text. Equal texts have equal fingerprints. Repeated rows give
 repeated results; other columns are ignored; an empty table gives no rows.
 """
@@ -118,8 +118,10 @@ def edited_fingerprints(
     parts = max(config.buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = rows.withColumn("bucket", id_ranges(rows.select("id"), parts))
 
-    least = ranged.groupBy("bucket").agg(F.min("id").alias("id"))  # one row for each range
-    first = ranged.join(F.broadcast(least), ["bucket", "id"], "left_semi").groupBy("bucket").agg(F.min("text").alias("text"))
+    some = F.when(F.bool_and(F.col("id").isNotNull()), F.min("id"))  # a missing id comes first
+    least = ranged.groupBy("bucket").agg(some.alias("least"))  # one row for each range
+    first = ranged.join(F.broadcast(least), "bucket").filter(F.col("id").eqNullSafe(F.col("least")))
+    first = first.groupBy("bucket").agg(F.min("text").alias("text"))
     whole = Window.orderBy("bucket")  # over at most as many rows as there are ranges
     first = first.withColumn("after", F.coalesce(F.lead("text").over(whole), F.first("text").over(whole.rowsBetween(Window.unboundedPreceding, 0))))
     after = first.select("bucket", "after")
