@@ -34,14 +34,16 @@ from pyspark.sql import functions as F
 from vellum.llm.common import text_slices, texts, write_shared
 
 LN10 = log(10)
+#: Bytes of a word whose probability is far from the smallest double; expected uses below LEAST are left out.
+SHORT, LEAST = 24, 1e-6
 
 
 @dataclass(frozen=True)
 class LatticeConfig:
     """chunk: bytes of text of a chunk. rounds: refits of the pieces' weights. scale: parts into which an expected use is rounded."""
 
-    chunk: int = 4 << 20
-    rounds: int = 2
+    chunk: int = 8 << 20
+    rounds: int = 1
     smoothing: float = 0.1
     scale: int = 1 << 16
 
@@ -80,6 +82,7 @@ class Lattice:
         for name, weight in zip(names, np.log(weights).tolist(), strict=True):
             table[name] = weight
         self.table = table
+        self.shares = {name: weight if weight is None else exp(weight) for name, weight in table.items()}
         self.index = {name: i for i, name in enumerate(names)}
 
     def arcs(self, word: bytes) -> list[list[tuple[int, float]]]:
@@ -130,6 +133,9 @@ class Lattice:
     def uses(self, word: bytes) -> Iterator[tuple[int, float]]:
         """(piece, expected uses) over all segmentations of a word."""
         data = b" " + word
+        if len(data) <= SHORT:
+            yield from self.short_uses(data)
+            return
         arcs = self.arcs(data)
         alpha = self.forward(arcs)
         total, n = alpha[-1], len(data)
@@ -140,9 +146,35 @@ class Lattice:
             beta[i] = top + log(sum([exp(t - top) for t in terms]))
             for j, weight in arcs[i]:
                 share = exp(alpha[i] + weight + beta[j] - total)
-                if share > 1e-6:
+                if share > LEAST:
                     yield self.index[data[i:j]], share
 
+    def short_uses(self, data: bytes) -> Iterator[tuple[int, float]]:
+        """The same without logarithms, for a word too short for its probability to vanish."""
+        get, n = self.shares.get, len(data)
+        alpha = [0.0] * (n + 1)
+        alpha[0] = 1.0
+        arcs = []
+        for i in range(n):
+            base = alpha[i]
+            for j in range(i + 1, n + 1):
+                name = data[i:j]
+                share = get(name, 0.0)
+                if share:
+                    alpha[j] += base * share
+                    arcs.append((i, j, name, share))
+                elif share is not None:
+                    break
+        beta = [0.0] * (n + 1)
+        beta[n] = 1 / alpha[n]
+        index = self.index
+        for i, j, name, share in reversed(arcs):
+            back = share * beta[j]
+            beta[i] += back
+            used = alpha[i] * back
+            if used > LEAST:
+                yield index[name], used
+
 
 def first_lattice(pieces: dict[bytes, float], per_end: float) -> Lattice:
     """Weights by Zipf's law over the scores' ranks; ``per_end`` words are expected before an end."""
@@ -161,10 +193,10 @@ def fitted(names: list[bytes], mass: np.ndarray, per_end: float) -> Lattice:
 
 
 def chunked(docs: DataFrame, config: LatticeConfig) -> DataFrame:
-    """Chunks of documents: (chunk, words, counts, ids, sizes, places, uses).
+    """Chunks of documents: (chunk, words, counts, ids, train, sizes, gaps, uses).
 
     ``words`` are the chunk's distinct words and ``counts`` their uses in training documents; document d has ``sizes[d]``
-    distinct words, listed in ``places`` with their ``uses``.
+    distinct words, whose ascending places are written as ``gaps``, with their ``uses``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,12 +212,12 @@ def chunked(docs: DataFrame, config: LatticeConfig) -> DataFrame:
                 for text in rows:
                     at, n = np.unique([known.setdefault(w, len(known)) for w in text.encode().lower().split()] or np.zeros(0, np.int64), return_counts=True)
                     sizes.append(len(at))
-                    places.append(at)
+                    places.append(np.diff(at, prepend=0))
                     uses.append(n)
                 counts = np.zeros(len(known), dtype=np.int64)
-                for i, (at, n) in enumerate(zip(places, uses, strict=True)):
+                for i, (gaps, n) in enumerate(zip(places, uses, strict=True)):
                     if train[row + i]:
-                        counts[at.astype(np.int64)] += n
+                        counts[np.cumsum(gaps, dtype=np.int64)] += n
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([chunk], pa.int64()),
@@ -197,7 +229,7 @@ def chunked(docs: DataFrame, config: LatticeConfig) -> DataFrame:
                         pa.array([np.concatenate(places).astype(np.int32)], pa.list_(pa.int32())),
                         pa.array([np.concatenate(uses).astype(np.int32)], pa.list_(pa.int32())),
                     ],
-                    ["chunk", "words", "counts", "ids", "train", "sizes", "places", "uses"],
+                    ["chunk", "words", "counts", "ids", "train", "sizes", "gaps", "uses"],
                 )
                 chunk += 1
                 row += len(ids)
@@ -206,7 +238,7 @@ def chunked(docs: DataFrame, config: LatticeConfig) -> DataFrame:
     return docs.mapInArrow(
         run,
         f"chunk long, words array<binary>, counts array<long>, ids array<{kind}>, train array<boolean>, sizes array<int>, "
-        "places array<int>, uses array<int>",
+        "gaps array<int>, uses array<int>",
     )
 
 
@@ -273,7 +305,7 @@ def lattice_scores(
 
     scored = write_shared(vocabulary.mapInArrow(score, "word binary, c long, score double"), "scored")
     back = entries.select("chunk", "place", F.col("e.words").alias("word")).join(scored, "word").select(F.col("chunk").alias("of_chunk"), "place", "c", "score")
-    stored = chunks.select("chunk", "ids", "sizes", "places", "uses")
+    stored = chunks.select("chunk", "ids", "sizes", "gaps", "uses")
 
     end_known = int(ends > 0)
     end_base = np.log10((ends + 1) / (total + known + 1))
@@ -286,30 +318,26 @@ def lattice_scores(
         c[place] = right.column("c").to_numpy()
         s[place] = right.column("score").to_numpy()
         base = np.log10((c + 1) / (total + known + 1))
-        out = []
-        for row in left.to_pylist():
-            places, uses = np.array(row["places"], dtype=np.int64), np.array(row["uses"], dtype=np.int64)
-            at = np.concatenate([[0], np.cumsum(row["sizes"])])
-
-            def added(values: np.ndarray, at: np.ndarray = at) -> np.ndarray:
-                return np.diff(np.concatenate([[0], np.cumsum(values)])[at]) if values.dtype.kind == "i" else np.array([values[a:b].sum() for a, b in zip(at[:-1], at[1:], strict=True)])
-
-            out.append(
-                pa.table(
-                    {
-                        "doc_id": pa.array(row["ids"], left.schema.field("ids").type.value_type),
-                        "n_tokens": pa.array(added(uses) + 1, pa.int64()),
-                        "n_known": pa.array(added(uses * (c[places] > 0)) + end_known, pa.int64()),
-                        "train_tokens": pa.array(np.full(len(row["ids"]), total), pa.int64()),
-                        "base_score": pa.array(added(base[places] * uses) + end_base, pa.float64()),
-                        "score": pa.array(added(s[places] * uses) + end_score, pa.float64()),
-                    }
-                )
-            )
-        return pa.concat_tables(out) if out else pa.table({k: pa.array([], t) for k, t in empty})
+        sizes, gaps, uses = (left.column(x).combine_chunks().flatten().to_numpy() for x in ("sizes", "gaps", "uses"))
+        ids = left.column("ids").combine_chunks().flatten()
+        at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        places = np.cumsum(gaps, dtype=np.int64)  # each document's gaps add up from zero
+        places -= np.repeat(np.concatenate([[0], places])[at[:-1]], sizes)
+
+        def added(values: np.ndarray) -> np.ndarray:
+            return np.array([values[a:b].sum() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)])
+
+        return pa.table(
+            {
+                "doc_id": ids,
+                "n_tokens": pa.array(added(uses) + 1, pa.int64()),
+                "n_known": pa.array(added(uses * (c[places] > 0)) + end_known, pa.int64()),
+                "train_tokens": pa.array(np.full(len(ids), total), pa.int64()),
+                "base_score": pa.array(added(base[places] * uses) + end_base, pa.float64()),
+                "score": pa.array(added(s[places] * uses) + end_score, pa.float64()),
+            }
+        )
 
-    id_type = pa.int32() if rows.schema["id"].dataType.simpleString() == "int" else pa.int64()
-    empty = [("doc_id", id_type), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
     kind = rows.schema["id"].dataType.simpleString()
     return stored.groupBy("chunk").cogroup(back.groupBy("of_chunk")).applyInArrow(
         sums, f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
