@@ -39,11 +39,10 @@ def data(request, spark):
     return queue, cache, spark.createDataFrame(queue, schema), spark.createDataFrame(cache, SCHEMA)
 
 
-@pytest.mark.parametrize("few", [False, True])
-def test_counts_equal_or_join(data, few):
+def test_counts_equal_or_join(data):
     queue, cache, left, right = data
     conditions = {"n": F.lit(True), "n_text": F.col("abstract").isNotNull(), "n_a": F.col("wrapper") == "A"}
-    found = matching.count_matches(left, right, "queue_id", conditions, few=few)
+    found = matching.count_matches(left, right, "queue_id", conditions)
     expected = {}
     for q in queue:
         rows = [r for r in cache if agree(q, r)]

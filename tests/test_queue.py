@@ -54,8 +54,9 @@ def test_drop_finished_keeps_entries_without_list(spark):
 def test_capped(spark):
     rows = spark.range(10)
     assert [r["id"] for r in q.capped(rows, 3, ["id"]).collect()] == [0, 1, 2]
+    assert q.capped(spark.range(150_000), 120_000, ["id"]).count() == 120_000
     with pytest.raises(ValueError):
-        q.capped(rows, q.ENQUEUE_GUARD + 1, ["id"])
+        q.capped(rows, -1, ["id"])
 
 
 def test_numbers_are_new_and_stable(spark):
@@ -73,11 +74,23 @@ def test_batches_hold_every_entry_once(spark):
         F.lit(None).cast("string").alias("pubmed_id"),
         F.lit(START).cast("timestamp_ntz").alias("time_created"),
     )
-    for rows_per_task in (1000, 20):
-        batches = q.lookup_batches(entries, "PUBMED", 10, rows_per_task).collect()
-        assert all(b["n_entries"] <= 10 for b in batches)
-        clauses = [c for b in batches for c in b["clause"].split(" OR ")]
-        assert sorted(clauses) == sorted(f'"10.1/{i}"[DOI]' for i in range(103))
+    batches = q.lookup_batches(entries, "PUBMED", 10).collect()
+    assert sorted(b["n_entries"] for b in batches) == [3, *[10] * 10]
+    clauses = [c for b in batches for c in b["clause"].split(" OR ")]
+    assert sorted(clauses) == sorted(f'"10.1/{i}"[DOI]' for i in range(103))
+
+
+def test_batches_follow_the_order_of_a_long_queue(spark):
+    n = 250_000
+    entries = spark.range(n).repartition(7).select(
+        F.col("id").alias("queue_id"), F.col("id").cast("string").alias("doi"),
+        (F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(secs=(F.lit(n) - F.col("id")).cast("decimal(18,6)"))).alias("time_created"),
+    )
+    batches = q.lookup_batches(entries, "PUBMED", 100)
+    listed = batches.select("batch", "n_entries", F.explode(F.split("clause", " OR ")).alias("c"))
+    number = F.regexp_extract("c", '"(\\d+)"', 1).cast("long")
+    wrong = listed.where((F.col("n_entries") != 100) | (F.floor((F.lit(n - 1) - number) / 100) != F.col("batch")))
+    assert batches.count() == n // 100 and wrong.count() == 0
 
 
 def test_clauses(spark):
@@ -95,10 +108,10 @@ def test_clauses(spark):
     }
 
 
-def simulate(queue, cache, answers, sources, batch, rounds, min_length=25):
-    """The rounds one entry at a time, as an independent check."""
+def simulate(queue, cache, answers, min_length=25):
+    """One turn, one entry at a time, as an independent check."""
     queue = {e["queue_id"]: dict(e) for e in queue}
-    cache, landed = [dict(r) for r in cache], []
+    landed = []
     kinds = ("doi", "openalex_id", "pubmed_id")
 
     def match(a, b):
@@ -107,61 +120,50 @@ def simulate(queue, cache, answers, sources, batch, rounds, min_length=25):
     for e in queue.values():
         if e["sources"] is None:
             e["sources"] = list(q.DEFAULT_SOURCES)
-    for _ in range(rounds):
-        worked = 0
-        for source in sources:
-            taken = sorted(
-                (e for e in queue.values() if e["sources"] and e["sources"][0][0] == source),
-                key=lambda e: (e["time_created"], e["queue_id"]),
-            )[:batch]
-            worked += len(taken)
-            asked = []
-            for e in taken:
-                rows = [r for r in cache if match(e, r)]
-                own = [r for r in rows if r["wrapper"] == source]
-                if (
-                    e["sources"][0][1] == 1
-                    or e["on_conflict"] == 1
-                    or (e["on_conflict"] == 3 and not any(r["abstract"] for r in rows))
-                    or (e["on_conflict"] == 4 and not any(r["raw"] for r in own))
-                    or (e["on_conflict"] == 2 and not own)
-                ):
-                    asked.append(e)
-            found = set()
-            new = []
-            for a in answers:
-                if a["wrapper"] != source or not any(match(a, e) for e in asked):
+    head = {i: e["sources"][0][0] for i, e in queue.items() if e["sources"]}
+    found = set()
+    for source in sorted(set(head.values())):
+        taken = sorted((queue[i] for i, s in head.items() if s == source), key=lambda e: (e["time_created"], e["queue_id"]))
+        asked = []
+        for e in taken:
+            rows = [r for r in cache if match(e, r)]
+            own = [r for r in rows if r["wrapper"] == source]
+            if (
+                e["sources"][0][1] == 1
+                or e["on_conflict"] == 1
+                or (e["on_conflict"] == 3 and not any(r["abstract"] for r in rows))
+                or (e["on_conflict"] == 4 and not any(r["raw"] for r in own))
+                or (e["on_conflict"] == 2 and not own)
+            ):
+                asked.append(e)
+        for a in answers:
+            if a["wrapper"] != source or not any(match(a, e) for e in asked):
+                continue
+            a = dict(a, queue_id=None)
+            for k in (*kinds, "queue_id"):
+                if a[k] is None:
                     continue
-                a = dict(a, queue_id=None)
-                for k in (*kinds, "queue_id"):
-                    if a[k] is None:
-                        continue
-                    for e in asked:
-                        if e[k] == a[k]:
-                            for other in (*kinds, "queue_id"):
-                                if a[other] is None and e[other] is not None:
-                                    a[other] = e[other]
-                if a["abstract"] is not None and len(a["abstract"]) < min_length:
-                    a["abstract"] = None
-                if a["abstract"] is not None and a["queue_id"] is not None:
-                    found.add(a["queue_id"])
-                new.append(a)
-            cache += new
-            landed += new
-            for e in taken:
-                if e["queue_id"] in found:
-                    e["sources"] = [s for s in e["sources"] if s[1] == 1]
-                else:
-                    e["sources"] = [s for s in e["sources"] if s[0] != source]
-            queue = {i: e for i, e in queue.items() if e["sources"]}
-        if not worked:
-            break
-    return {i: list(map(tuple, e["sources"])) for i, e in queue.items()}, sorted(
-        (a["record_id"], a["queue_id"], a["abstract"]) for a in landed
+                for e in asked:
+                    if e[k] == a[k]:
+                        for other in (*kinds, "queue_id"):
+                            if a[other] is None and e[other] is not None:
+                                a[other] = e[other]
+            if a["abstract"] is not None and len(a["abstract"]) < min_length:
+                a["abstract"] = None
+            if a["abstract"] is not None and a["queue_id"] is not None:
+                found.add(a["queue_id"])
+            landed.append(a)
+    for i, e in queue.items():
+        if i in found:
+            e["sources"] = [s for s in e["sources"] if s[1] == 1]
+        else:
+            e["sources"] = [s for s in e["sources"] if s[0] != head.get(i)]
+    return {i: list(map(tuple, e["sources"])) for i, e in queue.items() if e["sources"]}, sorted(
+        (a["record_id"], a["doi"] or "", a["queue_id"], a["abstract"]) for a in landed
     )
 
 
-def test_rounds_against_simulation(spark):
+def test_turn_against_simulation(spark):
     import random
 
     rng = random.Random(3)
@@ -193,17 +195,17 @@ def test_rounds_against_simulation(spark):
     frame = spark.createDataFrame([tuple(e[c] for c in kept) for e in queue], QUEUE)
     cached = spark.createDataFrame([tuple(r[c] for c in cols) for r in cache], CACHE)
     offered = spark.createDataFrame([tuple(r[c] for c in cols) for r in answers], CACHE)
-    left, landed = q.run_rounds(frame, cached, offered, names, 6, 2)
-    expected_left, expected_landed = simulate(queue, cache, answers, names, 6, 2)
+    left, landed = q.work_turn(frame, cached, offered)
+    expected_left, expected_landed = simulate(queue, cache, answers)
     assert {r["queue_id"]: [tuple(s) for s in r["sources"]] for r in left.collect()} == expected_left
-    found = sorted((r["record_id"], r["queue_id"], r["abstract"]) for r in landed.collect())
+    found = sorted((r["record_id"], r["doi"] or "", r["queue_id"], r["abstract"]) for r in landed.collect())
     assert found == expected_landed
 
 
-def test_rounds_never_grow_a_list(spark, sf_dir):
+def test_turns_never_grow_a_list(spark, sf_dir):
     queue = fx.queue(spark, sf_dir)
     before = {r["queue_id"]: r["n"] for r in q.default_sources(queue).select("queue_id", F.size("sources").alias("n")).collect()}
-    left, _ = q.run_rounds(queue, fx.request(spark, sf_dir), responses(spark, sf_dir), ("SCOPUS", "WOS"), 50, 1)
+    left, _ = q.work_turn(queue, fx.request(spark, sf_dir), responses(spark, sf_dir))
     after = {r["queue_id"]: r["n"] for r in left.select("queue_id", F.size("sources").alias("n")).collect()}
     assert set(after) <= set(before)
     assert all(0 < n <= before[i] for i, n in after.items())

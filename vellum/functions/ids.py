@@ -31,6 +31,16 @@ ID_COLUMNS = (
     "dimensions_id",
 )
 
+# Greek and Cyrillic letters in ASCII. Capitals take a capital first letter.
+GREEK = dict(zip("αβγδεζηθικλμνξοπρςστυφχψω", "a b g d e z e th i k l m n x o p r s s t u ph kh ps o".split(), strict=True))
+CYRILLIC = dict(
+    zip(
+        "абвгдеёжзийклмнопрстуфхцчшщъыьэюя",
+        "a b v g d e io zh z i i k l m n o p r s t u f kh ts ch sh shch ' y ' e iu ia".split(),
+        strict=True,
+    )
+)
+
 # Letters whose ASCII form is not their Unicode decomposition.
 SPECIAL_FOLDS = {
     "ß": "ss",
@@ -77,37 +87,48 @@ def remove_prefix(c: Column, prefix: str = URL_PREFIXES[0]) -> Column:
 
 def parse_id(c: Column, prefix: str) -> Column:
     """The integer behind ``prefix``; NULL when there is nothing behind it."""
-    return F.when(F.length(c) > len(prefix), F.substring(c, len(prefix) + 1, 2**31 - 1).try_cast("int"))
-
-
-def _latin_folds() -> tuple[str, str]:
-    """Accented Latin letters and the plain letters they decompose to."""
-    accented, plain = [], []
-    for code in range(0xC0, 0x250):
-        char = chr(code)
-        base = unicodedata.normalize("NFKD", char)[0]
-        if base != char and base.isascii():
-            accented.append(char)
-            plain.append(base)
-    return "".join(accented), "".join(plain)
+    return F.when(F.length(c) > len(prefix), F.substring(c, len(prefix) + 1, 2**31 - 1).try_cast("bigint"))
+
+
+def _folds() -> dict[str, str]:
+    """Every letter of the Latin, Greek and Cyrillic blocks that has an ASCII form, and that form."""
+    known = dict(SPECIAL_FOLDS)
+    for table in (GREEK, CYRILLIC):
+        for char, fold in table.items():
+            known[char] = fold
+            if len(char.upper()) == 1 and char != "ς":
+                known[char.upper()] = fold.capitalize()
+    # Latin letters with marks, Greek with accents, Cyrillic, and the additional blocks of the first two
+    for first, last in ((0xC0, 0x24F), (0x386, 0x3FF), (0x400, 0x45F), (0x1E00, 0x1FFF)):
+        for code in range(first, last + 1):
+            char = chr(code)
+            base = unicodedata.normalize("NFKD", char)[0]
+            if char not in known and base != char and (base.isascii() or base in known):
+                known[char] = base if base.isascii() else known[base]
+    return known
 
 
 def fold_ascii(c: Column) -> Column:
-    """Latin letters to ASCII, inside codegen. Other scripts stay as they are."""
-    accented, plain = _latin_folds()
-    single = {char: fold for char, fold in SPECIAL_FOLDS.items() if len(fold) == 1}
-    folded = F.translate(c, accented + "".join(single), plain + "".join(single.values()))
-    for char, fold in SPECIAL_FOLDS.items():
-        if len(fold) > 1:
-            folded = F.replace(folded, F.lit(char), F.lit(fold))
+    """Latin, Greek and Cyrillic letters to ASCII. Other scripts stay as they are."""
+    folds = _folds()
+    single = {char: fold for char, fold in folds.items() if len(fold) == 1}
+    folded = F.translate(c, "".join(single), "".join(single.values()))
+    several = {char: fold for char, fold in folds.items() if len(fold) > 1}
+    for fold in sorted(set(several.values())):
+        letters = "".join(char for char, x in several.items() if x == fold)
+        folded = F.regexp_replace(folded, f"[{letters}]", fold)
     # nearly all identifiers are ASCII already
     return F.when(c.rlike(r"[^\x00-\x7F]"), F.regexp_replace(folded, r"\p{Mn}+", "")).otherwise(c)
 
 
+# The characters that a source does not take in a DOI.
+RESERVED = r'[%:="+;\[\]\\]'
+
+
 def clean_doi(c: Column) -> Column:
     """DOI as sent to a source: no query part, no reserved characters, ASCII, single slashes."""
     trimmed = F.regexp_replace(c, r"^\s+|\s+$", "")
-    stripped = F.regexp_replace(trimmed, r'\?[^\n]*|[%:="+;\[\]\\]', "")
+    stripped = F.regexp_replace(trimmed, rf"\?[^\n]*|{RESERVED}", "")
     return F.replace(fold_ascii(stripped), F.lit("//"), F.lit("/"))
 
 

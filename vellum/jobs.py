@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from vellum.functions.ids import strip_url
 from vellum.functions.text import rebuild_positional
 from vellum.operators import queueing, reports, upsert
-from vellum.operators.documents import AUTHORSHIP_LIMIT, in_collection, to_documents
+from vellum.operators.documents import in_collection, to_documents
 from vellum.operators.flatten import flatten_entity
 from vellum.operators.joins import first_per_key
 from vellum.operators.search import missing_in_range
 
 
 def ingest(
-    index: DataFrame | None, works: DataFrame, collection: str = "all", authorship_limit: int | None = AUTHORSHIP_LIMIT
+    index: DataFrame | None, works: DataFrame, collection: str = "all", authorship_limit: int | None = None
 ) -> DataFrame:
     """Snapshot works into the index, replacing documents with the same id; of several records the newest counts."""
     documents = to_documents(in_collection(works, collection), authorship_limit)
@@ -92,15 +92,14 @@ def queue_missing(
     until: str,
     now: Column,
     sources: Sequence[tuple[str, int]] | None = None,
-    limit: int | None = 1000,
+    limit: int | None = None,
 ) -> DataFrame:
     """Queue entries for documents without abstract created or updated between two days, both included.
 
-    ``limit`` is the operator's fail-safe against queueing millions by accident; None takes them all.
+    ``limit`` is the caller's fail-safe against queueing millions by accident: so many new entries at most.
     """
-    found = _candidates(missing_in_range(index, since, until))
-    found = found if limit is None else queueing.capped(found, limit, ["openalex_id"])
-    return queueing.enqueue(found, request, queue, now, sources)
+    entries = queueing.enqueue(_candidates(missing_in_range(index, since, until)), request, queue, now, sources)
+    return entries if limit is None else queueing.capped(entries, limit, ["openalex_id"])
 
 
 def queue_file(

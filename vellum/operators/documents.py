@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from vellum.functions.ids import strip_id
 from vellum.functions.text import rebuild_positional, title_abstract
 
-# Fixed value: at most this many authors of a work go into its document.
-AUTHORSHIP_LIMIT = 50
-
 
 def json_or_null(items: Column) -> Column:
     """A list as JSON without null fields; an empty list is NULL."""

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellum.session import cut_lineage
+
 
 def spread_nulls(key: Column, by: Sequence[str]) -> Column:
     """The key, with rows that have none spread over all tasks instead of meeting in one."""
@@ -28,11 +30,24 @@ def left_lookup(left: DataFrame, right: DataFrame, key: str, right_key: str, spr
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], last: bool = False) -> DataFrame:
     """One whole row per key: the first (or last) in ``order``, which must end in a unique column.
 
-    An aggregate instead of a numbered window: each task reduces its rows before the shuffle, so a key that
-    holds a third of the table reaches the final task as one row per input task.
+    A numbered window of which only the first row is kept: each task keeps its first row per key before the shuffle, so a
+    key that holds a third of the table reaches the final task as one row per input task.
+    """
+    places = [F.col(o) if isinstance(o, str) else o for o in order]
+    window = Window.partitionBy(*keys).orderBy(*[c.desc() if last else c.asc() for c in places])
+    return df.withColumn("_place", F.row_number().over(window)).where("_place = 1").drop("_place")
+
+
+def numbered(rows: DataFrame, order: Sequence[str], name: str = "place") -> DataFrame:
+    """Rows with their place (from 0) in the order of the whole table; ``order`` must end in a unique column.
+
+    Ranges of the order are numbered task by task and stored; the sizes of the ranges, one row each, give the offsets.
     """
-    payload = F.struct(*[c for c in df.columns if c not in keys])
-    rank = F.struct(*order)
-    pick = F.max_by(payload, rank) if last else F.min_by(payload, rank)
-    picked = df.groupBy(*keys).agg(pick.alias("_row")).select(*keys, "_row.*")
-    return picked.select(*df.columns)
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = cut_lineage(ranged.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_part", F.coalesce(earlier, F.lit(0)).alias("_before"))
+    placed = stored.join(offsets, part == F.col("_part"))
+    return placed.withColumn(name, F.col("_before") + inside).drop("_at", "_part", "_before")

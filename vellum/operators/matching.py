@@ -29,16 +29,10 @@ def id_rows(df: DataFrame, id_cols: Sequence[str], *keep: str | Column) -> DataF
     return df.select(*keep, F.inline(F.filter(entries, lambda e: e["id_value"].isNotNull())))
 
 
-def semi_match(
-    left: DataFrame, right: DataFrame, key: str, id_cols: Sequence[str] | None = None, few: bool = False
-) -> DataFrame:
-    """Keys of the ``left`` rows that share at least one identifier with ``right``, each once.
-
-    ``few`` says that ``right`` is cut to a fixed number of rows, which makes its identifiers safe to broadcast.
-    """
+def semi_match(left: DataFrame, right: DataFrame, key: str, id_cols: Sequence[str] | None = None) -> DataFrame:
+    """Keys of the ``left`` rows that share at least one identifier with ``right``, each once."""
     kinds = shared_ids(left, right, id_cols)
     known = id_rows(right, kinds).distinct()
-    known = F.broadcast(known) if few else known
     return id_rows(left, kinds, key).join(known, ["id_type", "id_value"], "left_semi").select(key).distinct()
 
 
@@ -108,8 +102,8 @@ def count_matches(
     key: str,
     conditions: dict[str, Column],
     id_cols: Sequence[str] | None = None,
-    few: bool = False,
     right_key: str = "record_id",
+    own: tuple[Column, Column] | None = None,
 ) -> DataFrame:
     """Per ``left`` key, how many distinct ``right`` rows match on any identifier, by condition.
 
@@ -119,29 +113,28 @@ def count_matches(
     for a fixed number of identifier kinds, also when one identifier value fills a third of each of them; no
     pair of rows is ever formed. Keys without a match are absent.
 
-    ``few`` says that ``left`` is cut to a fixed number of rows: its identifiers are then broadcast, and only
-    right rows that carry one of them are looked at further.
+    Only right rows that share an identifier with the left table are given subsets; the others are never expanded.
+
+    ``own`` is a pair of columns, one of the left and one of the right table: counters named ``<name>_own`` then count
+    the matching rows in which they are equal, from the same expansion.
     """
     kinds = shared_ids(left, right, id_cols)
     flags = [F.coalesce(c, F.lit(False)).cast("int").alias(name) for name, c in conditions.items()]
-    rows = right.select(*kinds, *flags)
-    if few:
-        known = F.broadcast(id_rows(left, kinds).distinct())
-        # a row is met once per identifier it shares
-        tagged = right.select(F.col(right_key).alias("_row"), *kinds, *flags)
-        near = id_rows(tagged, kinds, *tagged.columns).join(known, ["id_type", "id_value"], "left_semi")
-        rows = near.drop("id_type", "id_value").dropDuplicates(["_row"])
+    mark = (own[1] if own else F.lit(None)).cast("string").alias("_mark")
+    rows = right.select(F.col(right_key).alias("_row"), *kinds, *flags, mark)
+    near = rows.join(semi_match(rows, left, "_row", kinds), "_row", "left_semi")
     counted = (
-        _subset_keys(rows, kinds, *conditions)
-        .groupBy("subset_key")
+        _subset_keys(near, kinds, "_mark", *conditions)
+        .groupBy("subset_key", "_mark")
         .agg(*[F.sum(n).alias(n) for n in conditions])
     )
-    return (
-        _subset_keys(left, kinds, key)
-        .join(counted, "subset_key")
-        .groupBy(key)
-        .agg(*[F.sum(F.col("sign") * F.col(n)).alias(n) for n in conditions])
-    )
+    wanted = left.withColumn("_wanted", (own[0] if own else F.lit(None)).cast("string"))
+    signed = {n: F.col("sign") * F.col(n) for n in conditions}
+    sums = [F.sum(c).alias(n) for n, c in signed.items()]
+    if own:
+        same = F.col("_mark") == F.col("_wanted")
+        sums += [F.sum(F.when(same, c).otherwise(0)).alias(f"{n}_own") for n, c in signed.items()]
+    return _subset_keys(wanted, kinds, key, "_wanted").join(counted, "subset_key").groupBy(key).agg(*sums)
 
 
 def complete_ids(

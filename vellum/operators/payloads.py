@@ -107,9 +107,13 @@ def unify(payloads: DataFrame, source: str) -> DataFrame:
 
 
 def unify_all(payloads: DataFrame, source_col: str = "wrapper") -> DataFrame:
-    """Unified records of a mixed table of payloads, for all registered sources."""
+    """Unified records of a mixed table of payloads. Rows of a source without adapter keep their payload, the rest is NULL."""
     merged = None
+    known = F.upper(source_col).isin(list(ADAPTERS))
     for source in ADAPTERS:
         part = unify(payloads.where(F.upper(source_col) == source).drop(source_col), source)
         merged = part if merged is None else merged.unionByName(part)
-    return merged
+    other = payloads.where(~F.coalesce(known, F.lit(False))).withColumnRenamed(source_col, "wrapper")
+    raw = other["raw"] if "raw" in other.columns else F.lit(None).cast("string")
+    other = _unified(other, raw=raw)
+    return other if merged is None else merged.unionByName(other)

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions.ids import ID_COLUMNS, clean_doi
 from vellum.functions.text import at_least
-from vellum.operators.joins import first_per_key
+from vellum.operators.joins import first_per_key, numbered
 from vellum.operators.matching import complete_ids, count_matches, semi_match, shared_ids
 from vellum.session import cut_lineage
 
@@ -26,9 +25,6 @@ GAP_SOURCES = tuple((s, SOURCE_TRY) for s in ("DIMENSIONS", "SCOPUS", "PUBMED",
 
 SOURCES_TYPE = "ARRAY<STRUCT<source: STRING, priority: INT>>"
 
-# Fixed value: no more than this many works may be queued in one go.
-ENQUEUE_GUARD = 100_000
-
 COUNTERS = ("request", "abstract", "title", "raw")
 
 
@@ -52,9 +48,9 @@ def format_sources(sources: Column) -> Column:
 
 
 def capped(df: DataFrame, limit: int, order: Sequence[str]) -> DataFrame:
-    """Fail-safe for queueing: the first ``limit`` rows in ``order``; a limit above the guard is an error."""
-    if limit > ENQUEUE_GUARD:
-        raise ValueError(f"Limit must be <= {ENQUEUE_GUARD}, but got {limit}")
+    """Fail-safe for queueing: the first ``limit`` rows in ``order``. A caller's choice, never a default."""
+    if limit < 0:
+        raise ValueError(f"a limit cannot be {limit}")
     return df.orderBy(*order).limit(limit)
 
 
@@ -123,13 +119,10 @@ def pending(
     return rows.orderBy(by("time_created"), "queue_id").limit(limit)
 
 
-def with_counts(
-    entries: DataFrame, request: DataFrame, source: str | None = None, few: bool = False
-) -> DataFrame:
+def with_counts(entries: DataFrame, request: DataFrame, source: str | None = None) -> DataFrame:
     """Entries with eight counters of their cache rows: all, and those from the entry's source.
 
-    ``source`` is the source whose turn it is; None takes each entry's own next source. ``few`` says that the
-    entries are cut to a fixed number.
+    ``source`` is the source whose turn it is; None takes each entry's own next source.
     """
     present = {
         "request": F.col("record_id").isNotNull(),
@@ -138,42 +131,16 @@ def with_counts(
         "raw": F.col("raw").isNotNull(),
     }
     head = F.get("sources", F.lit(0))
-    if source is not None:
-        conditions = {f"num_has_{n}": c for n, c in present.items()}
-        conditions |= {f"num_has_source_{n}": c & (F.col("wrapper") == source) for n, c in present.items()}
-        counts = count_matches(entries, request, "queue_id", conditions, few=few)
-    else:
-        counts = _counts_by_next_source(entries, request, present)
-    names = [f"num_has_{n}" for n in COUNTERS] + [f"num_has_source_{n}" for n in COUNTERS]
+    asked = head["source"] if source is None else F.lit(source)
+    counts = count_matches(entries, request, "queue_id", present, own=(asked, F.col("wrapper")))
+    names = {n: f"num_has_{n}" for n in COUNTERS} | {f"{n}_own": f"num_has_source_{n}" for n in COUNTERS}
+    counts = counts.select("queue_id", *[F.col(n).alias(to) for n, to in names.items()])
     return entries.join(counts, "queue_id", "left").select(
         *[F.col(c) for c in entries.columns],
         head["source"].alias("source"),
         head["priority"].alias("priority"),
-        *[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in names],
-    )
-
-
-def _counts_by_next_source(entries: DataFrame, request: DataFrame, present: dict[str, Column]) -> DataFrame:
-    """Counters of a queue whose entries wait for different sources: the source becomes one more identifier."""
-    kinds = shared_ids(entries, request)
-    overall = count_matches(
-        entries, request, "queue_id", {f"num_has_{n}": c for n, c in present.items()}, kinds
-    )
-    keyed = entries.select(
-        "queue_id",
-        *[
-            F.when(F.col(k).isNotNull(), F.concat(F.get("sources", F.lit(0))["source"], F.lit("|"), F.col(k))).alias(k)
-            for k in kinds
-        ],
-    )
-    tagged = request.select(
-        *[F.when(F.col(k).isNotNull(), F.concat("wrapper", F.lit("|"), F.col(k))).alias(k) for k in kinds],
-        *[c.alias(f"_{n}") for n, c in present.items()],
+        *[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in names.values()],
     )
-    own = count_matches(
-        keyed, tagged, "queue_id", {f"num_has_source_{n}": F.col(f"_{n}") for n in present}, kinds
-    )
-    return overall.join(own, "queue_id", "left")
 
 
 def is_eligible() -> Column:
@@ -237,22 +204,18 @@ def _lookup_clause(source: str) -> tuple[tuple[str, ...], Column]:
     raise ValueError(f"unknown source {source}")
 
 
-def lookup_batches(entries: DataFrame, source: str, size: int, rows_per_task: int = 200_000) -> DataFrame:
+def lookup_batches(entries: DataFrame, source: str, size: int) -> DataFrame:
     """Lookup clauses for all entries, at most ``size`` entries each, oldest first.
 
-    A long queue is numbered in hashed slices of about ``rows_per_task`` entries, so that no task sorts the whole
-    queue of a source; a short one is a single slice. Entries without an identifier the source knows are left out.
+    Entries are numbered in the order of the whole queue (``numbered``) and cut by ``size``. Entries without an
+    identifier the source knows are left out.
     """
     kinds, clause = _lookup_clause(source)
     held = [k for k in kinds if k in entries.columns]
     known = F.coalesce(*[F.col(k) for k in held]).isNotNull()
-    rows = entries.where(known)
-    slices = max(1, math.ceil(rows.count() / rows_per_task))
-    piece = F.pmod(F.xxhash64("queue_id"), F.lit(slices)).alias("slice") if slices > 1 else F.lit(0).alias("slice")
-    numbered = rows.select(
+    rows = entries.where(known).select(
         "queue_id",
         "time_created",
-        piece,
         *[
             (clean_doi(F.col(k)) if k == "doi" else F.col(k).cast("string")).alias(k)
             if k in held
@@ -260,15 +223,13 @@ def lookup_batches(entries: DataFrame, source: str, size: int, rows_per_task: in
             for k in kinds
         ],
     )
-    place = F.row_number().over(Window.partitionBy("slice").orderBy("time_created", "queue_id"))
-    batched = numbered.withColumn("batch", F.floor((place - 1) / size).cast("long"))
+    placed = numbered(rows, ["time_created", "queue_id"])
+    batched = placed.withColumn("batch", F.floor(F.col("place") / size).cast("long"))
     # collect_set of at most ``size`` values each
-    grouped = batched.groupBy("slice", "batch").agg(
+    grouped = batched.groupBy("batch").agg(
         F.count(F.lit(1)).alias("n_entries"), *[F.collect_set(k).alias(k) for k in kinds]
     )
-    return grouped.select(
-        F.lit(source).alias("source"), "slice", "batch", "n_entries", clause.alias("clause")
-    )
+    return grouped.select(F.lit(source).alias("source"), "batch", "n_entries", clause.alias("clause"))
 
 
 def land(
@@ -299,7 +260,7 @@ def record_misses(
     )
 
 
-def without_source(sources: Column, source: str) -> Column:
+def without_source(sources: Column, source: str | Column) -> Column:
     """The list less one source."""
     return F.filter(sources, lambda s: s["source"] != source)
 
@@ -309,11 +270,11 @@ def forced_only(sources: Column) -> Column:
     return F.filter(sources, lambda s: s["priority"] == SOURCE_FORCE)
 
 
-def advance(asked: DataFrame, found: DataFrame, source: str) -> DataFrame:
+def advance(asked: DataFrame, found: DataFrame, source: str | Column) -> DataFrame:
     """(queue_id, sources) of the entries just worked on: forced sources only where an abstract was found,
     otherwise all sources but this one."""
     hits = found.select("queue_id").distinct().withColumn("_found", F.lit(True))
-    joined = asked.select("queue_id", "sources").join(hits, "queue_id", "left")
+    joined = asked.join(hits, "queue_id", "left")
     following = F.when(F.col("_found"), forced_only(F.col("sources"))).otherwise(
         without_source(F.col("sources"), source)
     )
@@ -342,62 +303,31 @@ def drop_created_after(queue: DataFrame, moment: Column) -> DataFrame:
     return queue.where(F.col("time_created") <= moment)
 
 
-def work_source(
-    queue: DataFrame,
-    request: DataFrame,
-    responses: DataFrame,
-    source: str,
-    batch: int,
-    min_abstract_length: int = 25,
-    **bounds,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One source's turn. Gives (entries taken, their new source lists, cache rows to append).
-
-    ``responses`` stands for the source: whatever it holds for an eligible entry is its answer.
-    """
-    few = batch <= ENQUEUE_GUARD
-    taken = cut_lineage(pending(queue, source, batch, **bounds), "taken")
-    asked = with_counts(taken, request, source, few).where(is_eligible()).select(*taken.columns)
-    asked = cut_lineage(asked, "asked")
-    offered = responses.where(F.col("wrapper") == source)
-    answers = offered.join(semi_match(offered, asked, "record_id", few=few), "record_id", "left_semi")
-    landed = cut_lineage(land(answers, asked, min_abstract_length=min_abstract_length), "landed")
-    found = landed.where(F.col("abstract").isNotNull() & F.col("queue_id").isNotNull())
-    return taken, advance(taken, found, source), landed
+def _by_source(df: DataFrame, source: Column, kinds: Sequence[str]) -> DataFrame:
+    """Identifiers with the source in front, so that rows of different sources never match."""
+    return df.withColumns({k: F.concat(source, F.lit("|"), F.col(k).cast("string")) for k in kinds})
 
 
-def run_rounds(
-    queue: DataFrame,
-    request: DataFrame,
-    responses: DataFrame,
-    sources: Sequence[str],
-    batch: int,
-    max_rounds: int,
-    min_abstract_length: int = 25,
+def work_turn(
+    queue: DataFrame, request: DataFrame, responses: DataFrame, min_abstract_length: int = 25
 ) -> tuple[DataFrame, DataFrame]:
-    """Work the queue in rounds over the sources until nothing is left to do or the rounds are used up.
+    """One turn of every entry at its next source. Gives the next queue and the cache rows to append.
 
-    Only what a turn changes is stored (new source lists, new cache rows); the queue and the cache themselves are
-    never rewritten. Gives the next queue and the cache rows to append.
+    All sources and all entries are worked at once: the eligible entries are asked, ``responses`` holds what the sources
+    answer, answers match entries of their own source on any identifier, and every entry's list moves on. The caller
+    stores both results and asks the sources again for the next turn.
     """
+    head = F.get("sources", F.lit(0))["source"]
     base = default_sources(queue)
-    changes = landed = None
-    for _ in range(max_rounds):
-        worked = 0
-        for source in sources:
-            current = base if changes is None else apply_changes(base, changes)
-            cache = request if landed is None else request.unionByName(landed, allowMissingColumns=True)
-            taken, advanced, answers = work_source(
-                current, cache, responses, source, batch, min_abstract_length
-            )
-            n = taken.count()
-            if not n:
-                continue
-            worked += n
-            older = None if changes is None else changes.join(advanced, "queue_id", "left_anti")
-            changes = cut_lineage(advanced if older is None else older.unionByName(advanced), "changes")
-            landed = answers if landed is None else landed.unionByName(answers)
-        if not worked:
-            break
-    following = drop_finished(base) if changes is None else apply_changes(base, changes)
-    return following, landed if landed is not None else responses.where(F.lit(False))
+    waiting = base.where(F.size("sources") > 0)
+    asked = with_counts(waiting, request).where(is_eligible()).select(*waiting.columns)
+    asked = cut_lineage(asked, "asked")
+    kinds = [c for c in shared_ids(responses, asked) if c != "queue_id"]
+    offered = _by_source(responses, F.col("wrapper"), kinds)
+    own = _by_source(asked, head, kinds)
+    answers = offered.join(semi_match(offered, own, "record_id", kinds), "record_id", "left_semi")
+    landed = land(answers, own, min_abstract_length=min_abstract_length)
+    bare = {k: F.substring(F.col(k), F.length("wrapper") + 2, F.length(k)) for k in kinds}
+    landed = cut_lineage(landed.withColumns(bare), "landed")
+    found = landed.where(F.col("abstract").isNotNull() & F.col("queue_id").isNotNull())
+    return drop_finished(apply_changes(base, advance(waiting, found, head))), landed

@@ -15,6 +15,9 @@ from vellum.operators.joins import first_per_key
 SOURCE_RANK = {"WOS": 10, "SCOPUS": 8, "DIMENSIONS": 6, "PUBMED": 4}
 OTHER_RANK = 1
 
+# Parts over which a group's rows are spread when the group's size is looked up.
+SALTS = 32
+
 
 def source_rank(wrapper: Column) -> Column:
     """Rank of a cache row's source."""
@@ -64,17 +67,20 @@ def complete_records(request: DataFrame, since: Column | None = None) -> DataFra
 
 
 def collapse_records(request: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All cache rows of a work as one: per column the earliest value present."""
+    """All cache rows of a work as one: per column the earliest value present. Rows without a work are left out."""
     order = F.struct("time_created", "record_id")
-    return request.groupBy("openalex_id").agg(
+    return request.where(F.col("openalex_id").isNotNull()).groupBy("openalex_id").agg(
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns]
     )
 
 
 def with_group_count(df: DataFrame, key: str, name: str = "n") -> DataFrame:
     """The size of its group beside each row, by aggregate and lookup; a large group is not gathered."""
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
     counts = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias(name))
-    return df.join(counts, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    counts = counts.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_salt") == F.col("_part"))
+    return salted.join(counts, same).drop("_key", "_salt", "_part")
 
 
 def source_coverage(request: DataFrame, since: Column | None = None) -> DataFrame:
@@ -124,10 +130,11 @@ def stats_columns() -> list[Column]:
     ]
 
 
-def daily_stats(request: DataFrame, limit: int = 10) -> DataFrame:
-    """Cache growth per day, latest days first."""
+def daily_stats(request: DataFrame, limit: int | None = None) -> DataFrame:
+    """Cache growth per day, latest days first; all of them, or the latest ``limit``."""
     day = F.date_trunc("day", "time_created").alias("day")
-    return request.groupBy(day).agg(*stats_columns()).orderBy(F.desc("day")).limit(limit)
+    days = request.groupBy(day).agg(*stats_columns()).orderBy(F.desc("day"))
+    return days if limit is None else days.limit(limit)
 
 
 def total_stats(request: DataFrame) -> DataFrame:
@@ -179,8 +186,16 @@ def year_ratio(spark: SparkSession, sample: DataFrame, totals: DataFrame, first:
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int | str) -> DataFrame:
     """``n`` distinct keys, the same for the same seed however the table is partitioned."""
-    ids = df.select(key).where(F.col(key).isNotNull()).distinct()
-    return ids.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    ids = df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_drawn", drawn)
+    # a bound on the draw that leaves little more than n keys, so that no task sorts n rows of every other one
+    total = ids.agg(F.count(F.lit(1))).first()[0]
+    if total > n:
+        share = min(1.0, (n + 6 * n**0.5 + 10) / total)
+        bound = f"{min(16**8 - 1, int(share * 16**8)):08x}" + "f" * 24
+        near = ids.where(F.col("_drawn") <= bound)
+        ids = near if near.agg(F.count(F.lit(1))).first()[0] >= n else ids
+    return ids.orderBy("_drawn", key).limit(n).drop("_drawn")
 
 
 def pairwise_overlap(sets: dict[str, DataFrame]) -> DataFrame:

@@ -18,14 +18,18 @@ from vellum.functions.text import STOP_WORDS, light_stem, positions_by_item, tok
 
 @dataclass(frozen=True)
 class Term:
-    """A word; ``*`` stands for any run of letters."""
+    """A word; ``*`` stands for any run of letters. ``stemmed`` looks for the word's stem, for an index of stems."""
 
     text: str
+    stemmed: bool = False
 
     def matches(self) -> Column:
         word = self.text.lower()
+        if self.stemmed and "*" not in word:
+            return F.col("term") == light_stem(F.lit(word))
         if "*" in word:
-            return F.col("term").like(word.replace("%", "\\%").replace("_", "\\_").replace("*", "%"))
+            quoted = word.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
+            return F.col("term").like(quoted.replace("*", "%"))
         return F.col("term") == word
 
 
@@ -49,6 +53,10 @@ class Phrase:
     words: tuple[Term | AnyOf, ...]
     gaps: tuple[int, ...] = ()
 
+    def __post_init__(self) -> None:
+        if self.gaps and len(self.gaps) != len(self.words) - 1:
+            raise ValueError(f"{len(self.words)} words have {len(self.words) - 1} gaps, but {len(self.gaps)} were given")
+
 
 @dataclass(frozen=True)
 class Near:
@@ -138,7 +146,7 @@ def _condition(expr, column) -> Column:
     if isinstance(expr, Phrase):
         gaps = expr.gaps or (1,) * (len(expr.words) - 1)
         reached = column(expr.words[0], True)
-        for word, gap in zip(expr.words[1:], gaps):
+        for word, gap in zip(expr.words[1:], gaps, strict=True):
             reached = F.array_intersect(_shift(reached, gap), column(word, True))
         return F.size(reached) > 0
     if isinstance(expr, Near):

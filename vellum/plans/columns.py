@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -10,57 +11,65 @@ from vellum.operators import documents as docs
 from vellum.operators import payloads
 from vellum.operators.language import tag_language
 from vellum.plans import fixtures as fx
-from vellum.plans.nested import inverted_works, nested_works
+from vellum.plans.nested import inverted_works, nested_works, torn_works
 from vellum.plans.registry import job
-from vellum.session import widen
 
 
 @job(
     "prj_normalise_ids",
     """
     SELECT doc_id,
-           CAST(doc_id AS STRING) AS number,
+           CAST(4394000000 + doc_id AS STRING) AS number,
            concat('W', CAST(doc_id AS STRING)) AS by_length,
            CASE WHEN source IN ('src3', 'src11', 'src17') THEN NULL
                 ELSE concat('10.5555/D', CAST(doc_id AS STRING)) END AS doi,
            concat('two ', lang, ' and ', source) AS many,
-           CASE WHEN length(source) > 3 THEN CAST(substring(source, 4) AS INT) END AS source_number,
+           CASE WHEN length(source) > 3 THEN CAST(substring(source, 4) AS BIGINT) END AS source_number,
            CASE WHEN length(source) + length(lang) > 20 THEN source END AS too_short
     FROM documents
     """,
 )
 def prj_normalise_ids(spark, sf_dir):
-    works = fx.works(spark, sf_dir)
-    many = F.concat(F.lit("two https://orcid.org/"), F.col("lang"), F.lit(" and https://ror.org/"), F.col("source_id"))
-    named = works.join(fx.table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
-    return named.select(
+    docs = fx.table(spark, sf_dir, "documents")
+    raw = {c: F.expr(fx.spark_sql(fx.WORKS[c])) for c in ("id", "doi")}
+    many = F.concat(F.lit("two https://orcid.org/"), F.col("lang"), F.lit(" and https://ror.org/"), F.col("source"))
+    # work numbers are past 32 bits
+    number = F.concat(F.lit("https://openalex.org/W"), (F.lit(4394000000) + F.col("doc_id")).cast("string"))
+    return docs.select(
         "doc_id",
-        ids.parse_id(F.col("id"), "https://openalex.org/W").cast("string").alias("number"),
-        ids.strip_id(F.col("id")).alias("by_length"),
-        ids.strip_url(F.col("doi")).alias("doi"),
+        ids.parse_id(number, "https://openalex.org/W").cast("string").alias("number"),
+        ids.strip_id(raw["id"]).alias("by_length"),
+        ids.strip_url(raw["doi"]).alias("doi"),
         ids.strip_url(many).alias("many"),
-        ids.parse_id(F.col("source_id"), "src").alias("source_number"),
-        ids.strip_id(F.concat("source_id", "lang")).alias("too_short"),
+        ids.parse_id(F.col("source"), "src").alias("source_number"),
+        ids.strip_id(F.concat("source", "lang")).alias("too_short"),
     )
 
 
+# Letters beyond the text's own, and what a DOI keeps of them.
+OTHER_LETTERS = {"de": "Việt Łódź", "en": "Θεωρία Ψυχή", "es": "Щёлково Юля", "fr": "漢 œuvre"}
+PLAIN_LETTERS = {"de": "Viet Lodz", "en": "Theoria Psukhe", "es": "Shchiolkovo Iulia", "fr": "漢 oeuvre"}
+
+
 @job(
     "prj_clean_doi",
     r"""
-    WITH raw AS (SELECT doc_id, concat('  10.5555//', lang, '=', text, '+a[b]:"c"\;?q=1&', source, ' ') AS doi
+    WITH raw AS (SELECT doc_id, lang, concat('  10.5555//', lang, '=', text, '+a[b]:"c"\;?q=1&', source, ' ') AS doi
                  FROM documents)
     SELECT doc_id,
-           replace(replace(strip_accents(regexp_replace(trim(doi), '\?[^\n]*|[%:="+;\[\]\\]', '', 'g')),
-                   'ß', 'ss'), '//', '/') AS doi
+           concat(replace(replace(strip_accents(regexp_replace(trim(doi), '\?[^\n]*|[%:="+;\[\]\\]', '', 'g')),
+                   'ß', 'ss'), '//', '/'), '/', CASE lang <CASES> END) AS doi
     FROM raw
-    """,
+    """.replace("<CASES>", " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PLAIN_LETTERS.items())),
 )
 def prj_clean_doi(spark, sf_dir):
     raw = F.concat(
         F.lit("  10.5555//"), F.col("lang"), F.lit("="), F.col("text"), F.lit('+a[b]:"c"\\;?q=1&'), F.col("source"),
         F.lit(" "),
     )
-    return widen(fx.table(spark, sf_dir, "documents")).select("doc_id", ids.clean_doi(raw).alias("doi"))
+    other = F.create_map(*[F.lit(x) for pair in OTHER_LETTERS.items() for x in pair])[F.col("lang")]
+    cleaned = F.concat(ids.clean_doi(raw), F.lit("/"), ids.clean_doi(other))
+    return fx.table(spark, sf_dir, "documents").select("doc_id", cleaned.alias("doi"))
 
 
 @job(
@@ -74,6 +83,23 @@ def prj_rebuild_abstract(spark, sf_dir):
     return index.select("doc_id", text.rebuild_positional(F.col("abstract_inverted_index")).alias("abstract"))
 
 
+@job(
+    "prj_rebuild_torn",
+    """
+    WITH <<lines>>, placed AS (
+      SELECT doc_id, concat('t', length(line)) AS t, i, n_lines AS n,
+             CASE WHEN i % 5 = 2 THEN i - 1 WHEN i % 5 = 4 THEN i + 100000 ELSE i END AS p FROM lines),
+    keyed AS (SELECT *, min(i) OVER (PARTITION BY doc_id, t) AS k FROM placed),
+    slots AS (SELECT doc_id, p, arg_max(t, k) AS t FROM keyed WHERE p < n GROUP BY doc_id, p),
+    wide AS (SELECT l.doc_id, l.i, COALESCE(s.t, '') AS t FROM lines l LEFT JOIN slots s ON s.doc_id = l.doc_id AND s.p = l.i)
+    SELECT doc_id, string_agg(t, ' ' ORDER BY i) AS abstract FROM wide GROUP BY doc_id
+    """,
+)
+def prj_rebuild_torn(spark, sf_dir):
+    index = torn_works(spark, sf_dir)
+    return index.select("doc_id", text.rebuild_positional(F.col("abstract_inverted_index")).alias("abstract"))
+
+
 @job(
     "agg_rebuild_abstract_sorted",
     r"""
@@ -122,7 +148,7 @@ def prj_min_abstract_len(spark, sf_dir):
 )
 def prj_clean_list(spark, sf_dir):
     sentences = F.split("text", r"\. ")
-    return widen(fx.table(spark, sf_dir, "documents")).select(
+    return fx.table(spark, sf_dir, "documents").select(
         "doc_id", F.array_join(text.clean_list(sentences), "|").alias("items")
     )
 
@@ -164,12 +190,14 @@ def prj_json_first_match(spark, sf_dir):
            concat('10.5555/D', CAST(doc_id AS STRING)) AS doi,
            CASE WHEN w.wrapper = 'SCOPUS' THEN concat('2-s2.0-', CAST(doc_id AS STRING)) END AS scopus_id,
            CASE WHEN w.wrapper = 'DIMENSIONS' THEN concat('pub.', CAST(doc_id AS STRING)) END AS dimensions_id,
-           CASE WHEN w.wrapper = 'PUBMED' THEN CAST(doc_id AS STRING) END AS pubmed_id
+           CASE WHEN w.wrapper = 'PUBMED' THEN CAST(doc_id AS STRING) END AS pubmed_id, CAST(NULL AS STRING) AS raw
     FROM letters CROSS JOIN (VALUES ('SCOPUS'), ('DIMENSIONS'), ('PUBMED')) AS w(wrapper)
+    UNION ALL
+    SELECT doc_id, 'OTHER', NULL, NULL, NULL, NULL, NULL, NULL, t FROM letters
     """,
 )
 def prj_unify_payloads(spark, sf_dir):
-    documents = widen(fx.table(spark, sf_dir, "documents")).select(
+    documents = fx.table(spark, sf_dir, "documents").select(
         "doc_id", "source", "lang", F.translate("text", "<>&", "").alias("t"),
         F.concat(F.lit("10.5555/D"), F.col("doc_id").cast("string")).alias("doi"),
         F.concat(F.lit("About "), F.col("source")).alias("title"),
@@ -195,12 +223,13 @@ def prj_unify_payloads(spark, sf_dir):
         F.array(
             *[
                 F.struct(F.lit(name).alias("wrapper"), raw.alias("raw"))
-                for name, raw in (("SCOPUS", scopus), ("DIMENSIONS", dimensions), ("PUBMED", pubmed))
+                for name, raw in (("SCOPUS", scopus), ("DIMENSIONS", dimensions), ("PUBMED", pubmed), ("OTHER", F.col("t")))
             ]
         )
     )
     unified = payloads.unify_all(documents.select("doc_id", cases))
-    return unified.drop("raw", "wos_id")
+    # the payload of a source without adapter is all there is of it
+    return unified.withColumn("raw", F.when(F.col("wrapper") == "OTHER", F.col("raw"))).drop("wos_id")
 
 
 @job(
@@ -293,13 +322,10 @@ def count_function_words(texts: pd.Series, k: int):
             for lang, words in FUNCTION_WORDS.items()
         }
     )
-    total = hits.sum(axis=1) + 1.0
-    labels, scores = [], []
-    for (_, row), n in zip(hits.iterrows(), total):
-        best = sorted(row.items(), key=lambda item: (-item[1], item[0]))[:k]
-        labels.append([lang for lang, _ in best])
-        scores.append([score / n for _, score in best])
-    return labels, scores
+    shares = hits.to_numpy() / (hits.to_numpy().sum(axis=1, keepdims=True) + 1.0)
+    order = np.argsort(-shares, axis=1, kind="stable")[:, :k]  # the columns are in the order of their names
+    names = hits.columns.to_numpy()
+    return names[order].tolist(), np.take_along_axis(shares, order, axis=1).tolist()
 
 
 @job(

@@ -59,6 +59,7 @@ REQUEST = {
     # many works share one placeholder value
     "doi": "CASE WHEN wrapper = 'DIMENSIONS' AND lang = 'es' THEN NULL "
     "WHEN wrapper = 'PUBMED' AND source IN ('src5', 'src9') THEN NULL "
+    "WHEN wrapper = 'WOS' AND source IN ('src11', 'src12') THEN NULL "
     "WHEN wrapper = 'SCOPUS' AND lang = 'de' THEN '10.5555/pending' "
     f"ELSE concat('10.5555/D', {_DOC}) END",
     "pubmed_id": f"CASE WHEN lang = 'en' AND wrapper IN ('PUBMED', 'DIMENSIONS') THEN {_DOC} END",

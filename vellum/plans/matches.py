@@ -200,6 +200,20 @@ def join_works_abstracts(spark, sf_dir):
     return joined.select("doc_id", "title", "abstract", F.col("abstract").isNotNull().alias("found"))
 
 
+@job(
+    "join_works_abstracts_inner",
+    """
+    WITH <<works>>, <<old_works>>
+    SELECT w.doc_id, w.title, o.abstract FROM works w
+    JOIN old_works o ON o.openalex_id = replace(w.id, 'https://openalex.org/', '') WHERE o.abstract IS NOT NULL
+    """,
+)
+def join_works_abstracts_inner(spark, sf_dir):
+    works = fx.works(spark, sf_dir).selectExpr("doc_id", "title", "replace(id, 'https://openalex.org/', '') AS work_id")
+    abstracts = fx.old_works(spark, sf_dir).where(F.col("abstract").isNotNull())
+    return works.join(abstracts, F.col("work_id") == F.col("openalex_id")).select("doc_id", "title", "abstract")
+
+
 @job(
     "join_year_spine",
     """
@@ -280,12 +294,16 @@ def _status(spark, sf_dir):
       SELECT q.queue_id, max(CASE WHEN r.abstract IS NOT NULL THEN 1 ELSE 0 END) AS answered
       FROM queue q JOIN request r ON {MATCH} GROUP BY q.queue_id)
     SELECT CAST(sum(COALESCE(answered, 0)) AS BIGINT) AS n_hit, CAST(sum(1 - COALESCE(answered, 0)) AS BIGINT) AS n_queued,
-           CAST(sum(1 - COALESCE(answered, 0)) AS BIGINT) AS n_missed, CAST(0 AS BIGINT) AS n_added
+           CAST(sum(1 - COALESCE(answered, 0)) AS BIGINT) AS n_missed,
+           count(*) FILTER (WHERE COALESCE(answered, 0) = 0 AND queue_id NOT IN (SELECT doc_id FROM labels)) AS n_added
     FROM queue q LEFT JOIN m USING (queue_id)
     """,
 )
 def agg_lookup_summary(spark, sf_dir):
-    return matching.lookup_summary(_status(spark, sf_dir))
+    # added: missed, and not in the queue before; the labelled documents stand for those that were
+    before = fx.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("queue_id"), F.lit(True).alias("before"))
+    status = _status(spark, sf_dir).join(before, "queue_id", "left")
+    return matching.lookup_summary(status, F.col("missed") & F.col("before").isNull())
 
 
 @job(

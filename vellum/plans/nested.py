@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.functions.text import positions_by_item
@@ -80,7 +80,7 @@ _WORK = {
     "ELSE 'closed' END, 'oa_url', concat('http://example.org/', doc_id), 'any_repository_has_fulltext', false, "
     "'is_oa', source = 'src9') ELSE named_struct('oa_status', CAST(NULL AS STRING), 'oa_url', CAST(NULL AS STRING), "
     "'any_repository_has_fulltext', false, 'is_oa', false) END",
-    "abstract_inverted_index": "map('about', array(0), source, array(1), 'in', array(2), lang, array(3))",
+    "abstract_inverted_index": "abstract_inverted_index",
     "authorships": _lines(_AUTHORSHIP),
     "locations": _lines(_LOCATION),
     "primary_location": f"get({_lines(_LOCATION)}, 0)",
@@ -123,21 +123,26 @@ _WORK = {
 _STAGED: dict[tuple[str, str, str], str] = {}
 
 
-def _staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A derived table, written once per session as a catalogue would hold it, so that scans can prune columns."""
+def stored(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> DataFrame:
+    """A derived table, written once per session as a catalogue would hold it, so that scans can prune and filter."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGED:
         path = scratch_path(spark, name)
-        build().write.parquet(path)
+        write(path)
         _STAGED[key] = path
     return spark.read.parquet(_STAGED[key])
 
 
+def _staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    return stored(spark, sf_dir, name, lambda path: build().write.parquet(path))
+
+
 def nested_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Works with authors, locations, concepts and the rest as nested lists."""
 
     def build() -> DataFrame:
         documents = widen(table(spark, sf_dir, "documents")).withColumn("ls", F.split("text", "\n"))
+        documents = documents.withColumn("abstract_inverted_index", _inverted_text())
         return documents.selectExpr(*[f"{e} AS {name}" for name, e in _WORK.items()])
 
     return _staged(spark, sf_dir, "works", build)
@@ -148,10 +153,35 @@ def inverted_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _staged(spark, sf_dir, "inverted", lambda: _inverted(spark, sf_dir))
 
 
-def _inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _inverted_text() -> Column:
     words = F.regexp_extract_all("text", F.lit(r"[^ \t\r\n]+"), F.lit(0))
-    entries = F.map_from_entries(F.coalesce(positions_by_item(words), F.array().cast(_ENTRIES)))
-    return widen(table(spark, sf_dir, "documents")).select("doc_id", entries.alias("abstract_inverted_index"))
+    return F.map_from_entries(F.coalesce(positions_by_item(words), F.array().cast(_ENTRIES)))
+
+
+def _inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = widen(table(spark, sf_dir, "documents"))
+    return documents.select("doc_id", _inverted_text().alias("abstract_inverted_index"))
+
+
+def torn_works(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inverted abstracts that are not whole: one line is one token, and its position may be far off or taken.
+
+    Lines at places 2, 7, 12, .. stand at the place before theirs, lines at places 4, 9, 14, .. far past the end, so both
+    leave a gap. Equal lines are one token.
+    """
+    return _staged(spark, sf_dir, "torn", lambda: _torn(spark, sf_dir))
+
+
+def _torn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = F.transform(F.split("text", "\n"), lambda line, i: F.struct(
+        F.concat(F.lit("t"), F.length(line).cast("string")).alias("t"),
+        F.when(i % 5 == 2, i - 1).when(i % 5 == 4, i + 100_000).otherwise(i).alias("p"),
+    ))
+    tokens = F.array_distinct(lines["t"])
+    places = F.transform(tokens, lambda t: F.transform(F.filter(lines, lambda x: x["t"] == t), lambda x: x["p"]))
+    return widen(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.map_from_arrays(tokens, places).alias("abstract_inverted_index")
+    )
 
 
 _STATS = "named_struct('yr_mean_citedness', 1.0D, 'h_index', {h}, 'i10_index', {i})"

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vellum.operators import matching, queueing
+from vellum import jobs
+from vellum.operators import queueing
 from vellum.plans import fixtures as fx
 from vellum.plans.matches import MATCH
 from vellum.plans.registry import job
 from vellum.plans.tables import now
+from vellum.session import scratch_path
+from vellum.sources.snapshot import read_id_csv
 
 # What the sources answer: matched by DOI only, some answers too short to be an abstract.
 RESPONSES = {
@@ -186,13 +189,17 @@ def que_batches(spark, sf_dir):
     merged = None
     for source in _CLAUSES:
         waiting = entries.where(F.get("sources", F.lit(0))["source"] == source)
-        batches = queueing.lookup_batches(waiting, source, 25).drop("slice")
+        batches = queueing.lookup_batches(waiting, source, 25)
         merged = batches if merged is None else merged.unionByName(batches)
     return merged
 
 
-def _complete(kinds, answers: str, donors: str, prefix: str) -> tuple[str, str]:
-    """Completion of identifiers step by step, as table expressions."""
+def _complete(kinds, answers: str, donors: str, prefix: str, carried: str = "", same: str = "") -> tuple[str, str]:
+    """Completion of identifiers step by step, as table expressions.
+
+    ``carried`` is one more column that goes through the steps, ``same`` one more condition on a donor.
+    """
+    more = f", r.{carried}" if carried else ""
     steps, previous = [], answers
     for n, kind in enumerate(kinds):
         filled = ", ".join(
@@ -201,8 +208,8 @@ def _complete(kinds, answers: str, donors: str, prefix: str) -> tuple[str, str]:
             for c in kinds
         )
         steps.append(
-            f"{prefix}{n} AS (SELECT r.record_id, {filled} FROM {previous} r LEFT JOIN {donors} q "
-            f"ON q.{kind} = r.{kind} GROUP BY r.record_id, {', '.join('r.' + c for c in kinds)})"
+            f"{prefix}{n} AS (SELECT r.record_id{more}, {filled} FROM {previous} r LEFT JOIN {donors} q "
+            f"ON q.{kind} = r.{kind}{same} GROUP BY r.record_id{more}, {', '.join('r.' + c for c in kinds)})"
         )
         previous = f"{prefix}{n}"
     return ", ".join(steps), previous
@@ -216,15 +223,14 @@ _LAND, _LANDED = _complete(_KINDS, "answers", "queue", "c")
     "que_land",
     f"""
     WITH <<queue>>, {_RESPONSES_CTE},
-    answers AS (SELECT *, CAST(NULL AS BIGINT) AS queue_id FROM responses WHERE wrapper = 'SCOPUS'), {_LAND}
+    answers AS (SELECT *, CAST(NULL AS BIGINT) AS queue_id FROM responses), {_LAND}
     SELECT a.record_id, c.doi, c.openalex_id, c.pubmed_id, c.scopus_id, c.wos_id, c.queue_id,
            CASE WHEN length(a.abstract) >= 1000 THEN a.abstract END AS abstract
     FROM answers a JOIN {_LANDED} c USING (record_id)
     """,
 )
 def que_land(spark, sf_dir):
-    answers = responses(spark, sf_dir).where("wrapper = 'SCOPUS'")
-    landed = queueing.land(answers, fx.queue(spark, sf_dir), min_abstract_length=1000)
+    landed = queueing.land(responses(spark, sf_dir), fx.queue(spark, sf_dir), min_abstract_length=1000)
     return landed.select(
         "record_id", "doi", "openalex_id", "pubmed_id", "scopus_id", "wos_id", "queue_id", "abstract"
     )
@@ -269,70 +275,56 @@ def que_drop_finished(spark, sf_dir):
 
 @job(
     "que_record_misses",
-    """
+    f"""
     WITH <<queue>>, <<request>>
-    SELECT 'PUBMED' AS wrapper, q.openalex_id, q.doi, q.pubmed_id, CAST(NULL AS STRING) AS abstract FROM queue q
-    WHERE NOT EXISTS (SELECT 1 FROM request r WHERE r.wrapper = 'PUBMED' AND r.abstract IS NOT NULL
+    SELECT w.wrapper AS wrapper, q.openalex_id, q.doi, q.pubmed_id, CAST(NULL AS STRING) AS abstract
+    FROM queue q CROSS JOIN (VALUES {_WRAPPER_ROWS}) AS w(k, wrapper)
+    WHERE NOT EXISTS (SELECT 1 FROM request r WHERE r.wrapper = w.wrapper AND r.abstract IS NOT NULL
                       AND (r.doi = q.doi OR r.openalex_id = q.openalex_id OR r.pubmed_id = q.pubmed_id))
     """,
 )
 def que_record_misses(spark, sf_dir):
-    answers = fx.request(spark, sf_dir).where("wrapper = 'PUBMED' AND abstract IS NOT NULL")
-    missed = queueing.record_misses(
-        fx.queue(spark, sf_dir), answers, "queue_id", "PUBMED", now(), ("doi", "openalex_id", "pubmed_id")
-    )
-    return missed.select("wrapper", "openalex_id", "doi", "pubmed_id", "abstract")
-
-
-ROUND_SOURCES, ROUND_BATCH = ("DIMENSIONS", "SCOPUS"), 150
-_CACHE_COLUMNS = "record_id, wrapper, doi, openalex_id, pubmed_id, scopus_id, wos_id, title, abstract, raw"
-
-
-def _turn(n: int, source: str) -> str:
-    """One source's turn as table expressions, from queue{n} and cache{n} to the next ones."""
-    steps, completed = _complete(_KINDS, f"answers{n}", f"asked{n}", f"c{n}_")
-    counted = _COUNTED.format(queue=f"taken{n}", request=f"cache{n}")
-    return f"""
-    taken{n} AS (SELECT * FROM queue{n} WHERE sources[1].source = '{source}'
-                 ORDER BY time_created, queue_id LIMIT {ROUND_BATCH}),
-    counted{n} AS ({counted}),
-    asked{n} AS (SELECT t.* FROM taken{n} t JOIN counted{n} c USING (queue_id) WHERE {_ELIGIBLE.replace("on_conflict", "c.on_conflict")}),
-    answers{n} AS (SELECT r.*, CAST(NULL AS BIGINT) AS queue_id FROM responses r
-                   WHERE r.wrapper = '{source}' AND EXISTS (SELECT 1 FROM asked{n} q WHERE {MATCH})),
-    {steps},
-    landed{n} AS (SELECT a.record_id, a.wrapper, c.doi, c.openalex_id, c.pubmed_id, c.scopus_id, c.wos_id, a.title,
-                         CASE WHEN length(a.abstract) >= 25 THEN a.abstract END AS abstract, a.raw, c.queue_id
-                  FROM answers{n} a JOIN {completed} c USING (record_id)),
-    found{n} AS (SELECT DISTINCT queue_id FROM landed{n} WHERE abstract IS NOT NULL AND queue_id IS NOT NULL),
-    queue{n + 1} AS (
-      SELECT * FROM (
-        SELECT * REPLACE (CASE WHEN queue_id IN (SELECT queue_id FROM found{n})
-                               THEN list_filter(sources, lambda s: s.priority = 1)
-                               WHEN queue_id IN (SELECT queue_id FROM taken{n})
-                               THEN list_filter(sources, lambda s: s.source <> '{source}')
-                               ELSE sources END AS sources) FROM queue{n})
-      WHERE len(sources) > 0),
-    cache{n + 1} AS (SELECT {_CACHE_COLUMNS} FROM cache{n} UNION ALL SELECT {_CACHE_COLUMNS} FROM landed{n})"""
+    queue, request = fx.queue(spark, sf_dir), fx.request(spark, sf_dir).where("abstract IS NOT NULL")
+    kinds, merged = ("doi", "openalex_id", "pubmed_id"), None
+    for source in fx.WRAPPERS:
+        answers = request.where(F.col("wrapper") == source)
+        missed = queueing.record_misses(queue, answers, "queue_id", source, now(), kinds)
+        merged = missed if merged is None else merged.unionByName(missed)
+    return merged.select("wrapper", "openalex_id", "doi", "pubmed_id", "abstract")
+
+
+_TURN, _TURNED = _complete(_KINDS, "answers", "asked", "c", "wrapper", " AND q.sources[1].source = r.wrapper")
 
 
 @job(
-    "que_round",
+    "que_turn",
     f"""
     WITH <<queue>>, <<request>>, {_RESPONSES_CTE}, q AS ({_LISTS}),
-    queue0 AS (SELECT * REPLACE (COALESCE(sources, {_DEFAULT}) AS sources) FROM q),
-    cache0 AS (SELECT {_CACHE_COLUMNS} FROM request),
-    {_turn(0, "DIMENSIONS")}, {_turn(1, "SCOPUS")}
-    SELECT 'queue' AS part, queue_id, {_AS_TEXT} AS content FROM queue2
-    UNION ALL
-    SELECT 'landed', queue_id, concat_ws('|', record_id, doi, openalex_id, wrapper, abstract) FROM landed0
+    waiting AS (SELECT * REPLACE (COALESCE(sources, {_DEFAULT}) AS sources) FROM q),
+    counted AS ({_COUNTED.format(queue="waiting", request="request")}),
+    asked AS (SELECT t.* FROM waiting t JOIN counted c USING (queue_id)
+              WHERE {_ELIGIBLE.replace("on_conflict", "c.on_conflict")}),
+    answers AS (SELECT r.*, CAST(NULL AS BIGINT) AS queue_id FROM responses r
+                WHERE EXISTS (SELECT 1 FROM asked q WHERE q.sources[1].source = r.wrapper AND ({MATCH}))),
+    {_TURN},
+    landed AS (SELECT a.record_id, a.wrapper, c.doi, c.openalex_id, c.queue_id,
+                      CASE WHEN length(a.abstract) >= 25 THEN a.abstract END AS abstract
+               FROM answers a JOIN {_TURNED} c USING (record_id)),
+    found AS (SELECT DISTINCT queue_id FROM landed WHERE abstract IS NOT NULL AND queue_id IS NOT NULL),
+    following AS (
+      SELECT * FROM (
+        SELECT queue_id, CASE WHEN queue_id IN (SELECT queue_id FROM found)
+                              THEN list_filter(sources, lambda s: s.priority = 1)
+                              ELSE list_filter(sources, lambda s: s.source <> sources[1].source) END AS sources
+        FROM waiting)
+      WHERE len(sources) > 0)
+    SELECT 'queue' AS part, queue_id, {_AS_TEXT} AS content FROM following
     UNION ALL
-    SELECT 'landed', queue_id, concat_ws('|', record_id, doi, openalex_id, wrapper, abstract) FROM landed1
+    SELECT 'landed', queue_id, concat_ws('|', record_id, doi, openalex_id, wrapper, abstract) FROM landed
     """,
 )
-def que_round(spark, sf_dir):
-    queue, landed = queueing.run_rounds(
-        fx.queue(spark, sf_dir), fx.request(spark, sf_dir), responses(spark, sf_dir), ROUND_SOURCES, ROUND_BATCH, 1
-    )
+def que_turn(spark, sf_dir):
+    queue, landed = queueing.work_turn(fx.queue(spark, sf_dir), fx.request(spark, sf_dir), responses(spark, sf_dir))
     left = queue.select(
         F.lit("queue").alias("part"), "queue_id", queueing.format_sources(F.col("sources")).alias("content")
     )
@@ -341,3 +333,46 @@ def que_round(spark, sf_dir):
         F.concat_ws("|", "record_id", "doi", "openalex_id", "wrapper", "abstract").alias("content"),
     )
     return left.unionByName(rows)
+
+
+@job(
+    "que_enqueue_range",
+    """
+    WITH <<index>>, <<queue>>, <<request>>
+    SELECT id AS openalex_id, replace(doi, 'https://doi.org/', '') AS doi,
+           CAST(NULL AS STRING) AS sources, 2 AS on_conflict
+    FROM idx
+    WHERE abstract IS NULL AND (created_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'
+                                OR updated_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25')
+      AND id NOT IN (SELECT openalex_id FROM request WHERE abstract IS NOT NULL AND openalex_id IS NOT NULL)
+      AND id NOT IN (SELECT openalex_id FROM queue WHERE openalex_id IS NOT NULL)
+    """,
+)
+def que_enqueue_range(spark, sf_dir):
+    entries = jobs.queue_missing(
+        fx.index(spark, sf_dir), fx.request(spark, sf_dir), fx.queue(spark, sf_dir), "2024-01-05", "2024-01-25", now()
+    )
+    return _text(entries).select("openalex_id", "doi", "sources", "on_conflict")
+
+
+@job(
+    "que_enqueue_file",
+    """
+    WITH <<queue>>, <<request>>, listed AS (
+      SELECT concat('W', CAST(doc_id AS STRING)) AS openalex_id, concat('10.5555/L', CAST(doc_id AS STRING)) AS doi,
+             CASE WHEN toxic = 1 THEN CAST(doc_id AS STRING) END AS pubmed_id FROM labels)
+    SELECT openalex_id, doi, pubmed_id, '[["DIMENSIONS",2],["SCOPUS",2],["PUBMED",2],["WOS",2]]' AS sources FROM listed
+    WHERE openalex_id NOT IN (SELECT openalex_id FROM request WHERE abstract IS NOT NULL AND openalex_id IS NOT NULL)
+      AND openalex_id NOT IN (SELECT openalex_id FROM queue WHERE openalex_id IS NOT NULL)
+    """,
+)
+def que_enqueue_file(spark, sf_dir):
+    root = scratch_path(spark, "listed")
+    number = F.col("doc_id").cast("string")
+    fx.table(spark, sf_dir, "labels").select(
+        F.concat(F.lit("W"), number).alias("openalex_id"), F.concat(F.lit("10.5555/L"), number).alias("doi"),
+        F.when(F.col("toxic") == 1, number).alias("pmid"),
+    ).write.csv(root, header=True)
+    listed = read_id_csv(spark, root)
+    entries = jobs.queue_file(listed, fx.request(spark, sf_dir), fx.queue(spark, sf_dir), now(), queueing.GAP_SOURCES)
+    return _text(entries).select("openalex_id", "doi", "pubmed_id", "sources")

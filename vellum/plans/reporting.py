@@ -102,11 +102,11 @@ _STATS_SQL = """count(*) AS n_total, count(title) AS n_with_title, count(abstrac
     f"""
     WITH <<request>>
     SELECT strftime(date_trunc('day', time_created), '%Y-%m-%d') AS day, {_STATS_SQL}
-    FROM request GROUP BY 1 ORDER BY 1 DESC LIMIT 10
+    FROM request GROUP BY 1
     """,
 )
 def agg_daily_stats(spark, sf_dir):
-    return reports.daily_stats(fx.request(spark, sf_dir), 10).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+    return reports.daily_stats(fx.request(spark, sf_dir)).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 @job("agg_total_stats", f"WITH <<request>> SELECT {_STATS_SQL} FROM request")
@@ -123,7 +123,7 @@ _COLLAPSED = ("doi", "pubmed_id", "scopus_id", "wos_id", "dimensions_id", "title
     + ", ".join(
         f"arg_min({c}, (time_created, record_id)) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _COLLAPSED
     )
-    + " FROM request GROUP BY openalex_id",
+    + " FROM request WHERE openalex_id IS NOT NULL GROUP BY openalex_id",
 )
 def agg_collapse_records(spark, sf_dir):
     return reports.collapse_records(fx.request(spark, sf_dir), _COLLAPSED)
@@ -203,7 +203,7 @@ def agg_date_range(spark, sf_dir):
 def agg_repair_worklist(spark, sf_dir):
     request = fx.request(spark, sf_dir)
     tasks = (
-        reports.repairable(request, "PUBMED").withColumn("task", F.lit("no_work"))
+        reports.repair_worklist(request, "PUBMED").withColumn("task", F.lit("no_work"))
         .unionByName(reports.without_doi(request, "DIMENSIONS").withColumn("task", F.lit("no_doi")))
     )
     listed = tasks.select(

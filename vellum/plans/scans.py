@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vellum.functions.ids import strip_id
+from vellum.operators.documents import with_abstract
 from vellum.operators.upsert import first_seen
 from vellum.plans import fixtures as fx
+from vellum.plans.nested import nested_works
 from vellum.plans.registry import job
 from vellum.session import scratch_path
 from vellum.sources import corpora, snapshot
@@ -19,24 +21,53 @@ def published_snapshot(spark, sf_dir) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PUBLISHED:
         root = scratch_path(spark, "snapshot")
-        works = fx.works(spark, sf_dir).drop("doc_id", "abstract", "abstract_source", "source_id")
-        works.write.partitionBy("updated_date").option("compression", "gzip").json(f"{root}/works")
+        publish(fx.works(spark, sf_dir), root)
         _PUBLISHED[key] = root
     return _PUBLISHED[key]
 
 
+def publish(works, root: str) -> None:
+    """Add works to a snapshot."""
+    rows = works.drop("doc_id", "abstract_source", "source_id")
+    rows.write.mode("append").partitionBy("updated_date").option("compression", "gzip").json(f"{root}/works")
+
+
 @job(
     "src_scan_snapshot",
     """
     WITH <<works>>
-    SELECT concat('W', doc_id) AS id, title, CAST(updated_date AS STRING) AS updated_date FROM works
+    SELECT concat('W', doc_id) AS id, title, abstract, CAST(updated_date AS STRING) AS updated_date FROM works
     """,
 )
 def src_scan_snapshot(spark, sf_dir):
-    records = snapshot.read_snapshot(spark, published_snapshot(spark, sf_dir), schema="id STRING, title STRING")
+    schema = "id STRING, title STRING, abstract STRING"
+    records = snapshot.read_snapshot(spark, published_snapshot(spark, sf_dir), schema=schema)
     good, _ = snapshot.split_corrupt(records)
     return good.select(
-        strip_id(F.col("id")).alias("id"), "title", F.col("updated_date").cast("string").alias("updated_date")
+        strip_id(F.col("id")).alias("id"), "title", "abstract",
+        F.col("updated_date").cast("string").alias("updated_date"),
+    )
+
+
+@job(
+    "src_scan_nested",
+    r"""
+    SELECT concat('W', CAST(doc_id AS STRING)) AS id, split_part(text, chr(10), 1) AS title,
+           NULLIF(array_to_string(regexp_extract_all(text, '[^ \t\r\n]+'), ' '), '') AS abstract,
+           CAST(len(string_split(text, chr(10))) AS INT) AS n_authors, lang AS language,
+           CASE WHEN source NOT IN ('src1', 'src2') THEN source END AS volume,
+           CAST(1990 + n_chars % 36 AS INT) AS publication_year
+    FROM documents
+    """,
+)
+def src_scan_nested(spark, sf_dir):
+    root = scratch_path(spark, "nested")
+    works = nested_works(spark, sf_dir)
+    works.write.partitionBy("updated_date").option("compression", "gzip").json(f"{root}/works")
+    good, _ = snapshot.split_corrupt(snapshot.read_snapshot(spark, root))
+    return with_abstract(good).select(
+        strip_id(F.col("id")).alias("id"), "title", "abstract", F.size("authorships").alias("n_authors"), "language",
+        "biblio.volume", "publication_year",
     )
 
 

@@ -8,6 +8,7 @@ from vellum.functions.text import STOP_WORDS, highlight
 from vellum.operators import reports, search
 from vellum.operators.search import And, AnyOf, Near, Not, Or, Phrase, Term
 from vellum.plans import fixtures as fx
+from vellum.plans.nested import stored
 from vellum.plans.registry import job
 from vellum.session import widen
 
@@ -15,17 +16,26 @@ _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 _INDEXED = f"<<tokens>>, t AS (SELECT * FROM tokens WHERE term NOT IN ({_STOP}))"
 
 
+def _index(spark, sf_dir, name, **options):
+    """A stored index of the texts, written once per session, as every search reads it."""
+
+    def write(path):
+        search.write_index(search.build_postings(widen(fx.table(spark, sf_dir, "documents")), "doc_id", "text", **options), path)
+
+    return stored(spark, sf_dir, name, write)
+
+
 def postings(spark, sf_dir):
-    return search.scan_postings(widen(fx.table(spark, sf_dir, "documents")), "doc_id", "text")
+    return _index(spark, sf_dir, "index")
 
 
 def full_postings(spark, sf_dir):
-    """Postings with the stop words in, which make the longest lists."""
-    return search.scan_postings(widen(fx.table(spark, sf_dir, "documents")), "doc_id", "text", stop_words=())
+    """With the stop words in, which make the longest lists."""
+    return _index(spark, sf_dir, "index_full", stop_words=())
 
 
-def whole_index(spark, sf_dir):
-    return search.build_postings(widen(fx.table(spark, sf_dir, "documents")), "doc_id", "text")
+def stems(spark, sf_dir):
+    return _index(spark, sf_dir, "index_stems", stop_words=(), stemmed=True)
 
 
 @job(
@@ -36,7 +46,7 @@ def whole_index(spark, sf_dir):
     """,
 )
 def txt_postings(spark, sf_dir):
-    return whole_index(spark, sf_dir).select("doc_id", "term", F.array_join("positions", ",").alias("positions"))
+    return postings(spark, sf_dir).select("doc_id", "term", F.array_join("positions", ",").alias("positions"))
 
 
 @job(
@@ -179,7 +189,7 @@ def txt_hits_per_year(spark, sf_dir):
     """,
 )
 def txt_term_stats(spark, sf_dir):
-    return search.term_statistics(whole_index(spark, sf_dir))
+    return search.term_statistics(postings(spark, sf_dir))
 
 
 @job(
@@ -194,9 +204,29 @@ def txt_term_stats(spark, sf_dir):
 )
 def set_union_hits(spark, sf_dir):
     works = fx.works(spark, sf_dir)
-    titles = search.scan_postings(works, "doc_id", "title", stop_words=())
-    abstracts = search.scan_postings(works, "doc_id", "abstract", stop_words=())
-    return search.search(titles, Term("by")).union(search.search(abstracts, Term("ent"))).distinct()
+    parts = {}
+    for column, word in (("title", "by"), ("abstract", "ent")):
+        built = search.build_postings(works, "doc_id", column, stop_words=())
+        index = stored(spark, sf_dir, f"index_{column}", lambda path, built=built: search.write_index(built, path))
+        parts[column] = search.search(index, Term(word))
+    return parts["title"].union(parts["abstract"]).distinct()
+
+
+_STEM = """regexp_replace(regexp_replace(regexp_replace({t}, 'sses$', 'ss'), 'ies$', 'i'), '([^s])s$', '\\1')"""
+
+
+@job(
+    "txt_stemmed",
+    f"""
+    WITH <<tokens>>, plain AS (SELECT doc_id, {_STEM.format(t="term")} AS stem FROM tokens),
+    bare AS (SELECT doc_id, stem, regexp_replace(stem, '([aeiouy].*)(ing|ed)$', '\\1') AS b FROM plain),
+    cut AS (SELECT doc_id, CASE WHEN b <> stem AND right(b, 2) IN ('bb','dd','ff','gg','mm','nn','pp','rr','tt')
+                                THEN left(b, length(b) - 1) ELSE b END AS s FROM bare)
+    SELECT DISTINCT doc_id FROM cut WHERE s IN ('ention', 'onat')
+    """,
+)
+def txt_stemmed(spark, sf_dir):
+    return search.search(stems(spark, sf_dir), Or((Term("entions", stemmed=True), Term("onating", stemmed=True))))
 
 
 @job(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vellum.functions.ids import strip_id
 from vellum.plans import fixtures as fx
 from vellum.plans.registry import ORACLES, job
-from vellum.plans.scans import published_snapshot
+from vellum.plans.scans import publish
 from vellum.plans.tables import now
 from vellum.session import scratch_path
 from vellum.sources.writers import append_batch, read_log
@@ -18,22 +18,31 @@ from vellum.streaming import incremental
     "str_snapshot_incremental",
     """
     WITH <<works>>
-    SELECT concat('W', doc_id) AS id, title, CAST(updated_date AS STRING) AS updated_date FROM works
+    SELECT concat('W', doc_id) AS id, title, abstract, CAST(updated_date AS STRING) AS updated_date FROM works
     """,
 )
 def str_snapshot_incremental(spark, sf_dir):
     root = scratch_path(spark, "ingest")
+    # older states of the works come in files of their own, after the newer ones
+    publish(fx.works(spark, sf_dir), root)
+    stale = fx.works(spark, sf_dir).where("lang <> 'fr'").withColumns(
+        {"updated_date": F.date_sub("updated_date", 7), "title": F.lit("stale"), "abstract": F.lit("stale")}
+    )
+    publish(stale, root)
     records = incremental.stream_snapshot(
-        spark, published_snapshot(spark, sf_dir), "work", "id STRING, title STRING", maxFilesPerTrigger="20"
+        spark, root, "work", "id STRING, title STRING, abstract STRING", maxFilesPerTrigger="20"
     )
 
     def shape(rows):
         return rows.select(
-            strip_id(F.col("id")).alias("id"), "title", F.col("updated_date").cast("string").alias("updated_date")
+            strip_id(F.col("id")).alias("id"), "title", "abstract",
+            F.col("updated_date").cast("string").alias("updated_date"),
         )
 
     incremental.start_ingest(records, "id", f"{root}/log", f"{root}/checkpoint", shape).awaitTermination()
-    return read_log(spark, f"{root}/log", "id STRING, title STRING, updated_date STRING", "id")
+    return read_log(
+        spark, f"{root}/log", "id STRING, title STRING, abstract STRING, updated_date STRING", "id", order=("updated_date",)
+    )
 
 
 @job(
@@ -50,7 +59,11 @@ def str_daily_update(spark, sf_dir):
     update = fx.update(spark, sf_dir)
     # the index as it was, and the changes as one folder per day
     append_batch(index, f"{root}/index", -1)
-    update.withColumn("day", F.col("updated_date")).write.partitionBy("day").parquet(f"{root}/changes")
+    stale = update.where("is_xpac").withColumns(
+        {"updated_date": F.date_sub("updated_date", 20), "title": F.lit("stale"), "abstract": F.lit(None).cast("string")}
+    )
+    for rows in (update, stale):  # older states of some works arrive last
+        rows.withColumn("day", F.col("updated_date")).write.mode("append").partitionBy("day").parquet(f"{root}/changes")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in update.schema.fields)
     changes = (
         spark.readStream.schema(f"{schema}, day DATE").option("maxFilesPerTrigger", "2").parquet(f"{root}/changes")
@@ -58,7 +71,7 @@ def str_daily_update(spark, sf_dir):
     incremental.start_daily_update(
         changes, f"{root}/index", f"{root}/queue", f"{root}/checkpoint", now()
     ).awaitTermination()
-    rows = read_log(spark, f"{root}/index", f"{schema}, title_abstract STRING, abstract_date TIMESTAMP_NTZ", "id")
+    rows = read_log(spark, f"{root}/index", f"{schema}, title_abstract STRING, abstract_date TIMESTAMP_NTZ", "id", order=("updated_date",))
     queued = spark.read.schema("openalex_id STRING, doi STRING, time_created TIMESTAMP_NTZ, batch BIGINT").parquet(
         f"{root}/queue"
     )

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vellum.operators import flatten, matching, payloads, upsert
-from vellum.operators import reports
+from vellum import jobs
+from vellum.operators import flatten, matching, payloads, reports, upsert
 from vellum.plans import fixtures as fx
 from vellum.plans.nested import nested_works
 from vellum.plans.registry import job
-from vellum.sources import writers
+from vellum.session import scratch_path
+from vellum.sources import snapshot, writers
 
 
 def now():
@@ -131,46 +132,88 @@ def snk_merge_any_id(spark, sf_dir):
     return matching.merge_any_id(existing, incoming, "record_id", ["time_created", "record_id"])
 
 
+# How many rows of each owned table a work has.
+_OWNED = """sized AS (
+      SELECT doc_id, i, line <> '' AS filled,
+             len(list_filter(string_split_regex(line, '[.] '), lambda s: s <> '')) AS n_inst FROM lines),
+    owned AS (
+      SELECT 'works' AS part, doc_id, 1 AS n FROM documents
+      UNION ALL SELECT unnest(['works_authorships', 'works_concepts', 'works_locations', 'works_topics',
+                               'works_references', 'works_related']), doc_id, count(*) FROM sized GROUP BY doc_id
+      UNION ALL SELECT 'works_sdgs', doc_id, count(*) FROM sized WHERE filled GROUP BY doc_id
+      UNION ALL SELECT 'works_authorship_institutions', doc_id, CAST(sum(n_inst) AS BIGINT) FROM sized
+                GROUP BY doc_id HAVING sum(n_inst) > 0)"""
+
+
+def _per_work(tables):
+    """Rows per table and work, for every table a work owns."""
+    merged = None
+    for name, column in upsert.OWNED_TABLES["work"].items():
+        counted = tables[name].groupBy(F.col(column).alias("work_id")).agg(F.count(F.lit(1)).alias("n"))
+        counted = counted.withColumn("part", F.lit(name))
+        merged = counted if merged is None else merged.unionByName(counted)
+    return merged.select("part", "work_id", "n")
+
+
 @job(
     "del_merged_ids",
-    """
-    WITH <<index>>, <<merged_ids>>
-    SELECT id, title FROM idx WHERE id NOT IN (SELECT id FROM merged_ids)
+    f"""
+    WITH <<lines>>, <<merged_ids>>, {_OWNED}
+    SELECT part, concat('W', CAST(doc_id AS STRING)) AS work_id, n FROM owned
+    WHERE concat('W', CAST(doc_id AS STRING)) NOT IN (SELECT id FROM merged_ids)
     """,
 )
 def del_merged_ids(spark, sf_dir):
-    works = fx.index(spark, sf_dir).select(F.col("id").alias("work_id"), "title")
-    left = upsert.delete_merged({"works": works}, fx.merged_ids(spark, sf_dir), "work")["works"]
-    return left.select(F.col("work_id").alias("id"), "title")
+    root = scratch_path(spark, "merges")
+    log = fx.merged_ids(spark, sf_dir)
+    log.write.option("compression", "gzip").csv(f"{root}/merged_ids/works", header=True)
+    tables = flatten.flatten_works(nested_works(spark, sf_dir))
+    return _per_work(upsert.delete_merged(tables, snapshot.read_merge_log(spark, root), "work"))
 
 
 @job(
     "del_cascade",
-    """
-    WITH <<lines>>, <<update>>, gone AS (SELECT substr(id, 2) AS id FROM upd)
-    SELECT 'works_authorships' AS part, concat('W', doc_id) AS work_id,
-           CASE WHEN line <> '' THEN concat('A', length(line)) END AS other_id
-    FROM lines WHERE CAST(doc_id AS STRING) NOT IN (SELECT id FROM gone)
-    UNION ALL
-    SELECT 'works_references', concat('W', doc_id), concat('W', length(line))
-    FROM lines WHERE CAST(doc_id AS STRING) NOT IN (SELECT id FROM gone)
+    f"""
+    WITH <<lines>>, <<update>>, {_OWNED}
+    SELECT part, concat('W', CAST(doc_id AS STRING)) AS work_id, n FROM owned
+    WHERE concat('W', CAST(doc_id AS STRING)) NOT IN (SELECT id FROM upd)
     """,
 )
 def del_cascade(spark, sf_dir):
     tables = flatten.flatten_works(nested_works(spark, sf_dir))
-    kept = upsert.delete_entity(
-        {t: tables[t] for t in ("works_authorships", "works_references")}, fx.update(spark, sf_dir), "work"
+    return _per_work(upsert.delete_entity(tables, fx.update(spark, sf_dir), "work"))
+
+
+@job(
+    "upd_replace_entity",
+    f"""
+    WITH <<lines>>, {_OWNED}, changed AS (SELECT doc_id FROM labels WHERE quality = 1)
+    SELECT part, concat('W', CAST(doc_id AS STRING)) AS work_id, n, CAST(NULL AS STRING) AS title FROM owned
+    WHERE part <> 'works' AND (part NOT IN ('works_authorships', 'works_authorship_institutions')
+                               OR doc_id NOT IN (SELECT doc_id FROM changed))
+    UNION ALL
+    SELECT 'works_authorships', concat('W', CAST(doc_id AS STRING)), 1, NULL FROM changed
+    UNION ALL
+    SELECT 'works_authorship_institutions', concat('W', CAST(doc_id AS STRING)), n_inst, NULL FROM sized
+    WHERE i = 0 AND n_inst > 0 AND doc_id IN (SELECT doc_id FROM changed)
+    UNION ALL
+    SELECT 'works', concat('W', CAST(doc_id AS STRING)), 1,
+           concat(CASE WHEN doc_id IN (SELECT doc_id FROM changed) THEN 'New ' ELSE '' END, split_part(text, chr(10), 1))
+    FROM documents
+    """,
+)
+def upd_replace_entity(spark, sf_dir):
+    works = nested_works(spark, sf_dir)
+    changed = fx.table(spark, sf_dir, "labels").where("quality = 1").select(
+        F.concat(F.lit("https://openalex.org/W"), F.col("doc_id").cast("string")).alias("id")
     )
-    return (
-        kept["works_authorships"]
-        .select(F.lit("works_authorships").alias("part"), "work_id", F.col("author_id").alias("other_id"))
-        .unionByName(
-            kept["works_references"].select(
-                F.lit("works_references").alias("part"), F.col("src_work_id").alias("work_id"),
-                F.col("trgt_work_id").alias("other_id"),
-            )
-        )
+    records = works.join(changed, "id", "left_semi").withColumns(
+        {"title": F.concat(F.lit("New "), F.col("title")), "authorships": F.slice("authorships", 1, 1)}
     )
+    following = jobs.update_tables(flatten.flatten_works(works), records, "work")
+    counts = _per_work(following).where("part <> 'works'").withColumn("title", F.lit(None).cast("string"))
+    titles = following["works"].select(F.lit("works").alias("part"), "work_id", F.lit(1).cast("bigint").alias("n"), "title")
+    return counts.unionByName(titles)
 
 
 @job(
@@ -202,6 +245,9 @@ def upd_reset_written(spark, sf_dir):
     """
     WITH <<request>>
     SELECT record_id, CASE WHEN doi IS NOT NULL THEN doi
+                           WHEN wrapper = 'WOS' AND raw IS NOT NULL
+                                THEN concat(CASE WHEN strpos(raw, 'openalexworkID') > 0 THEN '10.5555/S' ELSE '10.5555/R' END,
+                                            CAST(record_id // 4 AS STRING))
                            WHEN wrapper = 'PUBMED' AND strpos(raw, '"doi"') > 0
                                 THEN concat('10.5555/P', CAST(record_id // 4 AS STRING)) END AS doi
     FROM request

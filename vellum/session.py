@@ -68,9 +68,5 @@ def cut_lineage(df: DataFrame, name: str = "state") -> DataFrame:
 
 
 def widen(df: DataFrame) -> DataFrame:
-    """Spread a scan with fewer tasks than cores (one large row group, a gzip file) before heavy per-row work.
-
-    A table that already has enough tasks is returned as it is, without a shuffle.
-    """
-    cores, tasks = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
-    return df.repartition(min(cores, 32 * tasks)) if tasks < cores else df
+    """Spread rows over ``spark.sql.shuffle.partitions`` tasks, for a source that cannot be split (one row group, gzip)."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -56,10 +56,11 @@ def read_log(
     key: str,
     before: int | None = None,
     only: DataFrame | None = None,
+    order: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The state a log describes: per key the row of the latest batch (below ``before``).
+    """The state a log describes: per key the row that is last in ``order``, then by batch (below ``before``).
 
-    ``schema`` is that of the rows; batches not asked for are pruned as partitions. ``only`` holds the keys
+    Files may arrive out of order, so a table of dated records is ordered by their date. ``schema`` is that of the rows; batches not asked for are pruned as partitions. ``only`` holds the keys
     wanted: other rows are dropped before the latest ones are picked.
     """
     spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(
@@ -70,7 +71,7 @@ def read_log(
         log = log.where(F.col("batch") < before)
     if only is not None:
         log = log.join(only.select(key), key, "left_semi")
-    return first_per_key(log, [key], ["batch"], last=True).drop("batch")
+    return first_per_key(log, [key], [*order, "batch"], last=True).drop("batch")
 
 
 def hit_list(hits: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Incremental jobs as Structured Streaming queries.
 
 Every batch writes its own folder of a table's log and nothing else; a repeated batch overwrites itself. The
-state of a table is the latest row per key, and a batch only sees folders of earlier batches.
+state of a table is the row per key with the latest date, of equal dates the one that came last, since files need not arrive
+in the order of their records. A batch only sees folders of earlier batches.
 """
 
 from __future__ import annotations
@@ -52,7 +53,8 @@ def start_daily_update(
     """Daily changes: put updated works into the index without losing abstracts, queue those that lack one.
 
     The log at ``index_log`` holds the index, its first batch below 0. Only documents of updated ids are looked at
-    and written.
+    and written. An update older than its document is left out. Every work that an update shows without abstract is
+    queued, also where the old abstract was kept or the work is known: picking entries tells those apart.
     """
     schema = ", ".join(
         f"{f.name} {f.dataType.simpleString()}" for f in updates.schema.fields if f.name != "batch"
@@ -61,13 +63,17 @@ def start_daily_update(
 
     def write(batch: DataFrame, number: int) -> None:
         order = F.struct("updated_date", F.xxhash64(*[c for c in batch.columns if c != "id"]))
-        latest = first_per_key(batch.where(F.col("id").isNotNull()), ["id"], [order], last=True).persist()
-        before = read_log(batch.sparkSession, index_log, schema, "id", before=number, only=latest)
+        given = first_per_key(batch.where(F.col("id").isNotNull()), ["id"], [order], last=True).persist()
+        latest = given
+        before = read_log(batch.sparkSession, index_log, schema, "id", before=number, only=latest, order=("updated_date",))
+        newer = before.select("id", F.col("updated_date").alias("_known"))
+        latest = latest.join(newer, "id", "left").where(F.coalesce(F.col("updated_date") >= F.col("_known"), F.lit(True)))
+        latest = latest.drop("_known")
         append_batch(updated_documents(before, latest, now), index_log, number)
         lacking = latest.where(F.col("abstract").isNull() & F.col("doi").isNotNull())
         entries = lacking.select(F.col("id").alias("openalex_id"), "doi", now.alias("time_created"))
         append_batch(entries, queue_log, number)
-        latest.unpersist()
+        given.unpersist()
 
     return (
         updates.writeStream.foreachBatch(write)
