@@ -184,3 +184,17 @@ LOCATION = "struct<source:struct<id:string,display_name:string>,pdf_url:string,v
 def test_is_primary(spark, location, primary, expected):
     row = spark.createDataFrame([(location, primary)], f"l {LOCATION}, p {LOCATION}")
     assert row.select(documents.is_primary(F.col("l"), F.col("p"))).first()[0] is expected
+
+
+def test_ids_past_32_bits(spark):
+    rows = spark.createDataFrame([("https://openalex.org/W4394000000",), ("https://openalex.org/W",), ("https://openalex.org/Wx",)], "id string")
+    found = rows.select(ids.parse_id(F.col("id"), "https://openalex.org/W").alias("n")).collect()
+    assert [r["n"] for r in found] == [4394000000, None, None]
+
+
+@pytest.mark.parametrize(
+    ("raw", "plain"),
+    [("ế Ấ ơ", "e A o"), ("Łódź", "Lodz"), ("Θωμᾶς Ξένος ψ", "Thomas Xenos ps"), ("Журнал Ещё Юг", "Zhurnal Eshchio Iug"), ("漢 plain", "漢 plain"), ("Straße", "Strasse")],
+)
+def test_letters_in_ascii(spark, raw, plain):
+    assert spark.range(1).select(ids.fold_ascii(F.lit(raw))).first()[0] == plain

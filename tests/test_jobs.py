@@ -164,3 +164,66 @@ def test_flatten_survives_empty_records(spark, entity):
     assert set(tables) and entity in FLATTENERS
     for name, table in tables.items():
         assert table.count() <= 1, name
+
+
+def test_the_newest_record_wins_in_whatever_order_batches_come(spark):
+    from vellum.session import scratch_path
+    from vellum.sources.writers import append_batch, read_log
+
+    root = scratch_path(spark, "log")
+    for batch, day, title in ((0, "2024-01-02", "b"), (1, "2024-01-03", "newest"), (2, "2024-01-01", "stale"), (3, "2024-01-03", "again")):
+        append_batch(spark.createDataFrame([("W1", day, title)], "id string, updated_date string, title string"), root, batch)
+    state = {"key": "id", "order": ("updated_date",)}
+    schema = "id STRING, updated_date STRING, title STRING"
+    assert [r["title"] for r in read_log(spark, root, schema, **state).collect()] == ["again"]
+    assert [r["title"] for r in read_log(spark, root, schema, before=3, **state).collect()] == ["newest"]
+
+
+def test_a_limit_counts_new_entries_only(spark):
+    from vellum import jobs
+    from vellum.operators import queueing as q
+
+    index = spark.createDataFrame(
+        [(f"W{i}", None, f"10.1/{i}", "2024-01-05", "2024-01-05") for i in range(6)],
+        "id string, abstract string, doi string, created_date string, updated_date string",
+    )
+    request = spark.createDataFrame([("W0", "known"), ("W1", "known"), ("W2", "known")], "openalex_id string, abstract string")
+    queue = spark.createDataFrame([], f"queue_id bigint, openalex_id string, sources {q.SOURCES_TYPE}")
+    now = F.lit(datetime(2024, 1, 1))
+    found = jobs.queue_missing(index, request, queue, "2024-01-01", "2024-01-31", now, limit=2)
+    assert [r["openalex_id"] for r in found.orderBy("openalex_id").collect()] == ["W3", "W4"]
+    assert jobs.queue_missing(index, request, queue, "2024-01-01", "2024-01-31", now).count() == 3
+
+
+def test_payloads_without_adapter_stay(spark):
+    from vellum.operators import payloads
+
+    rows = spark.createDataFrame([(1, "SCOPUS", '{"eid":"x"}'), (2, "WOS", "w"), (3, None, "n")], "id int, wrapper string, raw string")
+    found = {r["id"]: (r["wrapper"], r["scopus_id"], r["raw"]) for r in payloads.unify_all(rows).collect()}
+    assert found == {1: ("SCOPUS", "x", '{"eid":"x"}'), 2: ("WOS", None, "w"), 3: (None, None, "n")}
+
+
+def test_records_without_work_are_not_collapsed(spark):
+    from vellum.operators import reports
+
+    rows = spark.createDataFrame(
+        [(1, None, "a", 1), (2, None, "b", 2), (3, "W1", None, 1), (4, "W1", "c", 2)], "record_id int, openalex_id string, title string, time_created int"
+    )
+    assert [tuple(r) for r in reports.collapse_records(rows, ["title"]).collect()] == [("W1", "c")]
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    from vellum.operators import reports
+
+    ids = spark.range(5000).withColumn("id", F.col("id").cast("string"))
+    first = [r["id"] for r in reports.seeded_sample(ids, "id", 700, 5).collect()]
+    assert first == [r["id"] for r in reports.seeded_sample(ids.repartition(13), "id", 700, 5).collect()]
+    assert len(set(first)) == 700 and reports.seeded_sample(ids, "id", 9000, 5).count() == 5000
+
+
+def test_group_counts_are_spread(spark):
+    from vellum.operators import reports
+
+    rows = spark.range(1000).withColumn("k", F.when(F.col("id") > 300, "hot").when(F.col("id") > 10, F.col("id").cast("string")))
+    found = reports.with_group_count(rows, "k").groupBy("k").agg(F.max("n").alias("n"), F.count("*").alias("m")).collect()
+    assert all(r["n"] == r["m"] for r in found) and len(found) == 292

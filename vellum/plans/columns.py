@@ -232,39 +232,58 @@ def prj_unify_payloads(spark, sf_dir):
     return unified.withColumn("raw", F.when(F.col("wrapper") == "OTHER", F.col("raw"))).drop("wos_id")
 
 
+# A place and an author of the nested works as JSON text without null fields.
+_SOURCE_JSON = """concat('"source":{"id":"https://openalex.org/S', length(line) % 50, '","display_name":"source ', length(line) % 50,
+             '","host_organization":"https://openalex.org/P', lang, '","host_organization_name":"host ', lang,
+             '","host_organization_lineage":["https://openalex.org/P', lang, '"],"is_in_doaj":false,"is_oa":',
+             source = 'src9', ',"issn":["1234-5678"],"issn_l":"1234-5678","type":"journal"},')"""
+_LOCATION_JSON = f"""concat('{{"is_oa":', source = 'src9', ',"is_primary":', is_primary,
+             ',"landing_page_url":"http://example.org/', doc_id, '/', i, '",', CASE WHEN line <> '' THEN {_SOURCE_JSON} ELSE '' END,
+             CASE WHEN length(line) % 3 > 0 THEN concat('"pdf_url":"pdf', length(line) % 3, '",') ELSE '' END,
+             '"version":"publishedVersion"}}')"""
+_INSTITUTION_JSON = """concat('{"id":"https://openalex.org/I', length(s), '","display_name":"institution ', length(s),
+             '","country_code":"', upper(lang), '","type":"education"}')"""
+_AUTHOR_JSON = f"""concat('{{"author":{{', CASE WHEN line = '' THEN '' ELSE concat('"id":"https://openalex.org/A', length(line), '",') END,
+             '"display_name":"name ', length(line), '"}},"author_position":"',
+             CASE WHEN i = 0 THEN 'first' WHEN i = n_lines - 1 THEN 'last' ELSE 'middle' END, '","countries":["', upper(lang),
+             '"],"institutions":[', array_to_string(list_transform(list_filter(string_split_regex(line, '[.] '), lambda s: s <> ''),
+               lambda s: {_INSTITUTION_JSON}), ','), '],"is_corresponding":', i = 0, ',"raw_affiliation_string":', to_json(line),
+             ',"raw_affiliation_strings":[', to_json(line), '],"raw_author_name":', to_json(split_part(line, ' ', 1)), '}}')"""
+
+
 @job(
     "prj_work_to_document",
-    """
-    WITH <<lines>>, per AS (
-      SELECT doc_id, count(*) AS n,
-             string_agg(concat('{"author":{', CASE WHEN line = '' THEN '' ELSE concat('"id":"https://openalex.org/A',
-               CAST(length(line) AS STRING), '",') END, '"display_name":"name ', CAST(length(line) AS STRING),
-               '"},"author_position":"', CASE WHEN i = 0 THEN 'first' WHEN i = n_lines - 1 THEN 'last' ELSE 'middle' END,
-               '","is_corresponding":', CASE WHEN i = 0 THEN 'true' ELSE 'false' END, '}'), ',' ORDER BY i) AS a
-      FROM lines GROUP BY doc_id)
-    SELECT concat('W', CAST(doc_id AS STRING)) AS id, split_part(text, chr(10), 1) AS title,
-           concat('[', a, ']') AS authorships,
+    rf"""
+    WITH <<lines>>, keyed AS (
+      SELECT l.*, l.line <> '' AND p.line <> '' AND length(l.line) % 50 = length(p.line) % 50
+                  AND length(l.line) % 3 = length(p.line) % 3 AS is_primary
+      FROM lines l JOIN lines p ON p.doc_id = l.doc_id AND p.i = 0),
+    per AS (
+      SELECT doc_id, concat('[', string_agg({_AUTHOR_JSON}, ',' ORDER BY i), ']') AS authorships,
+             concat('[', string_agg({_LOCATION_JSON}, ',' ORDER BY i), ']') AS locations
+      FROM keyed GROUP BY doc_id),
+    d AS (SELECT *, split_part(text, chr(10), 1) AS title,
+                 NULLIF(array_to_string(regexp_extract_all(text, '[^ \t\r\n]+'), ' '), '') AS abstract FROM documents)
+    SELECT concat('W', CAST(doc_id AS STRING)) AS id, title, abstract, concat(title, ' ', COALESCE(abstract, '')) AS title_abstract,
+           authorships,
            CASE WHEN source IN ('src1', 'src2') THEN NULL
-                ELSE concat('{"volume":"', source, '","first_page":"', CAST(n_chars AS STRING), '"}') END AS biblio,
-           CAST(n_chars AS INT) AS cited_by_count, CAST(doc_id AS STRING) AS mag,
+                ELSE concat('{{"volume":"', source, '","first_page":"', CAST(n_chars AS STRING), '"}}') END AS biblio,
+           CAST(n_chars AS INT) AS cited_by_count, '2024-01-01T10:00:00' AS created_date,
+           concat('https://doi.org/10.5555/D', doc_id) AS doi, CAST(doc_id AS STRING) AS mag, CAST(NULL AS STRING) AS pmid,
+           CAST(NULL AS STRING) AS pmcid,
            CASE WHEN source = 'src4' THEN NULL ELSE concat('["', source, '","', lang, '"]') END AS indexed_in,
-           source = 'src9' AS is_oa, lang AS language,
-           CASE WHEN split_part(text, chr(10), 1) = '' THEN NULL ELSE concat('host ', lang) END AS publisher,
-           CAST(1990 + n_chars % 36 AS INT) AS publication_year
-    FROM documents JOIN per USING (doc_id)
+           source = 'src9' AS is_oa, false AS is_paratext, source = 'src13' AS is_retracted, false AS is_published,
+           true AS is_accepted, lang AS language, CASE WHEN title = '' THEN NULL ELSE concat('host ', lang) END AS publisher,
+           CASE WHEN title = '' THEN NULL ELSE concat('https://openalex.org/P', lang) END AS publisher_id, locations,
+           '2024-01-01' AS publication_date, CAST(1990 + n_chars % 36 AS INT) AS publication_year, 'article' AS type,
+           '2024-02-01' AS updated_date, source = 'src6' AS is_xpac,
+           CASE WHEN abstract IS NOT NULL THEN 'OpenAlex' END AS abstract_source, CAST(NULL AS STRING) AS abstract_date
+    FROM d JOIN per USING (doc_id)
     """,
 )
 def prj_work_to_document(spark, sf_dir):
-    slim = nested_works(spark, sf_dir)
-    people = F.transform(
-        "authorships",
-        lambda a: F.struct(a["author"].alias("author"), a["author_position"].alias("author_position"),
-                           a["is_corresponding"].alias("is_corresponding")),
-    )
-    return docs.to_documents(slim.withColumn("authorships", people)).select(
-        "id", "title", "authorships", "biblio", "cited_by_count", "mag", "indexed_in", "is_oa", "language",
-        "publisher", "publication_year",
-    )
+    documents = docs.to_documents(nested_works(spark, sf_dir))
+    return documents.withColumn("abstract_date", F.col("abstract_date").cast("string"))
 
 
 @job(
@@ -294,7 +313,8 @@ def prj_primary_location(spark, sf_dir):
                                source, '"}'), ',' ORDER BY i) FILTER (WHERE line <> '') AS g,
              string_agg(concat('{"is_major_topic":', CASE WHEN i = 0 THEN 'true' ELSE 'false' END,
                                ',"descriptor_ui":"D', CAST(length(line) AS STRING),
-                               '","descriptor_name":null,"qualifier_ui":null,"qualifier_name":null}'),
+                               '","descriptor_name":"', lang, '","qualifier_ui":"Q', CAST(i AS STRING),
+                               '","qualifier_name":null}'),
                         ',' ORDER BY i) AS m
       FROM lines GROUP BY doc_id)
     SELECT concat('W', CAST(doc_id AS STRING)) AS work_id, concat('[', g, ']') AS grants_json,

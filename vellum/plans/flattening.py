@@ -226,7 +226,8 @@ def flt_taxonomy(spark, sf_dir):
       SELECT doc_id, concat('[', string_agg(concat('{"funder":"F', length(line),
                '","funder_display_name":null,"award_id":"', source, '"}'), ',' ORDER BY i) FILTER (WHERE line <> ''), ']') AS grants,
              concat('[', string_agg(concat('{"is_major_topic":', CASE WHEN i = 0 THEN 'true' ELSE 'false' END,
-               ',"descriptor_ui":"D', length(line), '","descriptor_name":null,"qualifier_ui":null,"qualifier_name":null}'),
+               ',"descriptor_ui":"D', length(line), '","descriptor_name":"', lang, '","qualifier_ui":"Q', i,
+               '","qualifier_name":null}'),
                ',' ORDER BY i), ']') AS mesh, bool_or(line <> '') AS funded
       FROM lines GROUP BY doc_id)
     SELECT concat('W', doc_id) AS work_id, split_part(text, chr(10), 1) AS title,
@@ -307,30 +308,34 @@ def flt_parents_v0(spark, sf_dir):
     """
     WITH <<lines>>
     SELECT 'host' AS part, concat('W', doc_id) AS work_id, concat('S', length(line) % 50) AS other_id,
-           concat('http://example.org/', doc_id, '/0') AS url, source = 'src9' AS flag FROM lines
+           concat('http://example.org/', doc_id, '/0') AS url, source = 'src9' AS flag, 'publishedVersion' AS version,
+           CAST(NULL AS STRING) AS license, CAST(NULL AS STRING) AS name, CAST(NULL AS STRING) AS qualifier FROM lines
     WHERE i = 0 AND line <> ''
     UNION ALL
-    SELECT 'alternate', concat('W', doc_id), concat('V', length(line)), concat('http://example.org/v/', i), i = 0
-    FROM lines WHERE line <> ''
+    SELECT 'alternate', concat('W', doc_id), concat('V', length(line)), concat('http://example.org/v/', i), i = 0,
+           NULL, lang, NULL, NULL FROM lines WHERE line <> ''
     UNION ALL
-    SELECT 'mesh', concat('W', doc_id), concat('D', length(line)), NULL, i = 0 FROM lines
+    SELECT 'mesh', concat('W', doc_id), concat('D', length(line)), NULL, i = 0, NULL, NULL, lang, concat('Q', i) FROM lines
     UNION ALL
-    SELECT 'referenced', concat('W', doc_id), concat('W', length(line)), NULL, NULL FROM lines
+    SELECT 'referenced', concat('W', doc_id), concat('W', length(line)), NULL, NULL, NULL, NULL, NULL, NULL FROM lines
     """,
 )
 def flt_host_venues(spark, sf_dir):
     tables = flatten.works_v0(nested_works(spark, sf_dir))
 
-    def part(name, table, other, url=None, flag=None):
-        return tables[table].select(
-            F.lit(name).alias("part"), "work_id", F.col(other).alias("other_id"),
-            (F.col(url) if url else F.lit(None).cast("string")).alias("url"),
-            (F.col(flag) if flag else F.lit(None).cast("boolean")).alias("flag"),
-        )
+    venue = {"other_id": "venue_id", "url": "url", "flag": "is_oa", "version": "version", "license": "license"}
+    heading = {"other_id": "descriptor_ui", "flag": "is_major_topic", "name": "descriptor_name", "qualifier": "qualifier_ui"}
+
+    def part(name, table, columns):
+        def value(target):
+            return F.col(columns[target]) if target in columns else F.lit(None).cast("boolean" if target == "flag" else "string")
+
+        names = ("other_id", "url", "flag", "version", "license", "name", "qualifier")
+        return tables[table].select(F.lit(name).alias("part"), "work_id", *[value(n).alias(n) for n in names])
 
     return (
-        part("host", "works_host_venues", "venue_id", "url", "is_oa")
-        .unionByName(part("alternate", "works_alternate_host_venues", "venue_id", "url", "is_oa"))
-        .unionByName(part("mesh", "works_mesh", "descriptor_ui", None, "is_major_topic"))
-        .unionByName(part("referenced", "works_referenced_works", "referenced_work_id"))
+        part("host", "works_host_venues", venue)
+        .unionByName(part("alternate", "works_alternate_host_venues", venue))
+        .unionByName(part("mesh", "works_mesh", heading))
+        .unionByName(part("referenced", "works_referenced_works", {"other_id": "referenced_work_id"}))
     )

@@ -101,7 +101,7 @@ _WORK = {
     ),
     "mesh": _lines(
         "named_struct('is_major_topic', i = 0, 'descriptor_ui', concat('D', length(line)), "
-        "'descriptor_name', CAST(NULL AS STRING), 'qualifier_ui', CAST(NULL AS STRING), "
+        "'descriptor_name', lang, 'qualifier_ui', concat('Q', i), "
         "'qualifier_name', CAST(NULL AS STRING))"
     ),
     "grants": _lines(

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from vellum.functions.ids import strip_id
 from vellum.operators.documents import with_abstract
+from vellum.operators.flatten import flatten_works
 from vellum.operators.upsert import first_seen
 from vellum.plans import fixtures as fx
 from vellum.plans.nested import nested_works
 from vellum.plans.registry import job
 from vellum.session import scratch_path
-from vellum.sources import corpora, snapshot
+from vellum.sources import corpora, snapshot, writers
 
 _PUBLISHED: dict[tuple[str, str], str] = {}
 
@@ -175,7 +176,9 @@ def src_id_list(spark, sf_dir):
     "src_source_dump",
     """
     SELECT 'DIMENSIONS' AS wrapper, concat('pub.', doc_id) AS dimensions_id, concat('10.5555/D', doc_id) AS doi,
-           CASE WHEN lang <> 'de' THEN CAST(doc_id AS STRING) END AS pubmed_id, source AS title, text AS abstract
+           CASE WHEN lang <> 'de' THEN CAST(doc_id AS STRING) END AS pubmed_id, source AS title, text AS abstract,
+           concat('{"id":"pub.', doc_id, '","doi":"10.5555/D', doc_id, '","pmid":', CASE WHEN lang = 'de' THEN '"NaN"'
+                  ELSE concat(doc_id, '.0') END, ',"title":"', source, '","abstract":', to_json(text), '}') AS raw
     FROM documents
     """,
 )
@@ -187,7 +190,7 @@ def src_source_dump(spark, sf_dir):
         "source AS title",
         "text AS abstract",
     )
-    return corpora.source_dump(dump).drop("raw")
+    return corpora.source_dump(dump)
 
 
 @job(
@@ -199,6 +202,14 @@ def src_source_dump(spark, sf_dir):
            '2024-01-02 03:04:05' AS updated_date
     FROM documents
     UNION ALL
+    SELECT 's2.s2orc', CAST(doc_id AS STRING), concat('10.5555/D', doc_id), text, NULL, NULL,
+           concat('{"license":"', lang, '"}'), '2024-01-02 03:04:05' FROM documents
+    UNION ALL
+    SELECT 's2.tldrs', CAST(doc_id AS STRING), NULL, split_part(text, chr(10), 1), NULL, NULL, 'model one', NULL FROM documents
+    UNION ALL
+    SELECT 's2.authors', CAST(c_custkey AS STRING), NULL, c_name, CAST(c_nationkey AS INT), NULL,
+           concat('["', c_mktsegment, '"]'), '2024-01-02 03:04:05' FROM customer
+    UNION ALL
     SELECT 's2.abstracts', CAST(doc_id AS STRING), concat('10.5555/D', doc_id), text, NULL, NULL, NULL,
            '2024-01-02 03:04:05' FROM documents
     UNION ALL
@@ -256,7 +267,65 @@ def src_json_to_typed(spark, sf_dir):
         F.lit("core.works").alias("target"), F.col("core_id").alias("key_id"), "doi", "title", "publication_year",
         F.col("full_text_available").alias("flag"), "authors",
     )
-    return papers.unionByName(abstracts, allowMissingColumns=True).unionByName(works, allowMissingColumns=True)
+    full = F.struct(
+        F.col("doc_id").alias("corpusid"), F.struct(F.col("doi").alias("doi")).alias("externalids"),
+        F.struct(
+            F.struct(F.struct(F.col("lang").alias("license")).alias("oainfo")).alias("source"), F.col("text").alias("text")
+        ).alias("content"),
+        moment,
+    )
+    texts = table("s2.s2orc", full).select(
+        F.lit("s2.s2orc").alias("target"), F.col("corpus_id").alias("key_id"), "doi", F.col("full_text").alias("title"),
+        F.col("open_access_metadata").alias("authors"), stamp,
+    )
+    summary = F.struct(F.col("doc_id").alias("corpusid"), F.lit("model one").alias("model"), F.col("title").alias("text"))
+    summaries = table("s2.tldrs", summary).select(
+        F.lit("s2.tldrs").alias("target"), F.col("corpus_id").alias("key_id"), F.col("summary").alias("title"),
+        F.col("model").alias("authors"),
+    )
+    person = F.struct(
+        F.col("c_custkey").alias("authorid"), F.col("c_name").alias("name"), F.array("c_mktsegment").alias("aliases"),
+        F.col("c_nationkey").alias("papercount"), moment,
+    )
+    people = fx.table(spark, sf_dir, "customer").select(F.to_json(person).alias("value"))
+    authors = corpora.json_to_table(people, "s2.authors").select(
+        F.lit("s2.authors").alias("target"), F.col("author_id").alias("key_id"), F.col("name").alias("title"),
+        F.col("paper_count").alias("publication_year"), F.col("aliases").alias("authors"), stamp,
+    )
+    merged = papers
+    for part in (abstracts, works, texts, summaries, authors):
+        merged = merged.unionByName(part, allowMissingColumns=True)
+    return merged
+
+
+@job(
+    "snk_csv_tables",
+    """
+    WITH <<lines>>
+    SELECT 'works_references' AS part, concat('W', doc_id) AS first_id, concat('W', length(line)) AS second_id,
+           CAST(NULL AS STRING) AS listed FROM lines
+    UNION ALL
+    SELECT 'works_authorships', concat('W', doc_id), CASE WHEN line <> '' THEN concat('A', length(line)) END,
+           concat('{', upper(lang), '}') FROM lines
+    """,
+)
+def snk_csv_tables(spark, sf_dir):
+    root = scratch_path(spark, "csv")
+    tables = flatten_works(nested_works(spark, sf_dir))
+    authorships = tables["works_authorships"].select("work_id", "author_id", "countries")
+    written = {"works_references": tables["works_references"], "works_authorships": authorships}
+    writers.write_tables(written, root, "csv")
+    edges = spark.read.option("header", "true").csv(f"{root}/works_references")
+    people = spark.read.option("header", "true").csv(f"{root}/works_authorships")
+    return edges.select(
+        F.lit("works_references").alias("part"), F.col("src_work_id").alias("first_id"),
+        F.col("trgt_work_id").alias("second_id"), F.lit(None).cast("string").alias("listed"),
+    ).unionByName(
+        people.select(
+            F.lit("works_authorships").alias("part"), F.col("work_id").alias("first_id"),
+            F.col("author_id").alias("second_id"), F.col("countries").alias("listed"),
+        )
+    )
 
 
 @job(
