@@ -1,10 +1,12 @@
 """Byte-level BPE encoding and decoding in linear time.
 
-Bytes are mapped to Latin-1 characters, so that an Aho-Corasick automaton over the vocabulary finds all tokens of a string.
-A string is encoded from the left by its longest matching token; the next token must be compatible with the one before, that
+Bytes are mapped to Latin-1 characters, so that the trie of an Aho-Corasick automaton over the vocabulary finds how far tokens
+reach from a place of a string. A string is encoded from the left by its longest matching token; the next token must be compatible with the one before, that
 is, merging the bytes of the two must give back exactly these two tokens. Where no token is compatible, the last choice goes
 back to its next shorter token, and a position that failed is not tried again. As an encoding is the one that merging gives
-if and only if all neighbours are compatible, the result equals the merges'; compatibility is memoised by token pair.
+if and only if all neighbours are compatible, the result equals the merges'; compatibility is memoised by token pair. It is found
+without merging: the tokens next to the border grow in the order of their ranks, and the pair is incompatible if the two of
+some moment would merge before either grows.
 
 The text is split by the vocabulary's pattern first. Words that are tokens themselves are encoded as such. Encodings of
 words are kept in a table of bounded size in each Python worker, which never changes a result.
@@ -28,7 +30,8 @@ from pyspark.sql import DataFrame
 from vellum.llm.common import text_slices, texts
 
 KEPT_WORDS = 400_000
-KEPT_PAIRS = 2_000_000
+KEPT_PAIRS = 1_000_000
+NEVER = 1 << 40
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -42,80 +45,127 @@ class ByteBpe:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.bytes = ranks, {v: k for k, v in ranks.items()}
+        self.sizes = {v: len(k) for k, v in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.automaton = ahocorasick.Automaton()
-        for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token), rank))
-        self.automaton.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.whole: dict[int, bool] = {}
+        for token in ranks:
+            self.automaton.add_word(token.decode("latin-1"), len(token))
+        self.longest = max(map(len, ranks), default=0)
+        # of each token the longest shorter one that it begins with, of each beginning of a token the longest token in it
+        self.shorter: dict[int, int | None] = {}
+        self.deepest: dict[bytes, int | None] = {}
+        for token, rank in sorted(ranks.items()):
+            inside = None
+            for i in range(1, len(token)):
+                inside = ranks.get(token[:i], inside)
+                self.deepest[token[:i]] = inside
+            self.deepest[token], self.shorter[rank] = rank, inside
+        self.pairs: dict[int, bool] = {}
+        self.edges: tuple[dict[int, list[int]], dict[int, list[int]]] = ({}, {})
+        self.pieces: dict[str, tuple[int, str, bytes]] = {}
+        self.older: dict[str, tuple[int, str, bytes]] = {}
         self.words: dict[str, tuple[int, str, bytes]] = {}
 
-    def merge(self, data: bytes) -> list[int]:
-        """The merges themselves, on the few bytes of one or two tokens."""
+    def merge(self, data: bytes, stop: int = 1) -> list[int]:
+        """The merges themselves, on the few bytes of a token, until ``stop`` parts are left."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 40), i) for i in range(len(parts) - 1))
-            if rank == 1 << 40:
+        while len(parts) > stop:
+            rank, at = min((self.ranks.get(parts[i] + parts[i + 1], NEVER), i) for i in range(len(parts) - 1))
+            if rank == NEVER:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
-    def stands(self, token: int) -> bool:
-        """Whether merging a token's own bytes gives the token."""
-        known = self.whole.get(token)
+    def edge(self, token: int, side: int) -> list[int]:
+        """The tokens at the left (0) or right (1) end of a token while its bytes merge, smallest first."""
+        known = self.edges[side].get(token)
         if known is None:
-            known = self.whole[token] = self.merge(self.bytes[token]) == [token]
+            halves = self.merge(self.bytes[token], stop=2)
+            known = [token] if len(halves) < 2 else [*self.edge(halves[-side], side), token]
+            self.edges[side][token] = known
         return known
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the bytes of two tokens gives these two again."""
-        key = (left, right)
+        key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= KEPT_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merge(self.bytes[left] + self.bytes[right]) == [left, right]
+            known = self.pairs[key] = self.meet(self.edge(left, 1), self.edge(right, 0))
         return known
 
+    def meet(self, left: list[int], right: list[int]) -> bool:
+        """Whether two growing edges never merge with each other. Of equal merges the left one comes first."""
+        i = j = 0
+        while True:
+            across = self.ranks.get(self.bytes[left[i]] + self.bytes[right[j]], NEVER)
+            grow_left = left[i + 1] if i + 1 < len(left) else NEVER
+            grow_right = right[j + 1] if j + 1 < len(right) else NEVER
+            if across < grow_left and across <= grow_right and across != NEVER:
+                return False
+            if grow_left == grow_right == NEVER:
+                return True
+            if grow_left <= grow_right:
+                i += 1
+            else:
+                j += 1
+
     def encode_piece(self, data: bytes) -> list[int]:
         """Ids of one match of the pattern."""
         own = self.ranks.get(data)
         if own is not None:
             return [own]
-        n = len(data)
-        starting: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, (length, rank) in self.automaton.iter(data.decode("latin-1")):
-            starting[end - length + 1].append((length, rank))  # shorter tokens come first at each start
+        text, n, longest = data.decode("latin-1"), len(data), self.longest
+        reach, deepest, shorter, sizes, known = self.automaton.longest_prefix, self.deepest, self.shorter, self.sizes, self.pairs
         failed: set[tuple[int, int]] = set()
         ids: list[int] = []
-        at, choice = 0, len(starting[0]) - 1
-        choices: list[int] = []
-        while at < n:
-            while choice >= 0:
-                length, rank = starting[at][choice]
-                if (rank, at + length) not in failed and self.stands(rank) and (not ids or self.compatible(ids[-1], rank)):
-                    break
-                choice -= 1
-            if choice >= 0:
-                ids.append(rank)
-                choices.append(choice)
-                at += length
-                choice = len(starting[at]) - 1 if at < n else -1
+        at, last = 0, -1
+        token = deepest[data[: reach(text[:longest])]]
+        while True:
+            while token is not None:
+                if last < 0 or (known.get(last << 32 | token) or self.compatible(last, token)):
+                    if not failed or (token, at + sizes[token]) not in failed:
+                        break
+                token = shorter[token]
+            if token is not None:
+                ids.append(token)
+                last = token
+                at += sizes[token]
+                if at == n:
+                    return ids
+                token = deepest[data[at : at + reach(text[at : at + longest])]]
             else:  # nothing fits after the last token: take the next shorter one in its place
-                last = ids.pop()
+                ids.pop()
                 failed.add((last, at))
-                at -= len(self.bytes[last])
-                choice = choices.pop() - 1
-        return ids
+                at -= sizes[last]
+                token, last = shorter[last], ids[-1] if ids else -1
 
-    def word(self, word: str) -> tuple[int, str, bytes]:
-        """Of one run without clean breaks: number of ids, the ids as text with a space after each, the decoded bytes."""
-        known = self.words.get(word)
+    def piece(self, piece: str) -> tuple[int, str, bytes]:
+        """Of one match of the pattern: number of ids, the ids as text with a space after each, the decoded bytes."""
+        known = self.pieces.get(piece)
         if known is None:
-            ids = [i for piece in self.pattern.findall(word) for i in self.encode_piece(piece.encode())]
+            known = self.older.get(piece)
+            if known is not None:
+                self.pieces[piece] = known
+                return known
+            if len(self.pieces) >= KEPT_WORDS:  # what the last generation did not use is forgotten
+                self.older, self.pieces = self.pieces, {}
+            ids = self.encode_piece(piece.encode())
             known = (len(ids), "".join([f"{i} " for i in ids]), b"".join([self.bytes[i] for i in ids]))
-            if len(word) < 64:
+            if len(piece) < 64:
+                self.pieces[piece] = known
+        return known
+
+    def word(self, word: str) -> tuple[int, str, bytes]:
+        """The same of a run without clean breaks."""
+        known = self.words.get(word) or self.pieces.get(word)
+        if known is None:
+            parts = [self.piece(p) for p in self.pattern.findall(word)]
+            if len(parts) == 1:
+                return parts[0]
+            known = (sum([p[0] for p in parts]), "".join([p[1] for p in parts]), b"".join([p[2] for p in parts]))
+            if len(word) < 24:
                 if len(self.words) >= KEPT_WORDS:
                     self.words.clear()
                 self.words[word] = known
