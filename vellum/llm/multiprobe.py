@@ -8,7 +8,7 @@ costs, cheapest first. The candidates of all visited buckets of all tables are r
 
 How many buckets a query visits is fitted: on a bounded sample the least number is taken with which the sample's own
 nearest neighbours are found often enough. A denser table only brings neighbours nearer, which makes them easier to find.
-A query that meets fewer candidates than it wants visits every bucket of one table, which is exact.
+A query that meets fewer candidates than it wants then visits every cell of one table's buckets, which is exact.
 
 Buckets are dealt to tasks by hash, hot ones in salted parts; a task keeps only the best candidates of each query, so neither
 buckets nor pairs are written out.
@@ -156,16 +156,20 @@ def hashed_rows(rows: DataFrame, hasher: Hasher, query: bool, limit: int) -> Dat
     return rows.mapInArrow(run, f"id {kind}, table int, key long")
 
 
-def ranked(visits: DataFrame, index: DataFrame, queries: DataFrame, rows: DataFrame, config: ProbeConfig) -> DataFrame:
+def cell_of(part: str, config: ProbeConfig) -> Column:
+    """The cell to which a part of a bucket belongs."""
+    return F.pmod(F.xxhash64(part), F.lit(config.cells)).cast("int")
+
+
+def ranked(asked: DataFrame, index: DataFrame, queries: DataFrame, rows: DataFrame, config: ProbeConfig) -> DataFrame:
     """(q, id, score): for each task and query the best candidates of the visited parts of buckets.
 
-    ``visits`` is (q, part), ``index`` (id, part); parts are dealt to cells, cells to tasks.
+    ``asked`` is (cell, q, parts), where no parts means the whole cell, ``index`` (id, part); cells are dealt to tasks.
     """
-    cell = F.pmod(F.xxhash64("part"), F.lit(config.cells)).cast("int").alias("cell")
-    kept = index.select(cell, "id", F.col("part")).join(rows, "id")
+    kept = index.select(cell_of("part", config).alias("cell"), "id", "part").join(rows, "id")
     kept = kept.select("cell", F.lit(0).alias("kind"), "id", F.array("part").alias("parts"), "vector")
-    asked = visits.select(cell, "q", "part").groupBy("cell", "q").agg(F.collect_set("part").alias("parts"))  # at most one per probe
-    asked = asked.join(queries.select(F.col("id").alias("q"), "vector"), "q").select("cell", F.lit(1).alias("kind"), F.col("q").alias("id"), "parts", "vector")
+    asked = asked.join(queries.select(F.col("id").alias("q"), "vector"), "q")
+    asked = asked.select("cell", F.lit(1).alias("kind"), F.col("q").alias("id"), "parts", "vector")
     both = kept.unionByName(asked).repartition("cell").sortWithinPartitions("cell", "kind", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,11 +204,14 @@ def ranked(visits: DataFrame, index: DataFrame, queries: DataFrame, rows: DataFr
                     cell_ids, cell_vectors = np.array(ids)[order], np.array(vectors)[order]
                     edge = np.flatnonzero(np.diff(sorted_parts)) + 1
                     starts = {sorted_parts[a]: (a, b) for a, b in zip([0, *edge], [*edge, len(order)], strict=True)}
-                spans = [starts[p] for p in parts[i] if p in starts]
-                if not spans:
-                    continue
-                at = np.concatenate([np.arange(a, b) for a, b in spans])
+                if parts[i] is None:
+                    at = np.arange(len(order))
+                else:
+                    spans = [starts[p] for p in parts[i] if p in starts]
+                    at = np.concatenate([np.arange(a, b) for a, b in spans]) if spans else np.zeros(0, np.int64)
                 at = at[cell_ids[at] != who[i]]
+                if not len(at):
+                    continue
                 rough = cell_vectors[at] @ flat[i]
                 if len(at) > config.wanted:
                     floor = np.partition(rough, len(at) - config.wanted)[len(at) - config.wanted]
@@ -249,13 +256,15 @@ def nearest(table: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     own = F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")
     visits = hashed_rows(queries, hasher, query=True, limit=limit).join(counts, ["table", "key"])
     visits = visits.select(F.col("id").alias("q"), "table", "key", own).select("q", part(F.col("salt")))
-    found = write_shared(ranked(visits, parts, queries, rows, config), "found")
+    # at most as many parts as probes
+    asked = visits.groupBy(cell_of("part", config).alias("cell"), "q").agg(F.collect_set("part").alias("parts"))
+    found = write_shared(ranked(asked, parts, queries, rows, config), "found")
 
     enough = found.select("q", "id").distinct().groupBy("q").count().filter(F.col("count") >= min(config.wanted, max(0, facts["n"] - 1)))
     poor = queries.join(enough.select(F.col("q").alias("id")), "id", "left_anti").select("id", "vector")
     whole = parts.filter(F.col("table") == 0)
-    cells = whole.select("part").distinct()
-    every = poor.select(F.col("id").alias("q"), F.lit(0).alias("table")).join(cells.withColumn("table", F.lit(0)), "table").select("q", "part")
+    cells = F.explode(F.sequence(F.lit(0), F.lit(config.cells - 1))).alias("cell")
+    every = poor.select(cells, F.col("id").alias("q"), F.lit(None).cast("array<bigint>").alias("parts"))
     exact = ranked(every, whole, poor, rows, config)
     order = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     best = found.union(exact).groupBy("q", "id").agg(F.max("score").alias("score"))
