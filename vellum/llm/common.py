@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +55,20 @@ def text_slices(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[tuple[li
         yield batch.column("id").slice(lo, hi - lo).to_pylist(), column.slice(lo, hi - lo).to_pylist()
 
 
+def kept_rows(docs: DataFrame, judged: Callable[[list[str]], list[bool]], text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose whole text is judged worth keeping; nothing is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(text_col).fill_null("")
+            lengths = pc.binary_length(column).to_pylist()
+            for lo, hi in slices(lengths, 1 << 20):
+                good = judged(column.slice(lo, hi - lo).to_pylist())
+                yield batch.slice(lo, hi - lo).filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def byte_windows(encoded: list[bytes], width: int, pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Cut byte strings into windows of ``width`` bytes, zero-filled, plus ``pad`` zero bytes.
 

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import byte_windows, text_slices, texts
+from vellum.llm.common import byte_windows, kept_rows, text_slices, texts
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -139,6 +139,19 @@ class ByteCnn:
         )
 
 
+def keep_recognised(docs: DataFrame, model: ByteCnn | None, least: float, text_col: str = "text") -> DataFrame:
+    """The documents whose language is recognised with at least this score; none without a model."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def judged(rows: list[str]) -> list[bool]:
+        if shared.value is None:
+            return [False] * len(rows)
+        labels, scores = shared.value.predict(rows)
+        return [label != UNKNOWN and score >= least for label, score in zip(labels, scores, strict=True)]
+
+    return kept_rows(docs, judged, text_col)
+
+
 def training_windows(labelled: DataFrame, config: LanguageConfig) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """A bounded sample of labelled documents, equally many of each label as far as there are, cut to a few windows."""
     counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}

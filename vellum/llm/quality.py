@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import byte_windows, text_slices, texts
+from vellum.llm.common import byte_windows, kept_rows, text_slices, texts
 
 PAIRS = 512
 SHAPE = 3
@@ -187,3 +187,9 @@ def score_quality(docs: DataFrame, model: GatedMil, id_col: str = "doc_id", text
                 )
 
     return texts(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, score double")
+
+
+def keep_good(docs: DataFrame, model: GatedMil, least: float, text_col: str = "text") -> DataFrame:
+    """The documents with at least this score."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return kept_rows(docs, lambda rows: (shared.value.score(rows) >= least).tolist(), text_col)
