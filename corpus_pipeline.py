@@ -6,35 +6,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.llm.common import fold, read_table, write_shared
-from vellum.llm.language import UNKNOWN, fit_language, identify_language
+from vellum.llm.language import fit_language, keep_recognised
 from vellum.llm.neardup import near_duplicates
 from vellum.llm.packing import pack, word_length
-from vellum.llm.quality import fit_quality, score_quality
+from vellum.llm.quality import fit_quality, keep_good
 
 #: A document below these scores is rejected.
 LANGUAGE, QUALITY = 0.4, 0.5
 
 
-def keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is in ``ids``, with their own columns."""
-    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select(docs.columns)
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters and those whose language is not recognised."""
-    found = identify_language(docs, fit_language(docs, where=fold("doc_id", 4) != 2))
-    return keep(docs, found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LANGUAGE)))
+    return keep_recognised(docs, fit_language(docs, where=fold("doc_id", 4) != 2), LANGUAGE)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of low quality."""
     model = fit_quality(docs, read_table(spark, sf_dir, "labels"), where=fold("doc_id", 4) != 2)
-    return keep(docs, score_quality(docs, model).filter(F.col("score") >= QUALITY))
+    return keep_good(docs, model, QUALITY)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each near-duplicate class."""
-    return keep(docs, near_duplicates(docs).filter("doc_id = class_id")).dropDuplicates(["doc_id"])
+    """Keep the document with the smallest id of each near-duplicate class, repeated rows once.
+
+    A document without id stays if no other document has its text.
+    """
+    ids = near_duplicates(docs).filter("doc_id = class_id").select("doc_id").distinct()
+    kept = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    known = docs.filter("doc_id IS NOT NULL").select(digest.alias("digest"))
+    nameless = docs.filter("doc_id IS NULL").withColumn("digest", digest)
+    nameless = nameless.join(known, "digest", "left_anti").dropDuplicates(["digest"])
+    return kept.unionByName(nameless.select(docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
