@@ -35,10 +35,27 @@ def test_near_dedup_keeps_one_of_each_group(spark):
     base = [prose(i, 80) for i in range(6)]
     docs = documents(spark, [*base, *base, *[edited(t, i, 0.01) for i, t in enumerate(base)], None, "", "  "])
     kept = collected(corpus_pipeline.near_dedup(spark, docs, SF))
-    assert [r.doc_id for r in kept] == [3 * i for i in range(6)] + [54, 60]
+    assert [r.doc_id for r in kept] == [None, *[3 * i for i in range(6)], 54, 60]
     assert kept[0].asDict().keys() == set(docs.columns)
 
 
+def test_a_document_without_id_stays_once(spark):
+    docs = documents(spark, ["one text", "another"])
+    extra = docs.filter("doc_id IS NULL")
+    copy = docs.filter("doc_id = 0").withColumn("doc_id", F.lit(None).cast("long"))
+    kept = corpus_pipeline.near_dedup(spark, docs.unionByName(extra).unionByName(copy), SF)
+    assert [(r.doc_id, r.text) for r in collected(kept)] == [(None, "a text without id"), (0, "one text"), (3, "another")]
+
+
+def test_filters_keep_rows_as_they_are(spark):
+    docs = documents(spark)
+    for name, stage in corpus_pipeline.STAGES[:2]:
+        kept = stage(spark, docs, SF)
+        assert kept.schema == docs.schema and kept.exceptAll(docs).count() == 0, name
+    plan = corpus_pipeline.language(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
 def test_stages_take_awkward_and_empty_tables(spark):
     for docs in (documents(spark), documents(spark, [])):
         for _, stage in corpus_pipeline.STAGES:
