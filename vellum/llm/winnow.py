@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class WinnowConfig:
-    """gram: bytes hashed together. window: hashes of which the smallest is chosen. buckets: ranges of ids, at least."""
+    """gram: bytes hashed together. window: hashes of which the smallest is chosen. ranges: ranges of ids for each shuffle partition."""
 
     gram: int = 12
     window: int = 32
-    buckets: int = 64
+    ranges: int = 4
 
 
 def gram_hashes(text: Column, config: WinnowConfig) -> Column:
@@ -74,6 +74,38 @@ def fingerprint(text: Column, config: WinnowConfig | None = None) -> Column:
     return hashes[0]
 
 
+def marks_between(data: Column, lo: Column, hi: Column, config: WinnowConfig) -> Column:
+    """The marks of bytes ``data`` at the positions lo to hi, from no more bytes than can have a say in them."""
+    reach = config.window - 1
+    start = F.greatest(lo - reach, F.lit(0))
+    stop = F.least(hi + reach + config.gram, F.octet_length(data))
+    part = fingerprint(F.substring(data, start + 1, F.greatest(stop - start, F.lit(0))), config)
+    moved = F.transform(part, lambda m: moved_by(m, start))
+    return F.when(lo <= hi, F.filter(moved, lambda m: m["position"].between(lo, hi))).otherwise(F.slice(moved, 1, 0))
+
+
+def moved_by(mark: Column, by: Column) -> Column:
+    return F.struct(mark["hash"].alias("hash"), (mark["position"] + by).cast("int").alias("position"))
+
+
+def joined_marks(data: Column, a: Column, b: Column, marks: Column, next_marks: Column, config: WinnowConfig) -> Column:
+    """The fingerprint of ``data``, which is the first a bytes of one text and then the first b bytes of another.
+
+    Away from the seam and from the end, a mark depends on the hashes of one text only, so it is a mark of that text; only
+    the positions around the seam and at the end are looked at anew.
+    """
+    gram, window = config.gram, config.window
+    last = F.greatest(F.octet_length(data) - gram, F.lit(0))
+    first_end = a - gram - window + 1  # last position that sees the first text only
+    lo, hi = F.lit(window - 1), b - gram - window + 1  # the same in the second text
+    some = lo <= hi
+    seam = marks_between(data, F.greatest(first_end + 1, F.lit(0)), F.when(some, a + window - 2).otherwise(last), config)
+    end = marks_between(data, F.when(some, a + hi + 1).otherwise(last + 1), last, config)
+    first = F.filter(marks, lambda m: m["position"] <= first_end)
+    second = F.transform(F.filter(next_marks, lambda m: m["position"].between(lo, hi)), lambda m: moved_by(m, a))
+    return F.concat(first, seam, second, end)
+
+
 def written(marks: Column) -> Column:
     """A fingerprint as text: the last eight hexadecimal digits of the hash and the position of each mark."""
 
@@ -115,8 +147,8 @@ def edited_fingerprints(
     """
     config = config or WinnowConfig()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    parts = max(config.buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = rows.withColumn("bucket", id_ranges(rows.select("id"), parts))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = rows.withColumn("bucket", id_ranges(rows.select("id"), config.ranges * parts))
 
     some = F.when(F.bool_and(F.col("id").isNotNull()), F.min("id"))  # a missing id comes first
     least = ranged.groupBy("bucket").agg(some.alias("least"))  # one row for each range
@@ -133,9 +165,20 @@ def edited_fingerprints(
     led = led.join(after, "bucket")
     following = F.coalesce("next", "after")
     half = F.floor(F.char_length("text") / 2).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), F.char_length("text") - half), F.substring(following, F.lit(1), half))
-    both = led.withColumn("next_marks", F.coalesce("next_marks", F.when(F.col("next").isNull(), fingerprint(F.col("after"), config))))
-    both = both.withColumn("edited", edited).withColumn("edited_marks", fingerprint(F.col("edited"), config))
+    both = led.withColumns(
+        {
+            "next_marks": F.coalesce("next_marks", F.when(F.col("next").isNull(), fingerprint(F.col("after"), config))),
+            "kept": F.substring("text", F.lit(1), F.char_length("text") - half),
+            "taken": F.substring(following, F.lit(1), half),
+        }
+    )
+    both = both.withColumn("edited", F.concat("kept", "taken"))
+    a, b = F.octet_length("kept"), F.octet_length("taken")
+    edited_marks = F.transform(
+        F.array(F.col("edited").cast("binary")),
+        lambda data: joined_marks(data, a, b, F.col("marks"), F.col("next_marks"), config),
+    )[0]
+    both = both.withColumn("edited_marks", edited_marks)
     return both.select(
         F.col("id").alias("doc_id"),
         F.char_length("text").cast("long").alias("n_chars"),
