@@ -8,8 +8,10 @@ probability of their weighted Jaccard similarity; bands of samples are the bucke
 
 Equal texts are one class before anything else. Links between different texts are found in two passes over the buckets:
 first every text against the smallest id of each of its buckets, then, in buckets that still hold several classes, all
-texts of different classes whose samples agree often enough. Every candidate pair is verified on the whole texts. Classes
-are the connected components of the verified links.
+texts of different classes. Each text comes there once and the candidates are verified on the spot, so that not even a
+large group of merely similar texts makes pairs that have to be moved. A pair is a candidate if at least ``agree`` of its samples are equal, which 999 of 1000 pairs of
+just sufficient similarity are and few pairs that only share a passage, and if the total weights allow the similarity at all.
+Every candidate pair is verified on the whole texts. Classes are the connected components of the verified links.
 
 No group is collected: buckets are aggregated to their smallest id, hot leaders are salted, hot buckets are cut into
 blocks that meet pairwise.
@@ -34,6 +36,10 @@ from vellum.llm.common import slices, text_slices, texts, write_shared
 from vellum.llm.shingles import U, buckets, mix, weighted_sets, words
 
 
+#: Room for rounding when total weights are compared.
+SLACK = 1e-6
+
+
 @dataclass(frozen=True)
 class NearDupConfig:
     """similarity: least weighted Jaccard of a link. table: buckets of hashed words for document frequencies."""
@@ -44,9 +50,10 @@ class NearDupConfig:
     rows: int = 4
     table: int = 1 << 18
     variates: int = 1 << 14
-    agree: int = 36
+    agree: int = 42
     salt: int = 256
-    block: int = 1024
+    block: int = 512
+    sent: int = 1 << 20
     seed: int = 5
 
     @property
@@ -117,7 +124,7 @@ class Sampler:
 
 
 def signatures(docs: DataFrame, idf: np.ndarray, config: NearDupConfig) -> DataFrame:
-    """(id, h1, h2, samples, keys): the text's 128-bit hash, its samples and band keys (empty without words)."""
+    """(id, h1, h2, weight, samples, keys): the text's 128-bit hash and total weight, its samples and band keys (empty without words)."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)  # config.table numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,14 +140,15 @@ def signatures(docs: DataFrame, idf: np.ndarray, config: NearDupConfig) -> DataF
                         pa.array(ids, batch.schema.field("id").type),
                         pa.array(digest[:, 0]),
                         pa.array(digest[:, 1]),
+                        pa.array(np.diff(np.concatenate([[0.0], np.cumsum(w)])[at])),
                         pa.array([x[0] if x else [] for x in drawn], pa.list_(pa.int32())),
                         pa.array([x[1] if x else [] for x in drawn], pa.list_(pa.int64())),
                     ],
-                    ["id", "h1", "h2", "samples", "keys"],
+                    ["id", "h1", "h2", "weight", "samples", "keys"],
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, h1 long, h2 long, samples array<int>, keys array<long>")
+    return docs.mapInArrow(run, f"id {kind}, h1 long, h2 long, weight double, samples array<int>, keys array<long>")
 
 
 def agreeing(a: str, b: str) -> Column:
@@ -148,6 +156,11 @@ def agreeing(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
 
 
+def comparable(a: str, b: str, config: NearDupConfig) -> Column:
+    """Whether two total weights allow the similarity: it cannot exceed the smaller over the larger one."""
+    return F.least(a, b) >= (config.similarity - SLACK) * F.greatest(a, b)
+
+
 def verified(pairs: DataFrame, needed: DataFrame, idf: np.ndarray, config: NearDupConfig) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar enough; a hot ``a`` is spread over several salted groups."""
     hot = pairs.groupBy("a").agg((F.count("*") / config.salt).cast("int").alias("salts"))
@@ -222,61 +235,101 @@ def components(links: DataFrame) -> DataFrame:
         seen = state
 
 
-def mixed_pairs(members: DataFrame, config: NearDupConfig) -> DataFrame:
-    """Pairs of texts of one bucket but of different classes whose samples agree often enough.
-
-    ``members`` holds (key, n, id, root, samples). A bucket of more than ``block`` texts is cut into blocks by the texts'
-    hashes, and each pair of blocks is a group of its own, so no group exceeds about two blocks.
+def grouped(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[pa.Table]:
+    """The groups of sorted rows, also where a group goes on in the next batch."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        mark = np.stack([table.column(c).to_numpy() for c in by])
+        starts = np.flatnonzero((mark[:, 1:] != mark[:, :-1]).any(axis=0)) + 1
+        if held and tuple(held[-1].column(c)[-1].as_py() for c in by) != tuple(mark[:, 0].tolist()):
+            yield pa.concat_tables(held)
+            held = []
+        for lo, hi in zip([0, *starts[:-1]], starts, strict=False):
+            yield pa.concat_tables([*held, table.slice(lo, hi - lo)])
+            held = []
+        held.append(table.slice(starts[-1] if len(starts) else 0))
+    if held:
+        yield pa.concat_tables(held)
+
+
+def candidates(group: pa.Table, config: NearDupConfig) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, rows after it) of a group that may be similar and are in different classes and, if the group is a pair of blocks, in different ones."""
+    root, own, weight = (group.column(c).to_numpy() for c in ("root", "own", "weight"))
+    if len(root) < 2 or (root == root[0]).all():
+        return
+    s = group.column("samples").combine_chunks().flatten().to_numpy().reshape(len(root), -1)
+    apart = group.column("i")[0].as_py() != group.column("j")[0].as_py()
+    for x in range(len(root) - 1):
+        hit = ((s[x + 1 :] == s[x]).sum(axis=1) >= config.agree) & (root[x + 1 :] != root[x])
+        other = weight[x + 1 :]
+        hit &= np.minimum(other, weight[x]) >= (config.similarity - SLACK) * np.maximum(other, weight[x])
+        if apart:
+            hit &= own[x + 1 :] != own[x]
+        if hit.any():
+            yield x, np.flatnonzero(hit) + x + 1
+
+
+BLOCK = ("key", "i", "j")
+
+
+def mixed_members(members: DataFrame, config: NearDupConfig) -> DataFrame:
+    """Texts of buckets with several classes that have a candidate there: (key, i, j, own, id, root, weight, samples).
+
+    ``members`` holds (key, n, id, root, weight, samples). A bucket of more than ``block`` texts is cut into blocks by the
+    texts' hashes, and each pair of blocks is a group of its own, so no group exceeds about two blocks.
     """
     blocks = F.ceil(F.col("n") / config.block).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     cut = members.withColumn("blocks", blocks).withColumn("own", own)
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "root", "samples"
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "root", "weight", "samples"
     )
-    cut = cut.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id")
-    agree = config.agree
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema.fields)
+    cut = cut.repartition(*BLOCK).sortWithinPartitions(*BLOCK, "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in grouped(batches, BLOCK):
+            taken = np.zeros(len(group), dtype=bool)
+            for x, rows in candidates(group, config):
+                taken[x] = True
+                taken[rows] = True
+            if taken.any():
+                yield from group.filter(pa.array(taken)).to_batches()
+
+    return cut.mapInArrow(run, kinds)
 
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        held: list[pa.Table] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            mark = np.stack([table.column(c).to_numpy() for c in ("key", "i", "j")])
-            starts = np.flatnonzero((mark[:, 1:] != mark[:, :-1]).any(axis=0)) + 1
-            if held:
-                last = tuple(held[-1].column(c)[-1].as_py() for c in ("key", "i", "j"))
-                if last != tuple(mark[:, 0].tolist()):
-                    yield pa.concat_tables(held)
-                    held = []
-            for lo, hi in zip([0, *starts[:-1]], starts, strict=False):
-                yield pa.concat_tables([*held, table.slice(lo, hi - lo)])
-                held = []
-            held.append(table.slice(starts[-1] if len(starts) else 0))
-        if held:
-            yield pa.concat_tables(held)
+
+def mixed_links(members: DataFrame, needed: DataFrame, idf: np.ndarray, config: NearDupConfig) -> DataFrame:
+    """Verified links (a, b, similarity) between different classes of a bucket; every text comes once to each of its groups."""
+    rows = members.join(needed, "id").repartition(*BLOCK).sortWithinPartitions(*BLOCK, "id")
+    shared = members.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in groups(batches):
-            ids, root, own = (g.column(c).to_numpy() for c in ("id", "root", "own"))
-            if len(ids) < 2 or (root == root[0]).all():
-                continue
-            s = g.column("samples").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-            apart = g.column("i")[0].as_py() != g.column("j")[0].as_py()
-            for x in range(len(ids) - 1):
-                hit = ((s[x + 1 :] == s[x]).sum(axis=1) >= agree) & (root[x + 1 :] != root[x])
-                if apart:
-                    hit &= own[x + 1 :] != own[x]
-                y = np.flatnonzero(hit) + x + 1
-                if len(y):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(y), ids[x]), g.schema.field("id").type), pa.array(ids[y], g.schema.field("id").type)], ["a", "b"]
-                    )
+        for group in grouped(batches, BLOCK):
+            texts = group.column("text").to_pylist()
+            sets: list[tuple[np.ndarray, np.ndarray]] = []
+            for lo, hi in slices([len(t) for t in texts], 1 << 20):
+                doc, h, w = weighted_sets(texts[lo:hi], config.words, shared.value)
+                at = np.searchsorted(doc, np.arange(hi - lo + 1))
+                sets += [(h[p:q], w[p:q]) for p, q in zip(at[:-1], at[1:], strict=True)]
+            ids, a, b, s = group.column("id").to_pylist(), [], [], []
+            for x, others in candidates(group, config):
+                for y in others.tolist():
+                    similarity = weighted_jaccard(sets[x], sets[y])
+                    if similarity >= config.similarity:
+                        a.append(ids[x])
+                        b.append(ids[y])
+                        s.append(similarity)
+            if a:
+                kind = group.schema.field("id").type
+                yield pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind), pa.array(s, pa.float64())], ["a", "b", "similarity"])
 
     kind = members.schema["id"].dataType.simpleString()
-    return cut.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return rows.mapInArrow(run, f"a {kind}, b {kind}, similarity double")
 
 
 def near_duplicates(
@@ -289,24 +342,24 @@ def near_duplicates(
     sig = write_shared(signatures(rows, idf, config), "signatures")
     copies = sig.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
     different = sig.join(copies, (sig["h1"] == copies["h1"]) & (sig["h2"] == copies["h2"]) & (sig["id"] == copies["rep"]))
-    different = write_shared(different.select(sig["id"], sig["samples"], sig["keys"]).dropDuplicates(["id"]), "different")
+    different = write_shared(different.select(sig["id"], sig["weight"], sig["samples"], sig["keys"]).dropDuplicates(["id"]), "different")
 
     member = different.select("id", F.explode("keys").alias("key"))
     leaders = member.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1")
     star = member.join(leaders, "key").filter("id <> a").select("a", F.col("id").alias("b")).distinct()
-    of_a = different.select(F.col("id").alias("a"), F.col("samples").alias("samples_a"))
-    of_b = different.select(F.col("id").alias("b"), F.col("samples").alias("samples_b"))
-    star = star.join(of_b, "b").join(of_a, "a").filter(agreeing("samples_a", "samples_b") >= config.agree).select("a", "b")
+    of_a, of_b = (different.select(*[F.col(c).alias(n) for c, n in (("id", x), ("weight", f"weight_{x}"), ("samples", f"samples_{x}"))]) for x in "ab")
+    star = star.join(of_b, "b").join(of_a, "a").filter(comparable("weight_a", "weight_b", config))
+    star = star.filter(agreeing("samples_a", "samples_b") >= config.agree).select("a", "b")
     star = write_shared(star, "star")
-    links = write_shared(verified(star, needed_texts(rows, star), idf, config), "links")
+    texts_of_star = needed_texts(rows, star.select(F.explode(F.array("a", "b")).alias("id")), config)
+    links = write_shared(verified(star, texts_of_star, idf, config), "links")
 
     roots = components(links)
     member = member.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = member.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    member = member.join(mixed, "key").join(different.select("id", "samples"), "id").select("key", "n", "id", "root", "samples")
-    rest = mixed_pairs(member, config).join(star, ["a", "b"], "left_anti")
-    rest = write_shared(rest, "rest")
-    more = write_shared(verified(rest, needed_texts(rows, rest), idf, config), "links")
+    member = member.join(mixed, "key").join(different.select("id", "weight", "samples"), "id").select("key", "n", "id", "root", "weight", "samples")
+    rest = write_shared(mixed_members(member, config), "rest")
+    more = write_shared(mixed_links(rest, needed_texts(rows, rest.select("id"), config), idf, config), "links")
 
     roots = components(links.union(more))
     classes = copies.join(roots.withColumnRenamed("id", "rep"), "rep", "left")
@@ -314,7 +367,8 @@ def near_duplicates(
     return sig.select("id", "h1", "h2").join(classes, ["h1", "h2"]).select(F.col("id").alias("doc_id"), "class_id")
 
 
-def needed_texts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One (id, text) for every id of the pairs, written once."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def needed_texts(rows: DataFrame, ids: DataFrame, config: NearDupConfig) -> DataFrame:
+    """One (id, text) for each of the ids, written once. Up to ``sent`` ids are broadcast, so that no other text moves."""
+    ids = write_shared(ids.distinct(), "ids")
+    ids = F.broadcast(ids) if ids.count() <= config.sent else ids
     return write_shared(rows.join(ids, "id", "left_semi").dropDuplicates(["id"]), "texts")
