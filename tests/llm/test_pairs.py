@@ -37,7 +37,7 @@ def brute_classes(rows, idf, config):
     return sorted(((x, least[root(i)]) for i, x in enumerate(ids)), key=lambda r: (r[0] is not None, r[0] or 0))
 
 
-@pytest.mark.parametrize("config", [neardup.NearDupConfig(), neardup.NearDupConfig(salt=2, block=2, bands=20)])
+@pytest.mark.parametrize("config", [neardup.NearDupConfig(), neardup.NearDupConfig(salt=2, block=2, bands=20, sent=0)])
 def test_near_duplicates_equal_brute_force(spark, config):
     families = [prose(700 + i, 120) for i in range(6)]
     more = [edited(t, 100 * i + j, 0.03) for i, t in enumerate(families) for j in range(9)]
@@ -49,12 +49,18 @@ def test_near_duplicates_equal_brute_force(spark, config):
     assert [tuple(r) for r in found] == expected
 
 
-def test_second_pass_joins_classes(spark):
-    rows = [(k, 4, i, r, s) for k in (1, 2) for i, r, s in ((1, 1, [1] * 64), (2, 2, [1] * 60 + [2] * 4), (3, 1, [1] * 64), (4, 4, [9] * 64))]
-    members = spark.createDataFrame(rows, "key long, n long, id long, root long, samples array<int>")
+def test_second_pass_looks_at_different_classes_only(spark):
+    rows = [(k, 4, i, r, 5.0, s) for k in (1, 2) for i, r, s in ((1, 1, [1] * 64), (2, 2, [1] * 60 + [2] * 4), (3, 1, [1] * 64), (4, 4, [9] * 64))]
+    members = spark.createDataFrame(rows, "key long, n long, id long, root long, weight double, samples array<int>")
     for block in (2, 1024):
-        pairs = neardup.mixed_pairs(members, neardup.NearDupConfig(block=block)).collect()
-        assert {tuple(sorted(p)) for p in pairs} == {(1, 2), (2, 3)}
+        found = neardup.mixed_members(members, neardup.NearDupConfig(block=block)).collect()
+        assert {r.id for r in found} == {1, 2, 3}
+        tables = neardup.mixed_members(members, neardup.NearDupConfig(block=block)).orderBy(*neardup.BLOCK, "id").toArrow()
+        pairs = set()
+        for group in neardup.grouped(iter(tables.to_batches()), neardup.BLOCK):
+            ids = group.column("id").to_pylist()
+            pairs |= {(ids[x], ids[y]) for x, rest in neardup.candidates(group, neardup.NearDupConfig()) for y in rest}
+        assert pairs == {(1, 2), (2, 3)}
 
 
 def test_components(spark):
@@ -165,7 +171,7 @@ def plain_text(marks) -> str:
     return " ".join(f"{h & 0xFFFFFFFF:08x}:{i}" for h, i in marks)
 
 
-@pytest.mark.parametrize("config", [winnow.WinnowConfig(), winnow.WinnowConfig(gram=3, window=4, buckets=3)])
+@pytest.mark.parametrize("config", [winnow.WinnowConfig(), winnow.WinnowConfig(gram=3, window=4, ranges=1)])
 def test_fingerprints_equal_plain_winnowing(spark, config):
     short = [t if t is None or len(t) < 5000 else t[:5000] for t in awkward_texts()] + ["ab" * 40, "a" * 90]
     docs = documents(spark, short)
