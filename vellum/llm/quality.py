@@ -36,14 +36,22 @@ class QualityConfig:
     hidden: int = 32
     attention: int = 16
     sample: int = 2048
-    spread: int = 16
+    spread: int = 8
     epochs: int = 30
     batch: int = 64
     rate: float = 0.005
     seed: int = 11
 
 
-def features(windows: np.ndarray, used: np.ndarray) -> np.ndarray:
+def features(windows: np.ndarray, used: np.ndarray, at_once: int = 1024) -> np.ndarray:
+    """The features of all passages, a bounded number of them at once."""
+    out = np.empty((len(windows), 256 + PAIRS + SHAPE), dtype=np.float32)
+    for i in range(0, len(windows), at_once):
+        out[i : i + at_once] = few_features(windows[i : i + at_once], used[i : i + at_once])
+    return out
+
+
+def few_features(windows: np.ndarray, used: np.ndarray) -> np.ndarray:
     """Of each passage the square roots of the shares of its bytes and hashed byte pairs, and the shape of its words."""
     n, width = windows.shape
     rows = np.arange(n, dtype=np.int64)[:, None]
@@ -168,8 +176,8 @@ def fit_quality(
     model = GatedMil(config, float(target.mean()) if len(target) else 0.5)
     if 0 < target.sum() < len(target):
         bags = [bytes(r["passages"]).split(b"\1")[1:] for r in rows]
-        flat = [x for bag in bags for x in bag]
-        windows, used, _ = byte_windows(flat, width, 0)
+        del rows
+        windows, used, _ = byte_windows([x for bag in bags for x in bag], width, 0)
         model.train(features(windows, used), np.array([len(b) for b in bags]), target)
     return model
 
