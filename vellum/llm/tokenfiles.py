@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.bpe import clean_words
+from vellum.llm.bpe import DOUBLE_SPACE
 from vellum.llm.common import text_slices, texts
 from vellum.session import scratch_path
 
-KEPT_WORDS = 400_000
+KEPT_WORDS = 700_000
 FILE = "shard int, block int, start long, bits int, doc_ids array<{kind}>, offsets array<long>, payload binary"
 
 
@@ -46,10 +46,8 @@ def bits_for(vocabulary: int) -> int:
 
 def pack_ids(ids: np.ndarray, bits: int) -> bytes:
     """Ids in ``bits`` bits each, least significant bit first."""
-    if bits == 16:
-        return ids.astype("<u2").tobytes()
-    if bits == 8:
-        return ids.astype("u1").tobytes()
+    if bits in (8, 16):
+        return ids.astype("<u2" if bits == 16 else "u1", copy=False).tobytes()
     grid = (ids.astype(np.uint32)[:, None] >> np.arange(bits, dtype=np.uint32)) & np.uint32(1)
     return np.packbits(grid.astype(np.uint8).reshape(-1), bitorder="little").tobytes()
 
@@ -64,6 +62,14 @@ def unpack_ids(payload: bytes, bits: int, first: int, last: int) -> np.ndarray:
     return (flat.astype("<u4") << np.arange(bits, dtype=np.uint32)).sum(axis=1, dtype="<u4")
 
 
+class Numbered(dict):
+    """Numbers words in the order in which they are first looked up."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class WordEncoder:
     """The tokenizers library, asked once for each distinct word while the word stays in the table."""
 
@@ -74,21 +80,81 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.bits = bits_for(self.library.get_vocab_size())
+        self.dtype = "<u2" if self.bits <= 16 else "<u4"
+        # bytes of each token: in a byte-level vocabulary every character of a token's name stands for one byte
+        names = self.library.get_vocab()
+        self.sizes = np.zeros(1 + max(names.values(), default=0), dtype=np.int64)
+        self.sizes[list(names.values())] = [len(name) for name in names]
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, docs: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
-        cut = [clean_words(t) for t in docs]
-        new = list(dict.fromkeys(w for words in cut for w in words if w not in self.words))
-        if len(self.words) + len(new) > KEPT_WORDS:
-            self.words.clear()
-            new = list(dict.fromkeys(w for words in cut for w in words))
-        for lo in range(0, len(new), 4096):
-            part = new[lo : lo + 4096]
-            for word, found in zip(part, self.library.encode_batch(part, add_special_tokens=False), strict=True):
-                self.words[word] = np.array(found.ids, dtype="<u4").tobytes()
-        get = self.words.__getitem__
-        return [np.frombuffer(b"".join(map(get, words)), dtype="<u4") for words in cut]
+        """Ids of each text.
+
+        A text is cut before each single space, where no match can reach across: its first word is looked up with a space
+        in front, the others without. A text with white space side by side is encoded whole.
+        """
+        numbers = Numbered()  # of this call's distinct words, few enough for the processor's caches
+        look = numbers.__getitem__
+        units, whole = [], []
+        for text in docs:
+            if DOUBLE_SPACE.search(text):
+                whole.append(text)
+                units.append(None)
+                continue
+            words = text.split(" ")
+            words[0] = " " + words[0]
+            units.append(list(map(look, words)))
+        coded = self.coded(list(numbers))
+        sizes = np.array([len(x) for x in coded], dtype=np.int64) // np.dtype(self.dtype).itemsize
+        flat = np.frombuffer(b"".join(coded), dtype=self.dtype)
+        starts = np.cumsum(sizes) - sizes
+        rest = iter(self.library.encode_batch_fast(whole, add_special_tokens=False))
+        out = []
+        for unit in units:
+            if unit is None:
+                out.append(np.array(next(rest).ids, dtype=self.dtype))
+                continue
+            at = np.array(unit, dtype=np.int64)
+            n = sizes[at]
+            ends = np.cumsum(n)
+            out.append(flat[np.arange(int(ends[-1])) + np.repeat(starts[at] - ends + n, n)])
+        return out
+
+    def coded(self, wanted: list[str]) -> list[bytes]:
+        """Ids of distinct words as bytes."""
+        if len(self.words) > KEPT_WORDS:  # what the last generation did not use is forgotten
+            self.older, self.words = self.words, {}
+        known, older = self.words, self.older
+        out = [known.get(w) for w in wanted]
+        missing = [i for i, x in enumerate(out) if x is None]
+        if older:
+            for i in missing:
+                x = older.get(wanted[i])
+                if x is not None:
+                    out[i] = known[wanted[i]] = x
+            missing = [i for i in missing if out[i] is None]
+        joined = [i for i in missing if (w := wanted[i]) and w[0] != " " and not w[-1].isspace()]
+        alone = [i for i in missing if not (w := wanted[i]) or w[0] == " " or w[-1].isspace()]
+        texts = [w[1:] if (w := wanted[i])[:1] == " " else " " + w for i in alone]
+        for i, found in zip(alone, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            out[i] = np.array(found.ids, dtype=self.dtype).tobytes()
+        width = np.dtype(self.dtype).itemsize
+        for lo in range(0, len(joined), 256):  # many such words are encoded as one text
+            part = joined[lo : lo + 256]
+            text = " " + " ".join([wanted[i] for i in part])
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
+            ends = np.cumsum([len(wanted[i].encode()) + 1 for i in part])
+            last = np.searchsorted(np.cumsum(self.sizes[ids]), ends, side="left") + 1
+            raw = ids.tobytes()
+            first = 0
+            for i, end in zip(part, (last * width).tolist(), strict=True):
+                out[i] = raw[first:end]
+                first = end
+        for i in missing:
+            if len(wanted[i]) < 64:
+                known[wanted[i]] = out[i]
+        return out
 
 
 ENCODERS: dict[str, WordEncoder] = {}
@@ -125,7 +191,7 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], [f.split()[0] for f in FILE.split(", ")])
 
         size = 0
-        end = np.array([config.end], dtype="<u4")
+        end = np.array([config.end], dtype=words.dtype)
         for batch in batches:
             if batch.num_rows:
                 shard, id_type = batch.column("shard")[0].as_py(), batch.schema.field("id").type
@@ -150,7 +216,8 @@ def read_token_index(spark: SparkSession, path: str) -> DataFrame:
     totals = blocks.groupBy("shard").agg(F.sum(ids).alias("total"))  # one row for each shard
     before = F.sum("total").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     places = totals.select("shard", F.coalesce(before, F.lit(0)).alias("before"))
-    return blocks.join(places, "shard").withColumn("first", F.col("before") + F.col("start"))
+    # one short row for each shard, so the blocks need not move
+    return blocks.join(F.broadcast(places), "shard").withColumn("first", F.col("before") + F.col("start"))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
