@@ -258,6 +258,201 @@ def flt_works(spark, sf_dir):
     return _plain(flatten.works_table(nested_works(spark, sf_dir)))
 
 
+@job(
+    "flt_authorships",
+    """
+    WITH <<lines>>
+    SELECT concat('W', doc_id) AS work_id, CASE WHEN line <> '' THEN concat('A', length(line)) END AS author_id,
+           upper(lang) AS countries,
+           CASE WHEN i = 0 THEN 'first' WHEN i = n_lines - 1 THEN 'last' ELSE 'middle' END AS position,
+           i AS exact_position, line AS raw_affiliation, split_part(line, ' ', 1) AS raw_author_name,
+           line AS raw_affiliation_strings, i = 0 AS is_corresponding
+    FROM lines
+    """,
+)
+def flt_authorships(spark, sf_dir):
+    return _plain(flatten.works_authorships(nested_works(spark, sf_dir)))
+
+
+@job(
+    "flt_authorship_institutions",
+    """
+    WITH <<lines>>, parts AS (
+      SELECT doc_id, line, unnest(list_filter(string_split_regex(line, '[.] '), lambda s: s <> '')) AS s FROM lines)
+    SELECT concat('W', doc_id) AS work_id, concat('A', length(line)) AS author_id,
+           concat('I', length(s)) AS institution_id, count(*) AS n
+    FROM parts GROUP BY ALL
+    """,
+)
+def flt_authorship_institutions(spark, sf_dir):
+    rows = flatten.works_authorship_institutions(nested_works(spark, sf_dir))
+    return rows.groupBy("work_id", "author_id", "institution_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@job(
+    "flt_locations",
+    """
+    WITH <<lines>>, keyed AS (
+      SELECT *, CAST(length(line) % 50 AS STRING) AS s,
+             CASE WHEN length(line) % 3 > 0 THEN concat('pdf', length(line) % 3) END AS pdf FROM lines)
+    SELECT concat('W', k.doc_id) AS work_id, CASE WHEN k.line <> '' THEN concat('S', k.s) END AS source_id,
+           k.source = 'src9' AS is_oa,
+           k.line <> '' AND p.line <> '' AND k.s = p.s AND k.pdf IS NOT DISTINCT FROM p.pdf AS is_primary,
+           k.i = 0 AS is_accepted, k.i > 0 AS is_published,
+           concat('http://example.org/', k.doc_id, '/', k.i) AS landing_page_url, CAST(NULL AS STRING) AS license,
+           k.pdf AS pdf_url, 'publishedVersion' AS version
+    FROM keyed k JOIN keyed p ON p.doc_id = k.doc_id AND p.i = 0
+    """,
+)
+def flt_locations(spark, sf_dir):
+    return flatten.works_locations(nested_works(spark, sf_dir))
+
+
+@job(
+    "flt_scored_tags",
+    """
+    WITH <<lines>>
+    SELECT 'concept' AS kind, concat('W', doc_id) AS work_id, concat('C', length(line)) AS tag_id,
+           CAST(NULL AS STRING) AS display_name, length(line) / 8.0 AS score FROM lines
+    UNION ALL
+    SELECT 'sdg', concat('W', doc_id), concat('sdg/', length(line) % 17), lang, length(line) / 2.0
+    FROM lines WHERE line <> ''
+    """,
+)
+def flt_scored_tags(spark, sf_dir):
+    tables = flatten.flatten_works(nested_works(spark, sf_dir))
+    concepts = tables["works_concepts"].select(
+        F.lit("concept").alias("kind"), "work_id", F.col("concept_id").alias("tag_id"),
+        F.lit(None).cast("string").alias("display_name"), F.col("score").cast("double").alias("score"),
+    )
+    goals = tables["works_sdgs"].select(
+        F.lit("sdg").alias("kind"), "work_id", F.col("sdg_id").alias("tag_id"), "display_name",
+        F.col("score").cast("double").alias("score"),
+    )
+    return concepts.unionByName(goals)
+
+
+@job(
+    "flt_edges",
+    """
+    WITH <<lines>>
+    SELECT 'references' AS kind, concat('W', doc_id) AS source_id, concat('W', length(line)) AS target_id FROM lines
+    UNION ALL
+    SELECT 'related', concat('W', doc_id), concat('W', length(line) + 1) FROM lines
+    """,
+)
+def flt_edges(spark, sf_dir):
+    tables = flatten.flatten_works(nested_works(spark, sf_dir))
+    cited = tables["works_references"].select(
+        F.lit("references").alias("kind"), F.col("src_work_id").alias("source_id"),
+        F.col("trgt_work_id").alias("target_id"),
+    )
+    related = tables["works_related"].select(
+        F.lit("related").alias("kind"), F.col("work_a_id").alias("source_id"), F.col("work_b_id").alias("target_id")
+    )
+    return cited.unionByName(related)
+
+
+@job(
+    "flt_topic_rank",
+    """
+    WITH <<lines>>
+    SELECT concat('W', doc_id) AS work_id, concat('T', length(line)) AS topic_id, length(line) / 4.0 AS score,
+           i + 1 AS rank
+    FROM lines
+    """,
+)
+def flt_topic_rank(spark, sf_dir):
+    return _plain(flatten.works_topics(nested_works(spark, sf_dir)))
+
+
+@job(
+    "flt_counts_by_year",
+    """
+    WITH rows AS (
+      SELECT 'author' AS entity, concat('A', c_custkey) AS id, c_nationkey AS a, CAST(floor(c_acctbal) AS INT) AS b
+      FROM customer
+      UNION ALL
+      SELECT 'institution', concat('I', s_suppkey), s_nationkey, CAST(floor(s_acctbal) AS INT) FROM supplier
+      UNION ALL SELECT 'concept', concat('C', p_partkey), p_size, p_size + 3 FROM part
+      UNION ALL SELECT 'venue', concat('S', p_partkey), p_size, p_size + 3 FROM part)
+    SELECT entity, id, 2020 AS year, a AS works_count, b AS cited_by_count FROM rows
+    UNION ALL SELECT entity, id, 2021, b, a FROM rows
+    """,
+)
+def flt_counts_by_year(spark, sf_dir):
+    merged = None
+    for entity in ("author", "institution", "concept", "source"):
+        name = "venue" if entity == "source" else entity
+        rows = flatten.counts_by_year(nested_entities(spark, sf_dir, entity), name)
+        rows = rows.withColumnRenamed(f"{name}_id", "id").withColumn("entity", F.lit(name))
+        merged = rows if merged is None else merged.unionByName(rows)
+    return merged
+
+
+@job(
+    "flt_side_tables",
+    """
+    SELECT 'institutions_geo' AS part, concat('I', s_suppkey) AS id,
+           concat_ws('|', concat('city ', s_nationkey), '1', 'DE', concat('country ', s_nationkey)) AS content
+    FROM supplier
+    UNION ALL
+    SELECT 'institutions_ids', concat('I', s_suppkey),
+           concat_ws('|', 'x', 'r', concat('grid.', s_suppkey), 'Q1', s_suppkey) FROM supplier
+    UNION ALL
+    SELECT 'concepts_ids', concat('C', p_partkey), concat_ws('|', p_partkey, 'x', concat('["', p_brand, '"]'), '[]', 'Q1')
+    FROM part
+    UNION ALL
+    SELECT 'works_biblio', concat('W', doc_id),
+           concat_ws('|', CASE WHEN source NOT IN ('src1', 'src2') THEN source END, n_chars) FROM documents
+    UNION ALL
+    SELECT 'works_open_access', concat('W', doc_id),
+           CASE WHEN source = 'src8' THEN '' ELSE concat_ws('|', CASE WHEN source = 'src9' THEN 'gold' ELSE 'closed' END,
+                     concat('http://example.org/', doc_id)) END FROM documents
+    """,
+)
+def flt_side_tables(spark, sf_dir):
+    institutions = nested_entities(spark, sf_dir, "institution")
+    concepts = nested_entities(spark, sf_dir, "concept")
+    works = nested_works(spark, sf_dir)
+    geo = flatten.side_table(institutions, "institution", "geo").drop("latitude", "longitude")
+    access = flatten.works_v0(works)["works_open_access"]
+    parts = {
+        "institutions_geo": geo,
+        "institutions_ids": flatten.side_table(institutions, "institution", "ids"),
+        "concepts_ids": flatten.side_table(concepts, "concept", "ids"),
+        "works_biblio": flatten.side_table(works, "work", "biblio"),
+        "works_open_access": access,
+    }
+    merged = None
+    for name, rows in parts.items():
+        key, *rest = rows.columns
+        rows = rows.select(
+            F.lit(name).alias("part"), F.col(key).alias("id"), F.concat_ws("|", *rest).alias("content")
+        )
+        merged = rows if merged is None else merged.unionByName(rows)
+    return merged
+
+
+@job(
+    "flt_authorships_outer",
+    """
+    WITH <<lines>>, parts AS (
+      SELECT doc_id, i, n_lines, line, list_filter(string_split_regex(line, '[.] '), lambda s: s <> '') AS ss
+      FROM lines WHERE line <> ''),
+    rows AS (
+      SELECT doc_id, i, n_lines, line, unnest(CASE WHEN len(ss) = 0 THEN [NULL] ELSE ss END) AS s FROM parts)
+    SELECT concat('W', doc_id) AS work_id,
+           CASE WHEN i = 0 THEN 'first' WHEN i = n_lines - 1 THEN 'last' ELSE 'middle' END AS author_position,
+           concat('A', length(line)) AS author_id, CASE WHEN s IS NOT NULL THEN concat('I', length(s)) END AS institution_id,
+           line AS raw_affiliation_string
+    FROM rows
+    """,
+)
+def flt_authorships_outer(spark, sf_dir):
+    return flatten.works_authorships_v0(nested_works(spark, sf_dir))
+
+
 @job(
     "flt_parents_v0",
     """
