@@ -63,6 +63,43 @@ def test_second_pass_looks_at_different_classes_only(spark):
         assert pairs == {(1, 2), (2, 3)}
 
 
+def test_one_class_with_few_others_is_not_crossed(spark):
+    n, config = 3000, neardup.NearDupConfig(block=32)
+    rows = [(7, i, 1 if i < n else i, 5.0, [i % 3] * 64) for i in range(n + 3)]
+    members = spark.createDataFrame(rows, "key long, id long, root long, weight double, samples array<int>")
+    members = members.join(neardup.mixed_buckets(members), "key")
+    assert [tuple(r) for r in members.select("n", "major", "others").distinct().collect()] == [(n + 3, 1, 3)]
+    cut = neardup.placed(members, config)
+    assert cut.count() == n + 3 * -(-(n + 3) // 32)
+    met = cut.alias("x").join(cut.alias("y"), list(neardup.BLOCK)).filter("x.id >= 3000 and y.id < 3000").select("x.id", "y.id")
+    assert met.distinct().count() == 3 * n
+
+
+def test_texts_of_one_template_are_not_crossed(spark, monkeypatch):
+    shared, config, copies = prose(900, 100), neardup.NearDupConfig(block=8), []
+    own = [shared + " " + prose(1000 + i, 50) for i in range(150)]
+    docs = documents(spark, [*own, *[edited(t, i, 0.015) for i, t in enumerate(own[:12])]])
+    idf = neardup.document_frequencies(texts(docs), config)
+    placed = neardup.placed
+    monkeypatch.setattr(neardup, "placed", lambda members, config: copies.append(placed(members, config)) or copies[-1])
+    found = [tuple(r) for r in collected(neardup.near_duplicates(docs, config=config))]
+    assert found == brute_classes([tuple(r) for r in collected(docs.select("doc_id", "text"))], idf, config)
+    assert sum(c.count() for c in copies) < 8 * docs.count()  # crossing the 16 bands' buckets takes 20 a text and more
+
+
+def test_similar_texts_share_one_of_their_rarest_shingles():
+    config, rng = neardup.NearDupConfig(), np.random.default_rng(3)
+    frequency = rng.integers(1, 50, config.table)
+    for trial in range(200):
+        n = int(rng.integers(1, 60))
+        h, w = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)), rng.random(n) + 0.01
+        w = w[: len(h)]
+        keep = rng.random(len(h)) < 0.9
+        x, y = (h, w), (h[keep], (w * rng.uniform(0.9, 1.1, len(h)))[keep])
+        if len(y[0]) and neardup.weighted_jaccard(x, y) >= config.similarity:
+            assert set(neardup.rarest(*x, frequency, config)) & set(neardup.rarest(*y, frequency, config))
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (150, 200), (300, 301)] + [(400, 400 + i) for i in range(1, 40)]

@@ -13,8 +13,11 @@ large group of merely similar texts makes pairs that have to be moved. A pair is
 just sufficient similarity are and few pairs that only share a passage, and if the total weights allow the similarity at all.
 Every candidate pair is verified on the whole texts. Classes are the connected components of the verified links.
 
-No group is collected: buckets are aggregated to their smallest id, hot leaders are salted, hot buckets are cut into
-blocks that meet pairwise.
+No group is collected: buckets are aggregated to their smallest id, hot leaders are salted. A hot bucket of one class and
+at most ``block`` other texts is cut into blocks, and the other texts go to each of them. A hot bucket of more other texts
+is dealt anew by the rarest shingles of each text that hold more than 1 - ``similarity`` of its weight: two texts that are
+similar enough always share one of those, texts that share only a long template do not. Groups of such a shingle that are
+still hot and mixed are cut into blocks that meet pairwise.
 
 Null texts count as empty. Equal texts, empty ones too, are always in one class; a text without words is in no other. A
 text of fewer than five words is one shingle. Repeated rows give repeated results; other columns are ignored; an empty table
@@ -275,19 +278,84 @@ def candidates(group: pa.Table, config: NearDupConfig) -> Iterator[tuple[int, np
 BLOCK = ("key", "i", "j")
 
 
-def mixed_members(members: DataFrame, config: NearDupConfig) -> DataFrame:
-    """Texts of buckets with several classes that have a candidate there: (key, i, j, own, id, root, weight, samples).
+def mixed_buckets(member: DataFrame) -> DataFrame:
+    """(key, n, major, others) of the buckets with several classes: texts, the most frequent class, texts of other ones."""
+    sizes = member.groupBy("key", "root").agg(F.count("*").alias("m"))
+    found = sizes.groupBy("key").agg(F.sum("m").alias("n"), F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("roots"))
+    found = found.filter("roots > 1")
+    return found.select("key", "n", F.col("top.root").alias("major"), (F.col("n") - F.col("top.m")).alias("others"))
+
 
-    ``members`` holds (key, n, id, root, weight, samples). A bucket of more than ``block`` texts is cut into blocks by the
-    texts' hashes, and each pair of blocks is a group of its own, so no group exceeds about two blocks.
+def placed(members: DataFrame, config: NearDupConfig) -> DataFrame:
+    """(key, i, j, own, id, root, weight, samples): the groups of texts to compare; none exceeds about two blocks.
+
+    ``members`` holds (key, n, id, root, weight, samples), and (major, others) if known. A bucket of more than ``block`` texts
+    is cut into blocks by the texts' hashes. With at most ``block`` texts outside its major class, those meet each block of
+    the class; else each pair of blocks is a group of its own.
     """
     blocks = F.ceil(F.col("n") / config.block).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     cut = members.withColumn("blocks", blocks).withColumn("own", own)
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = cut.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "root", "weight", "samples"
-    )
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    i, j = F.least("own", "other"), F.greatest("own", "other")
+    if "major" in members.columns:
+        few = F.col("others") <= config.block
+        every = F.when(few & (F.col("root") == F.col("major")), F.array("own")).otherwise(every)
+        i, j = F.when(few, F.col("other")).otherwise(i), F.when(few, F.col("other")).otherwise(j)
+    cut = cut.withColumn("other", F.explode(every))
+    return cut.select("key", i.alias("i"), j.alias("j"), "own", "id", "root", "weight", "samples")
+
+
+def shingle_frequencies(needed: DataFrame, idf: np.ndarray, config: NearDupConfig) -> np.ndarray:
+    """In how many texts the shingles of each of ``table`` buckets of hashes occur."""
+    shared, table = needed.sparkSession.sparkContext.broadcast(idf), config.table
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(table, dtype=np.int64)
+        for batch in batches:
+            for _, rows in text_slices(batch):
+                seen += np.bincount(buckets(weighted_sets(rows, config.words, shared.value)[1], table), minlength=table)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at], pa.int64())], ["bucket", "n"])
+
+    sums = needed.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(table, dtype=np.int64)
+    out[sums["bucket"].to_numpy()] = sums["n"].to_numpy()
+    return out
+
+
+def rarest(h: np.ndarray, w: np.ndarray, frequency: np.ndarray, config: NearDupConfig) -> np.ndarray:
+    """The rarest shingles of a text that leave less than ``similarity`` of its weight to the others.
+
+    All texts take them in one order. Of two texts, take the one whose last such shingle comes first: if they share none of
+    them, what they share is among its other shingles, which is too little.
+    """
+    order = np.lexsort((h, frequency[buckets(h, len(frequency))]))
+    reached = np.cumsum(w[order])
+    enough = np.searchsorted(reached, (1 - config.similarity + SLACK) * reached[-1], side="right") if len(h) else 0
+    return h[order[: enough + 1]]
+
+
+def rare_keys(needed: DataFrame, idf: np.ndarray, config: NearDupConfig) -> DataFrame:
+    """(id, key): the rarest shingles of every text."""
+    spark = needed.sparkSession
+    shared = spark.sparkContext.broadcast((idf, shingle_frequencies(needed, idf, config)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, rows in text_slices(batch):
+                doc, h, w = weighted_sets(rows, config.words, shared.value[0])
+                at = np.searchsorted(doc, np.arange(len(rows) + 1))
+                keys = [rarest(h[lo:hi], w[lo:hi], shared.value[1], config) for lo, hi in zip(at[:-1], at[1:], strict=True)]
+                who = pa.array(ids, batch.schema.field("id").type).take(pa.array(np.repeat(np.arange(len(ids)), [len(k) for k in keys])))
+                yield pa.RecordBatch.from_arrays([who, pa.array(np.concatenate(keys).view(np.int64))], ["id", "key"])
+
+    return needed.mapInArrow(run, f"id {needed.schema['id'].dataType.simpleString()}, key long")
+
+
+def mixed_members(members: DataFrame, config: NearDupConfig) -> DataFrame:
+    """Texts of buckets with several classes that have a candidate there: (key, i, j, own, id, root, weight, samples)."""
+    cut = placed(members, config)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema.fields)
     cut = cut.repartition(*BLOCK).sortWithinPartitions(*BLOCK, "id")
 
@@ -356,9 +424,17 @@ def near_duplicates(
 
     roots = components(links)
     member = member.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = member.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    member = member.join(mixed, "key").join(different.select("id", "weight", "samples"), "id").select("key", "n", "id", "root", "weight", "samples")
-    rest = write_shared(mixed_members(member, config), "rest")
+    member = write_shared(member.select("key", "id", "root"), "member")
+    mixed = write_shared(mixed_buckets(member), "mixed")
+    facts = different.select("id", "weight", "samples")
+    near = (F.col("n") <= config.block) | (F.col("others") <= config.block)
+    rest = write_shared(mixed_members(member.join(mixed.filter(near), "key").join(facts, "id"), config), "rest")
+    if not mixed.filter(~near).isEmpty():
+        hot = write_shared(member.join(mixed.filter(~near), "key", "left_semi").select("id", "root").distinct(), "hot")
+        rare = rare_keys(needed_texts(rows, hot.select("id"), config), idf, config)
+        rare = write_shared(rare.join(hot, "id"), "rare")
+        rare = rare.join(mixed_buckets(rare), "key").join(facts, "id")
+        rest = rest.unionByName(write_shared(mixed_members(rare, config), "rest"))
     more = write_shared(mixed_links(rest, needed_texts(rows, rest.select("id"), config), idf, config), "links")
 
     roots = components(links.union(more))
