@@ -63,6 +63,22 @@ def test_second_pass_looks_at_different_classes_only(spark):
         assert pairs == {(1, 2), (2, 3)}
 
 
+def test_candidates_lose_few_sufficient_pairs():
+    from math import comb
+
+    config = neardup.NearDupConfig()
+    assert sum(comb(64, k) * 0.8**k * 0.2 ** (64 - k) for k in range(config.agree)) < 1e-5
+
+
+def test_a_group_gives_no_more_links_than_join_its_classes(spark):
+    rows = [(1, 0, 0, 0, i, i, 5.0, [1] * 64, "one two three four five six") for i in range(30)]
+    kinds = "key long, i int, j int, own int, id long, root long, weight double, samples array<int>, text string"
+    table = spark.createDataFrame(rows, kinds)
+    config = neardup.NearDupConfig()
+    links = neardup.mixed_links(table.drop("text"), table.select("id", "text"), np.ones(config.table), config).collect()
+    assert len(links) == 29 and {x for r in links for x in (r.a, r.b)} == set(range(30))
+
+
 def test_one_class_with_few_others_is_not_crossed(spark):
     n, config = 3000, neardup.NearDupConfig(block=32)
     rows = [(7, i, 1 if i < n else i, 5.0, [i % 3] * 64) for i in range(n + 3)]

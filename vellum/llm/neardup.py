@@ -9,9 +9,10 @@ probability of their weighted Jaccard similarity; bands of samples are the bucke
 Equal texts are one class before anything else. Links between different texts are found in two passes over the buckets:
 first every text against the smallest id of each of its buckets, then, in buckets that still hold several classes, all
 texts of different classes. Each text comes there once and the candidates are verified on the spot, so that not even a
-large group of merely similar texts makes pairs that have to be moved. A pair is a candidate if at least ``agree`` of its samples are equal, which 999 of 1000 pairs of
-just sufficient similarity are and few pairs that only share a passage, and if the total weights allow the similarity at all.
-Every candidate pair is verified on the whole texts. Classes are the connected components of the verified links.
+large group of merely similar texts makes pairs that have to be moved. A pair is a candidate if at least ``agree`` of its samples
+are equal, which all but 4 in a million pairs of just sufficient similarity are and few pairs that only share a passage, and if
+the total weights allow the similarity at all. Candidate pairs are verified on the whole texts, in the second pass those whose
+classes no link of the group has joined yet. Classes are the connected components of the verified links.
 
 No group is collected: buckets are aggregated to their smallest id, hot leaders are salted. A hot bucket of one class and
 at most ``block`` other texts is cut into blocks, and the other texts go to each of them. A hot bucket of more other texts
@@ -53,7 +54,7 @@ class NearDupConfig:
     rows: int = 4
     table: int = 1 << 18
     variates: int = 1 << 14
-    agree: int = 42
+    agree: int = 36
     salt: int = 256
     block: int = 512
     sent: int = 1 << 20
@@ -372,7 +373,10 @@ def mixed_members(members: DataFrame, config: NearDupConfig) -> DataFrame:
 
 
 def mixed_links(members: DataFrame, needed: DataFrame, idf: np.ndarray, config: NearDupConfig) -> DataFrame:
-    """Verified links (a, b, similarity) between different classes of a bucket; every text comes once to each of its groups."""
+    """Verified links (a, b, similarity) that join different classes of a bucket, in each group one less than classes at most.
+
+    Every text comes once to each of its groups.
+    """
     rows = members.join(needed, "id").repartition(*BLOCK).sortWithinPartitions(*BLOCK, "id")
     shared = members.sparkSession.sparkContext.broadcast(idf)
 
@@ -385,10 +389,22 @@ def mixed_links(members: DataFrame, needed: DataFrame, idf: np.ndarray, config:
                 at = np.searchsorted(doc, np.arange(hi - lo + 1))
                 sets += [(h[p:q], w[p:q]) for p, q in zip(at[:-1], at[1:], strict=True)]
             ids, a, b, s = group.column("id").to_pylist(), [], [], []
+            roots = group.column("root").to_pylist()
+            above = {r: r for r in roots}  # classes that the group's links have joined so far
+
+            def top(r):
+                while above[r] != r:
+                    above[r] = r = above[above[r]]
+                return r
+
             for x, others in candidates(group, config):
                 for y in others.tolist():
+                    p, q = top(roots[x]), top(roots[y])
+                    if p == q:
+                        continue
                     similarity = weighted_jaccard(sets[x], sets[y])
                     if similarity >= config.similarity:
+                        above[q] = p
                         a.append(ids[x])
                         b.append(ids[y])
                         s.append(similarity)
