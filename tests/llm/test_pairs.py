@@ -309,6 +309,22 @@ def test_recall(spark):
     assert [i for _, i in sorted(found[0])] == [i for _, i in expected[0]]  # ties to the smaller id
 
 
+def test_cells_follow_the_number_of_vectors(spark):
+    config = multiprobe.ProbeConfig()
+    assert multiprobe.cells_for(0, 64, config) == multiprobe.cells_for(10_000, 64, config) == config.cells
+    for n in (20_000_000, 100_000_000):
+        assert config.tables * n * 64 / multiprobe.cells_for(n, 64, config) <= config.cell
+    rng = np.random.default_rng(9)
+    data = [(i, rng.normal(size=4).tolist()) for i in range(60)]
+    small = multiprobe.ProbeConfig(cells=1, cell=20, salt=2)
+    found = {}
+    for r in multiprobe.nearest(vectors(spark, data), F.col("id") % 20 == 0, config=small).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    expected = plain_nearest(data, 20)
+    hits = [len({i for _, i in found[q]} & {i for _, i in e}) / 20 for q, e in expected.items()]
+    assert found.keys() == expected.keys() and np.mean(hits) >= 0.9
+
+
 def test_probes_come_in_order_of_cost():
     config = multiprobe.ProbeConfig(hashes=4)
     hasher = multiprobe.Hasher(3, 1.0, config)

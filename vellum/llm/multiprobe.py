@@ -10,8 +10,9 @@ How many buckets a query visits is fitted: on a bounded sample the least number
 nearest neighbours are found often enough. A denser table only brings neighbours nearer, which makes them easier to find.
 A query that meets fewer candidates than it wants then visits every cell of one table's buckets, which is exact.
 
-Buckets are dealt to tasks by hash, hot ones in salted parts; a task keeps only the best candidates of each query, so neither
-buckets nor pairs are written out.
+Buckets are dealt by hash, hot ones in salted parts, to cells whose number follows the number of index rows: a cell holds
+about ``cell`` numbers on average, and a task one cell at a time. A task keeps only the best candidates of each query, so
+neither buckets nor pairs are written out.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do null ids. Vectors whose length
 differs from the most usual one (the smaller on a tie) are left out too. Equal vectors tie and go by id; of repeated ids one
@@ -37,7 +38,8 @@ from vellum.llm.common import write_shared
 class ProbeConfig:
     """wanted: neighbours of a query. recall: share of the sample's neighbours that the fitted probes must find.
 
-    The number of hashes of a table grows with the logarithm of the number of vectors (``hashes_for``).
+    The number of hashes of a table grows with the logarithm of the number of vectors (``hashes_for``). cell: components
+    that a cell of the index holds on average; cells: the least number of cells (``cells_for``).
     """
 
     wanted: int = 20
@@ -50,6 +52,7 @@ class ProbeConfig:
     recall: float = 0.94
     salt: int = 4096
     cells: int = 64
+    cell: int = 1 << 22
     held: int = 200_000
     seed: int = 3
 
@@ -111,6 +114,11 @@ def hashes_for(n: int) -> int:
     return max(4, round(0.7 * float(np.log2(max(n, 1) / 64 + 1))))
 
 
+def cells_for(n: int, dimension: int, config: ProbeConfig) -> int:
+    """Cells of an index over n vectors, so that what a task holds of it does not grow with n."""
+    return max(config.cells, -(-config.tables * n * dimension // config.cell))
+
+
 def fit_probes(hasher: Hasher, sample: np.ndarray, config: ProbeConfig) -> int:
     """The least number of probes that finds enough of the sample's own nearest neighbours."""
     n, wanted = len(sample), min(config.wanted, len(sample) - 1)
@@ -239,7 +247,7 @@ def nearest(table: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     facts = rows.agg(F.max(norm).alias("top"), F.max(F.size("vector")).alias("d"), F.count("*").alias("n")).first()
     few = rows.orderBy(F.xxhash64("id"), "id").limit(config.sample).collect()
     sample = np.array([r["vector"] for r in few]).reshape(len(few), facts["d"] or 1)
-    config = replace(config, hashes=config.hashes or hashes_for(facts["n"]))
+    config = replace(config, hashes=config.hashes or hashes_for(facts["n"]), cells=cells_for(facts["n"], facts["d"] or 1, config))
     hasher = Hasher(facts["d"] or 1, float(np.sqrt(facts["top"] or 1.0)), config)
     limit = fit_probes(hasher, sample, config)
 
