@@ -8,7 +8,7 @@ import xxhash
 from llm.samples import awkward_texts, collected, documents, edited, prose
 from pyspark.sql import functions as F
 
-from vellum.llm import multiprobe, neardup, packing, winnow
+from vellum.llm import multiprobe, neardup, packing, queries, winnow
 from vellum.llm.common import texts
 from vellum.llm.shingles import weighted_sets, words
 
@@ -196,6 +196,23 @@ def test_packing_keeps_every_word_and_every_rule(spark, config):
     assert sum(r.length for r in rows) == total
 
 
+def test_near_copies_never_share_a_sequence(spark, tmp_path):
+    base = [prose(i, 60) for i in range(6)]
+    rows = [(i, base[i % 6] if i < 6 else edited(base[i % 6], i, 0.01), f"s{i}") for i in range(18)]
+    rows += [(None, edited(base[0], 50, 0.01), "t0"), (None, base[1], "t1"), (None, None, "t2"), (20, "", "t3")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op10_packing(spark, str(tmp_path)).collect()
+    assert len(found) == len(rows)
+    bins = {}
+    for r in found:
+        bins.setdefault(r.bin_id, []).append(r.doc_id)
+    for held in bins.values():
+        families = [i % 6 for i in held if i is not None and i < 18]
+        assert len(families) == len(set(families))
+    assert len(bins) == 4  # three near copies of each text, a fourth of two of them has no id
+    assert sum(r.length for r in found) == sum(len((t or "").split()) + 1 for _, t, _ in rows)
+
+
 def test_packing_of_nothing(spark):
     assert packing.pack(documents(spark, []), packing.word_length(), F.col("source"), F.col("source")).collect() == []
     odd = packing.pack(documents(spark, ["a"]), F.lit(None).cast("int"), F.col("source"), F.lit(None)).collect()
