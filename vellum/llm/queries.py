@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vellum.llm.alignment import alignment_digests
 from vellum.llm.bpe import bpe_digests
 from vellum.llm.common import fold, read_table
 from vellum.llm.language import fit_language, identify_language
@@ -90,6 +91,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(rows, F.col("words"), F.col("source"), F.col("class_id"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in every document."""
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment_digests(read_table(spark, sf_dir, "documents"), a, b)
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2000 best collocations of each language."""
     return collocations(read_table(spark, sf_dir, "documents"), F.col("lang"), top=2000)
@@ -147,6 +154,7 @@ QUERIES: dict[str, Query] = {
     "op8_lattice": op8_lattice,
     "op9_bpe": op9_bpe,
     "op10_packing": op10_packing,
+    "op11_alignment": op11_alignment,
     "op12_phrases": op12_phrases,
 }
 
