@@ -6,9 +6,11 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from vellum import jobs
 from vellum.operators import queueing as q
 from vellum.plans import fixtures as fx
 from vellum.plans.queue_jobs import responses
+from vellum.sources import writers
 
 START = datetime(2024, 1, 1)
 IDS = "doi string, openalex_id string, pubmed_id string"
@@ -210,3 +212,47 @@ def test_turns_never_grow_a_list(spark, sf_dir):
     assert set(after) <= set(before)
     assert all(0 < n <= before[i] for i, n in after.items())
     assert sum(after.values()) < sum(before.values())
+
+
+def test_presence_agrees_with_counts(spark, sf_dir):
+    entries, request = q.default_sources(fx.queue(spark, sf_dir)), fx.request(spark, sf_dir)
+    counted = {r["queue_id"]: r for r in q.with_counts(entries, request).withColumn("ok", q.is_eligible()).collect()}
+    present = q.with_presence(entries, request).withColumn("ok", q.is_eligible(counted=False)).collect()
+    assert len(present) == len(counted)
+    for r in present:
+        c = counted[r["queue_id"]]
+        assert r["has_abstract"] == (c["num_has_abstract"] > 0) and r["has_source_raw"] == (c["num_has_source_raw"] > 0)
+        assert r["has_source_request"] == (c["num_has_source_request"] > 0) and r["ok"] == c["ok"]
+
+
+def test_broken_rounds_are_resumed(spark, sf_dir, tmp_path):
+    queue, request, answers = fx.queue(spark, sf_dir), fx.request(spark, sf_dir), responses(spark, sf_dir)
+
+    def result(root, done):
+        left = writers.read_version(spark, f"{root}/queue", done).select("queue_id", q.format_sources(F.col("sources")).alias("s"))
+        landed = spark.read.parquet(f"{root}/landed").select("batch", "record_id", "queue_id", "abstract")
+        return sorted(map(str, left.collect())), sorted(map(str, landed.collect()))
+
+    whole = str(tmp_path / "whole")
+    done = jobs.work_rounds(spark, whole, queue, request, lambda asked: answers, rounds=10)
+    assert 3 <= done < 10
+    calls = []
+
+    def breaks(asked):
+        calls.append(asked.count())
+        if len(calls) == 3:
+            raise ConnectionError("the third round fails")
+        return answers
+
+    broken = str(tmp_path / "broken")
+    with pytest.raises(ConnectionError):
+        jobs.work_rounds(spark, broken, queue, request, breaks, rounds=10)
+    assert writers.latest_version(spark, f"{broken}/queue") == 2
+    # a round that had written its rows but not its queue is done again
+    writers.append_batch(spark.createDataFrame([(1, "WOS")], "record_id bigint, wrapper string"), f"{broken}/landed", 3)
+    assert jobs.work_rounds(spark, broken, queue.limit(0), request, lambda asked: answers, rounds=10) == done
+    assert result(broken, done) == result(whole, done)
+    assert jobs.work_rounds(spark, broken, queue, request, breaks, rounds=10) == done and len(calls) == 3
+    bounded = str(tmp_path / "bounded")
+    assert jobs.work_rounds(spark, bounded, queue, request, lambda asked: answers, rounds=2) == 2
+    assert jobs.work_rounds(spark, str(tmp_path / "late"), queue, request, breaks, rounds=5, until=datetime(2020, 1, 1)) == 0

@@ -6,9 +6,10 @@ Each job is a plan over DataFrames; where the tables live and how they are writt
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellum.functions.ids import strip_url
@@ -18,6 +19,7 @@ from vellum.operators.documents import in_collection, to_documents
 from vellum.operators.flatten import flatten_entity
 from vellum.operators.joins import first_per_key
 from vellum.operators.search import missing_in_range
+from vellum.sources import writers
 
 
 def ingest(
@@ -148,3 +150,50 @@ def sample_ids(
 def update_tables(tables: dict[str, DataFrame], records: DataFrame, entity: str) -> dict[str, DataFrame]:
     """Changed records of one entity into the flat tables: delete what they own, then insert."""
     return upsert.replace_entity(tables, flatten_entity(records, entity), entity)
+
+
+def _list_digest(queue: DataFrame) -> tuple:
+    """Number of entries and an order-free sum over their source lists: equal if no entry moved."""
+    total = F.sum(F.xxhash64("queue_id", F.to_json("sources")).cast("decimal(38,0)"))
+    return tuple(queue.agg(F.count(F.lit(1)), total).first())
+
+
+def work_rounds(
+    spark: SparkSession,
+    root: str,
+    queue: DataFrame,
+    request: DataFrame,
+    ask: Callable[[DataFrame], DataFrame],
+    rounds: int,
+    min_abstract_length: int = 25,
+    until: datetime | None = None,
+) -> int:
+    """Work the queue round after round until no entry moves, at most ``rounds`` rounds in all and none that starts after ``until``.
+
+    ``ask`` gets the entries to ask for and gives the sources' answers. Below ``root`` lie the queue after each round (version
+    0 is the queue as it was) and the cache rows each round has landed; the cache is ``request`` and all of those. A round
+    counts once its queue is written: its rows come first, and a round that was broken off is done again and replaces
+    them. Called again with the same ``root`` the work goes on after the last finished round. Gives the number of finished rounds.
+    """
+    queues, landed = f"{root}/queue", f"{root}/landed"
+    done = writers.latest_version(spark, queues)
+    if done is None:
+        writers.write_version(queueing.default_sources(queue), queues, 0)
+        done = 0
+    current = writers.read_version(spark, queues, done)
+    state = _list_digest(current)
+    if done and state == _list_digest(writers.read_version(spark, queues, done - 1)):
+        return done
+    while done < rounds and (until is None or datetime.now() < until):
+        cache = request
+        for earlier in range(1, done + 1):
+            cache = cache.unionByName(writers.read_batch(spark, landed, earlier), allowMissingColumns=True)
+        following, rows = queueing.work_turn(current, cache, ask, min_abstract_length)
+        done += 1
+        writers.append_batch(rows, landed, done)
+        writers.write_version(following, queues, done)
+        current = writers.read_version(spark, queues, done)
+        before, state = state, _list_digest(current)
+        if state == before:
+            break
+    return done

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions.ids import ID_COLUMNS, doi_key, strip_url
 from vellum.operators.joins import left_lookup
+from vellum.session import cut_lineage
 
 
 def shared_ids(left: DataFrame, right: DataFrame, id_cols: Sequence[str] | None = None) -> list[str]:
@@ -319,6 +320,41 @@ def merge_any_id(
     )
 
 
+def collapse_linked(rows: DataFrame, key: str, order: Sequence[str], id_cols: Sequence[str]) -> DataFrame:
+    """One row for all rows that are linked by shared identifiers, directly or over other rows.
+
+    Every field has the last non-null value in ``order`` (ending in a unique column), the key is that of the first row.
+    Rows that share no identifier stay as they are and are neither aggregated nor sent along.
+    """
+    from vellum.operators.components import shared_value_components
+
+    linked = cut_lineage(shared_value_components(rows, key, id_cols), "linked")
+    alone = rows.join(linked.select(F.col("node").alias(key)), key, "left_anti")
+    place = F.struct(*order)
+    fields = [c for c in rows.columns if c != key]
+    grouped = (
+        rows.join(linked.withColumnRenamed("node", key), key)
+        .groupBy("root")
+        .agg(
+            F.min_by(key, place).alias(key),
+            *[F.max_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in fields],
+        )
+    )
+    return alone.unionByName(grouped.select(*rows.columns))
+
+
+def merge_batch(
+    existing: DataFrame, incoming: DataFrame, incoming_key: str, order: Sequence[str], id_cols: Sequence[str] | None = None
+) -> DataFrame:
+    """``merge_any_id`` of a batch whose rows may share identifiers with each other.
+
+    Rows of the batch that are linked by identifiers become one row first, whatever their order, and that row meets the
+    existing ones with all identifiers of its rows. Existing rows are not merged with each other.
+    """
+    kinds = shared_ids(existing, incoming, id_cols)
+    return merge_any_id(existing, collapse_linked(incoming, incoming_key, order, kinds), incoming_key, order, kinds)
+
+
 def with_enough_ids(references: DataFrame, id_cols: Sequence[str], at_least: int = 2) -> DataFrame:
     """References that carry at least so many of the given identifiers."""
     present = sum((F.col(c).isNotNull().cast("int") for c in id_cols), F.lit(0))

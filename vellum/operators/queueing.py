@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vellum.functions.ids import ID_COLUMNS, clean_doi
 from vellum.functions.text import at_least
 from vellum.operators.joins import first_per_key, numbered
-from vellum.operators.matching import complete_ids, count_matches, semi_match, shared_ids
+from vellum.operators.matching import complete_ids, count_matches, fold_matches, semi_match, shared_ids
 from vellum.session import cut_lineage
 
 # Priority of a source in a queue entry.
@@ -143,15 +143,45 @@ def with_counts(entries: DataFrame, request: DataFrame, source: str | None = Non
     )
 
 
-def is_eligible() -> Column:
-    """Whether an entry with counters is to be asked for now."""
+def with_presence(entries: DataFrame, request: DataFrame) -> DataFrame:
+    """Entries with what eligibility asks about their cache rows: any abstract, and a row and a payload of their own next source.
+
+    Existence needs no counting: each identifier value keeps the sources that have a row or a payload for it, a handful, and an entry
+    looks its values up. This is linear in the identifiers of both tables.
+    """
+    head = F.get("sources", F.lit(0))
+    kinds = shared_ids(entries, request)
+    rows = request.select(*kinds, "wrapper", F.col("abstract").isNotNull().alias("text"), F.col("raw").isNotNull().alias("payload"))
+    found = fold_matches(
+        entries, rows, "queue_id",
+        {"text": F.max("text"), "rows": F.collect_set("wrapper"), "payloads": F.collect_set(F.when(F.col("payload"), F.col("wrapper")))},
+        {"text": F.max("text"), "rows": F.flatten(F.collect_list("rows")), "payloads": F.flatten(F.collect_list("payloads"))},
+        kinds,
+    )
+
+    def holds(sources: str) -> Column:
+        return F.coalesce(F.array_contains(sources, F.col("source")), F.lit(False))
+
+    known = entries.withColumns({"source": head["source"], "priority": head["priority"]}).join(found, "queue_id", "left")
+    return known.select(
+        *entries.columns, "source", "priority", F.coalesce("text", F.lit(False)).alias("has_abstract"),
+        holds("rows").alias("has_source_request"), holds("payloads").alias("has_source_raw"),
+    )
+
+
+def is_eligible(counted: bool = True) -> Column:
+    """Whether an entry is to be asked for now, by its counters or, not ``counted``, by what ``with_presence`` found."""
     policy = F.col("on_conflict")
+
+    def none(name: str) -> Column:
+        return F.col(f"num_has_{name}") == 0 if counted else ~F.col(f"has_{name}")
+
     return (
         (F.col("priority") == SOURCE_FORCE)
         | (policy == CONFLICT_FORCE)
-        | ((policy == CONFLICT_RETRY_ABSTRACT) & (F.col("num_has_abstract") == 0))
-        | ((policy == CONFLICT_RETRY_RAW) & (F.col("num_has_source_raw") == 0))
-        | ((policy == CONFLICT_DO_NOTHING) & (F.col("num_has_source_request") == 0))
+        | ((policy == CONFLICT_RETRY_ABSTRACT) & none("abstract"))
+        | ((policy == CONFLICT_RETRY_RAW) & none("source_raw"))
+        | ((policy == CONFLICT_DO_NOTHING) & none("source_request"))
     )
 
 
@@ -309,19 +339,23 @@ def _by_source(df: DataFrame, source: Column, kinds: Sequence[str]) -> DataFrame
 
 
 def work_turn(
-    queue: DataFrame, request: DataFrame, responses: DataFrame, min_abstract_length: int = 25
+    queue: DataFrame,
+    request: DataFrame,
+    responses: DataFrame | Callable[[DataFrame], DataFrame],
+    min_abstract_length: int = 25,
 ) -> tuple[DataFrame, DataFrame]:
     """One turn of every entry at its next source. Gives the next queue and the cache rows to append.
 
     All sources and all entries are worked at once: the eligible entries are asked, ``responses`` holds what the sources
-    answer, answers match entries of their own source on any identifier, and every entry's list moves on. The caller
-    stores both results and asks the sources again for the next turn.
+    answer, or is called with the entries asked and gives that, answers match entries of their own source on any identifier,
+    and every entry's list moves on. ``jobs.work_rounds`` stores both results and goes on with the next turn.
     """
     head = F.get("sources", F.lit(0))["source"]
     base = default_sources(queue)
     waiting = base.where(F.size("sources") > 0)
-    asked = with_counts(waiting, request).where(is_eligible()).select(*waiting.columns)
+    asked = with_presence(waiting, request).where(is_eligible(counted=False)).select(*waiting.columns)
     asked = cut_lineage(asked, "asked")
+    responses = responses(asked) if callable(responses) else responses
     kinds = [c for c in shared_ids(responses, asked) if c != "queue_id"]
     offered = _by_source(responses, F.col("wrapper"), kinds)
     own = _by_source(asked, head, kinds)

@@ -11,6 +11,7 @@ from vellum.plans.matches import MATCH
 from vellum.plans.registry import job
 from vellum.plans.tables import now
 from vellum.session import scratch_path
+from vellum.sources import writers
 from vellum.sources.snapshot import read_id_csv
 
 # What the sources answer: matched by DOI only, some answers too short to be an abstract.
@@ -335,6 +336,65 @@ def que_turn(spark, sf_dir):
     return left.unionByName(rows)
 
 
+def _round_sql(n: int) -> str:
+    """One round over the queue q<n> and the cache r<n>, giving q<n+1>, landed<n> and r<n+1>."""
+    steps, completed = _complete(_KINDS, f"answers{n}", f"asked{n}", f"c{n}_", "wrapper", " AND q.sources[1].source = r.wrapper")
+    return f"""
+    counted{n} AS MATERIALIZED ({_COUNTED.format(queue=f"q{n}", request=f"r{n}")}),
+    asked{n} AS MATERIALIZED (SELECT t.* FROM q{n} t JOIN counted{n} c USING (queue_id)
+              WHERE {_ELIGIBLE.replace("on_conflict", "c.on_conflict")}),
+    answers{n} AS MATERIALIZED (SELECT r.*, CAST(NULL AS BIGINT) AS queue_id FROM responses r
+                WHERE EXISTS (SELECT 1 FROM asked{n} q WHERE q.sources[1].source = r.wrapper AND ({MATCH}))),
+    {steps},
+    landed{n} AS MATERIALIZED (
+      SELECT a.record_id, a.wrapper, c.openalex_id, c.doi, c.pubmed_id, c.scopus_id, c.wos_id, c.queue_id, a.title, a.raw,
+             CASE WHEN length(a.abstract) >= 25 THEN a.abstract END AS abstract
+      FROM answers{n} a JOIN {completed} c USING (record_id)),
+    q{n + 1} AS MATERIALIZED (
+      SELECT * FROM (
+        SELECT * REPLACE (CASE WHEN queue_id IN (SELECT queue_id FROM landed{n}
+                                                 WHERE abstract IS NOT NULL AND queue_id IS NOT NULL)
+                               THEN list_filter(sources, lambda s: s.priority = 1)
+                               ELSE list_filter(sources, lambda s: s.source <> sources[1].source) END AS sources)
+        FROM q{n})
+      WHERE len(sources) > 0),
+    r{n + 1} AS MATERIALIZED (
+      SELECT * FROM r{n} UNION ALL
+      SELECT record_id, wrapper, openalex_id, doi, pubmed_id, scopus_id, wos_id, title, abstract, raw FROM landed{n})"""
+
+
+_ROUNDS = 5  # one more than the longest list and the round in which nothing moves
+
+
+@job(
+    "que_rounds",
+    f"""
+    WITH <<queue>>, <<request>>, {_RESPONSES_CTE}, q AS ({_LISTS}),
+    q0 AS (SELECT * REPLACE (COALESCE(sources, {_DEFAULT}) AS sources) FROM q),
+    r0 AS (SELECT record_id, wrapper, openalex_id, doi, pubmed_id, scopus_id, wos_id, title, abstract, raw FROM request),
+    {", ".join(_round_sql(n) for n in range(_ROUNDS))}
+    SELECT 'queue' AS part, queue_id, {_AS_TEXT} AS content FROM q{_ROUNDS}
+    UNION ALL
+    SELECT DISTINCT 'landed', queue_id, concat_ws('|', record_id, doi, openalex_id, wrapper, abstract)
+    FROM ({" UNION ALL ".join(f"SELECT * FROM landed{n}" for n in range(_ROUNDS))})
+    """,
+)
+def que_rounds(spark, sf_dir):
+    root = scratch_path(spark, "rounds")
+    answers = responses(spark, sf_dir)
+    done = jobs.work_rounds(
+        spark, root, fx.queue(spark, sf_dir), fx.request(spark, sf_dir), lambda asked: answers, rounds=10
+    )
+    left = writers.read_version(spark, f"{root}/queue", done).select(
+        F.lit("queue").alias("part"), "queue_id", queueing.format_sources(F.col("sources")).alias("content")
+    )
+    rows = spark.read.parquet(f"{root}/landed").select(
+        F.lit("landed").alias("part"), "queue_id",
+        F.concat_ws("|", "record_id", "doi", "openalex_id", "wrapper", "abstract").alias("content"),
+    )
+    return left.unionByName(rows.distinct())
+
+
 @job(
     "que_enqueue_range",
     """

@@ -95,14 +95,8 @@ def snk_insert_or_replace(spark, sf_dir):
     return replaced.select("openalex_id", "abstract", "wrapper")
 
 
-@job(
-    "snk_merge_any_id",
-    """
-    WITH <<request>>, existing AS (SELECT record_id, openalex_id, doi, pubmed_id, wos_id, title, abstract FROM request
-                                   WHERE wrapper = 'WOS'),
-    incoming AS (SELECT record_id, openalex_id, doi, pubmed_id, title, abstract, time_created FROM request
-                 WHERE wrapper IN ('PUBMED', 'SCOPUS')),
-    pairs AS (
+# Existing rows take the last non-null fields of incoming rows with a common identifier, the others are added.
+_MERGE = """pairs AS (
       SELECT e.record_id AS e_id, n.* FROM existing e JOIN incoming n
         ON e.openalex_id = n.openalex_id OR e.doi = n.doi OR e.pubmed_id = n.pubmed_id),
     news AS (
@@ -119,7 +113,18 @@ def snk_insert_or_replace(spark, sf_dir):
     UNION ALL
     SELECT record_id, openalex_id, doi, pubmed_id, NULL, title, abstract FROM incoming
     WHERE record_id NOT IN (SELECT record_id FROM pairs)
-    """,
+"""
+
+
+@job(
+    "snk_merge_any_id",
+    """
+    WITH <<request>>, existing AS (SELECT record_id, openalex_id, doi, pubmed_id, wos_id, title, abstract FROM request
+                                   WHERE wrapper = 'WOS'),
+    incoming AS (SELECT record_id, openalex_id, doi, pubmed_id, title, abstract, time_created FROM request
+                 WHERE wrapper IN ('PUBMED', 'SCOPUS')),
+    """
+    + _MERGE,
 )
 def snk_merge_any_id(spark, sf_dir):
     request = fx.request(spark, sf_dir)
@@ -132,6 +137,55 @@ def snk_merge_any_id(spark, sf_dir):
     return matching.merge_any_id(existing, incoming, "record_id", ["time_created", "record_id"])
 
 
+# Rows of a batch that share identifiers, directly or over others of the batch, are one row.
+@job(
+    "snk_merge_batch",
+    """
+    WITH RECURSIVE <<request>>,
+    existing AS (SELECT record_id, openalex_id, doi, pubmed_id, wos_id, title, abstract FROM request
+                 WHERE wrapper = 'WOS' AND record_id // 4 NOT IN (SELECT doc_id FROM documents WHERE source = 'src7')),
+    batch AS (SELECT record_id, openalex_id, doi, pubmed_id, title, abstract, time_created FROM request
+              WHERE wrapper <> 'WOS'),
+    held AS (
+      SELECT record_id, 'o' AS kind, openalex_id AS v FROM batch WHERE openalex_id IS NOT NULL
+      UNION ALL SELECT record_id, 'd', doi FROM batch WHERE doi IS NOT NULL
+      UNION ALL SELECT record_id, 'p', pubmed_id FROM batch WHERE pubmed_id IS NOT NULL),
+    links AS (
+      SELECT DISTINCT h.record_id AS a, m.hub AS b
+      FROM held h JOIN (SELECT kind, v, min(record_id) AS hub FROM held GROUP BY kind, v) m USING (kind, v)
+      WHERE h.record_id <> m.hub),
+    both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reach AS (
+      SELECT record_id AS origin, record_id AS node FROM batch
+      UNION
+      SELECT r.origin, l.b FROM reach r JOIN both_ways l ON l.a = r.node),
+    roots AS (SELECT origin AS record_id, min(node) AS root FROM reach GROUP BY origin),
+    incoming AS (
+      SELECT arg_min(record_id, (time_created, record_id)) AS record_id,
+             arg_max(openalex_id, (time_created, record_id)) FILTER (WHERE openalex_id IS NOT NULL) AS openalex_id,
+             arg_max(doi, (time_created, record_id)) FILTER (WHERE doi IS NOT NULL) AS doi,
+             arg_max(pubmed_id, (time_created, record_id)) FILTER (WHERE pubmed_id IS NOT NULL) AS pubmed_id,
+             arg_max(title, (time_created, record_id)) FILTER (WHERE title IS NOT NULL) AS title,
+             arg_max(abstract, (time_created, record_id)) FILTER (WHERE abstract IS NOT NULL) AS abstract,
+             max(time_created) AS time_created
+      FROM batch JOIN roots USING (record_id) GROUP BY root),
+    """
+    + _MERGE,
+)
+def snk_merge_batch(spark, sf_dir):
+    request = fx.request(spark, sf_dir).join(
+        fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_doc"), "source"),
+        F.expr("record_id div 4 = _doc"),
+    )
+    existing = request.where("wrapper = 'WOS' AND source <> 'src7'").select(
+        "record_id", "openalex_id", "doi", "pubmed_id", "wos_id", "title", "abstract"
+    )
+    incoming = request.where("wrapper <> 'WOS'").select(
+        "record_id", "openalex_id", "doi", "pubmed_id", "title", "abstract", "time_created"
+    )
+    return matching.merge_batch(existing, incoming, "record_id", ["time_created", "record_id"])
+
+
 # How many rows of each owned table a work has.
 _OWNED = """sized AS (
       SELECT doc_id, i, line <> '' AS filled,

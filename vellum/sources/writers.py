@@ -44,6 +44,16 @@ def read_latest(spark: SparkSession, root: str) -> DataFrame | None:
     return None if version is None else spark.read.parquet(f"{root}/version={version:09d}")
 
 
+def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """One version of a table."""
+    return spark.read.parquet(f"{root}/version={version:09d}")
+
+
+def read_batch(spark: SparkSession, root: str, batch: int) -> DataFrame:
+    """The rows one batch has written."""
+    return spark.read.parquet(f"{root}/batch={batch}")
+
+
 def append_batch(rows: DataFrame, root: str, batch: int) -> None:
     """Write one batch of a table's log. A repeated batch replaces itself, so replays are harmless."""
     rows.write.mode("overwrite").parquet(f"{root}/batch={batch}")
