@@ -91,23 +91,26 @@ def total_bytes(packs: DataFrame) -> int:
     return packs.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda x, y: x + y))).first()[0] or 0
 
 
-def cuts(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Where the values of each bucket begin among sorted hashes, and the end."""
-    borders = (np.arange(1, buckets, dtype=object) << 64) // buckets
-    return np.concatenate([[0], np.searchsorted(hashes, np.array([int(b) for b in borders], dtype=U)), [len(hashes)]])
+def cuts(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of sorted hashes, by their upper half, and where the values of each begin, with the end."""
+    bucket = (((hashes >> U(32)) * U(buckets)) >> U(32)).astype(np.int32)
+    new = np.ones(len(bucket), dtype=bool)
+    new[1:] = bucket[1:] != bucket[:-1]
+    first = np.flatnonzero(new)
+    return bucket[first], np.append(first, len(bucket))
 
 
 def sent(pack: int, hashes: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
     """(bucket, pack, prints, counts): the sorted hashes of a pack by bucket; a print is the lower half of a hash."""
-    at = cuts(hashes, buckets)
-    full = np.flatnonzero(np.diff(at))
+    full, at = cuts(hashes, buckets)
     prints, counts = hashes.astype(np.uint32), np.minimum(counts, 255).astype(np.uint8)
+    ranges = list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(full.astype(np.int32)),
+            pa.array(full),
             pa.array(np.full(len(full), pack, dtype=np.int64)),
-            pa.array([prints[at[b] : at[b + 1]].tobytes() for b in full], pa.binary()),
-            pa.array([counts[at[b] : at[b + 1]].tobytes() for b in full], pa.binary()),
+            pa.array([prints[lo:hi].tobytes() for lo, hi in ranges], pa.binary()),
+            pa.array([counts[lo:hi].tobytes() for lo, hi in ranges], pa.binary()),
         ],
         ["bucket", "pack", "prints", "counts"],
     )
@@ -121,9 +124,11 @@ def summed(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[in
     parts = [np.frombuffer(b, dtype=np.uint32) for b in group.column("prints").to_pylist()]
     prints = np.concatenate(parts)
     counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), dtype=np.uint8).astype(np.int64)
-    order = np.argsort(prints, kind="stable")
-    sorted_prints = prints[order]
-    first = np.flatnonzero(np.diff(sorted_prints.astype(np.int64), prepend=-1))
+    order = np.argsort(prints)
+    new = np.ones(len(prints), dtype=bool)
+    ordered = prints[order]
+    new[1:] = ordered[1:] != ordered[:-1]
+    first = np.flatnonzero(new)
     sizes = np.diff(np.append(first, len(prints)))
     total, packs = np.empty(len(prints), np.int64), np.empty(len(prints), np.int64)
     total[order] = np.repeat(np.add.reduceat(counts[order], first), sizes)
@@ -131,26 +136,28 @@ def summed(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[in
     return total, packs, prints, [0, *np.cumsum([len(p) for p in parts]).tolist()]
 
 
-def marked(keys: DataFrame, wanted: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """(pack, bits): for each pack, its own values in order, one bit for each that is wanted by sum and number of packs."""
+def marked(keys: DataFrame, wanted: Callable[[np.ndarray, np.ndarray], list[np.ndarray]]) -> DataFrame:
+    """(pack, answers): for each pack, its own values in order, one bit for each question about its sum and number of packs."""
 
     def answer(group: pa.Table) -> pa.Table:
         total, packs, _, at = summed(group)
         bits = wanted(total, packs)
-        answers = [np.packbits(bits[lo:hi]).tobytes() for lo, hi in zip(at[:-1], at[1:], strict=True)]
+        answers = [b"".join([np.packbits(b[lo:hi]).tobytes() for b in bits]) for lo, hi in zip(at[:-1], at[1:], strict=True)]
         return pa.table({"pack": group.column("pack"), "bucket": group.column("bucket"), "bits": pa.array(answers, pa.binary())})
 
     answers = keys.groupBy("bucket").applyInArrow(answer, "pack long, bucket int, bits binary")
     return answers.groupBy("pack").agg(F.collect_list(F.struct("bucket", "bits")).alias("answers"))
 
 
-def received(answers: list | None, hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """The bits of a pack's sorted values, from the answers of all buckets."""
-    at = cuts(hashes, buckets)
-    out = np.zeros(len(hashes), dtype=bool)
+def received(answers: list | None, hashes: np.ndarray, buckets: int, questions: int = 1) -> np.ndarray:
+    """The bits of a pack's sorted values, a row for each question, from the answers of all buckets."""
+    full, at = cuts(hashes, buckets)
+    place = dict(zip(full.tolist(), zip(at[:-1].tolist(), at[1:].tolist(), strict=True), strict=True))
+    out = np.zeros((questions, len(hashes)), dtype=bool)
     for a in answers or []:
-        lo, hi = at[a["bucket"]], at[a["bucket"] + 1]
-        out[lo:hi] = np.unpackbits(np.frombuffer(a["bits"], dtype=np.uint8), count=hi - lo)
+        lo, hi = place[a["bucket"]]
+        bits = np.unpackbits(np.frombuffer(a["bits"], dtype=np.uint8).reshape(questions, -1), axis=1)
+        out[:, lo:hi] = bits[:, : hi - lo]
     return out
 
 

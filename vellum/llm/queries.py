@@ -18,6 +18,7 @@ from vellum.llm.neardup import near_duplicates
 from vellum.llm.packing import pack, word_length
 from vellum.llm.phrases import collocations
 from vellum.llm.quality import fit_quality, score_quality
+from vellum.llm.suffixes import repeat_digests
 from vellum.llm.tokenfiles import token_digests
 from vellum.llm.winnow import edited_fingerprints
 from vellum.llm.wrappers import main_texts
@@ -143,6 +144,43 @@ SELECT lang, rank, phrase, a, l, r, totals.n::BIGINT AS n, score::BIGINT AS scor
 FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
+def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document without the 50-byte strings that an earlier one holds."""
+    return repeat_digests(read_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sized AS (
+  SELECT *, length(h) // 2 AS n FROM texts
+), chunks AS (
+  SELECT row, doc_id, least(1000, n - 49 - c) AS places, c, substr(h, 2 * c + 1, 2 * 1049) AS part
+  FROM (SELECT *, unnest(range(0, n - 49, 1000)) AS c FROM sized)
+), strings AS (
+  SELECT row, doc_id, c + i AS i, substr(part, 2 * i + 1, 100) AS s FROM (SELECT *, unnest(range(0, places)) AS i FROM chunks)
+), firsts AS (
+  SELECT s, min(doc_id) AS holder FROM strings GROUP BY s HAVING count(*) > 1
+), gone AS (
+  SELECT row, i FROM strings JOIN firsts USING (s) WHERE holder < doc_id
+), edges AS (
+  SELECT row, i, coalesce(i - lag(i) OVER (PARTITION BY row ORDER BY i) > 50, true) AS new FROM gone
+), numbered AS (
+  SELECT row, i, sum(new::INT) OVER (PARTITION BY row ORDER BY i) AS span FROM edges
+), spans AS (
+  SELECT row, span, min(i) AS lo, max(i) + 50 AS hi FROM numbered GROUP BY row, span
+), gaps AS (
+  SELECT row, span, lo, hi, coalesce(lag(hi) OVER (PARTITION BY row ORDER BY lo), 0) AS after FROM spans
+), cut AS (
+  SELECT row, count(*) AS n_spans, sum(hi - lo) AS n_removed, max(g.hi) AS hi,
+    string_agg(substr(h, 2 * after + 1, 2 * (lo - after)), '' ORDER BY lo) AS kept
+  FROM gaps g JOIN sized USING (row) GROUP BY row
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept || substr(h, 2 * hi + 1), h))) AS kept_sha256
+FROM sized LEFT JOIN cut USING (row)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_winnowing": op2_winnowing,
@@ -156,7 +194,8 @@ QUERIES: dict[str, Query] = {
     "op10_packing": op10_packing,
     "op11_alignment": op11_alignment,
     "op12_phrases": op12_phrases,
+    "op13_suffixes": op13_suffixes,
 }
 
 #: The other operators can't be expressed in SQL; tests hold them against brute force, round trips and held-out labels.
-ORACLES: dict[str, str] = {"op12_phrases": OP12_SQL}
+ORACLES: dict[str, str] = {"op12_phrases": OP12_SQL, "op13_suffixes": OP13_SQL}
