@@ -86,3 +86,12 @@ def test_phrases_that_share_a_fingerprint_are_told_apart():
         found[r["lang"], r["phrase"]] += r["count"]
     f, _ = grams(list(zip(texts, ["en", "fr"], strict=True)))
     assert found == Counter({(lang, p): a for lang, c in f.items() for p, a in c.items()})
+
+
+def test_white_space_inside_a_phrase_is_one_blank():
+    text = "a b\tc  d e"
+    pack = packs.Pack(1, ["en"], np.array([len(text)]), np.array([0]), np.frombuffer(text.encode(), dtype=np.uint8))
+    w = phrases.words(pack)
+    at, size = np.array([0, 0, 2, 3, 1]), np.array([2, 3, 2, 2, 1])
+    rows = phrases.phrase_rows(pack, w, at, size, np.array([1, 2, 3, 4, 5])).to_pylist()
+    assert sorted((r["phrase"], r["words"], r["count"]) for r in rows) == [("a b", 2, 1), ("a b c", 3, 2), ("b", 1, 5), ("c d", 2, 3), ("d e", 2, 4)]

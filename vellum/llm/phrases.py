@@ -40,8 +40,8 @@ class PhraseConfig:
     least: int = 10
     longest: int = 3
     share: int = 50
-    pack: int = 8 << 20
-    bucket: int = 1 << 21
+    pack: int = 4 << 20
+    bucket: int = 1 << 20
 
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -165,18 +165,34 @@ def verified(pack: Pack, w: Words, prints: np.ndarray, at: np.ndarray, size: np.
     langs = np.array(pack.keys, dtype=object)
     equal &= langs[w.text[at[occurrence]]] == langs[w.text[at[leader]]]
     head, n = np.unique(leader[equal], return_counts=True)
-    rows = list(zip(head.tolist(), n.tolist(), strict=True))
-    rows += [(i, 1) for i in occurrence[~equal].tolist()]
-    sizes_of, at_of, text_of = size.tolist(), at, w.text
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([langs[text_of[at_of[i]]] for i, _ in rows], pa.string()),
-            pa.array([sizes_of[i] for i, _ in rows], pa.int32()),
-            pa.array([w.phrase(int(at_of[i]), sizes_of[i]).decode() for i, _ in rows], pa.string()),
-            pa.array([c for _, c in rows], pa.int64()),
-        ],
-        ["lang", "words", "phrase", "count"],
-    )
+    rows = np.concatenate([head, occurrence[~equal]])
+    counts = np.concatenate([n, np.ones(len(rows) - len(head), n.dtype)])
+    return phrase_rows(pack, w, at[rows], size[rows].astype(np.int64), counts)
+
+
+def phrase_rows(pack: Pack, w: Words, at: np.ndarray, size: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """(lang, words, phrase, count) of phrases given by their first word and length.
+
+    Words with single blanks between them are one slice of the text; where other white space stands the blanks are written.
+    """
+    start, end = w.start[at], w.end[at + size - 1]
+    plain = np.ones(len(at), dtype=bool)
+    for j in range(int(size.max(initial=0)) - 1):
+        there = size > j + 1
+        gap = w.end[at[there] + j]
+        plain[there] &= (w.start[at[there] + j + 1] == gap + 1) & (w.data[gap] == 0x20)
+    order = np.argsort(~plain, kind="stable")
+    at, size, counts, start, length = at[order], size[order], counts[order], start[order], (end - start)[order]
+    first = int(plain.sum())
+    ends = np.cumsum(length[:first])
+    total = int(ends[-1]) if first else 0
+    flat = w.data[np.arange(total) + np.repeat(start[:first] - ends + length[:first], length[:first])]
+    odd = [w.phrase(i, k) for i, k in zip(at[first:].tolist(), size[first:].tolist(), strict=True)]
+    offsets = np.concatenate([[0], ends, total + np.cumsum([len(x) for x in odd], dtype=np.int64)]).astype(np.int32)
+    phrases = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(flat.tobytes() + b"".join(odd)))
+    langs = pa.array(pack.keys, pa.string()).take(pa.array(w.text[at]))
+    columns = [langs, pa.array(size, pa.int32()), phrases, pa.array(counts, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "count"])
 
 
 COUNTED = "lang string, words int, phrase string, count long"
@@ -203,7 +219,7 @@ def frequent_phrases(docs: DataFrame, lang: Column, text_col: str = "text", conf
             w = words(pack)
             prints, at, size = fingerprints(pack, w, config.longest)
             order, first, _ = distinct(prints)
-            wanted = packs.received(row["answers"], prints[order[first]], buckets)
+            wanted = packs.received(row["answers"], prints[order[first]], buckets)[0]
             found = verified(pack, w, prints, at, size, wanted)
             langs, numbers = np.unique(np.array(pack.keys, dtype=object), return_inverse=True)
             totals = np.bincount(numbers[w.text], minlength=len(langs)) if len(w.text) else np.zeros(len(langs), np.int64)
@@ -213,7 +229,7 @@ def frequent_phrases(docs: DataFrame, lang: Column, text_col: str = "text", conf
 
     keys = stored.mapInArrow(send, packs.SENT)
     least = config.least
-    answers = packs.marked(keys, lambda total, n: total >= least)
+    answers = packs.marked(keys, lambda total, n: [total >= least])
     counted = stored.join(answers, "pack", "left").mapInArrow(look_up, COUNTED)
     total = counted.groupBy("lang", "words", "phrase").agg(F.sum("count").alias("count"))
     return write_shared(total.filter((F.col("words") == 0) | (F.col("count") >= least)), "phrases")
