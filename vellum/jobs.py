@@ -20,6 +20,7 @@ from vellum.operators.flatten import flatten_entity
 from vellum.operators.joins import first_per_key
 from vellum.operators.search import missing_in_range
 from vellum.sources import writers
+from vellum.sources.keyed import RangeTable
 
 
 def ingest(
@@ -152,6 +153,14 @@ def update_tables(tables: dict[str, DataFrame], records: DataFrame, entity: str)
     return upsert.replace_entity(tables, flatten_entity(records, entity), entity)
 
 
+def update_stored(table: RangeTable, update: DataFrame, now: Column) -> int:
+    """``daily_update`` of a stored index: reads the documents of updated works and rewrites the files that hold them.
+
+    ``update`` has one row per id. Gives the number of files rewritten.
+    """
+    return table.upsert(upsert.updated_documents(table.rows_of(update), update, now))
+
+
 def _list_digest(queue: DataFrame) -> tuple:
     """Number of entries and an order-free sum over their source lists: equal if no entry moved."""
     total = F.sum(F.xxhash64("queue_id", F.to_json("sources")).cast("decimal(38,0)"))

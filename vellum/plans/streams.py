@@ -10,7 +10,8 @@ from vellum.plans.registry import ORACLES, job
 from vellum.plans.scans import publish
 from vellum.plans.tables import now
 from vellum.session import scratch_path
-from vellum.sources.writers import append_batch, read_log
+from vellum.sources.keyed import KeyedLog
+from vellum.sources.writers import read_log
 from vellum.streaming import incremental
 
 
@@ -30,7 +31,7 @@ def str_snapshot_incremental(spark, sf_dir):
     )
     publish(stale, root)
     records = incremental.stream_snapshot(
-        spark, root, "work", "id STRING, title STRING, abstract STRING", maxFilesPerTrigger="20"
+        spark, root, "work", "id STRING, title STRING, abstract STRING", maxFilesPerTrigger="60"
     )
 
     def shape(rows):
@@ -40,9 +41,8 @@ def str_snapshot_incremental(spark, sf_dir):
         )
 
     incremental.start_ingest(records, "id", f"{root}/log", f"{root}/checkpoint", shape).awaitTermination()
-    return read_log(
-        spark, f"{root}/log", "id STRING, title STRING, abstract STRING, updated_date STRING", "id", order=("updated_date",)
-    )
+    schema = "id STRING, title STRING, abstract STRING, updated_date STRING"
+    return KeyedLog(spark, f"{root}/log", "id", schema, ("updated_date",)).read()
 
 
 @job(
@@ -58,7 +58,8 @@ def str_daily_update(spark, sf_dir):
     index = fx.index(spark, sf_dir)
     update = fx.update(spark, sf_dir)
     # the index as it was, and the changes as one folder per day
-    append_batch(index, f"{root}/index", -1)
+    documents = incremental.index_log(spark, f"{root}/index", update.schema)
+    documents.append(index, -1)
     stale = update.where("is_xpac").withColumns(
         {"updated_date": F.date_sub("updated_date", 20), "title": F.lit("stale"), "abstract": F.lit(None).cast("string")}
     )
@@ -71,10 +72,8 @@ def str_daily_update(spark, sf_dir):
     incremental.start_daily_update(
         changes, f"{root}/index", f"{root}/queue", f"{root}/checkpoint", now()
     ).awaitTermination()
-    rows = read_log(spark, f"{root}/index", f"{schema}, title_abstract STRING, abstract_date TIMESTAMP_NTZ", "id", order=("updated_date",))
-    queued = spark.read.schema("openalex_id STRING, doi STRING, time_created TIMESTAMP_NTZ, batch BIGINT").parquet(
-        f"{root}/queue"
-    )
+    rows = documents.read()
+    queued = incremental.queue_log(spark, f"{root}/queue").read()
     stamp = "yyyy-MM-dd HH:mm:ss"
     return rows.select(
         F.lit("index").alias("part"), "id", "title", "abstract", "abstract_source",

@@ -8,9 +8,10 @@ from vellum import jobs
 from vellum.operators import flatten, matching, payloads, reports, upsert
 from vellum.plans import fixtures as fx
 from vellum.plans.nested import nested_works
-from vellum.plans.registry import job
+from vellum.plans.registry import ORACLES, job
 from vellum.session import scratch_path
 from vellum.sources import snapshot, writers
+from vellum.sources.keyed import RangeTable
 
 
 def now():
@@ -334,6 +335,30 @@ def upd_preserve_abstract(spark, sf_dir):
     return _date_text(following, "abstract_date").select("id", "title", "abstract", "abstract_source", "abstract_date")
 
 
+# The same from and into stored files, of which only those with an updated document are rewritten.
+@job("upd_preserve_stored", ORACLES["upd_preserve_abstract"])
+def upd_preserve_stored(spark, sf_dir):
+    table = RangeTable(spark, scratch_path(spark, "stored"), "id", rows=500)
+    table.create(fx.index(spark, sf_dir))
+    jobs.update_stored(table, fx.update(spark, sf_dir), now())
+    return _date_text(table.read(), "abstract_date").select("id", "title", "abstract", "abstract_source", "abstract_date")
+
+
+# Records merged away, deleted from stored files.
+@job(
+    "del_stored",
+    """
+    WITH <<index>>, <<merged_ids>>
+    SELECT id, doi, title, abstract FROM idx WHERE id NOT IN (SELECT id FROM merged_ids)
+    """,
+)
+def del_stored(spark, sf_dir):
+    table = RangeTable(spark, scratch_path(spark, "stored"), "id", rows=500)
+    table.create(fx.index(spark, sf_dir))
+    table.delete(fx.merged_ids(spark, sf_dir))
+    return table.read().select("id", "doi", "title", "abstract")
+
+
 @job(
     "snk_hit_export",
     """

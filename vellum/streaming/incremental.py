@@ -1,8 +1,9 @@
 """Incremental jobs as Structured Streaming queries.
 
-Every batch writes its own folder of a table's log and nothing else; a repeated batch overwrites itself. The
-state of a table is the row per key with the latest date, of equal dates the one that came last, since files need not arrive
-in the order of their records. A batch only sees folders of earlier batches.
+Every batch adds its rows to a table's log and nothing else; a repeated batch changes nothing. The state of a table is the
+row per key with the latest date, of equal dates the one that came last, since files need not arrive in the order of their
+records. A batch only sees what earlier batches have written, and opens the buckets of its own keys only; the log merges what
+batches have left (``vellum.sources.keyed``).
 """
 
 from __future__ import annotations
@@ -13,12 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from vellum.operators.joins import first_per_key
 from vellum.operators.reports import stats_columns
 from vellum.operators.upsert import updated_documents
+from vellum.sources.keyed import KeyedLog
 from vellum.sources.snapshot import CORRUPT
-from vellum.sources.writers import append_batch, read_log
+from vellum.sources.writers import append_batch
 
 
 def stream_snapshot(spark: SparkSession, root: str, entity: str, schema: str, **options: str) -> DataFrame:
@@ -37,7 +40,8 @@ def start_ingest(
         good = batch.where(F.col(CORRUPT).isNull() & F.col(key).isNotNull()).drop(CORRUPT)
         order = F.struct("updated_date", F.xxhash64(*[c for c in good.columns if c != key]))
         rows = first_per_key(good, [key], [order], last=True)
-        append_batch(shape(rows) if shape else rows, out, number)
+        rows = shape(rows) if shape else rows
+        KeyedLog(batch.sparkSession, out, key, rows.schema, ("updated_date",)).append(rows, number)
 
     return (
         records.writeStream.foreachBatch(write)
@@ -47,32 +51,39 @@ def start_ingest(
     )
 
 
-def start_daily_update(
-    updates: DataFrame, index_log: str, queue_log: str, checkpoint: str, now: Column
-) -> StreamingQuery:
+def index_log(spark: SparkSession, root: str, updates: StructType, **options: int) -> KeyedLog:
+    """The log of an index that updates of a schema go into."""
+    more = StructType.fromDDL("title_abstract STRING, abstract_date TIMESTAMP_NTZ").fields
+    return KeyedLog(spark, root, "id", StructType([*updates.fields, *more]), ("updated_date",), **options)
+
+
+def queue_log(spark: SparkSession, root: str, **options: int) -> KeyedLog:
+    """The log of works to queue: a work that is reported again stays one entry."""
+    return KeyedLog(spark, root, "openalex_id", "openalex_id STRING, doi STRING, time_created TIMESTAMP_NTZ", **options)
+
+
+def start_daily_update(updates: DataFrame, index: str, queue: str, checkpoint: str, now: Column) -> StreamingQuery:
     """Daily changes: put updated works into the index without losing abstracts, queue those that lack one.
 
-    The log at ``index_log`` holds the index, its first batch below 0. Only documents of updated ids are looked at
+    The log at ``index`` (``index_log``) holds the index, its first batch below 0. Only documents of updated ids are looked at
     and written. An update older than its document is left out. Every work that an update shows without abstract is
-    queued, also where the old abstract was kept or the work is known: picking entries tells those apart.
+    queued once, also where the old abstract was kept or the work is known: picking entries tells those apart.
     """
-    schema = ", ".join(
-        f"{f.name} {f.dataType.simpleString()}" for f in updates.schema.fields if f.name != "batch"
-    )
-    schema += ", title_abstract STRING, abstract_date TIMESTAMP_NTZ"
+    schema = updates.schema
 
     def write(batch: DataFrame, number: int) -> None:
         order = F.struct("updated_date", F.xxhash64(*[c for c in batch.columns if c != "id"]))
         given = first_per_key(batch.where(F.col("id").isNotNull()), ["id"], [order], last=True).persist()
         latest = given
-        before = read_log(batch.sparkSession, index_log, schema, "id", before=number, only=latest, order=("updated_date",))
+        documents = index_log(batch.sparkSession, index, schema)
+        before = documents.read(only=latest, before=number)
         newer = before.select("id", F.col("updated_date").alias("_known"))
         latest = latest.join(newer, "id", "left").where(F.coalesce(F.col("updated_date") >= F.col("_known"), F.lit(True)))
         latest = latest.drop("_known")
-        append_batch(updated_documents(before, latest, now), index_log, number)
+        documents.append(updated_documents(before, latest, now), number)
         lacking = latest.where(F.col("abstract").isNull() & F.col("doi").isNotNull())
         entries = lacking.select(F.col("id").alias("openalex_id"), "doi", now.alias("time_created"))
-        append_batch(entries, queue_log, number)
+        queue_log(batch.sparkSession, queue).append(entries, number)
         given.unpersist()
 
     return (
