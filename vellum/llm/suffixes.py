@@ -49,7 +49,7 @@ class SuffixConfig:
     hot: int = 1 << 16
     pack: int = 4 << 20
     bucket: int = 1 << 20
-    group: int = 1 << 20
+    group: int = 1 << 19
     shard: int = 1 << 18
 
 
@@ -122,7 +122,7 @@ def runs(pack: Pack, config: SuffixConfig) -> Runs:
         at = np.flatnonzero(new & valid)
         stop = np.flatnonzero(new | ~valid)
         end = np.append(stop, hi - lo)[np.searchsorted(stop, at, side="right")]
-        found.append((at + lo, end - at, key[at]))
+        found.append((at + lo, end - at, mix(key[at])))  # the smallest of hashes are small: mixed again, they fall evenly
     start, count, key = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
     parts = -(-count // (4 * length))
     if (parts > 1).any():
@@ -264,80 +264,86 @@ def step_codes(codes: np.ndarray, room: np.ndarray, alphabet: int, step: int) ->
         value = value * alphabet + np.where(room >= j, wide[j : j + n], 0)
     present = np.zeros(alphabet**step, dtype=bool)
     present[value] = True
-    dense = np.cumsum(present) - 1
-    return dense.astype(np.uint16)[value] if dense[-1] < 1 << 16 else None
+    found = np.flatnonzero(present)
+    if len(found) > 1 << 16:
+        return None
+    del present
+    dense = np.zeros(alphabet**step, dtype=np.uint16)
+    dense[found] = np.arange(len(found))
+    return dense[value]
 
 
 @dataclass
 class Shard:
-    """A shard's transform: ``order`` has its suffixes' places sorted; ``before[step]`` the ``step`` symbols before each of
-    them as one number, ``whole[step]`` whether there are so many in its string, ``short[step]`` the codes of suffixes with
-    fewer symbols than that in sorted order, which follow no other suffix."""
+    """A shard's transform, row by row in the order of its suffixes: ``order`` is where a row's suffix begins, ``before[step]``
+    the ``step`` symbols before it as one number, ``to[step]`` the row of the suffix that begins with them, -1 if the string has
+    not so many."""
 
     order: np.ndarray
     before: dict[int, np.ndarray]
-    whole: dict[int, np.ndarray]
-    short: dict[int, np.ndarray]
+    to: dict[int, np.ndarray]
 
 
-def transform(lo: int, codes: np.ndarray, room: np.ndarray, behind: np.ndarray, steps: dict[int, np.ndarray]) -> Shard:
-    """The transform of one shard that begins at place ``lo``; ``behind`` counts a string's symbols before each place."""
+def transform(codes: np.ndarray, room: np.ndarray, behind: np.ndarray, steps: dict[int, np.ndarray]) -> Shard:
+    """The transform of one shard; ``behind`` counts a string's symbols before each place, ``steps`` has the codes of the next symbols."""
     order = suffix_order(codes, room)
-    before, whole, short = {}, {}, {}
+    rank = np.empty(len(order), dtype=np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    before, to = {}, {}
     for step, code in steps.items():
-        whole[step] = behind[order] >= step
-        before[step] = code[np.where(whole[step], order - step, 0)]
-        short[step] = code[order[room[order] < step]]
-    return Shard(order + lo, before, whole, short)
+        earlier = np.where(behind[order] >= step, order - step, -1)
+        before[step] = code[earlier]
+        to[step] = np.where(earlier >= 0, rank[earlier], -1).astype(np.int32)
+    return Shard(order, before, to)
 
 
-def merged(shards: list[Shard], length: int, steps: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Merge transforms: (places in the order of their next ``length`` symbols, number of the block of equal ones of each).
+def merged(shards: list[Shard], steps: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Merge transforms: (rows in the order of their next ``sum(steps)`` symbols, number of the block of equal ones of each).
 
-    The interleave (the shard of each row) starts as one shard after the other. A refinement by ``step`` symbols hands out
-    the rows in the present order: a row goes, after all that went there before it, to the suffixes that begin with the
-    symbols before it. Rows in one block with the same symbols share a block again, others are divided, which is where the
-    common prefix of neighbours ends.
+    Rows are numbered through all shards. The interleave, the order in which the shards' rows follow each other, starts as
+    one shard after the other. A refinement by ``step`` symbols reads the rows in the present order and hands each to the
+    suffix that begins with the symbols before it, behind all that these symbols got before. That sorts by ``step`` symbols
+    more: rows of one block with the same symbols share a block again, others are divided, which is where the common
+    prefix of neighbours ends. The rows of one shard never change their order. A row alone in its block shares its
+    prefix with none, and neither do the suffixes it would be handed to, so it leaves the merge.
     """
-    kind = np.uint8 if len(shards) <= 256 else np.uint16
     sizes = [len(s.order) for s in shards]
-    interleave = np.repeat(np.arange(len(shards)), sizes).astype(kind)
-    block = np.zeros(sum(sizes), dtype=np.int32)
+    base = np.cumsum([0, *sizes])
+    rows = np.arange(base[-1], dtype=np.int32)
+    block = np.zeros(len(rows), dtype=np.int32)
     joined = {}
     for step in set(steps):
-        codes = np.concatenate([s.before[step] for s in shards])
-        whole = np.concatenate([s.whole[step] for s in shards])
-        short = np.concatenate([s.short[step] for s in shards])
-        from_shard = np.repeat(np.arange(len(shards)), [len(s.short[step]) for s in shards]).astype(kind)
-        joined[step] = (codes, whole, short, from_shard)
+        to = [np.where(s.to[step] >= 0, s.to[step] + lo, -1).astype(np.int32) for s, lo in zip(shards, base[:-1].tolist(), strict=True)]
+        joined[step] = (np.concatenate([s.before[step] for s in shards]), np.concatenate(to))
     for step in steps:
-        codes, whole, short, from_shard = joined[step]
-        rows = np.argsort(interleave, kind="stable")  # row k of all transforms in a line stands at rows[k]
-        code, kept = np.empty_like(codes), np.empty_like(whole)
-        code[rows], kept[rows] = codes, whole
-        code = np.concatenate([short, code[kept]])
-        sources = np.concatenate([from_shard, interleave[kept]])
-        blocks = np.concatenate([np.full(len(short), -1, np.int32), block[kept]])
+        before, to = joined[step]
+        target = to[rows]
+        code = before[rows]
+        there = target >= 0
+        if not there.all():
+            target, code, block = target[there], code[there], block[there]
         dealt = np.argsort(code, kind="stable")
-        code, interleave, blocks = code[dealt], sources[dealt], blocks[dealt]
-        new = np.ones(len(code), dtype=bool)
-        new[1:] = (code[1:] != code[:-1]) | (blocks[1:] != blocks[:-1])
-        block = np.cumsum(new, dtype=np.int32)
-    places = np.empty(len(interleave), dtype=np.int64)
-    places[np.argsort(interleave, kind="stable")] = np.concatenate([s.order for s in shards])
-    return places, block
+        code, block = code[dealt], block[dealt]
+        new = np.ones(len(code) + 1, dtype=bool)
+        new[1:-1] = (code[1:] != code[:-1]) | (block[1:] != block[:-1])
+        shared = np.flatnonzero(~(new[:-1] & new[1:]))
+        rows = target[dealt[shared]]
+        block = np.cumsum(new[shared], dtype=np.int32)
+    return rows, block
 
 
 def first_holders(data: np.ndarray, sizes: np.ndarray, docs: np.ndarray, config: SuffixConfig) -> np.ndarray:
     """The smallest document that holds the string at each place of some texts, which stand one after another.
 
-    Places where no whole string begins have a number that means nothing.
+    ``docs`` has the document of each text. At places where no whole string begins that is the result.
     """
     length = config.length
+    if not len(sizes):
+        return np.zeros(0, np.int64)
     # every text gets an end symbol
     ends = np.cumsum(sizes + 1) - 1
     n = int(ends[-1]) + 1
-    text = np.repeat(np.arange(len(sizes)), sizes + 1)
+    text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
     present = np.bincount(data, minlength=256) > 0
     alphabet = int(present.sum()) + 1
     codes = np.zeros(n, dtype=np.uint8 if alphabet <= 256 else np.uint16)
@@ -358,23 +364,26 @@ def first_holders(data: np.ndarray, sizes: np.ndarray, docs: np.ndarray, config:
             steps = [step] * (length // step) + [rest] * bool(rest)
             break
     borders = [0]
-    for lo, hi in packs.slices((sizes + 1).tolist(), config.shard):
+    for _, hi in packs.slices((sizes + 1).tolist(), config.shard):
         borders.append(int(ends[hi - 1]) + 1)
     shards = [
-        transform(lo, codes[lo:hi], room[lo:hi], behind[lo:hi], {s: c[lo:hi] for s, c in coded.items()})
+        transform(codes[lo:hi], room[lo:hi], behind[lo:hi], {s: c[lo:hi] for s, c in coded.items()})
         for lo, hi in zip(borders[:-1], borders[1:], strict=True)
     ]
-    places, block = merged(shards, length, steps)
-    first = np.flatnonzero(np.diff(block, prepend=-1))
-    least = np.minimum.reduceat(docs[text][places], first)
-    out = np.empty(n, dtype=np.int64)
-    out[places] = np.repeat(least, np.diff(np.append(first, n)))
+    del codes, room, behind, coded
+    rows, block = merged(shards, steps)
+    out = docs[text]
+    if len(rows):
+        places = np.concatenate([s.order + lo for s, lo in zip(shards, borders[:-1], strict=True)])[rows]
+        first = np.flatnonzero(np.diff(block, prepend=-1))
+        least = np.minimum.reduceat(out[places], first)
+        out[places] = np.repeat(least, np.diff(np.append(first, len(places))))
     return out[inside]
 
 
 # -- the whole job -------------------------------------------------------------------------------------------------
 
-RUNS = "bucket int, pack long, sizes binary, docs binary, data binary"
+RUNS = "bucket int, pack long, keys binary, sizes binary, docs binary, data binary"
 #: A part of a run: the run's number, the first string and the one after the last, the first holder.
 PART = np.dtype([("run", "<u4"), ("lo", "<u2"), ("hi", "<u2"), ("doc", "<i8")])
 
@@ -397,11 +406,12 @@ def sent_runs(pack: Pack, found: Runs, groups: int, config: SuffixConfig) -> tup
         [
             pa.array(full),
             pa.array(np.full(len(full), pack.number, dtype=np.int64)),
+            pa.array([found.key[place[lo:hi]].astype(np.uint32).tobytes() for _, lo, hi in rows], pa.binary()),
             pa.array([size[lo:hi].astype(np.uint16).tobytes() for _, lo, hi in rows], pa.binary()),
             pa.array([least[lo:hi].tobytes() for _, lo, hi in rows], pa.binary()),
             pa.array([data[flat_places(start[lo:hi], size[lo:hi])].tobytes() for _, lo, hi in rows], pa.binary()),
         ],
-        ["bucket", "pack", "sizes", "docs", "data"],
+        ["bucket", "pack", "keys", "sizes", "docs", "data"],
     )
     return batch, least, own, place, rows
 
@@ -412,18 +422,23 @@ def answered(group: pa.Table, config: SuffixConfig) -> pa.Table:
     docs = np.frombuffer(b"".join(group.column("docs").to_pylist()), dtype=np.int64)
     data = np.frombuffer(b"".join([*group.column("data").to_pylist(), bytes(8)]), dtype=np.uint8)
     number = [len(x) // 8 for x in group.column("docs").to_pylist()]
+    keys = np.frombuffer(b"".join(group.column("keys").to_pylist()), dtype=np.uint32)
     start = np.cumsum(sizes) - sizes
-    place, least, own = collapsed(data, start, sizes, np.zeros(len(sizes), U), docs)
-    # distinct runs, smallest document first, so that a shard holds neighbours of the corpus
-    order = np.argsort(least, kind="stable")
-    rank = np.empty(len(order), dtype=np.int64)
-    rank[order] = np.arange(len(order))
-    one, size = place[order], sizes[place[order]]
-    holder = first_holders(data[flat_places(start[one], size)], size, least[order], config)
+    place, least, own = collapsed(data, start, sizes, keys, docs)
+    # the distinct runs by key; one that is alone with its key shares no string with another run and has nothing to merge with
+    new = np.ones(len(place) + 1, dtype=bool)
+    new[1:-1] = keys[place[1:]] != keys[place[:-1]]
+    alone = new[:-1] & new[1:]
+    size = sizes[place]
+    begins = np.cumsum(size) - size
+    holder = np.repeat(least, size)
+    several = np.flatnonzero(~alone)
+    at = flat_places(begins[several], size[several])
+    text = data[flat_places(start[place[several]], size[several])]
+    holder[at] = first_holders(text, size[several], least[several], config)
     # the strings of every run, with their first holder
     strings = sizes - config.length + 1
-    begins = np.cumsum(size) - size
-    at = flat_places(begins[rank[own]], strings)
+    at = flat_places(begins[own], strings)
     run = np.repeat(np.arange(len(sizes)), strings)
     first = holder[at]
     new = np.ones(len(run), dtype=bool)
