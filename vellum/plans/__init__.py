@@ -16,5 +16,5 @@ def stage(spark, sf_dir: str) -> None:
     from vellum.plans import nested, scans, searching
 
     for build in (nested.nested_works, nested.inverted_works, nested.torn_works, searching.postings, searching.full_postings,
-                  searching.stems, scans.published_snapshot):
+                  searching.stems, searching.text_index, scans.published_snapshot):
         build(spark, sf_dir)
