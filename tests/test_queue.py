@@ -53,6 +53,12 @@ def test_drop_finished_keeps_entries_without_list(spark):
     assert sorted(r["queue_id"] for r in q.drop_finished(rows).collect()) == [1, 3]
 
 
+def test_a_guard_raises_before_anything_is_taken(spark):
+    assert q.at_most(spark.range(100), 100).count() == 100
+    with pytest.raises(ValueError):
+        q.at_most(spark.range(101), 100)
+
+
 def test_capped(spark):
     rows = spark.range(10)
     assert [r["id"] for r in q.capped(rows, 3, ["id"]).collect()] == [0, 1, 2]

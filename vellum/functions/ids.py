@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -108,18 +109,58 @@ def _folds() -> dict[str, str]:
     return known
 
 
+def _script(char: str) -> str:
+    """The block a letter belongs to, for finding out which replacements a value can need."""
+    return "Greek" if "\u0370" <= char <= "\u03ff" or "\u1f00" <= char <= "\u1fff" else "Cyrillic" if "\u0400" <= char <= "\u04ff" else "other"
+
+
 def fold_ascii(c: Column) -> Column:
-    """Latin, Greek and Cyrillic letters to ASCII. Other scripts stay as they are."""
+    """Latin, Greek and Cyrillic letters to ASCII. Other scripts stay as they are.
+
+    One translation turns every letter into its ASCII letter, or into one letter that stands for all with the same longer form; those few
+    are then replaced one by one, and only in values that have a letter of their script.
+    """
     folds = _folds()
-    single = {char: fold for char, fold in folds.items() if len(fold) == 1}
-    folded = F.translate(c, "".join(single), "".join(single.values()))
-    several = {char: fold for char, fold in folds.items() if len(fold) > 1}
-    for fold in sorted(set(several.values())):
-        letters = "".join(char for char, x in several.items() if x == fold)
-        folded = F.regexp_replace(folded, f"[{letters}]", fold)
-    # nearly all identifiers are ASCII already
-    return F.when(c.rlike(r"[^\x00-\x7F]"), F.regexp_replace(folded, r"\p{Mn}+", "")).otherwise(c)
+    stands: dict[str, str] = {}  # for a longer form in a script, the letter that stands for it
+    table = {}
+    for char, fold in folds.items():
+        table[char] = fold if len(fold) == 1 else stands.setdefault(f"{_script(char)} {fold}", char)
+    table = {char: to for char, to in table.items() if char != to}
+
+    def several(script: str):
+        mine = {char: key.partition(" ")[2] for key, char in stands.items() if key.startswith(script)}
+
+        def of(text: Column) -> Column:
+            replaced = text
+            for char, fold in mine.items():
+                replaced = F.replace(replaced, F.lit(char), F.lit(fold))
+            return F.when(text.rlike(f"[{''.join(mine)}]"), replaced).otherwise(text)
+
+        return of
+
+    def marks(text: Column) -> Column:
+        return F.when(_is_ascii(text), text).otherwise(F.regexp_replace(text, r"\p{Mn}+", ""))
+
+    def folded(text: Column) -> Column:
+        steps = F.translate(text, "".join(table), "".join(table.values()))
+        for step in (several("other"), several("Greek"), several("Cyrillic"), marks):
+            steps = _let(steps, step)
+        return F.when(_is_ascii(text), text).otherwise(steps)  # nearly all identifiers are ASCII already
+
+    return _let(c, folded)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind a value, so that it is worked out once however often ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.char_length(c)
+
 
+# Fixed value: white space around a value.
+BLANKS = " \t\n\x0b\f\r"
 
 # The characters that a source does not take in a DOI.
 RESERVED = r'[%:="+;\[\]\\]'
@@ -127,7 +168,7 @@ RESERVED = r'[%:="+;\[\]\\]'
 
 def clean_doi(c: Column) -> Column:
     """DOI as sent to a source: no query part, no reserved characters, ASCII, single slashes."""
-    trimmed = F.regexp_replace(c, r"^\s+|\s+$", "")
+    trimmed = F.trim(c, F.lit(BLANKS))
     stripped = F.regexp_replace(trimmed, rf"\?[^\n]*|{RESERVED}", "")
     return F.replace(fold_ascii(stripped), F.lit("//"), F.lit("/"))
 

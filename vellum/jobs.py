@@ -96,12 +96,15 @@ def queue_missing(
     now: Column,
     sources: Sequence[tuple[str, int]] | None = None,
     limit: int | None = None,
+    most: int | None = None,
 ) -> DataFrame:
     """Queue entries for documents without abstract created or updated between two days, both included.
 
-    ``limit`` is the caller's fail-safe against queueing millions by accident: so many new entries at most.
+    Against queueing millions by accident the caller may take the first ``limit`` new entries only, or have an error if
+    there are more than ``most``.
     """
     entries = queueing.enqueue(_candidates(missing_in_range(index, since, until)), request, queue, now, sources)
+    entries = entries if most is None else queueing.at_most(entries, most)
     return entries if limit is None else queueing.capped(entries, limit, ["openalex_id"])
 
 

@@ -54,6 +54,20 @@ def capped(df: DataFrame, limit: int, order: Sequence[str]) -> DataFrame:
     return df.orderBy(*order).limit(limit)
 
 
+#: Fixed value: more than so many entries are not queued at one go.
+MOST_QUEUED = 100_000
+
+
+def at_most(rows: DataFrame, most: int = MOST_QUEUED) -> DataFrame:
+    """The rows, if there are no more than ``most``; otherwise an error, before anything is written.
+
+    At most ``most`` + 1 rows are counted.
+    """
+    if rows.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows")
+    return rows
+
+
 def lacking_abstract(index: DataFrame, ids: DataFrame, id_col: str = "openalex_id") -> DataFrame:
     """Documents among the given ids that have no abstract."""
     return index.where(F.col("abstract").isNull()).join(ids, F.col("id") == F.col(id_col), "left_semi")

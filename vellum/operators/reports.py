@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions.ids import ID_COLUMNS
 from vellum.operators.joins import first_per_key
+from vellum.session import cut_lineage
 
 # How much a source is trusted, by name; any other source has the last value.
 SOURCE_RANK = {"WOS": 10, "SCOPUS": 8, "DIMENSIONS": 6, "PUBMED": 4}
@@ -184,18 +185,49 @@ def year_ratio(spark: SparkSession, sample: DataFrame, totals: DataFrame, first:
     )
 
 
+#: Hexadecimal digits that one step of the search for a bound looks at.
+DIGITS = 4
+
+
+def smallest_draws(drawn: DataFrame, draw: str, key: str, n: int) -> DataFrame:
+    """The ``n`` rows with the smallest ``draw`` (hexadecimal text of one length), ties by ``key``, as a plain filter.
+
+    The bound is found digit by digit: rows are counted by the next digits of those that share the digits known so far, at most
+    16 ** DIGITS counts a step, until the rows up to a prefix are exactly ``n``. Rows with equal draws at the bound, repeats of one
+    value, are the only ones ever sorted. The table is read once for each step, so it should be stored.
+    """
+    if n <= 0:
+        return drawn.where(F.lit(False))
+    length = drawn.agg(F.max(F.length(draw))).first()[0] or 0
+    prefix, left = "", n
+    while len(prefix) < length:
+        width = min(length, len(prefix) + DIGITS)
+        counts = (
+            drawn.where(F.col(draw).startswith(prefix))
+            .groupBy(F.substring(draw, 1, width).alias("p"))
+            .agg(F.count(F.lit(1)).alias("n"))
+        )
+        for found, rows in sorted(tuple(r) for r in counts.collect()):
+            if rows >= left:
+                break
+            left -= rows
+        else:
+            return drawn  # fewer than n rows in all
+        prefix = found
+        if rows == left:
+            return drawn.where(F.substring(draw, 1, width) <= prefix)
+    ties = drawn.where(F.col(draw) == prefix).orderBy(key).limit(left)
+    return drawn.where(F.col(draw) < prefix).unionByName(ties)
+
+
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int | str) -> DataFrame:
-    """``n`` distinct keys, the same for the same seed however the table is partitioned."""
+    """``n`` distinct keys, the same for the same seed however the table is partitioned: those with the smallest draws.
+
+    No task sorts or holds n rows; the distinct keys are stored with their draws.
+    """
     drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     ids = df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_drawn", drawn)
-    # a bound on the draw that leaves little more than n keys, so that no task sorts n rows of every other one
-    total = ids.agg(F.count(F.lit(1))).first()[0]
-    if total > n:
-        share = min(1.0, (n + 6 * n**0.5 + 10) / total)
-        bound = f"{min(16**8 - 1, int(share * 16**8)):08x}" + "f" * 24
-        near = ids.where(F.col("_drawn") <= bound)
-        ids = near if near.agg(F.count(F.lit(1))).first()[0] >= n else ids
-    return ids.orderBy("_drawn", key).limit(n).drop("_drawn")
+    return smallest_draws(cut_lineage(ids, "draws"), "_drawn", key, n).drop("_drawn")
 
 
 def pairwise_overlap(sets: dict[str, DataFrame]) -> DataFrame:

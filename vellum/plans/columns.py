@@ -13,6 +13,7 @@ from vellum.operators.language import tag_language
 from vellum.plans import fixtures as fx
 from vellum.plans.nested import inverted_works, nested_works, torn_works
 from vellum.plans.registry import job
+from vellum.session import widen
 
 
 @job(
@@ -69,7 +70,7 @@ def prj_clean_doi(spark, sf_dir):
     )
     other = F.create_map(*[F.lit(x) for pair in OTHER_LETTERS.items() for x in pair])[F.col("lang")]
     cleaned = F.concat(ids.clean_doi(raw), F.lit("/"), ids.clean_doi(other))
-    return fx.table(spark, sf_dir, "documents").select("doc_id", cleaned.alias("doi"))
+    return widen(fx.table(spark, sf_dir, "documents")).select("doc_id", cleaned.alias("doi"))
 
 
 @job(

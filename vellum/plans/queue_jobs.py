@@ -8,7 +8,7 @@ from vellum import jobs
 from vellum.operators import queueing
 from vellum.plans import fixtures as fx
 from vellum.plans.matches import MATCH
-from vellum.plans.registry import job
+from vellum.plans.registry import ORACLES, job
 from vellum.plans.tables import now
 from vellum.session import scratch_path
 from vellum.sources import writers
@@ -336,6 +336,16 @@ def que_turn(spark, sf_dir):
     return left.unionByName(rows)
 
 
+# The first forty of the works a job would queue, of which there may be no more than the bound.
+@job(
+    "srt_capped",
+    ORACLES["que_enqueue"] + " ORDER BY openalex_id LIMIT 40",
+)
+def srt_capped(spark, sf_dir):
+    entries = queueing.at_most(que_enqueue(spark, sf_dir), queueing.MOST_QUEUED)
+    return queueing.capped(entries, 40, ["openalex_id"])
+
+
 def _round_sql(n: int) -> str:
     """One round over the queue q<n> and the cache r<n>, giving q<n+1>, landed<n> and r<n+1>."""
     steps, completed = _complete(_KINDS, f"answers{n}", f"asked{n}", f"c{n}_", "wrapper", " AND q.sources[1].source = r.wrapper")
