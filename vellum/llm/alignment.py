@@ -16,6 +16,7 @@ very long text is a batch of its own. Other columns are ignored. An empty table
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 from collections.abc import Iterator
@@ -31,17 +32,16 @@ from pyspark.sql import functions as F
 
 from vellum.llm.bpe import DOUBLE_SPACE
 from vellum.llm.common import slices, texts, write_shared
-from vellum.llm.tokenfiles import Numbered
 
 #: Words that a table keeps before the older half is forgotten, and the longest word that is kept.
-KEPT, LONGEST = 400_000, 48
+KEPT, LONGEST = 200_000, 48
 
 
 @dataclass(frozen=True)
 class AlignmentConfig:
     """batch: bytes of text aligned at once."""
 
-    batch: int = 2 << 20
+    batch: int = 1 << 20
 
 
 def byte_level() -> dict[str, int]:
@@ -66,8 +66,8 @@ class ByteLevelSide:
         for name, i in names.items():
             self.bytes[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.library.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
 class PieceSide:
@@ -83,31 +83,65 @@ class PieceSide:
             self.bytes.append(bytes([int(piece[3:5], 16)]) if self.library.is_byte(i) else piece.replace("▁", " ").encode())
         self.space = self.library.piece_to_id("▁")
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        found = self.library.encode(words, num_threads=1)
-        return [x if w else [self.space] for w, x in zip(words, found, strict=True)]
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        found = self.library.encode(texts, num_threads=1)
+        return [x if t else [self.space] for t, x in zip(texts, found, strict=True)]
+
+
+#: What a table keeps of a word: ids of A and of B as bytes, and whether both are the space and the word.
+Coded = tuple[bytes, bytes, bool]
 
 
 class BothSides:
     """Ids of a space and a word on both sides, asked once for each distinct word while it stays in the table."""
 
     def __init__(self, a: str, b: str):
-        self.a, self.b = ByteLevelSide(a), PieceSide(b)
-        self.sizes = [np.array([len(x) for x in side.bytes], dtype=np.int64) for side in (self.a, self.b)]
-        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.older: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.sides = ByteLevelSide(a), PieceSide(b)
+        self.sizes = [np.array([len(x) for x in side.bytes], dtype=np.int64) for side in self.sides]
+        self.known: dict[str, Coded] = {}
+        self.older: dict[str, Coded] = {}
+
+    def alone(self, words: list[str]) -> list[Coded]:
+        """Words encoded each on its own."""
+        out = []
+        for w, *ids in zip(words, *(side.encode(words) for side in self.sides), strict=True):
+            raw = b" " + w.encode()
+            right = all(b"".join([side.bytes[t] for t in x]) == raw for side, x in zip(self.sides, ids, strict=True))
+            out.append((*(np.array(x, np.int32).tobytes() for x in ids), right))
+        return out
 
-    def words(self, wanted: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        """(ids of A, ids of B, whether both are the word's bytes) of each word."""
+    def joined(self, words: list[str]) -> list[Coded]:
+        """Words that neither begin nor end with white space, encoded as one text and cut where each ends."""
+        text = " ".join(words)
+        raw = b" " + text.encode()
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        parts = []
+        for side, sizes in zip(self.sides, self.sizes, strict=True):
+            ids = side.encode([text])[0]
+            if b"".join([side.bytes[t] for t in ids]) != raw:
+                return self.alone(words)  # one of them is not its tokens' bytes
+            ids = np.array(ids, dtype=np.int32)
+            at = (np.searchsorted(np.cumsum(sizes[ids]), ends) + 1) * 4
+            blob = ids.tobytes()
+            parts.append([blob[lo:hi] for lo, hi in zip([0, *at[:-1].tolist()], at.tolist(), strict=True)])
+        return [(x, y, True) for x, y in zip(*parts, strict=True)]
+
+    def words(self, wanted: list[str]) -> list[Coded]:
+        """Every word's ids, of those in the table or asked now."""
         if len(self.known) > KEPT:
             self.older, self.known = self.known, {}
-        out = [self.known.get(w) or self.older.get(w) for w in wanted]
+        out: list = [self.known.get(w) for w in wanted]
+        if self.older:
+            out = [x or self.older.get(w) for w, x in zip(wanted, out, strict=True)]
         new = [i for i, x in enumerate(out) if x is None]
-        words = [wanted[i] for i in new]
-        for i, w, x, y in zip(new, words, self.a.encode(words), self.b.encode(words), strict=True):
-            raw = b" " + w.encode()
-            right = all(b"".join([side.bytes[t] for t in ids]) == raw for side, ids in ((self.a, x), (self.b, y)))
-            out[i] = (np.array(x, np.int32).tobytes(), np.array(y, np.int32).tobytes(), right)
+        bare = [bool(w := wanted[i]) and len(w) <= LONGEST and not (w[0].isspace() or w[-1].isspace()) for i in new]
+        for lo in range(0, len(new), 512):
+            part = new[lo : lo + 512]
+            together = [i for i, b in zip(part, bare[lo : lo + 512], strict=True) if b]
+            apart = [i for i, b in zip(part, bare[lo : lo + 512], strict=True) if not b]
+            for some, encode in ((together, self.joined), (apart, self.alone)):
+                for i, x in zip(some, encode([wanted[i] for i in some]) if some else [], strict=True):
+                    out[i] = x
         for w, x in zip(wanted, out, strict=True):
             if len(w) <= LONGEST:
                 self.known[w] = x
@@ -119,22 +153,28 @@ class BothSides:
         A text is cut before single spaces, which no token of either side holds inside. A text with white space side by
         side is one word.
         """
-        numbers = Numbered()
-        units: list[list[int]] = []
-        for text in docs:
-            if not text:
-                units.append([])
-            elif DOUBLE_SPACE.search(text) or text[0].isspace():
-                units.append([numbers[text]])
-            else:
-                units.append(list(map(numbers.__getitem__, text.split(" "))))
-        table = self.words(list(numbers))
+        whole = np.array([bool(t) and (t[0].isspace() or DOUBLE_SPACE.search(t) is not None) for t in docs], dtype=bool)
+        held = pa.array([None if w or not t else t for w, t in zip(whole.tolist(), docs, strict=True)], pa.large_string())
+        cut = pc.split_pattern(held, " ")
+        counts = pc.fill_null(pc.list_value_length(cut), 0).to_numpy().astype(np.int64)
+        coded = pc.dictionary_encode(pc.list_flatten(cut))
+        wanted = coded.dictionary.to_pylist()
+        gc.disable()  # else the collector walks through the table again and again while it grows
+        try:
+            table = self.words([*wanted, *(docs[i] for i in np.flatnonzero(whole))])
+        finally:
+            gc.enable()
         right = np.array([x[2] for x in table], dtype=bool)
-        used = [np.array(u, dtype=np.int64) for u in units]
-        used = [u if right[u].all() else u[:0] for u in used]
-        at = np.concatenate([np.zeros(0, np.int64), *used])
-        borders = np.cumsum([0] + [len(u) for u in used])
-        ids, counts = [], []
+        # the units of each text: its words, or itself
+        counts[whole] = 1
+        borders = np.cumsum(counts)
+        at = np.empty(int(borders[-1]) if len(borders) else 0, dtype=np.int64)
+        of = np.repeat(np.arange(len(docs)), counts)
+        at[~whole[of]] = coded.indices.to_numpy()
+        at[whole[of]] = len(wanted) + np.arange(int(whole.sum()))
+        bad = np.bincount(of, weights=~right[at], minlength=len(docs)) > 0
+        at, of = at[~bad[of]], of[~bad[of]]
+        ids, tokens_of = [], []
         for side in (0, 1):
             flat = np.frombuffer(b"".join([x[side] for x in table]), dtype=np.int32)
             sizes = np.array([len(x[side]) // 4 for x in table], dtype=np.int64)
@@ -142,8 +182,8 @@ class BothSides:
             n = sizes[at]
             ends = np.cumsum(n)
             ids.append(flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[at] - ends + n, n)])
-            counts.append(np.diff(np.concatenate([[0], ends])[borders]))
-        return ids, counts
+            tokens_of.append(np.bincount(of, weights=n, minlength=len(docs)).astype(np.int64))
+        return ids, tokens_of
 
 
 SIDES: dict[tuple[str, str], BothSides] = {}
@@ -158,13 +198,15 @@ def both_sides(a: str, b: str) -> BothSides:
 
 @dataclass
 class Alignment:
-    """Tokens of a batch on both sides with their texts and byte ranges, the links as rows of both, the common ends."""
+    """Tokens of a batch on both sides with their texts and byte ranges, the links as rows of both, and which tokens end where
+    one of the other side ends."""
 
     a: pd.DataFrame
     b: pd.DataFrame
     link_a: np.ndarray
     link_b: np.ndarray
-    ends: np.ndarray
+    closes_a: np.ndarray
+    closes_b: np.ndarray
 
     def of_text(self, rows: np.ndarray, n: int) -> np.ndarray:
         """How many of the rows belong to each of n texts."""
@@ -173,44 +215,58 @@ class Alignment:
 
 def tokens(ids: np.ndarray, counts: np.ndarray, sizes: np.ndarray) -> pd.DataFrame:
     """(doc, start, end, id, row) of tokens that stand one after another; all places count from the batch's first byte."""
-    end = np.cumsum(sizes[ids])
-    doc = np.repeat(np.arange(len(counts)), counts)
-    return pd.DataFrame({"doc": doc, "start": end - sizes[ids], "end": end, "id": ids, "row": np.arange(len(ids))})
+    length = sizes[ids]
+    end = np.cumsum(length)
+    doc = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    return pd.DataFrame({"doc": doc, "start": end - length, "end": end, "id": ids, "row": np.arange(len(ids), dtype=np.int32)}, copy=False)
 
 
 def align(a: pd.DataFrame, b: pd.DataFrame) -> Alignment:
     """Link all overlapping tokens of the two sides and find their common ends."""
-    left, right = a[["doc", "start", "row"]], b[["doc", "start", "row"]]
-    over = pd.merge_asof(left, right.rename(columns={"row": "other"}), on="start", by="doc")
-    back = pd.merge_asof(right, left.rename(columns={"row": "other"}), on="start", by="doc")
-    covered, covering = back["row"].to_numpy(), back["other"].to_numpy(dtype=np.int64)
-    more = a["start"].to_numpy()[covering] != b["start"].to_numpy()[covered]  # the others are in the first direction
-    link_a = np.concatenate([over["row"].to_numpy(), covering[more]])
-    link_b = np.concatenate([over["other"].to_numpy(dtype=np.int64), covered[more]])
-    return Alignment(a, b, link_a, link_b, np.intersect1d(a["end"].to_numpy(), b["end"].to_numpy(), assume_unique=True))
-
-
-DIGITS = 10 ** np.arange(9, -1, -1)
+    left, right = a[["doc", "start"]], b[["doc", "start"]]
+    over = pd.merge_asof(left, b[["doc", "start", "row"]], on="start", by="doc")["row"].to_numpy(dtype=np.int64)
+    back = pd.merge_asof(right, a[["doc", "start", "row"]], on="start", by="doc")["row"].to_numpy(dtype=np.int64)
+    # pairs that start at one place are in the first direction
+    more = np.flatnonzero(a["start"].to_numpy()[back] != b["start"].to_numpy())
+    link_a = np.concatenate([np.arange(len(a)), back[more]])
+    link_b = np.concatenate([over, more])
+    # a token that ends where the last token that covers it on the other side ends closes a group
+    end_a, end_b = a["end"].to_numpy(), b["end"].to_numpy()
+    closes_a, closes_b = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
+    both = end_a[link_a] == end_b[link_b]
+    closes_a[link_a[both]], closes_b[link_b[both]] = True, True
+    return Alignment(a, b, link_a, link_b, closes_a, closes_b)
+
+
+def decimals(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Decimal digits of ids, right-aligned in rows, and how many each has."""
+    width = len(str(int(ids.max(initial=0))))
+    every = np.arange(10**width) if 10**width < len(ids) else ids  # a table of all numbers, if that is less work
+    rows = (every[:, None] // 10 ** np.arange(width - 1, -1, -1) % 10 + 48).astype(np.uint8)
+    shown = np.searchsorted(10 ** np.arange(1, width), every, side="right") + 1
+    return (rows, shown) if every is ids else (rows[ids], shown[ids])
 
 
 def group_texts(found: Alignment, texts: int) -> list[bytes]:
     """For each text the groups as ``a1,a2|b1;a3|b2``."""
-    group = [np.searchsorted(found.ends, side["end"].to_numpy()) for side in (found.a, found.b)]
-    n = [np.bincount(g, minlength=len(found.ends)) for g in group]
-    before = [np.cumsum(x) - x for x in n]
+    closes = found.closes_a, found.closes_b
+    group = [np.cumsum(c) - c for c in closes]
+    last = [np.flatnonzero(c) for c in closes]  # of each group
+    ends = [x + 1 for x in last]
     # the tokens of A of a group stand before those of B
-    place_a = np.arange(len(group[0])) + before[1][group[0]]
-    place_b = np.arange(len(group[1])) + (before[0] + n[0])[group[1]]
+    place_a = np.arange(len(group[0])) + np.concatenate([[0], ends[1]])[group[0]]
+    place_b = np.arange(len(group[1])) + ends[0][group[1]]
     total = len(place_a) + len(place_b)
-    ids, sign = np.empty(total, np.int64), np.full(total, ord(","), np.uint8)
+    ids, sign = np.empty(total, np.int32), np.full(total, ord(","), np.uint8)
     ids[place_a], ids[place_b] = found.a["id"].to_numpy(), found.b["id"].to_numpy()
-    sign[place_a[np.cumsum(n[0]) - 1]], sign[place_b[np.cumsum(n[1]) - 1]] = ord("|"), ord(";")
-    wide = (ids[:, None] // DIGITS[4:] % 10 + 48).astype(np.uint8) if ids.max(initial=0) < 10**6 else (ids[:, None] // DIGITS % 10 + 48).astype(np.uint8)
-    width = wide.shape[1]
-    shown = np.maximum(1, np.searchsorted(10 ** np.arange(1, width), ids, side="right") + 1)
-    mask = np.ones((total, width + 1), dtype=bool)
-    mask[:, :width] = np.arange(width) >= (width - shown)[:, None]
-    flat = np.concatenate([wide, sign[:, None]], axis=1)[mask].tobytes()
+    sign[place_a[last[0]]], sign[place_b[last[1]]] = ord("|"), ord(";")
+    rows, shown = decimals(ids)
+    width = rows.shape[1]
+    shapes = np.ones((width + 1, width + 1), dtype=bool)  # by number of digits, the places in use
+    shapes[:, :width] = np.arange(width) >= (width - np.arange(width + 1))[:, None]
+    wide = np.empty((total, width + 1), dtype=np.uint8)
+    wide[:, :width], wide[:, width] = rows, sign
+    flat = wide[shapes[shown]].tobytes()
     held = found.of_text(found.a["doc"].to_numpy(), texts) + found.of_text(found.b["doc"].to_numpy(), texts)
     sizes = np.concatenate([[0], np.cumsum(shown + 1)])
     borders = sizes[np.concatenate([[0], np.cumsum(held)])].tolist()
@@ -294,12 +350,11 @@ def alignment_digests(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", t
             n = len(held)
             doc_a, doc_b = found.a["doc"].to_numpy(), found.b["doc"].to_numpy()
             links_of = doc_a[found.link_a]
-            group_doc = doc_a[np.searchsorted(found.a["end"].to_numpy(), found.ends)]
-            numbers = [found.of_text(x, n) for x in (doc_a, doc_b, group_doc, links_of)]
+            numbers = [found.of_text(x, n) for x in (doc_a, doc_b, doc_a[found.closes_a], links_of)]
             digests = [hashlib.sha256(t).hexdigest() if t else "" for t in group_texts(found, n)]
             code = (found.a["id"].to_numpy().astype(np.int64)[found.link_a] << 32) | found.b["id"].to_numpy()[found.link_b]
             pairs, at = np.unique(code, return_inverse=True)
-            cells, times = np.unique(links_of * max(1, len(pairs)) + at, return_counts=True)
+            cells, times = np.unique(links_of.astype(np.int64) * max(1, len(pairs)) + at, return_counts=True)
             cell_doc, cell_pair = cells // max(1, len(pairs)), cells % max(1, len(pairs))
             docs_of = np.bincount(cell_pair, minlength=len(pairs))
             blobs = [np.searchsorted(cell_doc, np.arange(n + 1)), cell_pair, times]
