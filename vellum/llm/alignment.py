@@ -16,7 +16,6 @@ very long text is a batch of its own. Other columns are ignored. An empty table
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import os
 from collections.abc import Iterator
@@ -34,7 +33,7 @@ from vellum.llm.bpe import DOUBLE_SPACE
 from vellum.llm.common import slices, texts, write_shared
 
 #: Words that a table keeps before the older half is forgotten, and the longest word that is kept.
-KEPT, LONGEST = 200_000, 48
+KEPT, LONGEST = 300_000, 48
 
 
 @dataclass(frozen=True)
@@ -88,8 +87,61 @@ class PieceSide:
         return [x if t else [self.space] for t, x in zip(texts, found, strict=True)]
 
 
-#: What a table keeps of a word: ids of A and of B as bytes, and whether both are the space and the word.
-Coded = tuple[bytes, bytes, bool]
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.held, self.n = np.empty(1 << 12, dtype=kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.held):
+            self.held = np.concatenate([self.held[: self.n], np.empty(max(self.n, len(values)), dtype=self.held.dtype)])
+        self.held[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+    @property
+    def data(self) -> np.ndarray:
+        return self.held[: self.n]
+
+
+class Known(dict):
+    """Numbers of words, -1 for others."""
+
+    def __missing__(self, word: str) -> int:
+        return -1
+
+
+class Words:
+    """Numbered words: where each one's ids end in a row of ids, for A and for B, and whether both are the space and the word."""
+
+    def __init__(self) -> None:
+        self.number = Known()
+        self.right = Grown(np.bool_)
+        self.ids, self.ends = (Grown(np.int32), Grown(np.int32)), (Grown(np.int64), Grown(np.int64))
+
+    def add(self, words: list[str], ids: list[np.ndarray], sizes: list[np.ndarray], right: np.ndarray) -> np.ndarray:
+        """The numbers of new words, of which short ones can be found again."""
+        first = self.right.n
+        for side in (0, 1):
+            self.ends[side].add(self.ids[side].n + np.cumsum(sizes[side]))
+            self.ids[side].add(ids[side])
+        self.right.add(right)
+        short = zip(words, range(first, self.right.n), strict=True)
+        self.number.update(short if max(map(len, words), default=0) <= LONGEST else [x for x in short if len(x[0]) <= LONGEST])
+        return np.arange(first, self.right.n)
+
+    def sizes(self, side: int, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of words begin, and how many they are."""
+        ends = self.ends[side].data
+        starts = np.where(numbers > 0, ends[numbers - 1], 0)
+        return starts, ends[numbers] - starts
+
+    def of(self, side: int, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words in a row, and how many each has."""
+        starts, n = self.sizes(side, numbers)
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.ids[side].data[np.arange(total) + np.repeat(starts - ends + n, n)], n
 
 
 class BothSides:
@@ -98,53 +150,51 @@ class BothSides:
     def __init__(self, a: str, b: str):
         self.sides = ByteLevelSide(a), PieceSide(b)
         self.sizes = [np.array([len(x) for x in side.bytes], dtype=np.int64) for side in self.sides]
-        self.known: dict[str, Coded] = {}
-        self.older: dict[str, Coded] = {}
-
-    def alone(self, words: list[str]) -> list[Coded]:
-        """Words encoded each on its own."""
-        out = []
-        for w, *ids in zip(words, *(side.encode(words) for side in self.sides), strict=True):
-            raw = b" " + w.encode()
-            right = all(b"".join([side.bytes[t] for t in x]) == raw for side, x in zip(self.sides, ids, strict=True))
-            out.append((*(np.array(x, np.int32).tobytes() for x in ids), right))
-        return out
-
-    def joined(self, words: list[str]) -> list[Coded]:
-        """Words that neither begin nor end with white space, encoded as one text and cut where each ends."""
+        self.words, self.older = Words(), Words()
+
+    def alone(self, words: list[str]) -> np.ndarray:
+        """Add words encoded each on its own."""
+        ids, sizes, right = [], [], np.ones(len(words), dtype=bool)
+        for side in self.sides:
+            found = side.encode(words)
+            right &= [b"".join([side.bytes[t] for t in x]) == b" " + w.encode() for w, x in zip(words, found, strict=True)]
+            sizes.append(np.array([len(x) for x in found], dtype=np.int64))
+            ids.append(np.array([t for x in found for t in x], dtype=np.int32))
+        return self.words.add(words, ids, sizes, right)
+
+    def joined(self, words: list[str]) -> np.ndarray:
+        """Add words without blanks that neither begin nor end with white space, encoded as one text and cut where each ends."""
         text = " ".join(words)
         raw = b" " + text.encode()
-        ends = np.cumsum([len(w.encode()) + 1 for w in words])
-        parts = []
+        ends = np.append(np.flatnonzero(np.frombuffer(raw, dtype=np.uint8) == 0x20)[1:], len(raw))
+        ids, counts = [], []
         for side, sizes in zip(self.sides, self.sizes, strict=True):
-            ids = side.encode([text])[0]
-            if b"".join([side.bytes[t] for t in ids]) != raw:
+            found = side.encode([text])[0]
+            if b"".join([side.bytes[t] for t in found]) != raw:
                 return self.alone(words)  # one of them is not its tokens' bytes
-            ids = np.array(ids, dtype=np.int32)
-            at = (np.searchsorted(np.cumsum(sizes[ids]), ends) + 1) * 4
-            blob = ids.tobytes()
-            parts.append([blob[lo:hi] for lo, hi in zip([0, *at[:-1].tolist()], at.tolist(), strict=True)])
-        return [(x, y, True) for x, y in zip(*parts, strict=True)]
-
-    def words(self, wanted: list[str]) -> list[Coded]:
-        """Every word's ids, of those in the table or asked now."""
-        if len(self.known) > KEPT:
-            self.older, self.known = self.known, {}
-        out: list = [self.known.get(w) for w in wanted]
-        if self.older:
-            out = [x or self.older.get(w) for w, x in zip(wanted, out, strict=True)]
-        new = [i for i, x in enumerate(out) if x is None]
-        bare = [bool(w := wanted[i]) and len(w) <= LONGEST and not (w[0].isspace() or w[-1].isspace()) for i in new]
-        for lo in range(0, len(new), 512):
-            part = new[lo : lo + 512]
-            together = [i for i, b in zip(part, bare[lo : lo + 512], strict=True) if b]
-            apart = [i for i, b in zip(part, bare[lo : lo + 512], strict=True) if not b]
-            for some, encode in ((together, self.joined), (apart, self.alone)):
-                for i, x in zip(some, encode([wanted[i] for i in some]) if some else [], strict=True):
-                    out[i] = x
-        for w, x in zip(wanted, out, strict=True):
-            if len(w) <= LONGEST:
-                self.known[w] = x
+            ids.append(np.array(found, dtype=np.int32))
+            at = np.searchsorted(np.cumsum(sizes[ids[-1]]), ends) + 1
+            counts.append(np.diff(at, prepend=0))
+        return self.words.add(words, ids, counts, np.ones(len(words), dtype=bool))
+
+    def numbers(self, wanted: list[str]) -> np.ndarray:
+        """Each word's number in the table; words that are not in it are added."""
+        if len(self.words.number) > KEPT or self.words.ids[0].n > 32 * KEPT:
+            self.older, self.words = self.words, Words()
+        out = np.array(list(map(self.words.number.__getitem__, wanted)), dtype=np.int64)
+        new = np.flatnonzero(out < 0)
+        before = np.array([self.older.number[wanted[i]] for i in new.tolist()], dtype=np.int64)
+        kept, before, new = new[before >= 0], before[before >= 0], new[before < 0]
+        if len(kept):
+            found = [self.older.of(side, before) for side in (0, 1)]
+            right = self.older.right.data[before]
+            out[kept] = self.words.add([wanted[i] for i in kept.tolist()], [x for x, _ in found], [n for _, n in found], right)
+        words = [wanted[i] for i in new.tolist()]
+        bare = np.array([0 < len(w) <= LONGEST and w == w.strip() and " " not in w for w in words], dtype=bool)
+        for some, encode in ((new[bare], self.joined), (new[~bare], self.alone)):
+            for lo in range(0, len(some), 512):
+                part = some[lo : lo + 512]
+                out[part] = encode([wanted[i] for i in part.tolist()])
         return out
 
     def encode(self, docs: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -159,29 +209,20 @@ class BothSides:
         counts = pc.fill_null(pc.list_value_length(cut), 0).to_numpy().astype(np.int64)
         coded = pc.dictionary_encode(pc.list_flatten(cut))
         wanted = coded.dictionary.to_pylist()
-        gc.disable()  # else the collector walks through the table again and again while it grows
-        try:
-            table = self.words([*wanted, *(docs[i] for i in np.flatnonzero(whole))])
-        finally:
-            gc.enable()
-        right = np.array([x[2] for x in table], dtype=bool)
+        number = self.numbers([*wanted, *(docs[i] for i in np.flatnonzero(whole))])
         # the units of each text: its words, or itself
         counts[whole] = 1
-        borders = np.cumsum(counts)
-        at = np.empty(int(borders[-1]) if len(borders) else 0, dtype=np.int64)
         of = np.repeat(np.arange(len(docs)), counts)
+        at = np.empty(len(of), dtype=np.int64)
         at[~whole[of]] = coded.indices.to_numpy()
         at[whole[of]] = len(wanted) + np.arange(int(whole.sum()))
-        bad = np.bincount(of, weights=~right[at], minlength=len(docs)) > 0
+        at = number[at]
+        bad = np.bincount(of, weights=~self.words.right.data[at], minlength=len(docs)) > 0
         at, of = at[~bad[of]], of[~bad[of]]
         ids, tokens_of = [], []
         for side in (0, 1):
-            flat = np.frombuffer(b"".join([x[side] for x in table]), dtype=np.int32)
-            sizes = np.array([len(x[side]) // 4 for x in table], dtype=np.int64)
-            starts = np.cumsum(sizes) - sizes
-            n = sizes[at]
-            ends = np.cumsum(n)
-            ids.append(flat[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[at] - ends + n, n)])
+            found, n = self.words.of(side, at)
+            ids.append(found)
             tokens_of.append(np.bincount(of, weights=n, minlength=len(docs)).astype(np.int64))
         return ids, tokens_of
 
