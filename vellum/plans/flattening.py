@@ -219,6 +219,45 @@ def flt_taxonomy(spark, sf_dir):
     )
 
 
+def _institutions(rows):
+    return rows.groupBy("work_id", "author_id", "institution_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _tags(tables):
+    concepts = tables["works_concepts"].select(
+        F.lit("concept").alias("kind"), "work_id", F.col("concept_id").alias("tag_id"),
+        F.lit(None).cast("string").alias("display_name"), F.col("score").cast("double").alias("score"),
+    )
+    goals = tables["works_sdgs"].select(
+        F.lit("sdg").alias("kind"), "work_id", F.col("sdg_id").alias("tag_id"), "display_name",
+        F.col("score").cast("double").alias("score"),
+    )
+    return concepts, goals
+
+
+def _edges(tables):
+    cited = tables["works_references"].select(
+        F.lit("references").alias("kind"), F.col("src_work_id").alias("source_id"),
+        F.col("trgt_work_id").alias("target_id"),
+    )
+    related = tables["works_related"].select(
+        F.lit("related").alias("kind"), F.col("work_a_id").alias("source_id"), F.col("work_b_id").alias("target_id")
+    )
+    return cited, related
+
+
+def owned_parts(tables):
+    """The tables that a work owns, each in the shape of the query that flattens it."""
+    concepts, goals = _tags(tables)
+    cited, related = _edges(tables)
+    return {
+        "works": _plain(tables["works"]), "works_authorships": _plain(tables["works_authorships"]),
+        "works_authorship_institutions": _institutions(tables["works_authorship_institutions"]), "works_locations": tables["works_locations"],
+        "works_concepts": concepts, "works_sdgs": goals, "works_topics": _plain(tables["works_topics"]),
+        "works_references": cited, "works_related": related,
+    }
+
+
 @job(
     "flt_works",
     r"""
@@ -285,8 +324,7 @@ def flt_authorships(spark, sf_dir):
     """,
 )
 def flt_authorship_institutions(spark, sf_dir):
-    rows = flatten.works_authorship_institutions(nested_works(spark, sf_dir))
-    return rows.groupBy("work_id", "author_id", "institution_id").agg(F.count(F.lit(1)).alias("n"))
+    return _institutions(flatten.works_authorship_institutions(nested_works(spark, sf_dir)))
 
 
 @job(
@@ -320,15 +358,7 @@ def flt_locations(spark, sf_dir):
     """,
 )
 def flt_scored_tags(spark, sf_dir):
-    tables = flatten.flatten_works(nested_works(spark, sf_dir))
-    concepts = tables["works_concepts"].select(
-        F.lit("concept").alias("kind"), "work_id", F.col("concept_id").alias("tag_id"),
-        F.lit(None).cast("string").alias("display_name"), F.col("score").cast("double").alias("score"),
-    )
-    goals = tables["works_sdgs"].select(
-        F.lit("sdg").alias("kind"), "work_id", F.col("sdg_id").alias("tag_id"), "display_name",
-        F.col("score").cast("double").alias("score"),
-    )
+    concepts, goals = _tags(flatten.flatten_works(nested_works(spark, sf_dir)))
     return concepts.unionByName(goals)
 
 
@@ -342,14 +372,7 @@ def flt_scored_tags(spark, sf_dir):
     """,
 )
 def flt_edges(spark, sf_dir):
-    tables = flatten.flatten_works(nested_works(spark, sf_dir))
-    cited = tables["works_references"].select(
-        F.lit("references").alias("kind"), F.col("src_work_id").alias("source_id"),
-        F.col("trgt_work_id").alias("target_id"),
-    )
-    related = tables["works_related"].select(
-        F.lit("related").alias("kind"), F.col("work_a_id").alias("source_id"), F.col("work_b_id").alias("target_id")
-    )
+    cited, related = _edges(flatten.flatten_works(nested_works(spark, sf_dir)))
     return cited.unionByName(related)
 
 

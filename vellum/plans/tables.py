@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from vellum import jobs
 from vellum.operators import flatten, matching, payloads, reports, upsert
+from vellum.operators.digests import content_digest, digest_sql
 from vellum.plans import fixtures as fx
+from vellum.plans.flattening import owned_parts
 from vellum.plans.nested import nested_works
 from vellum.plans.registry import ORACLES, job
 from vellum.session import scratch_path
@@ -187,75 +189,89 @@ def snk_merge_batch(spark, sf_dir):
     return matching.merge_batch(existing, incoming, "record_id", ["time_created", "record_id"])
 
 
-# How many rows of each owned table a work has.
-_OWNED = """sized AS (
-      SELECT doc_id, i, line <> '' AS filled,
-             len(list_filter(string_split_regex(line, '[.] '), lambda s: s <> '')) AS n_inst FROM lines),
-    owned AS (
-      SELECT 'works' AS part, doc_id, 1 AS n FROM documents
-      UNION ALL SELECT unnest(['works_authorships', 'works_concepts', 'works_locations', 'works_topics',
-                               'works_references', 'works_related']), doc_id, count(*) FROM sized GROUP BY doc_id
-      UNION ALL SELECT 'works_sdgs', doc_id, count(*) FROM sized WHERE filled GROUP BY doc_id
-      UNION ALL SELECT 'works_authorship_institutions', doc_id, CAST(sum(n_inst) AS BIGINT) FROM sized
-                GROUP BY doc_id HAVING sum(n_inst) > 0)"""
-
-
-def _per_work(tables):
-    """Rows per table and work, for every table a work owns."""
+# The rows of each table that a work owns, as the flattening queries define them: (query, condition, key, columns with their kind).
+_TEXT = "text"
+_OWNED = {
+    "works": ("flt_works", "true", "work_id", dict.fromkeys(
+        "work_id title abstract countries_distinct_count display_name language publication_date publication_year volume issue first_page "
+        "last_page primary_location type type_crossref cited_by_count id_doi id_mag id_pmid id_pmcid is_oa oa_status oa_url "
+        "oa_any_repository_has_fulltext apc_paid apc_list license is_paratext is_retracted fulltext_origin has_fulltext indexed_in "
+        "institutions_distinct_count is_authors_truncated mesh grants created_date updated_date".split(), _TEXT)),
+    "works_authorships": ("flt_authorships", "true", "work_id", dict.fromkeys(
+        "work_id author_id countries position exact_position raw_affiliation raw_author_name raw_affiliation_strings is_corresponding".split(),
+        _TEXT)),
+    "works_authorship_institutions": ("flt_authorship_institutions", "true", "work_id", dict.fromkeys(
+        "work_id author_id institution_id n".split(), _TEXT)),
+    "works_locations": ("flt_locations", "true", "work_id", dict.fromkeys(
+        "work_id source_id is_oa is_primary is_accepted is_published landing_page_url license pdf_url version".split(), _TEXT)),
+    "works_concepts": ("flt_scored_tags", "kind = 'concept'", "work_id", {
+        "work_id": _TEXT, "kind": _TEXT, "tag_id": _TEXT, "display_name": _TEXT, "score": "fraction"}),
+    "works_sdgs": ("flt_scored_tags", "kind = 'sdg'", "work_id", {
+        "work_id": _TEXT, "kind": _TEXT, "tag_id": _TEXT, "display_name": _TEXT, "score": "fraction"}),
+    "works_topics": ("flt_topic_rank", "true", "work_id", {"work_id": _TEXT, "topic_id": _TEXT, "rank": _TEXT, "score": "fraction"}),
+    "works_references": ("flt_edges", "kind = 'references'", "source_id", dict.fromkeys("kind source_id target_id".split(), _TEXT)),
+    "works_related": ("flt_edges", "kind = 'related'", "source_id", dict.fromkeys("kind source_id target_id".split(), _TEXT)),
+}
+
+
+def _digests_sql(kept: str, rows: dict[str, str] | None = None) -> str:
+    """(part, work_id, n, digest) of every owned table, for works whose id meets a condition; ``rows`` replaces a table's query."""
+    parts = []
+    for part, (query, condition, key, columns) in _OWNED.items():
+        source = (rows or {}).get(part, ORACLES[query])
+        source = f"SELECT * FROM ({source}) WHERE {condition} AND {kept.format(key=key)}"
+        parts.append(f"SELECT '{part}' AS part, {key} AS work_id, n, digest FROM ({digest_sql(source, key, columns)})")
+    return " UNION ALL ".join(parts)
+
+
+def _digests(tables):
+    """The same of the tables a work owns."""
     merged = None
-    for name, column in upsert.OWNED_TABLES["work"].items():
-        counted = tables[name].groupBy(F.col(column).alias("work_id")).agg(F.count(F.lit(1)).alias("n"))
-        counted = counted.withColumn("part", F.lit(name))
-        merged = counted if merged is None else merged.unionByName(counted)
-    return merged.select("part", "work_id", "n")
+    for part, rows in owned_parts(tables).items():
+        key = _OWNED[part][2]
+        found = content_digest(rows, key).select(F.lit(part).alias("part"), F.col(key).alias("work_id"), "n", "digest")
+        merged = found if merged is None else merged.unionByName(found)
+    return merged
 
 
 @job(
     "del_merged_ids",
-    f"""
-    WITH <<lines>>, <<merged_ids>>, {_OWNED}
-    SELECT part, concat('W', CAST(doc_id AS STRING)) AS work_id, n FROM owned
-    WHERE concat('W', CAST(doc_id AS STRING)) NOT IN (SELECT id FROM merged_ids)
-    """,
+    "WITH <<merged_ids>> " + _digests_sql("{key} NOT IN (SELECT id FROM merged_ids)"),
 )
 def del_merged_ids(spark, sf_dir):
     root = scratch_path(spark, "merges")
     log = fx.merged_ids(spark, sf_dir)
     log.write.option("compression", "gzip").csv(f"{root}/merged_ids/works", header=True)
     tables = flatten.flatten_works(nested_works(spark, sf_dir))
-    return _per_work(upsert.delete_merged(tables, snapshot.read_merge_log(spark, root), "work"))
+    return _digests(upsert.delete_merged(tables, snapshot.read_merge_log(spark, root), "work"))
 
 
 @job(
     "del_cascade",
-    f"""
-    WITH <<lines>>, <<update>>, {_OWNED}
-    SELECT part, concat('W', CAST(doc_id AS STRING)) AS work_id, n FROM owned
-    WHERE concat('W', CAST(doc_id AS STRING)) NOT IN (SELECT id FROM upd)
-    """,
+    "WITH <<update>> " + _digests_sql("{key} NOT IN (SELECT id FROM upd)"),
 )
 def del_cascade(spark, sf_dir):
     tables = flatten.flatten_works(nested_works(spark, sf_dir))
-    return _per_work(upsert.delete_entity(tables, fx.update(spark, sf_dir), "work"))
+    return _digests(upsert.delete_entity(tables, fx.update(spark, sf_dir), "work"))
+
+
+# Changed works have a new title, and their first author only.
+_CHANGED = {
+    "works": f"""SELECT * REPLACE (CASE WHEN work_id IN (SELECT id FROM changed) THEN concat('New ', title) ELSE title END AS title)
+        FROM ({ORACLES["flt_works"]})""",
+    "works_authorships": f"""SELECT * FROM ({ORACLES["flt_authorships"]})
+        WHERE exact_position = 0 OR work_id NOT IN (SELECT id FROM changed)""",
+    "works_authorship_institutions": """WITH <<lines>>, parts AS (
+          SELECT doc_id, line, unnest(list_filter(string_split_regex(line, '[.] '), lambda s: s <> '')) AS s FROM lines
+          WHERE i = 0 OR concat('W', doc_id) NOT IN (SELECT id FROM changed))
+        SELECT concat('W', doc_id) AS work_id, concat('A', length(line)) AS author_id, concat('I', length(s)) AS institution_id, count(*) AS n
+        FROM parts GROUP BY ALL""",
+}
 
 
 @job(
     "upd_replace_entity",
-    f"""
-    WITH <<lines>>, {_OWNED}, changed AS (SELECT doc_id FROM labels WHERE quality = 1)
-    SELECT part, concat('W', CAST(doc_id AS STRING)) AS work_id, n, CAST(NULL AS STRING) AS title FROM owned
-    WHERE part <> 'works' AND (part NOT IN ('works_authorships', 'works_authorship_institutions')
-                               OR doc_id NOT IN (SELECT doc_id FROM changed))
-    UNION ALL
-    SELECT 'works_authorships', concat('W', CAST(doc_id AS STRING)), 1, NULL FROM changed
-    UNION ALL
-    SELECT 'works_authorship_institutions', concat('W', CAST(doc_id AS STRING)), n_inst, NULL FROM sized
-    WHERE i = 0 AND n_inst > 0 AND doc_id IN (SELECT doc_id FROM changed)
-    UNION ALL
-    SELECT 'works', concat('W', CAST(doc_id AS STRING)), 1,
-           concat(CASE WHEN doc_id IN (SELECT doc_id FROM changed) THEN 'New ' ELSE '' END, split_part(text, chr(10), 1))
-    FROM documents
-    """,
+    "WITH changed AS (SELECT concat('W', CAST(doc_id AS STRING)) AS id FROM labels WHERE quality = 1) " + _digests_sql("true", _CHANGED),
 )
 def upd_replace_entity(spark, sf_dir):
     works = nested_works(spark, sf_dir)
@@ -265,10 +281,7 @@ def upd_replace_entity(spark, sf_dir):
     records = works.join(changed, "id", "left_semi").withColumns(
         {"title": F.concat(F.lit("New "), F.col("title")), "authorships": F.slice("authorships", 1, 1)}
     )
-    following = jobs.update_tables(flatten.flatten_works(works), records, "work")
-    counts = _per_work(following).where("part <> 'works'").withColumn("title", F.lit(None).cast("string"))
-    titles = following["works"].select(F.lit("works").alias("part"), "work_id", F.lit(1).cast("bigint").alias("n"), "title")
-    return counts.unionByName(titles)
+    return _digests(jobs.update_tables(flatten.flatten_works(works), records, "work"))
 
 
 @job(
