@@ -106,6 +106,33 @@ def test_constant_slots_are_template(spark, sent):
     assert all(r.n_chars == len(r.text) for r in found)
 
 
+def four_layouts():
+    """One host whose pages have four layouts with neutral names and a constant block of their own in each."""
+    rows = []
+    for kind in range(4):
+        for i in range(40):
+            n = 40 * kind + i
+            body = "".join(f"<p>{b}</p>" for b in bodies(n))
+            strip = f"<div class=k{kind}a><p>Constant strip of layout {kind}</p></div>"
+            deep = "<div class=w><div class=q>" * kind
+            page = f"<html><body><div class=k{kind}>{strip}{deep}<div class=k{kind}b>{body}</div>{'</div></div>' * kind}</div><div class=z>Same everywhere</div></body></html>"
+            rows.append((n, f"https://many.example.org/{n}", page))
+    return rows
+
+
+@pytest.mark.parametrize("sent", [32 << 20, 0])
+def test_each_layout_of_a_host_has_its_template(spark, sent):
+    rows = four_layouts()
+    found = {r.page_id: r.text for r in wrappers.main_texts(pages(spark, rows), wrappers.WrapperConfig(sent=sent)).collect()}
+    assert found == {n: " ".join(bodies(n)) for n in range(160)}
+
+
+def test_the_wrapper_decides(spark):
+    """Without enough pages to induce a template the same pages keep their constant blocks."""
+    found = {r.page_id: r.text for r in wrappers.main_texts(pages(spark, four_layouts()), wrappers.WrapperConfig(pages=10_000)).collect()}
+    assert all("Constant strip of layout" in t and t.endswith("Same everywhere") for t in found.values())
+
+
 def test_given_pages(spark):
     table = read_table(spark, "/root/testdata/sf0.01", "pages")
     found = {r.page_id: r.text for r in wrappers.main_texts(table).collect()}
