@@ -8,7 +8,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from tests.llm.samples import awkward_texts, collected, documents
+from llm.samples import awkward_texts, collected, documents
 from vellum.llm.alignment import AlignmentConfig, alignment_digests, byte_level, token_links
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tests.llm.samples import awkward_texts, documents, prose
+from llm.samples import awkward_texts, documents, prose
 from vellum.llm import packs, phrases
 from vellum.llm.phrases import PhraseConfig, collocations, frequent_phrases
 

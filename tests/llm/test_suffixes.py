@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from tests.llm.samples import awkward_texts, documents, prose
+from llm.samples import awkward_texts, documents, prose
 from vellum.llm import packs, suffixes
 from vellum.llm.suffixes import SuffixConfig, repeat_digests, repeated_spans
 

@@ -9,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from llm.samples import collected, documents
+from llm.samples import awkward_texts, collected, documents
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -89,11 +89,10 @@ def test_packed_ids(bits):
 
 @pytest.mark.parametrize("block", [1, 50, 1 << 16])
 def test_token_files(spark, block):
-    docs = documents(spark)
+    docs = documents(spark, [*awkward_texts(), "hello <|endoftext|> world", "<|endoftext|>", " x<|endoftext|>y z"])
     found = tokenfiles.token_digests(docs, JSON, tokenfiles.TokenFileConfig(block=block)).collect()
     rows = sorted(((r[0], r[1]) for r in docs.select("doc_id", F.coalesce("text", F.lit(""))).collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     library = Tokenizer.from_file(JSON)
-    library.encode_special_tokens = True
     expected, start = [], 0
     for doc_id, text in rows:
         ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], dtype="<u4")
@@ -111,8 +110,21 @@ def test_token_files_hold_ids_in_order(spark):
     assert ids == sorted(ids) and len(blocks) > 5 and {b.bits for b in blocks} == {16}
 
 
-def test_special_strings_are_text():
-    assert len(tokenfiles.word_encoder(JSON).encode(["<|endoftext|>"])[0]) > 1
+def test_added_tokens_are_those_of_the_plain_call():
+    ids, counts = tokenfiles.text_encoder(JSON).encode(["hello <|endoftext|> world", "a b"])
+    assert ids.tolist() == [31373, 220, 50256, 995, 64, 275] and counts.tolist() == [4, 2]
+
+
+def test_rows_without_id_are_many_ranges(spark):
+    docs = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.md5(F.col("id").cast("string"))).alias("text"))
+    path = scratch_path(spark, "tokens")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tokenfiles.write_token_files(docs.repartition(8), JSON, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r["n"] for r in spark.read.parquet(path).groupBy("shard").agg(F.sum(F.size("doc_ids")).alias("n")).collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 2 * 3000 / len(sizes) and len(sizes) > 2
 
 
 def brute_lattice(model: lattice.Lattice, data: bytes) -> float:

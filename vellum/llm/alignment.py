@@ -29,12 +29,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.bpe import DOUBLE_SPACE
 from vellum.llm.common import slices, texts, write_shared
-
-#: Words that a table keeps before the older half is forgotten, and the longest word that is kept.
-KEPT, LONGEST = 300_000, 48
-
+from vellum.llm.wordtable import WordTokens, byte_level
 
 @dataclass(frozen=True)
 class AlignmentConfig:
@@ -43,15 +39,8 @@ class AlignmentConfig:
     batch: int = 1 << 20
 
 
-def byte_level() -> dict[str, int]:
-    """The byte of each character in a byte-level vocabulary: printable ones stand for themselves, others follow from 256 on."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class ByteLevelSide:
-    """A tokenizers file; its text begins with the space."""
+    """A tokenizers file."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,11 +55,11 @@ class ByteLevelSide:
             self.bytes[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class PieceSide:
-    """A sentencepiece file, which adds the space."""
+    """A sentencepiece file, which adds the space that its texts begin with."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -83,157 +72,17 @@ class PieceSide:
         self.space = self.library.piece_to_id("▁")
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.library.encode(texts, num_threads=1)
-        return [x if t else [self.space] for t, x in zip(texts, found, strict=True)]
-
-
-class Grown:
-    """An array that grows at its end."""
-
-    def __init__(self, kind: type):
-        self.held, self.n = np.empty(1 << 12, dtype=kind), 0
-
-    def add(self, values: np.ndarray) -> None:
-        if self.n + len(values) > len(self.held):
-            self.held = np.concatenate([self.held[: self.n], np.empty(max(self.n, len(values)), dtype=self.held.dtype)])
-        self.held[self.n : self.n + len(values)] = values
-        self.n += len(values)
-
-    @property
-    def data(self) -> np.ndarray:
-        return self.held[: self.n]
-
-
-class Known(dict):
-    """Numbers of words, -1 for others."""
-
-    def __missing__(self, word: str) -> int:
-        return -1
-
-
-class Words:
-    """Numbered words: where each one's ids end in a row of ids, for A and for B, and whether both are the space and the word."""
-
-    def __init__(self) -> None:
-        self.number = Known()
-        self.right = Grown(np.bool_)
-        self.ids, self.ends = (Grown(np.int32), Grown(np.int32)), (Grown(np.int64), Grown(np.int64))
-
-    def add(self, words: list[str], ids: list[np.ndarray], sizes: list[np.ndarray], right: np.ndarray) -> np.ndarray:
-        """The numbers of new words, of which short ones can be found again."""
-        first = self.right.n
-        for side in (0, 1):
-            self.ends[side].add(self.ids[side].n + np.cumsum(sizes[side]))
-            self.ids[side].add(ids[side])
-        self.right.add(right)
-        short = zip(words, range(first, self.right.n), strict=True)
-        self.number.update(short if max(map(len, words), default=0) <= LONGEST else [x for x in short if len(x[0]) <= LONGEST])
-        return np.arange(first, self.right.n)
-
-    def sizes(self, side: int, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the ids of words begin, and how many they are."""
-        ends = self.ends[side].data
-        starts = np.where(numbers > 0, ends[numbers - 1], 0)
-        return starts, ends[numbers] - starts
-
-    def of(self, side: int, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words in a row, and how many each has."""
-        starts, n = self.sizes(side, numbers)
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.ids[side].data[np.arange(total) + np.repeat(starts - ends + n, n)], n
-
-
-class BothSides:
-    """Ids of a space and a word on both sides, asked once for each distinct word while it stays in the table."""
-
-    def __init__(self, a: str, b: str):
-        self.sides = ByteLevelSide(a), PieceSide(b)
-        self.sizes = [np.array([len(x) for x in side.bytes], dtype=np.int64) for side in self.sides]
-        self.words, self.older = Words(), Words()
-
-    def alone(self, words: list[str]) -> np.ndarray:
-        """Add words encoded each on its own."""
-        ids, sizes, right = [], [], np.ones(len(words), dtype=bool)
-        for side in self.sides:
-            found = side.encode(words)
-            right &= [b"".join([side.bytes[t] for t in x]) == b" " + w.encode() for w, x in zip(words, found, strict=True)]
-            sizes.append(np.array([len(x) for x in found], dtype=np.int64))
-            ids.append(np.array([t for x in found for t in x], dtype=np.int32))
-        return self.words.add(words, ids, sizes, right)
-
-    def joined(self, words: list[str]) -> np.ndarray:
-        """Add words without blanks that neither begin nor end with white space, encoded as one text and cut where each ends."""
-        text = " ".join(words)
-        raw = b" " + text.encode()
-        ends = np.append(np.flatnonzero(np.frombuffer(raw, dtype=np.uint8) == 0x20)[1:], len(raw))
-        ids, counts = [], []
-        for side, sizes in zip(self.sides, self.sizes, strict=True):
-            found = side.encode([text])[0]
-            if b"".join([side.bytes[t] for t in found]) != raw:
-                return self.alone(words)  # one of them is not its tokens' bytes
-            ids.append(np.array(found, dtype=np.int32))
-            at = np.searchsorted(np.cumsum(sizes[ids[-1]]), ends) + 1
-            counts.append(np.diff(at, prepend=0))
-        return self.words.add(words, ids, counts, np.ones(len(words), dtype=bool))
-
-    def numbers(self, wanted: list[str]) -> np.ndarray:
-        """Each word's number in the table; words that are not in it are added."""
-        if len(self.words.number) > KEPT or self.words.ids[0].n > 32 * KEPT:
-            self.older, self.words = self.words, Words()
-        out = np.array(list(map(self.words.number.__getitem__, wanted)), dtype=np.int64)
-        new = np.flatnonzero(out < 0)
-        before = np.array([self.older.number[wanted[i]] for i in new.tolist()], dtype=np.int64)
-        kept, before, new = new[before >= 0], before[before >= 0], new[before < 0]
-        if len(kept):
-            found = [self.older.of(side, before) for side in (0, 1)]
-            right = self.older.right.data[before]
-            out[kept] = self.words.add([wanted[i] for i in kept.tolist()], [x for x, _ in found], [n for _, n in found], right)
-        words = [wanted[i] for i in new.tolist()]
-        bare = np.array([0 < len(w) <= LONGEST and w == w.strip() and " " not in w for w in words], dtype=bool)
-        for some, encode in ((new[bare], self.joined), (new[~bare], self.alone)):
-            for lo in range(0, len(some), 512):
-                part = some[lo : lo + 512]
-                out[part] = encode([wanted[i] for i in part.tolist()])
-        return out
-
-    def encode(self, docs: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of all texts in a row and tokens of each text, for A and for B.
-
-        A text is cut before single spaces, which no token of either side holds inside. A text with white space side by
-        side is one word.
-        """
-        whole = np.array([bool(t) and (t[0].isspace() or DOUBLE_SPACE.search(t) is not None) for t in docs], dtype=bool)
-        held = pa.array([None if w or not t else t for w, t in zip(whole.tolist(), docs, strict=True)], pa.large_string())
-        cut = pc.split_pattern(held, " ")
-        counts = pc.fill_null(pc.list_value_length(cut), 0).to_numpy().astype(np.int64)
-        coded = pc.dictionary_encode(pc.list_flatten(cut))
-        wanted = coded.dictionary.to_pylist()
-        number = self.numbers([*wanted, *(docs[i] for i in np.flatnonzero(whole))])
-        # the units of each text: its words, or itself
-        counts[whole] = 1
-        of = np.repeat(np.arange(len(docs)), counts)
-        at = np.empty(len(of), dtype=np.int64)
-        at[~whole[of]] = coded.indices.to_numpy()
-        at[whole[of]] = len(wanted) + np.arange(int(whole.sum()))
-        at = number[at]
-        bad = np.bincount(of, weights=~self.words.right.data[at], minlength=len(docs)) > 0
-        at, of = at[~bad[of]], of[~bad[of]]
-        ids, tokens_of = [], []
-        for side in (0, 1):
-            found, n = self.words.of(side, at)
-            ids.append(found)
-            tokens_of.append(np.bincount(of, weights=n, minlength=len(docs)).astype(np.int64))
-        return ids, tokens_of
-
-
-SIDES: dict[tuple[str, str], BothSides] = {}
-
-
-def both_sides(a: str, b: str) -> BothSides:
+        found = self.library.encode([t[1:] for t in texts], num_threads=1)
+        return [x if len(t) > 1 else [self.space] for t, x in zip(texts, found, strict=True)]
+
+
+SIDES: dict[tuple[str, str], WordTokens] = {}
+
+
+def both_sides(a: str, b: str) -> WordTokens:
     """The two tokenizers, loaded once in a Python process."""
     if (a, b) not in SIDES:
-        SIDES[a, b] = BothSides(a, b)
+        SIDES[a, b] = WordTokens((ByteLevelSide(a), PieceSide(b)))
     return SIDES[a, b]
 
 
@@ -334,8 +183,12 @@ def batched(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[pa.A
         yield pa.concat_arrays(ids), held
 
 
-def aligned_batch(sides: BothSides, docs: list[str]) -> Alignment:
-    (ids_a, ids_b), (n_a, n_b) = sides.encode(docs)
+def aligned_batch(sides: WordTokens, docs: list[str]) -> Alignment:
+    ids, counts, right = sides.encode(docs)
+    if not right.all():
+        ids = [x[np.repeat(right, n)] for x, n in zip(ids, counts, strict=True)]
+        counts = [np.where(right, n, 0) for n in counts]
+    (ids_a, ids_b), (n_a, n_b) = ids, counts
     return align(tokens(ids_a, n_a, sides.sizes[0]), tokens(ids_b, n_b, sides.sizes[1]))
 
 

@@ -1,13 +1,14 @@
 """Token files: the ids of a corpus, bit-packed, in document order.
 
-Documents are dealt to shards by ranges of their ids and sorted within each shard; equal ids are ordered by text. A shard is
-a sequence of blocks of whole documents. A block's ids are stored one after another in the fewest bits that the vocabulary
+Documents are dealt to shards by ranges of their ids and sorted within each shard; equal and missing ids are ordered by the
+first characters of their texts, then by hash, so that rows without id are ranges as well. A shard is a sequence of blocks of whole documents. A block's ids are stored one after another in the fewest bits that the vocabulary
 needs, least significant bit first, so that one numpy call unpacks any range of ids: id i of a block is at bit i x bits.
 Blocks are rows of a Parquet table (shard, block, start, bits, doc_ids, offsets, payload): ``start`` counts the ids of the
 shard before the block, ``offsets`` the ids of the block before each document and at its end. The totals of the shards,
 one row each, turn starts into places in the whole corpus.
 
-Null texts count as empty; an empty text is only its end id. Repeated rows are stored once each. A document longer than a
+Ids are those of the library's plain call: a text with the string of an added token has that token's id. Null texts count as
+empty; an empty text is only its end id. Repeated rows are stored once each. A document longer than a
 block is a block of its own. Other columns are ignored; an empty table gives no rows.
 """
 
@@ -23,11 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellum.llm.bpe import DOUBLE_SPACE
 from vellum.llm.common import text_slices, texts
+from vellum.llm.wordtable import WordTokens, byte_level
 from vellum.session import scratch_path
 
-KEPT_WORDS = 700_000
 FILE = "shard int, block int, start long, bits int, doc_ids array<{kind}>, offsets array<long>, payload binary"
 
 
@@ -62,147 +62,109 @@ def unpack_ids(payload: bytes, bits: int, first: int, last: int) -> np.ndarray:
     return (flat.astype("<u4") << np.arange(bits, dtype=np.uint32)).sum(axis=1, dtype="<u4")
 
 
-class Numbered(dict):
-    """Numbers words in the order in which they are first looked up."""
-
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        return number
-
-
-class WordEncoder:
-    """The tokenizers library, asked once for each distinct word while the word stays in the table."""
+class LibrarySide:
+    """A byte-level file of the tokenizers library, called as it is."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.bits = bits_for(self.library.get_vocab_size())
-        self.dtype = "<u2" if self.bits <= 16 else "<u4"
-        # bytes of each token: in a byte-level vocabulary every character of a token's name stands for one byte
-        names = self.library.get_vocab()
-        self.sizes = np.zeros(1 + max(names.values(), default=0), dtype=np.int64)
-        self.sizes[list(names.values())] = [len(name) for name in names]
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def encode(self, docs: list[str]) -> list[np.ndarray]:
-        """Ids of each text.
-
-        A text is cut before each single space, where no match can reach across: its first word is looked up with a space
-        in front, the others without. A text with white space side by side is encoded whole.
-        """
-        numbers = Numbered()  # of this call's distinct words, few enough for the processor's caches
-        look = numbers.__getitem__
-        units, whole = [], []
-        for text in docs:
-            if DOUBLE_SPACE.search(text):
-                whole.append(text)
-                units.append(None)
-                continue
-            words = text.split(" ")
-            words[0] = " " + words[0]
-            units.append(list(map(look, words)))
-        coded = self.coded(list(numbers))
-        sizes = np.array([len(x) for x in coded], dtype=np.int64) // np.dtype(self.dtype).itemsize
-        flat = np.frombuffer(b"".join(coded), dtype=self.dtype)
-        starts = np.cumsum(sizes) - sizes
-        rest = iter(self.library.encode_batch_fast(whole, add_special_tokens=False))
-        out = []
-        for unit in units:
-            if unit is None:
-                out.append(np.array(next(rest).ids, dtype=self.dtype))
-                continue
-            at = np.array(unit, dtype=np.int64)
-            n = sizes[at]
-            ends = np.cumsum(n)
-            out.append(flat[np.arange(int(ends[-1])) + np.repeat(starts[at] - ends + n, n)])
-        return out
-
-    def coded(self, wanted: list[str]) -> list[bytes]:
-        """Ids of distinct words as bytes."""
-        if len(self.words) > KEPT_WORDS:  # what the last generation did not use is forgotten
-            self.older, self.words = self.words, {}
-        known, older = self.words, self.older
-        out = [known.get(w) for w in wanted]
-        missing = [i for i, x in enumerate(out) if x is None]
-        if older:
-            for i in missing:
-                x = older.get(wanted[i])
-                if x is not None:
-                    out[i] = known[wanted[i]] = x
-            missing = [i for i in missing if out[i] is None]
-        joined = [i for i in missing if (w := wanted[i]) and w[0] != " " and not w[-1].isspace()]
-        alone = [i for i in missing if not (w := wanted[i]) or w[0] == " " or w[-1].isspace()]
-        texts = [w[1:] if (w := wanted[i])[:1] == " " else " " + w for i in alone]
-        for i, found in zip(alone, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            out[i] = np.array(found.ids, dtype=self.dtype).tobytes()
-        width = np.dtype(self.dtype).itemsize
-        for lo in range(0, len(joined), 256):  # many such words are encoded as one text
-            part = joined[lo : lo + 256]
-            text = " " + " ".join([wanted[i] for i in part])
-            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
-            ends = np.cumsum([len(wanted[i].encode()) + 1 for i in part])
-            last = np.searchsorted(np.cumsum(self.sizes[ids]), ends, side="left") + 1
-            raw = ids.tobytes()
-            first = 0
-            for i, end in zip(part, (last * width).tolist(), strict=True):
-                out[i] = raw[first:end]
-                first = end
-        for i in missing:
-            if len(wanted[i]) < 64:
-                known[wanted[i]] = out[i]
-        return out
-
-
-ENCODERS: dict[str, WordEncoder] = {}
-
-
-def word_encoder(path: str) -> WordEncoder:
+        letters, names = byte_level(), self.library.get_vocab()
+        self.bytes = [b""] * (1 + max(names.values(), default=0))
+        for name, i in names.items():
+            self.bytes[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
+        #: Strings that the library takes out of a text before it looks for words.
+        self.added = [token.content for token in self.library.get_added_tokens_decoder().values() if token.content]
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+class TextEncoder:
+    """Ids of texts as the library gives them; it is asked once for each distinct word while the word stays in a table.
+
+    A text with the string of an added token is given to the library whole.
+    """
+
+    def __init__(self, path: str):
+        self.side = LibrarySide(path)
+        self.bits = bits_for(self.side.library.get_vocab_size())
+        self.table = WordTokens([self.side], spaced=False)
+
+    def encode(self, docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and how many each has."""
+        whole = [any(map(t.__contains__, self.side.added)) for t in docs] if self.side.added else None
+        ids, counts, _ = self.table.encode(docs, whole)
+        return ids[0], counts[0]
+
+
+ENCODERS: dict[str, TextEncoder] = {}
+
+
+def text_encoder(path: str) -> TextEncoder:
     """The encoder of a tokenizer file, built once in a Python process."""
     if path not in ENCODERS:
-        ENCODERS[path] = WordEncoder(path)
+        ENCODERS[path] = TextEncoder(path)
     return ENCODERS[path]
 
 
+def with_ends(ids: np.ndarray, counts: np.ndarray, end: int) -> np.ndarray:
+    """The ids with one more after each text's."""
+    out = np.full(len(ids) + len(counts), end, dtype=np.uint32)
+    inside = np.ones(len(out), dtype=bool)
+    inside[np.cumsum(counts + 1) - 1] = False
+    out[inside] = ids
+    return out
+
+
 def write_token_files(
     docs: DataFrame, tokenizer: str, out: str, id_col: str = "doc_id", text_col: str = "text", config: TokenFileConfig | None = None
 ) -> None:
     """Encode every whole text and write the blocks below ``out``."""
     config = config or TokenFileConfig()
     kind = docs.schema[id_col].dataType.simpleString()
-    ordered = texts(docs, id_col, text_col).repartitionByRange("id").sortWithinPartitions("id", "text")
+    keys = ["id", "begin", "digest", "row"]  # equal rows without id are told apart by where they stood
+    rows = texts(docs, id_col, text_col).withColumns(
+        {"begin": F.substring("text", 1, 16), "digest": F.xxhash64("text"), "row": F.monotonically_increasing_id()}
+    )
+    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
     ordered = ordered.select(F.spark_partition_id().alias("shard"), "id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_encoder(tokenizer)
+        words = text_encoder(tokenizer)
         held_ids: list = []
         held: list[np.ndarray] = []
+        held_sizes: list[int] = []
         start, block, shard, id_type = 0, 0, 0, pa.int64()
 
         def closed() -> pa.RecordBatch:
-            nonlocal start, block, held, held_ids
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in held])])
+            nonlocal start, block, held, held_ids, held_sizes
+            offsets = np.concatenate([[0], np.cumsum(held_sizes)])
             row = [[shard], [block], [start], [words.bits], [held_ids], [offsets], [pack_ids(np.concatenate(held), words.bits)]]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(id_type), pa.list_(pa.int64()), pa.binary()]
-            start, block, held, held_ids = start + int(offsets[-1]), block + 1, [], []
+            start, block, held, held_ids, held_sizes = start + int(offsets[-1]), block + 1, [], [], []
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], [f.split()[0] for f in FILE.split(", ")])
 
         size = 0
-        end = np.array([config.end], dtype=words.dtype)
         for batch in batches:
             if batch.num_rows:
                 shard, id_type = batch.column("shard")[0].as_py(), batch.schema.field("id").type
             for ids, rows in text_slices(batch):
-                for doc_id, encoded in zip(ids, words.encode(rows), strict=True):
-                    held_ids.append(doc_id)
-                    held.append(np.concatenate([encoded, end]))
-                    size += len(encoded) + 1
-                    if size >= config.block:
-                        yield closed()
-                        size = 0
+                found, counts = words.encode(rows)
+                flat, sizes = with_ends(found, counts, config.end), (counts + 1).tolist()
+                first = at = begin = 0
+                for last, n in enumerate(sizes, 1):
+                    at += n
+                    size += n
+                    if size >= config.block or last == len(sizes):
+                        held.append(flat[begin:at])
+                        held_ids += ids[first:last]
+                        held_sizes += sizes[first:last]
+                        first, begin = last, at
+                        if size >= config.block:
+                            yield closed()
+                            size = 0
         if held:
             yield closed()
 
