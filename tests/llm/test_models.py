@@ -124,11 +124,69 @@ def test_without_labels(spark):
     assert quality.score_quality(nothing, quality.fit_quality(nothing, labels)).collect() == []
 
 
-def test_the_sample_is_bounded(spark):
-    docs = documents(spark, [prose(i, 20) for i in range(200)])
+def test_the_sample_is_bounded_and_holds_whole_texts(spark):
+    docs = documents(spark, [prose(i, 20 + 60 * (i % 3)) for i in range(200)])
     labelled = docs.select(F.col("doc_id").alias("id"), "text", F.lit("en").alias("label"))
     windows, target, names = language.training_windows(labelled, language.LanguageConfig(sample=20))
-    assert names == ["en"] and 0 < len(target) <= 80 and len(windows) == len(target)
+    held = {t.encode(): -(-len(t.encode()) // 256) for t in (r.text for r in docs.select("text").collect())}
+    assert names == ["en"] and len(windows) == len(target)
+    # whole texts, one after another, and no more of them than the bound
+    found, at = 0, 0
+    while at < len(windows):
+        text = next(t for t, n in held.items() if b"".join(w[:256].tobytes() for w in windows[at : at + n]).rstrip(b"\0") == t)
+        at, found = at + held[text], found + 1
+    assert 0 < found <= 20
+
+
+def plain_language(model, text):
+    """Score of every label, window by window and position by position."""
+    raw, total = text.encode(), np.zeros(len(model.labels))
+    for at in range(0, max(1, len(raw)), model.config.window):
+        part = raw[at : at + model.config.window]
+        padded = part.ljust(model.config.window + model.pad, b"\0")
+        best = np.full(model.p["W"].shape[1], -np.inf)
+        for i in range(model.config.window):
+            seen = np.concatenate([model.p["E"][b] for b in padded[i : i + model.pad + 1]]).astype(np.float64)
+            best = np.maximum(best, seen @ model.p["W"])
+        logits = np.maximum(best + model.p["b"], 0) @ model.p["U"] + model.p["c"]
+        total += len(part) * (logits - np.log(np.exp(logits - logits.max()).sum()) - logits.max())
+    q = np.exp(total / len(raw) - (total / len(raw)).max())
+    return q / q.sum()
+
+
+def test_language_equals_a_plain_forward_pass():
+    model = language.ByteCnn(["a", "b", "c"], language.LanguageConfig(window=40))
+    texts = [prose(1, 3), prose(2, 40), "é漢字 and more " * 9]
+    labels, scores = model.predict(texts)
+    for text, label, score in zip(texts, labels, scores, strict=True):
+        q = plain_language(model, text)
+        assert label == model.labels[int(q.argmax())] and score == pytest.approx(q.max(), abs=1e-4)
+
+
+def plain_quality(model, text):
+    """Probability, passage by passage."""
+    raw, p, width = text.encode(), model.p, model.config.passage
+    states, weights = [], []
+    for at in range(0, max(1, len(raw)), width):
+        part = raw[at : at + width]
+        singles, pairs = np.zeros(256), np.zeros(quality.PAIRS)
+        for x in part:
+            singles[x] += 1
+        for x, y in zip(part, part[1:], strict=False):
+            pairs[(x * 40503 + y * 30011 >> 3) % quality.PAIRS] += 1
+        f = np.concatenate([np.sqrt(np.concatenate([singles, pairs]) / max(1, len(part))), quality.shape(part)])
+        h = np.tanh(f @ p["W"] + p["b"])
+        states.append(h)
+        weights.append(np.exp((np.tanh(h @ p["V"]) / (1 + np.exp(-(h @ p["U"])))) @ p["w"]))
+    z = sum(w * h for w, h in zip(weights, states, strict=True)) / sum(weights)
+    return float(1 / (1 + np.exp(-(z @ p["c"] + p["d"])))[0])
+
+
+def test_quality_equals_a_plain_forward_pass():
+    model = quality.GatedMil(quality.QualityConfig(passage=60))
+    model.trained = True
+    texts = ["", prose(1, 3), prose(2, 90), "é漢字 and more " * 9]
+    assert model.score(texts) == pytest.approx([plain_quality(model, t) for t in texts], abs=1e-4)
 
 
 def test_fold():

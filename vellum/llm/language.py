@@ -1,7 +1,7 @@
 """Language identification with a byte convolutional network.
 
 Multi-width filters over byte embeddings, maximum over the positions of a fixed-length window, softmax; trained in numpy
-on a bounded sample of labelled documents. A document's score is the geometric mean of its windows' probabilities,
+on all windows of a bounded sample of labelled documents, which the driver holds. A document's score is the geometric mean of its windows' probabilities,
 weighted by their bytes, so that the whole text counts.
 
 Null, empty and letterless texts are ``und`` with score 0. Repeated rows give repeated results, an empty table gives no
@@ -27,14 +27,13 @@ LETTER = regex.compile(r"\p{L}")
 
 @dataclass(frozen=True)
 class LanguageConfig:
-    """window: bytes of a window. sample: labelled documents used for training, at most. spread: windows of each."""
+    """window: bytes of a window. sample: labelled documents used for training, at most."""
 
     window: int = 256
     embedding: int = 8
     widths: tuple[int, ...] = (2, 3, 4)
     filters: int = 12
-    sample: int = 4096
-    spread: int = 4
+    sample: int = 2048
     epochs: int = 6
     batch: int = 64
     rate: float = 0.01
@@ -153,7 +152,7 @@ def keep_recognised(docs: DataFrame, model: ByteCnn | None, least: float, text_c
 
 
 def training_windows(labelled: DataFrame, config: LanguageConfig) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """A bounded sample of labelled documents, equally many of each label as far as there are, cut to a few windows."""
+    """A bounded sample of labelled documents, equally many of each label as far as there are, cut to windows."""
     counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return np.zeros((0, 1), np.uint8), np.zeros(0, np.int64), []
@@ -161,23 +160,11 @@ def training_windows(labelled: DataFrame, config: LanguageConfig) -> tuple[np.nd
     share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, wanted / n))])
     spot = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
     few = labelled.filter(spot < share[F.col("label")]).orderBy(F.xxhash64("id", F.lit(1)), "id").limit(config.sample)
-    width, spread, pad = config.window, config.spread, max(config.widths) - 1
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            labels, out = [], []
-            for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                raw = text.encode()
-                starts = sorted({int(x) for x in np.linspace(0, max(0, len(raw) - width), spread)})
-                out += [raw[s : s + width].ljust(width + pad, b"\0") for s in starts]
-                labels += [label] * len(starts)
-            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(out, pa.binary())], ["label", "window"])
-
-    rows = few.select("label", "text").mapInArrow(cut, "label string, window binary").collect()
-    rows.sort()
+    rows = few.select("label", F.encode("text", "UTF-8").alias("raw")).collect()
+    rows = sorted((r["label"], bytes(r["raw"])) for r in rows)
     names = sorted(counts)
-    data = np.frombuffer(b"".join(bytes(r["window"]) for r in rows), dtype=np.uint8).reshape(len(rows), width + pad)
-    return data, np.array([names.index(r["label"]) for r in rows], dtype=np.int64), names
+    data, _, n = byte_windows([raw for _, raw in rows], config.window, max(config.widths) - 1)
+    return data, np.repeat(np.array([names.index(label) for label, _ in rows], dtype=np.int64), n), names
 
 
 def fit_language(

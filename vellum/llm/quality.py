@@ -3,8 +3,9 @@
 A document is a bag of passages (windows of bytes). Each passage is encoded from its byte and byte-pair frequencies and
 the repetition among its words; gated
 attention weights, learned from document labels alone, combine the passages; the score is the logistic output of the
-weighted representation. Trained in numpy on a bounded sample of labelled documents, applied to every passage of every
-document.
+weighted representation. Trained in numpy on every passage of a bounded sample of labelled documents, applied to every
+passage of every document. The driver holds the passages of the sample, so its memory follows the sample and the length of
+its texts, not the corpus.
 
 Null and empty texts are one empty passage and get that passage's score. Repeated rows give repeated results, an empty
 table gives no rows, other columns are ignored. Without labels of both kinds the score is the share of label 1 (0.5 if
@@ -30,13 +31,12 @@ SHAPE = 3
 
 @dataclass(frozen=True)
 class QualityConfig:
-    """passage: bytes of a passage. sample: labelled documents of each class, at most. spread: passages of each, at most."""
+    """passage: bytes of a passage. sample: labelled documents of each class, at most."""
 
     passage: int = 512
     hidden: int = 32
     attention: int = 16
     sample: int = 2048
-    spread: int = 8
     epochs: int = 30
     batch: int = 64
     rate: float = 0.005
@@ -158,27 +158,18 @@ def fit_quality(
     by_hash = F.xxhash64("id")
     few = [clean.filter(F.col("label") == y).select("id", "label").orderBy(by_hash, "id").limit(config.sample) for y in (0, 1)]
     sample = few[0].union(few[1])  # 2 x sample rows at most, so it can be broadcast
-    width, spread = config.passage, config.spread
+    width = config.passage
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text in batch.column("text").to_pylist():
-                raw = text.encode()
-                n = max(1, -(-len(raw) // width))
-                out.append(b"\1".join([b""] + [raw[i * width : (i + 1) * width].replace(b"\1", b" ") for i in sorted({int(x) for x in np.linspace(0, n - 1, min(n, spread))})]))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), pa.array(out, pa.binary())], ["id", "label", "passages"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = texts(docs).join(F.broadcast(sample), "id").select("id", "text", "label").mapInArrow(cut, f"id {kind}, label int, passages binary").collect()
-    rows.sort(key=lambda r: (r["id"], bytes(r["passages"])))
+    rows = texts(docs).join(F.broadcast(sample), "id").select("id", F.encode("text", "UTF-8").alias("raw"), "label").collect()
+    rows.sort(key=lambda r: (r["id"], bytes(r["raw"])))
     target = np.array([r["label"] for r in rows], dtype=np.float32)
     model = GatedMil(config, float(target.mean()) if len(target) else 0.5)
     if 0 < target.sum() < len(target):
-        bags = [bytes(r["passages"]).split(b"\1")[1:] for r in rows]
+        raw = [bytes(r["raw"]) for r in rows]
         del rows
-        windows, used, _ = byte_windows([x for bag in bags for x in bag], width, 0)
-        model.train(features(windows, used), np.array([len(b) for b in bags]), target)
+        windows, used, counts = byte_windows(raw, width, 0)
+        del raw
+        model.train(features(windows, used), counts, target)
     return model
 
 
