@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellum.llm.common import fold, read_table, write_shared
+from vellum.llm.common import fold, read_table, row_key, write_shared
 from vellum.llm.language import fit_language, keep_recognised
 from vellum.llm.neardup import near_duplicates
 from vellum.llm.packing import pack, word_length
@@ -29,20 +29,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each near-duplicate class, repeated rows once.
 
-    A document without id stays if no other document has its text.
+    Documents without id come after all others, in the order of a hash of their texts.
     """
-    ids = near_duplicates(docs).filter("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    digest = F.md5(F.coalesce("text", F.lit("")))
-    known = docs.filter("doc_id IS NOT NULL").select(digest.alias("digest"))
-    nameless = docs.filter("doc_id IS NULL").withColumn("digest", digest)
-    nameless = nameless.join(known, "digest", "left_anti").dropDuplicates(["digest"])
-    return kept.unionByName(nameless.select(docs.columns))
+    keyed = docs.withColumn("row_key", row_key())
+    ids = near_duplicates(keyed, "row_key").filter("doc_id = class_id").select(F.col("doc_id").alias("row_key")).distinct()
+    return keyed.join(ids, "row_key", "left_semi").dropDuplicates(["row_key"]).select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Place every document in training sequences."""
-    return pack(docs, word_length(), F.col("source"), F.xxhash64(F.coalesce("text", F.lit(""))))
+    """Place every document in training sequences; each is the only one of its class, so clusters can't conflict."""
+    return pack(docs, word_length(), F.col("source"), F.lit(None))
 
 
 STAGES = [("language", language), ("quality", quality), ("near_dedup", near_dedup), ("packing", packing)]

@@ -23,6 +23,12 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """The id of a document; without one a number above all ids that its text gives."""
+    nameless = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    return F.coalesce(F.col(id_col), nameless)
+
+
 def fold(id_col: str | Column, folds: int) -> Column:
     """The fold of a document: crc32 of its id as text, modulo the number of folds; -1 without id."""
     return F.coalesce(F.crc32((F.col(id_col) if isinstance(id_col, str) else id_col).cast("string")) % folds, F.lit(-1))

@@ -5,8 +5,9 @@ takes one document of each source and one of each duplicate cluster, which its t
 ordered by residual; the search starts at the length and goes to the next larger residual until a bin is compatible, so
 the bin found is the tightest compatible one. A new bin is opened if there is none.
 
-Documents are dealt by the hash of their id to shards of about ``shard`` pieces, each packed on its own, so neither a hot
-source nor a hot cluster meets in one task.
+Documents are dealt by a hash of their id, length, source and cluster to shards of about ``shard`` pieces, each packed on its
+own, so neither a hot source nor a hot cluster meets in one task; rows without id are dealt by where they stand in the stored
+pieces, however many there are. The bin found is the tightest compatible one of its shard.
 
 A document longer than a bin is cut into pieces of the bin's capacity and a rest; no piece is dropped. A length that is
 null or below one counts as one; a null source or cluster conflicts with nothing. Repeated rows are placed once each.
@@ -80,12 +81,13 @@ def pack(
         source.cast("string").alias("source"), cluster.cast("string").alias("cluster"),
     )
     last = F.floor((F.col("total") - 1) / capacity).cast("long")
-    pieces = write_shared(rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last))), "pieces")
+    cut = rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last))).withColumn("row", F.monotonically_increasing_id())
+    pieces = write_shared(cut, "pieces")
     shards = max(1, -(-pieces.count() // config.shard))
     dealt = pieces.select(
         "doc_id", "piece", (F.col("piece") * capacity).alias("start"),
         F.least(F.lit(capacity), F.col("total") - F.col("piece") * capacity).alias("length"), "source", "cluster",
-        F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).alias("shard"),
+        F.pmod(F.xxhash64("doc_id", "piece", F.when(F.col("doc_id").isNull(), F.col("row")).otherwise(F.xxhash64("total", "source", "cluster"))), F.lit(shards)).alias("shard"),
     )
 
     def place(group: pa.Table) -> pa.Table:

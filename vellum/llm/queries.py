@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vellum.llm.alignment import alignment_digests
 from vellum.llm.bpe import bpe_digests
-from vellum.llm.common import fold, read_table
+from vellum.llm.common import fold, read_table, row_key
 from vellum.llm.language import fit_language, identify_language
 from vellum.llm.lattice import lattice_scores
 from vellum.llm.multiprobe import nearest
@@ -84,9 +84,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of words; near duplicates are a cluster."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    # rows without id are told apart by their texts, and come after all others so that they lead no bucket
-    nameless = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
-    keyed = docs.withColumn("row_key", F.coalesce("doc_id", nameless))
+    keyed = docs.withColumn("row_key", row_key())  # rows without id come after all others, so that they lead no bucket
     classes = near_duplicates(keyed, "row_key").select(F.col("doc_id").alias("row_key"), "class_id").distinct()
     rows = keyed.select("doc_id", "source", "row_key", word_length().alias("words")).join(classes, "row_key", "left")
     return pack(rows, F.col("words"), F.col("source"), F.col("class_id"))
