@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from vellum.operators import flatten, joins, payloads, reports, search, upsert
 from vellum.operators.search import And, AnyOf, Near, Not, Or, Phrase, Term
 from vellum.sources import corpora, snapshot, writers
+from vellum.sources.keyed import KeyedLog
 from vellum.streaming import incremental
 
 NOW = datetime(2024, 6, 1)
@@ -328,15 +329,27 @@ def test_ingest_survives_a_replayed_batch(spark, folder):
     records = incremental.stream_snapshot(spark, f"{folder}/in", "work", "id STRING, title STRING")
     for _ in range(2):
         incremental.start_ingest(records, "id", f"{folder}/log", f"{folder}/cp").awaitTermination()
-    schema = "id STRING, title STRING, updated_date DATE"
-    assert rows(writers.read_log(spark, f"{folder}/log", schema, "id"), "id", "title") == [("1", "a")]
-    # the same batch again replaces itself
-    again = spark.createDataFrame([("1", "b")], "id string, title string").withColumn("updated_date", F.lit(None).cast("date"))
-    writers.append_batch(again, f"{folder}/log", 0)
-    assert rows(writers.read_log(spark, f"{folder}/log", schema, "id"), "id", "title") == [("1", "b")]
+    log = KeyedLog(spark, f"{folder}/log", "id", "id STRING, title STRING, updated_date DATE", ("updated_date",))
+    assert rows(log.read(), "id", "title") == [("1", "a")]
+    # the same batch again changes nothing
+    again = spark.createDataFrame([("1", "b")], "id string, title string").withColumn("updated_date", F.lit("2024-06-01").cast("date"))
+    log.append(again, 0)
+    assert rows(log.read(), "id", "title") == [("1", "a")]
     # later files only add to it
     later = folder / "in" / "works" / "updated_date=2024-01-02"
     later.mkdir(parents=True)
     (later / "b.json").write_text('{"id": "2", "title": "c"}\n')
     incremental.start_ingest(records, "id", f"{folder}/log", f"{folder}/cp").awaitTermination()
-    assert rows(writers.read_log(spark, f"{folder}/log", schema, "id"), "id", "title") == [("1", "b"), ("2", "c")]
+    assert rows(log.read(), "id", "title") == [("1", "a"), ("2", "c")]
+
+
+def test_smallest_draws_against_sorting(spark):
+    rng = random.Random(4)
+    draws = [f"{rng.choice([0, 1, rng.getrandbits(32)]):08x}" for _ in range(400)]
+    rows_ = spark.createDataFrame([(i, d) for i, d in enumerate(draws)], "id int, d string")
+    expected = sorted((d, i) for i, d in enumerate(draws))
+    for n in (0, 1, 5, 133, 134, 399, 400, 1000):
+        found = reports.smallest_draws(rows_, "d", "id", n)
+        assert sorted((r["d"], r["id"]) for r in found.collect()) == expected[:n]
+    plan = reports.smallest_draws(spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("d"), "id"), "d", "id", 2000)
+    assert "TakeOrderedAndProject" not in plan._jdf.queryExecution().executedPlan().toString()

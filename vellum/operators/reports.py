@@ -221,13 +221,13 @@ def smallest_draws(drawn: DataFrame, draw: str, key: str, n: int) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int | str) -> DataFrame:
-    """``n`` distinct keys, the same for the same seed however the table is partitioned: those with the smallest draws.
+    """``n`` distinct keys in the order of their draws, the same for the same seed however the table is partitioned.
 
-    No task sorts or holds n rows; the distinct keys are stored with their draws.
+    They are those with the smallest draws. No task holds n rows; the distinct keys are stored with their draws.
     """
     drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     ids = df.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_drawn", drawn)
-    return smallest_draws(cut_lineage(ids, "draws"), "_drawn", key, n).drop("_drawn")
+    return smallest_draws(cut_lineage(ids, "draws"), "_drawn", key, n).orderBy("_drawn", key).drop("_drawn")
 
 
 def pairwise_overlap(sets: dict[str, DataFrame]) -> DataFrame:
