@@ -326,6 +326,21 @@ def test_recall(spark):
     assert [i for _, i in sorted(found[0])] == [i for _, i in expected[0]]  # ties to the smaller id
 
 
+def test_fewer_hashes_where_the_probes_are_not_enough(spark):
+    """Hashes for a far larger table, and few probes: recall stays, because the tables are fitted to them."""
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(3000, 16))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    config = multiprobe.ProbeConfig(hashes=14, most=64)
+    hasher, limit = multiprobe.fitted(vectors, float(np.linalg.norm(vectors, axis=1).max()), config)
+    assert hasher.config.hashes < 14 and limit <= 64
+    found = multiprobe.nearest(table, F.col("id") % 100 == 0, config=config).collect()
+    scores = vectors[::100] @ vectors.T
+    scores[np.arange(30), np.arange(0, 3000, 100)] = -np.inf
+    true = {(100 * q, int(i)) for q in range(30) for i in np.argsort(-scores[q])[:20]}
+    assert len(true & {(r.query_id, r.vec_id) for r in found}) >= 0.9 * len(true)
+
+
 def test_cells_follow_the_number_of_vectors(spark):
     config = multiprobe.ProbeConfig()
     assert multiprobe.cells_for(0, 64, config) == multiprobe.cells_for(10_000, 64, config) == config.cells

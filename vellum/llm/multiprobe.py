@@ -8,7 +8,9 @@ costs, cheapest first. The candidates of all visited buckets of all tables are r
 
 How many buckets a query visits is fitted: on a bounded sample the least number is taken with which the sample's own
 nearest neighbours are found often enough. A denser table only brings neighbours nearer, which makes them easier to find.
-A query that meets fewer candidates than it wants then visits every cell of one table's buckets, which is exact.
+If ``most`` probes of a table do not find them, the tables get fewer hashes, so wider buckets, until they do; with one hash
+a query reaches every bucket. A query that meets fewer candidates than it wants then visits every cell of one table's
+buckets, which is exact.
 
 Buckets are dealt by hash, hot ones in salted parts, to cells whose number follows the number of index rows: a cell holds
 about ``cell`` numbers on average, and a task one cell at a time. A task keeps only the best candidates of each query, so
@@ -38,7 +40,8 @@ from vellum.llm.common import write_shared
 class ProbeConfig:
     """wanted: neighbours of a query. recall: share of the sample's neighbours that the fitted probes must find.
 
-    The number of hashes of a table grows with the logarithm of the number of vectors (``hashes_for``). cell: components
+    The number of hashes of a table grows with the logarithm of the number of vectors (``hashes_for``) and is lowered where
+    ``most`` probes of a table are not enough. cell: components
     that a cell of the index holds on average; cells: the least number of cells (``cells_for``).
     """
 
@@ -119,8 +122,8 @@ def cells_for(n: int, dimension: int, config: ProbeConfig) -> int:
     return max(config.cells, -(-config.tables * n * dimension // config.cell))
 
 
-def fit_probes(hasher: Hasher, sample: np.ndarray, config: ProbeConfig) -> int:
-    """The least number of probes that finds enough of the sample's own nearest neighbours."""
+def fit_probes(hasher: Hasher, sample: np.ndarray, config: ProbeConfig) -> int | None:
+    """The least number of probes that finds enough of the sample's own nearest neighbours; None if ``most`` are too few."""
     n, wanted = len(sample), min(config.wanted, len(sample) - 1)
     if wanted < 1:
         return 1
@@ -135,7 +138,19 @@ def fit_probes(hasher: Hasher, sample: np.ndarray, config: ProbeConfig) -> int:
         for t in range(config.tables):
             turn = {k: i for i, k in enumerate(hasher.probes(where[q, t], config.most).tolist())}
             visit[q] = np.minimum(visit[q], [turn.get(k, config.most) for k in keys[true[q], t].tolist()])
-    return min(config.most, 1 + int(np.quantile(visit, config.recall, method="higher")))
+    last = int(np.quantile(visit, config.recall, method="higher"))
+    return 1 + last if last < config.most else None
+
+
+def fitted(sample: np.ndarray, top: float, config: ProbeConfig) -> tuple[Hasher, int]:
+    """Projections with as many hashes as the probes can serve, and the number of probes."""
+    for hashes in range(config.hashes, 0, -1):
+        tried = replace(config, hashes=hashes)
+        hasher = Hasher(sample.shape[1], top, tried)
+        limit = fit_probes(hasher, sample, tried)
+        if limit is not None:
+            return hasher, limit
+    return hasher, config.most  # one hash: the buckets are intervals, and so many of them are all
 
 
 def hashed_rows(rows: DataFrame, hasher: Hasher, query: bool, limit: int) -> DataFrame:
@@ -248,8 +263,8 @@ def nearest(table: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     few = rows.orderBy(F.xxhash64("id"), "id").limit(config.sample).collect()
     sample = np.array([r["vector"] for r in few]).reshape(len(few), facts["d"] or 1)
     config = replace(config, hashes=config.hashes or hashes_for(facts["n"]), cells=cells_for(facts["n"], facts["d"] or 1, config))
-    hasher = Hasher(facts["d"] or 1, float(np.sqrt(facts["top"] or 1.0)), config)
-    limit = fit_probes(hasher, sample, config)
+    hasher, limit = fitted(sample, float(np.sqrt(facts["top"] or 1.0)), config)
+    config = hasher.config
 
     index = write_shared(hashed_rows(rows, hasher, query=False, limit=0), "index")
     counts = index.groupBy("table", "key").agg(F.count("*").alias("n"))
