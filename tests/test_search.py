@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from vellum.functions.text import highlight, light_stem
 from vellum.operators import search
 from vellum.operators.search import And, Phrase, Term
+from vellum.operators.textindex import TextIndex
 from vellum.plans import searching
 from vellum.session import scratch_path
 
@@ -78,3 +79,37 @@ def test_markers_are_taken_as_they_are(spark):
 def test_a_backslash_in_a_wildcard(spark):
     index = spark.createDataFrame([(1, "a\\b", [0]), (2, "axb", [0])], "doc_id int, term string, positions array<int>")
     assert ids(search.search(index, Term("a\\*"))) == [1]
+
+
+def watched(seen):
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return count
+
+
+def test_storing_an_index_tokenizes_each_text_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    texts = spark.createDataFrame([(i, f"the w{i} The") for i in range(50)], "id bigint, text string").mapInArrow(watched(seen), "id bigint, text string")
+    index = stored(spark, search.build_postings(texts, "id", "text", stop_words=()))
+    assert seen.value == 50
+    assert sorted(tuple(r) for r in index.where("doc_id = 7").collect()) == [(7, "the", [0, 2]), (7, "w7", [1])]
+
+
+def test_adding_to_a_text_index_tokenizes_each_text_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    texts = spark.createDataFrame([(i, f"the w{i}") for i in range(50)], "id bigint, text string").mapInArrow(watched(seen), "id bigint, text string")
+    index = TextIndex(spark, scratch_path(spark, "once"), buckets=4)
+    index.add(texts, "id", "text")
+    assert seen.value == 100  # once for the postings, once for the list of documents
+    assert len(ids(index.search(Term("the")))) == 50
+
+
+def test_words_of_a_row_are_grouped_with_their_places(spark):
+    texts = spark.createDataFrame([("a", "x y X", ), ("a", "y"), (None, "y z"), ("b", None), ("c", "")], "id string, text string")
+    found = search.build_postings(texts, "id", "text", stop_words=())
+    assert dict(found.dtypes) == {"doc_id": "string", "term": "string", "positions": "array<int>"}
+    expected = [("a", "x", [0, 2]), ("a", "y", [0]), ("a", "y", [1]), (None, "y", [0]), (None, "z", [1])]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)

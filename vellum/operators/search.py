@@ -7,13 +7,16 @@ carries the postings of the searched words and nothing else, whatever the size o
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from vellum.functions.text import STOP_WORDS, light_stem, positions_by_item, tokens
+from vellum.functions.text import STOP_WORDS, light_stem, tokens
 
 
 @dataclass(frozen=True)
@@ -82,16 +85,46 @@ class Not:
     part: object
 
 
+#: Texts grouped at once.
+GROUPED = 1024
+
+
+def group_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, list of words) to (id, word, its positions in the list), each word of a row once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, GROUPED):
+            part = batch.slice(start, GROUPED)
+            lists = part.column(1)
+            sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+            words = lists.flatten().dictionary_encode()
+            codes = words.indices.to_numpy().astype(np.int64)
+            rows = np.repeat(np.arange(len(sizes)), sizes)
+            places = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            keys = rows * max(len(words.dictionary), 1) + codes
+            order = np.argsort(keys, kind="stable")
+            begins = np.flatnonzero(np.diff(keys[order], prepend=-1))
+            first = order[begins]
+            positions = pa.ListArray.from_arrays(
+                pa.array(np.append(begins, len(keys)).astype(np.int32)), pa.array(places[order].astype(np.int32))
+            )
+            ids = part.column(0).take(pa.array(rows[first]))
+            yield pa.RecordBatch.from_arrays([ids, words.dictionary.take(pa.array(codes[first])), positions], ["doc_id", "term", "positions"])
+
+
 def build_postings(
     df: DataFrame, id_col: str, text_col: str, stop_words: Sequence[str] = STOP_WORDS, stemmed: bool = False
 ) -> DataFrame:
     """All postings of a table of texts. Stop words are left out but keep their positions.
 
-    The words of a text are grouped inside its row, so nothing is shuffled.
+    The words of a text are grouped inside its batch of rows, so nothing is shuffled.
     """
     words = tokens(F.col(text_col))
-    words = F.transform(words, light_stem) if stemmed else words
-    postings = df.select(F.col(id_col).alias("doc_id"), F.inline(positions_by_item(words)))
+    # no other word has a suffix that goes
+    stem = lambda t: F.when(t.endswith("s") | t.endswith("ing") | t.endswith("ed"), light_stem(t)).otherwise(t)
+    words = F.transform(words, stem) if stemmed else words
+    rows = df.select(F.col(id_col).alias("doc_id"), words.alias("words"))
+    schema = StructType([rows.schema["doc_id"], *StructType.fromDDL("term string, positions array<int>").fields])
+    postings = rows.mapInArrow(group_words, schema)
     return postings.where(~F.col("term").isin(list(stop_words))) if stop_words else postings
 
 
@@ -108,9 +141,21 @@ def scan_postings(
     return words.select("doc_id", "term", F.array("pos").alias("positions"))
 
 
+#: Rows of one word go to so many tasks, since a text may be little more than a word that every text has.
+SPREAD = 16
+
+
+def spread(key: str) -> Column:
+    """A number below ``SPREAD`` by the hash of another column."""
+    return F.pmod(F.xxhash64(key), F.lit(SPREAD))
+
+
 def write_index(postings: DataFrame, path: str) -> None:
-    """Store postings in term order: a search then reads the row groups of its own words."""
-    postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id").write.mode(
+    """Store postings in files in term order: a search then reads the pages of its own words.
+
+    Rows are dealt by hashes, not by ranges, whose bounds would have to be found first by tokenizing every text once more.
+    """
+    postings.repartition("term", spread("doc_id")).sortWithinPartitions("term", "doc_id").write.mode(
         "overwrite"
     ).parquet(path)
 

@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 
 from vellum.functions.stemming import english_stem
 from vellum.functions.text import MAX_TOKEN_LENGTH
-from vellum.operators.search import AnyOf, Near, Not, Or, Phrase, Term, _condition, _holds_without_words, _positional, _shift, _words, build_postings
+from vellum.operators.search import AnyOf, Near, Not, Or, Phrase, Term, _condition, _holds_without_words, _positional, _shift, _words, build_postings, spread
 from vellum.session import cut_lineage
 from vellum.sources.manifest import Manifest, Version
 
@@ -83,16 +83,18 @@ class TextIndex:
         folder = f"segment-{uuid.uuid4().hex[:12]}"
         path = f"{self.root}/data/{folder}"
         dealt = postings.withColumn("_bucket", self._bucket(F.col("term")))
-        # a word that every text has is a range of many documents, not one task
-        dealt = dealt.repartitionByRange("_bucket", "term", "doc_id").sortWithinPartitions("_bucket", "term", "doc_id")
+        # a bucket goes to several tasks by document, so a word that every text has is not one task; ranges would tokenize twice
+        parts = -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets)
+        part = F.col("_bucket") * parts + F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int")
+        dealt = dealt.repartitionById(self.buckets * parts, part).sortWithinPartitions("_bucket", "term", "doc_id")
         dealt.write.partitionBy("_bucket").parquet(f"{path}/postings")
         stored = self._segment(folder)
         terms = stored.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum(F.size("positions")).alias("total_freq"))
         terms = terms.withColumn("stem", english_stem(F.col("term")))
-        terms.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/terms")
+        terms.sortWithinPartitions("term").write.parquet(f"{path}/terms")
         marked = F.concat(F.lit(TERM_ENDS[0]), F.col("term"), F.lit(TERM_ENDS[1]))
         grams = self._terms([folder]).select(F.explode(F.array_distinct(_trigrams(marked))).alias("gram"), "term")
-        grams.repartitionByRange("gram", "term").sortWithinPartitions("gram", "term").write.parquet(f"{path}/grams")
+        grams.repartition("gram", spread("term")).sortWithinPartitions("gram", "term").write.parquet(f"{path}/grams")
         documents.write.parquet(f"{path}/documents")
         held = stored.select("_bucket").distinct().collect()
         size = self._documents([folder]).count()
