@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vellum.operators import flatten, joins, payloads, reports, search, upsert
 from vellum.operators.search import And, AnyOf, Near, Not, Or, Phrase, Term
+from vellum.plans.nested import nested_works
 from vellum.sources import corpora, snapshot, writers
 from vellum.sources.keyed import KeyedLog
 from vellum.streaming import incremental
@@ -353,3 +354,23 @@ def test_smallest_draws_against_sorting(spark):
         assert sorted((r["d"], r["id"]) for r in found.collect()) == expected[:n]
     plan = reports.smallest_draws(spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("d"), "id"), "d", "id", 2000)
     assert "TakeOrderedAndProject" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nested_works_are_read_from_the_documents_themselves(spark, sf_dir):
+    files = nested_works(spark, sf_dir).inputFiles()
+    assert files and all(f.endswith("documents.parquet") for f in files)
+
+
+def test_deleting_an_entity_computes_its_ids_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    ids = spark.createDataFrame([("W1",), ("W1",), (None,)], "id string").mapInArrow(count, "id string")
+    owned = {name: spark.createDataFrame([("W1",), ("W2",), (None,)], f"{key} string") for name, key in upsert.OWNED_TABLES["work"].items()}
+    for table in upsert.delete_entity(owned, ids, "work").values():
+        assert sorted((r[0] for r in table.collect()), key=str) == [None, "W2"]
+    assert seen.value == 3

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions.text import title_abstract
 from vellum.operators.joins import first_per_key
+from vellum.session import cut_lineage
 
 # Which tables an entity owns, and by which column.
 OWNED_TABLES = {
@@ -83,6 +84,8 @@ def delete_ids(table: DataFrame, ids: DataFrame, column: str, id_col: str = "id"
 def delete_entity(tables: dict[str, DataFrame], ids: DataFrame, entity: str, id_col: str = "id") -> dict[str, DataFrame]:
     """Every table without the rows the given ids own. Edges that only point at such an id stay."""
     owned = OWNED_TABLES[entity]
+    # one list for all tables, of known size, so that a short one goes to the tasks and no table is shuffled for it
+    ids = cut_lineage(ids.select(id_col).distinct(), "gone")
     return {
         name: delete_ids(table, ids, owned[name], id_col) if name in owned else table
         for name, table in tables.items()

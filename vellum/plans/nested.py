@@ -137,15 +137,26 @@ def _staged(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Dat
     return stored(spark, sf_dir, name, lambda path: build().write.parquet(path))
 
 
-def nested_works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Works with authors, locations, concepts and the rest as nested lists."""
+_TASKS: dict[tuple[str, str], int] = {}
 
-    def build() -> DataFrame:
-        documents = widen(table(spark, sf_dir, "documents")).withColumn("ls", F.split("text", "\n"))
-        documents = documents.withColumn("abstract_inverted_index", _inverted_text())
-        return documents.selectExpr(*[f"{e} AS {name}" for name, e in _WORK.items()])
 
-    return _staged(spark, sf_dir, "works", build)
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over more tasks only if their files can't be read by as many tasks as there are cores."""
+    documents = table(spark, sf_dir, "documents")
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TASKS:  # reads no column
+        _TASKS[key] = documents.select(F.spark_partition_id().alias("task")).distinct().count()
+    return documents if _TASKS[key] >= spark.sparkContext.defaultParallelism else widen(documents)
+
+
+def nested_works(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame:
+    """Works with authors, locations, concepts and the rest as nested lists; what a query doesn't read isn't built.
+
+    ``wide`` spreads them over ``spark.sql.shuffle.partitions`` tasks in any case, for what holds or writes whole works.
+    """
+    documents = widen(table(spark, sf_dir, "documents")) if wide else _documents(spark, sf_dir)
+    documents = documents.withColumn("ls", F.split("text", "\n")).withColumn("abstract_inverted_index", _inverted_text())
+    return documents.selectExpr(*[f"{e} AS {name}" for name, e in _WORK.items()])
 
 
 def inverted_works(spark: SparkSession, sf_dir: str) -> DataFrame:

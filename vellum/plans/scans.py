@@ -63,7 +63,7 @@ def src_scan_snapshot(spark, sf_dir):
 )
 def src_scan_nested(spark, sf_dir):
     root = scratch_path(spark, "nested")
-    works = nested_works(spark, sf_dir)
+    works = nested_works(spark, sf_dir, wide=True)
     works.write.partitionBy("updated_date").option("compression", "gzip").json(f"{root}/works")
     good, _ = snapshot.split_corrupt(snapshot.read_snapshot(spark, root))
     return with_abstract(good).select(
