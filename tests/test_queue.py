@@ -262,3 +262,22 @@ def test_broken_rounds_are_resumed(spark, sf_dir, tmp_path):
     bounded = str(tmp_path / "bounded")
     assert jobs.work_rounds(spark, bounded, queue, request, lambda asked: answers, rounds=2) == 2
     assert jobs.work_rounds(spark, str(tmp_path / "late"), queue, request, breaks, rounds=5, until=datetime(2020, 1, 1)) == 0
+
+
+def test_answers_of_others_are_not_shuffled(spark, sf_dir, monkeypatch):
+    seen = []
+    land = q.land
+    monkeypatch.setattr(q, "land", lambda answers, *more, **options: seen.append(answers) or land(answers, *more, **options))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        q.work_turn(fx.queue(spark, sf_dir), fx.request(spark, sf_dir), responses(spark, sf_dir))
+        plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        few = sorted(r["record_id"] for r in seen[0].collect())
+        # more keys than are sent: the same rows by a shuffle
+        monkeypatch.setattr("vellum.operators.joins.SENT_KEYS", 3)
+        q.work_turn(fx.queue(spark, sf_dir), fx.request(spark, sf_dir), responses(spark, sf_dir))
+        assert "SortMergeJoin" in seen[1]._jdf.queryExecution().executedPlan().toString()
+        assert few and sorted(r["record_id"] for r in seen[1].collect()) == few
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -9,6 +9,19 @@ from pyspark.sql import functions as F
 
 from vellum.session import cut_lineage
 
+#: Keys that are sent to every task at most; more of them meet the rows in a shuffle.
+SENT_KEYS = 1 << 21
+
+
+def with_keys(rows: DataFrame, keys: DataFrame, key: str, n: int) -> DataFrame:
+    """The rows whose key is among the ``n`` ``keys``, which should be stored.
+
+    Few keys go to every task, so that the rows, texts and all, stay where they are. A size alone does not tell Spark this: what
+    is known of keys taken from a batch of texts is the size of the texts.
+    """
+    wanted = keys.select(key)
+    return rows.join(F.broadcast(wanted) if n <= SENT_KEYS else wanted, key, "left_semi")
+
 
 def spread_nulls(key: Column, by: Sequence[str]) -> Column:
     """The key, with rows that have none spread over all tasks instead of meeting in one."""

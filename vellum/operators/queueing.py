@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions.ids import ID_COLUMNS, clean_doi
 from vellum.functions.text import at_least
-from vellum.operators.joins import first_per_key, numbered
+from vellum.operators.joins import first_per_key, numbered, with_keys
 from vellum.operators.matching import complete_ids, count_matches, fold_matches, semi_match, shared_ids
 from vellum.session import cut_lineage
 
@@ -373,7 +373,9 @@ def work_turn(
     kinds = [c for c in shared_ids(responses, asked) if c != "queue_id"]
     offered = _by_source(responses, F.col("wrapper"), kinds)
     own = _by_source(asked, head, kinds)
-    answers = offered.join(semi_match(offered, own, "record_id", kinds), "record_id", "left_semi")
+    # sources may offer far more than was asked for: identifiers tell which of it answers, and only that is shuffled
+    answering = cut_lineage(semi_match(offered, own, "record_id", kinds), "answering")
+    answers = with_keys(offered, answering, "record_id", answering.count())
     landed = land(answers, own, min_abstract_length=min_abstract_length)
     bare = {k: F.substring(F.col(k), F.length("wrapper") + 2, F.length(k)) for k in kinds}
     landed = cut_lineage(landed.withColumns(bare), "landed")
