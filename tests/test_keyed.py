@@ -58,6 +58,20 @@ def test_log_opens_the_buckets_of_the_keys_only(spark, tmp_path):
     assert state(found) == {"k5": (1, "t"), "k77": (1, "t")}
 
 
+def test_log_is_not_shuffled_to_find_keys(spark, tmp_path):
+    log = KeyedLog(spark, str(tmp_path), "id", SCHEMA, ("day",), buckets=4)
+    for batch in range(3):
+        log.append(spark.range(200).select(F.concat(F.lit("k"), "id").alias("id"), F.lit(batch).alias("day"), F.lit("t").alias("text")), batch)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = log.read(only=spark.createDataFrame([(f"k{i}", "x" * 1000) for i in range(150, 250)], "id string, text string"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert state(found) == {f"k{i}": (2, "t") for i in range(150, 200)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def rows_of(spark, keys, mark):
     return spark.createDataFrame([(k, f"{mark}{k}", None if k % 3 else "x") for k in keys], "id bigint, a string, b string")
 

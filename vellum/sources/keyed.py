@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from vellum.operators import upsert
-from vellum.operators.joins import first_per_key
+from vellum.operators.joins import first_per_key, with_keys
 from vellum.session import cut_lineage
 from vellum.sources.manifest import Manifest, Version
 
@@ -48,9 +48,9 @@ class KeyedLog:
         return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(self.buckets)).cast("int")
 
     def _write(self, rows: DataFrame, folder: str) -> dict[int, int]:
-        """One file for each bucket hit; the rows of each bucket."""
+        """One file for each bucket hit, of rows dealt by bucket; the rows of each bucket."""
         path = f"{self.root}/data/{folder}"
-        rows.repartition("_bucket").sortWithinPartitions("_bucket", self.key).write.mode("overwrite").partitionBy("_bucket").parquet(path)
+        rows.sortWithinPartitions("_bucket", self.key).write.mode("overwrite").partitionBy("_bucket").parquet(path)
         stored = self.spark.read.schema(StructType([*self.stored.fields, StructField("_bucket", IntegerType())])).parquet(path)
         return {r["_bucket"]: r["n"] for r in stored.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
 
@@ -61,7 +61,7 @@ class KeyedLog:
             return
         folder = f"batch-{batch}"
         dealt = rows.select(*self.schema.names, F.lit(batch).cast("long").alias("_batch"), self._bucket(self.key).alias("_bucket"))
-        found = self._write(dealt, folder)
+        found = self._write(dealt.repartition("_bucket"), folder)
         entries = latest.entries + [{"bucket": b, "folder": folder, "rows": n} for b, n in sorted(found.items())]
         following = Version(latest.number + 1, batch, entries, latest.facts)
         self.manifest.commit(following)
@@ -84,7 +84,8 @@ class KeyedLog:
         due = {b: merge for b, entries in by_bucket.items() if (merge := self._due(entries))}
         if not due:
             return
-        rows = self._read([e for merge in due.values() for e in merge])
+        # dealt once: the last row of a key is found in its bucket, where it is written
+        rows = self._read([e for merge in due.values() for e in merge]).repartition("_bucket")
         folder = f"merge-{version.number + 1}-{uuid.uuid4().hex[:8]}"
         found = self._write(self._last(rows), folder)
         entries = []
@@ -104,18 +105,20 @@ class KeyedLog:
     def read(self, only: DataFrame | None = None, before: int | None = None) -> DataFrame:
         """The last row of every key, or of the keys in ``only``; ``before`` a batch: as it was when that batch came.
 
-        Of ``only`` the distinct bucket numbers come to the driver, at most ``buckets`` of them; other buckets are not opened.
+        Of ``only`` the bucket numbers and their counts come to the driver, at most ``buckets`` of them; other buckets are not
+        opened, and the log's rows are not shuffled to find a batch's keys.
         """
         version = self.manifest.latest(before)
         entries = version.entries if version else []
         if only is not None and entries:
-            wanted = {r[0] for r in only.select(self._bucket(self.key)).distinct().collect()}
+            counted = only.groupBy(self._bucket(self.key).alias("_bucket")).agg(F.count(F.lit(1)).alias("n"))
+            wanted = {r["_bucket"]: r["n"] for r in counted.collect()}
             entries = [e for e in entries if e["bucket"] in wanted]
         if not entries:
             return self.spark.createDataFrame([], self.schema)
         rows = self._read(entries)
         if only is not None:
-            rows = rows.join(only.select(self.key), self.key, "left_semi")
+            rows = with_keys(rows, only, self.key, sum(wanted.values()))
         return self._last(rows).select(self.schema.names)
 
     def deltas(self) -> int:

@@ -77,6 +77,8 @@ def start_daily_update(updates: DataFrame, index: str, queue: str, checkpoint: s
         latest = given
         documents = index_log(batch.sparkSession, index, schema)
         before = documents.read(only=latest, before=number)
+        # read once, of the columns that are compared or kept
+        before = before.select("id", "updated_date", "abstract", "abstract_source", "abstract_date").persist()
         newer = before.select("id", F.col("updated_date").alias("_known"))
         latest = latest.join(newer, "id", "left").where(F.coalesce(F.col("updated_date") >= F.col("_known"), F.lit(True)))
         latest = latest.drop("_known")
@@ -84,6 +86,7 @@ def start_daily_update(updates: DataFrame, index: str, queue: str, checkpoint: s
         lacking = latest.where(F.col("abstract").isNull() & F.col("doi").isNotNull())
         entries = lacking.select(F.col("id").alias("openalex_id"), "doi", now.alias("time_created"))
         queue_log(batch.sparkSession, queue).append(entries, number)
+        before.unpersist()
         given.unpersist()
 
     return (
