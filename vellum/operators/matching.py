@@ -8,6 +8,8 @@ large part of both tables (a placeholder DOI) costs one row on one side and neve
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -295,28 +297,55 @@ def merge_any_id(
     matched against the table as it was before the batch.
     """
     kinds = shared_ids(existing, incoming, id_cols)
+    return _merge_places(existing, incoming, _places(existing, incoming, incoming_key, order, kinds), incoming_key, order, kinds)
+
+
+def _fields(existing: DataFrame, incoming: DataFrame, kinds: Sequence[str]) -> tuple[list[str], list[str]]:
+    """The fields that incoming rows give to existing ones: identifiers, others."""
     fields = [c for c in incoming.columns if c in existing.columns and c != "record_id"]
-    # which incoming row wins each field: places in the order and keys only, no texts
-    place = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col(incoming_key).alias("key"))
-    rows = incoming.select(*kinds, *[F.when(F.col(c).isNotNull(), place).alias(f"_{c}") for c in fields])
-    latest = {f"_{c}": F.max(f"_{c}") for c in fields}
-    winners = fold_matches(existing.select("record_id", *kinds), rows, "record_id", latest, latest, kinds)
-    keys = F.array_distinct(F.array_compact(F.array(*[F.col(f"_{c}.key") for c in fields])))
-    wanted = winners.select(F.col("record_id").alias("_record"), F.explode(keys).alias("_key"), *latest)
-    # every winning row is fetched once, and gives the fields it has won
-    offered = incoming.select(F.col(incoming_key).alias("_from"), *[F.col(c).alias(f"v_{c}") for c in fields])
-    news = (
-        wanted.join(offered, F.col("_key") == F.col("_from"))
-        .groupBy("_record")
-        .agg(*[F.max(F.when(F.col(f"_{c}.key") == F.col("_key"), F.col(f"v_{c}"))).alias(f"n_{c}") for c in fields])
-    )
-    merged = existing.join(news, F.col("record_id") == F.col("_record"), "left").select(
-        *[F.coalesce(F.col(f"n_{c}"), F.col(c)).alias(c) if c in fields else F.col(c) for c in existing.columns]
-    )
-    matched = semi_match(incoming, existing, incoming_key, kinds)
-    added = incoming.join(matched, incoming_key, "left_anti")
-    return merged.unionByName(
-        added.select(*[c for c in incoming.columns if c in existing.columns]), allowMissingColumns=True
+    return [c for c in fields if c in kinds], [c for c in fields if c not in kinds]
+
+
+def _places(existing: DataFrame, incoming: DataFrame, key: str, order: Sequence[str], kinds: Sequence[str]) -> DataFrame:
+    """Incoming rows without texts: identifiers, order, and for each other field where its value stands (``_at_``), if there is one."""
+    place = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col(key).alias("key"))
+    kept = [c for c in incoming.columns if c in {key, "record_id", *order, *kinds}]
+    _, others = _fields(existing, incoming, kinds)
+    return incoming.select(*kept, *[F.when(F.col(c).isNotNull(), place).alias(f"_at_{c}") for c in others])
+
+
+def _merge_places(
+    existing: DataFrame, incoming: DataFrame, places: DataFrame, key: str, order: Sequence[str], kinds: Sequence[str]
+) -> DataFrame:
+    """``merge_any_id`` of rows of which ``places`` says where in ``incoming`` their values stand; each value is fetched once, at the end."""
+    ids, others = _fields(existing, incoming, kinds)
+    rows = cut_lineage(places.withColumn("_row", F.monotonically_increasing_id()), "places")
+    place = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col(key).alias("key"))
+    won = [F.when(F.col(c).isNotNull(), F.struct(place.alias("place"), F.col(c).alias("value"))).alias(f"_{c}") for c in ids]
+    won += [F.when(F.col(f"_at_{c}").isNotNull(), F.struct(place.alias("place"), F.col(f"_at_{c}").alias("value"))).alias(f"_{c}") for c in others]
+    latest = {f"_{c}": F.max(f"_{c}") for c in [*ids, *others]}
+    winners = fold_matches(existing.select("record_id", *kinds), rows.select(*kinds, *won), "record_id", latest, latest, kinds)
+    added = rows.join(semi_match(rows, existing, key, kinds), key, "left_anti")
+    # rows of the result by their number or, if they exist, their id
+    old, new = (F.concat(F.lit(mark), F.col(c).cast("string")).alias("_out") for mark, c in (("=", "record_id"), ("+", "_row")))
+    found = winners.select(old, *[F.col(f"_{c}.value").alias(f"n_{c}") for c in ids], *[F.col(f"_{c}.value").alias(f"_at_{c}") for c in others])
+    found = cut_lineage(found.unionByName(added.select(new, *[f"_at_{c}" for c in others]), allowMissingColumns=True), "found")
+    keys = F.array_distinct(F.array_compact(F.array(*[F.col(f"_at_{c}.key") for c in others])))
+    gains = found.select("_out", *[f"n_{c}" for c in ids])
+    if others:
+        wanted = found.select("_out", F.explode(keys).alias("_key"), *[f"_at_{c}" for c in others])
+        own = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col(key).alias("key")).alias("_own")
+        offered = incoming.select(F.col(key).alias("_from"), own, *[F.col(c).alias(f"v_{c}") for c in others])
+        fetched = wanted.join(offered, F.col("_key") == F.col("_from")).where(
+            reduce(or_, [F.col(f"_at_{c}").eqNullSafe(F.col("_own")) for c in others])
+        )
+        values = [F.when(F.col(f"_at_{c}").eqNullSafe(F.col("_own")), F.col(f"v_{c}")).alias(f"n_{c}") for c in others]
+        gains = gains.unionByName(fetched.select("_out", *values), allowMissingColumns=True)
+    news = gains.groupBy("_out").agg(*[F.max(f"n_{c}").alias(f"n_{c}") for c in [*ids, *others]])
+    taken = [c for c in added.columns if c in existing.columns and (c in ids or c == "record_id")]
+    rows_out = existing.withColumn("_out", old).unionByName(added.select(new, *taken), allowMissingColumns=True)
+    return rows_out.join(news, "_out", "left").select(
+        *[F.coalesce(F.col(f"n_{c}"), F.col(c)).alias(c) if c in ids or c in others else F.col(c) for c in existing.columns]
     )
 
 
@@ -352,7 +381,8 @@ def merge_batch(
     existing ones with all identifiers of its rows. Existing rows are not merged with each other.
     """
     kinds = shared_ids(existing, incoming, id_cols)
-    return merge_any_id(existing, collapse_linked(incoming, incoming_key, order, kinds), incoming_key, order, kinds)
+    places = cut_lineage(_places(existing, incoming, incoming_key, order, kinds), "places")
+    return _merge_places(existing, incoming, collapse_linked(places, incoming_key, order, kinds), incoming_key, order, kinds)
 
 
 def with_enough_ids(references: DataFrame, id_cols: Sequence[str], at_least: int = 2) -> DataFrame:

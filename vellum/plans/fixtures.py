@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vellum.operators.joins import SENT_KEYS, with_keys
 from vellum.operators.queueing import parse_sources
+from vellum.session import cut_lineage
 
 WRAPPERS = ("WOS", "SCOPUS", "DIMENSIONS", "PUBMED")
 
@@ -180,6 +182,27 @@ def request(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(table(spark, sf_dir, "documents").select("*", wrappers), REQUEST)
 
 
+def request_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``request`` joined with ``source`` on the document's id.
+
+    A row is a row of its document, which has the source already; only documents whose id comes again are joined, so that no
+    text moves for the others.
+    """
+    documents = table(spark, sf_dir, "documents")
+    again = documents.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    again = cut_lineage(again, "repeated")
+    n = again.count()
+    wrappers = F.posexplode(F.array(*map(F.lit, WRAPPERS))).alias("k", "wrapper")
+    rows = _select(documents.where("doc_id IS NOT NULL").select("*", wrappers), REQUEST | {"source": "source", "_doc": "doc_id"})
+    if not n:
+        return rows.drop("_doc")
+    named = with_keys(documents, again, "doc_id", n).select(F.col("doc_id").alias("_doc"), "source")
+    few = F.broadcast(again) if n <= SENT_KEYS else again
+    once = rows.join(few, rows["_doc"] == few["doc_id"], "left_anti")
+    more = with_keys(rows, again.withColumnRenamed("doc_id", "_doc"), "_doc", n).drop("source").join(named, "_doc")
+    return once.unionByName(more).drop("_doc")
+
+
 def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(table(spark, sf_dir, "documents"), QUEUE).withColumn("sources", parse_sources(F.col("sources")))
 

@@ -176,10 +176,7 @@ def snk_merge_any_id(spark, sf_dir):
     + _MERGE,
 )
 def snk_merge_batch(spark, sf_dir):
-    request = fx.request(spark, sf_dir).join(
-        fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_doc"), "source"),
-        F.expr("record_id div 4 = _doc"),
-    )
+    request = fx.request_sources(spark, sf_dir)
     existing = request.where("wrapper = 'WOS' AND source <> 'src7'").select(
         "record_id", "openalex_id", "doi", "pubmed_id", "wos_id", "title", "abstract"
     )
