@@ -2,6 +2,7 @@ import base64
 import hashlib
 import math
 import random
+import sys
 import zlib
 from collections import Counter
 
@@ -197,3 +198,14 @@ def test_token_operators_take_empty_tables(spark):
     assert lattice.lattice_scores(docs, PIECES, F.lit(True)).collect() == []
     alone = documents(spark, ["a b", None])
     assert {r.train_tokens for r in lattice.lattice_scores(alone, PIECES, F.lit(False)).collect()} == {0}
+
+
+def test_new_words_take_no_call_of_python_each():
+    encoder = tokenfiles.TextEncoder(JSON)
+    text, calls = " ".join(f"w{i}" for i in range(3000)), []
+    sys.setprofile(lambda frame, event, _: calls.append(event) if event == "call" else None)
+    try:
+        ids, counts = encoder.encode([text])
+    finally:
+        sys.setprofile(None)
+    assert ids.tolist() == Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids and len(calls) < 1500

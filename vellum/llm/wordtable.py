@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,18 +39,11 @@ class Grown:
         return self.held[: self.n]
 
 
-class Known(dict):
-    """Numbers of words, -1 for others."""
-
-    def __missing__(self, word: str) -> int:
-        return -1
-
-
 class Words:
     """Numbered words: where each one's ids end in a row of ids, for every side, and whether the ids are the space and the word."""
 
     def __init__(self, sides: int) -> None:
-        self.number = Known()
+        self.number: dict[str, int] = {}
         self.right = Grown(np.bool_)
         self.ids, self.ends = [Grown(np.int32) for _ in range(sides)], [Grown(np.int64) for _ in range(sides)]
 
@@ -125,9 +119,9 @@ class WordTokens:
         """Each word's number in the table; words that are not in it are added."""
         if len(self.words.number) > KEPT or self.words.ids[0].n > 32 * KEPT:
             self.older, self.words = self.words, Words(len(self.sides))
-        out = np.array(list(map(self.words.number.__getitem__, wanted)), dtype=np.int64)
+        out = np.array(list(map(self.words.number.get, wanted, repeat(-1))), dtype=np.int64)
         new = np.flatnonzero(out < 0)
-        before = np.array([self.older.number[wanted[i]] for i in new.tolist()], dtype=np.int64)
+        before = np.array(list(map(self.older.number.get, map(wanted.__getitem__, new.tolist()), repeat(-1))), dtype=np.int64)
         kept, before, new = new[before >= 0], before[before >= 0], new[before < 0]
         if len(kept):
             found = [self.older.of(side, before) for side in range(len(self.sides))]
@@ -152,7 +146,7 @@ class WordTokens:
         cut = pc.split_pattern(held, " ")
         counts = pc.fill_null(pc.list_value_length(cut), 0).to_numpy().astype(np.int64)
         coded = pc.dictionary_encode(pc.list_flatten(cut))
-        wanted = coded.dictionary.to_pylist()
+        wanted = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # strings at once, not one scalar each
         first = np.flatnonzero(whole if self.spaced else whole | (counts > 0))
         mark = "" if self.spaced else " "
         begins = [mark + (docs[i] if w else docs[i].partition(" ")[0]) for i, w in zip(first.tolist(), whole[first].tolist(), strict=True)]
