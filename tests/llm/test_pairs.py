@@ -136,6 +136,34 @@ def test_samples_agree_like_the_similarity():
         assert abs(agree - neardup.weighted_jaccard(x, y)) < 0.08
 
 
+def test_sets_drawn_together_are_drawn_alike():
+    config, idf = neardup.NearDupConfig(), np.random.default_rng(2).random(1 << 18) + 1
+    bodies = ["", prose(1, 300), "one", "  ", prose(2, 40), prose(3, 900), "a b c d e", ""]
+    doc, h, w = weighted_sets(bodies, config.words, idf)
+    at = np.searchsorted(doc, np.arange(len(bodies) + 1))
+    sampler = neardup.Sampler(config)
+    own = [sampler.draw(h[lo:hi], w[lo:hi]) for lo, hi in zip(at[:-1], at[1:], strict=True) if hi > lo]
+    for most in (1, 500, 1 << 12):
+        samples, keys = sampler.draw_all(h, w, np.diff(at), most)
+        assert np.array_equal(samples, np.concatenate([x for x, _ in own])) and np.array_equal(keys.ravel(), np.concatenate([x.ravel() for _, x in own]))
+    assert [len(x) for x in sampler.draw_all(h[:0], w[:0], np.zeros(3, dtype=np.int64))] == [0, 0]
+
+
+def test_document_frequencies_count_texts(spark):
+    bodies = ["a b a", "A", "", None, "b, b, b"]
+    config = neardup.NearDupConfig()
+    idf = neardup.document_frequencies(texts(spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")), config)
+    hashes, _ = words(["a b z"])
+    assert np.allclose(idf[neardup.buckets(hashes, config.table)], np.log(6 / np.array([3, 3, 1])) + 1)
+
+
+def test_word_lengths_equal_the_pattern(spark):
+    bodies = ["a b", None, "", " ", "é x  y", "\x0b\fz\r\n\tq ", "x", "y\xa0y\u3000z\x1cz\x85", "  lead"]
+    docs = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string").coalesce(1)
+    found = {r["doc_id"]: r["words"] for r in packing.word_lengths(docs).collect()}
+    assert found == {r["doc_id"]: r["words"] for r in docs.select("doc_id", packing.word_length().alias("words")).collect()}
+
+
 def test_words_do_not_depend_on_the_batch():
     docs = ["One two, THREE", "", "é-é x", "two"]
     hashes, counts = words(docs)

@@ -71,11 +71,16 @@ def document_frequencies(docs: DataFrame, config: NearDupConfig) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(table, dtype=np.int64), 0
+        last = np.zeros(table, dtype=np.int32)  # the last word of a text in each bucket stands for it
         for batch in batches:
             for _, rows in text_slices(batch):
                 hashes, counts = words(rows)
-                seen = np.unique(np.repeat(np.arange(len(rows)), counts) * table + buckets(hashes, table))
-                df += np.bincount(seen % table, minlength=table)
+                at, places, begin = buckets(hashes, table), np.arange(counts.max(), dtype=np.int32), 0
+                for size in counts.tolist():
+                    own, place = at[begin : begin + size], places[:size]
+                    last[own] = place
+                    df[own[last[own] == place]] += 1
+                    begin += size
                 n += len(rows)
         if n:
             at = np.flatnonzero(df)
@@ -106,26 +111,38 @@ class Sampler:
         self.salts = mix(np.arange(1, config.samples + 1, dtype=U))
         self.bands, self.rows = config.bands, config.rows
 
-    def draw(self, hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The samples of one weighted set (32 bits each) and its band keys."""
+    def draw(self, hashes: np.ndarray, weights: np.ndarray, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Samples (32 bits each) and band keys of weighted sets, a row for each; ``starts`` says where the sets begin, none is empty."""
+        starts = np.zeros(1, dtype=np.int64) if starts is None else starts
         row = (hashes % U(len(self.r))).astype(np.int64)
-        log_w = np.log(weights).astype(np.float32)[:, None]
-        r, beta = self.r[row], self.beta[row]
-        level = log_w / r
-        level += beta
+        log_w = np.log(weights).astype(np.float32)
+        r, a = self.r.take(row, axis=0), self.beta.take(row, axis=0)
+        level = log_w[:, None] / r
+        level += a
         np.floor(level, out=level)
-        a = self.log_c[row]
-        beta -= level
-        beta -= 1
-        beta *= r
-        a += beta
-        best = a.argmin(axis=0)
+        a -= level
+        a -= 1
+        a *= r
+        a += self.log_c.take(row, axis=0)
+        sets = zip(starts.tolist(), [*starts[1:].tolist(), len(hashes)], strict=True)
+        best = np.stack([a[lo:hi].argmin(axis=0) + lo for lo, hi in sets])
         values = mix(hashes[best] ^ self.salts ^ (level[best, self.k].astype(np.int64).astype(U) * U(0x2545F4914F6CDD1D)))
         keys = np.arange(1, self.bands + 1, dtype=U)
-        for column in values.reshape(self.bands, self.rows).T:
+        for column in np.moveaxis(values.reshape(-1, self.bands, self.rows), 2, 0):
             keys = mix(keys * U(31) ^ column)
         return (values & U(0xFFFFFFFF)).astype(np.uint32).view(np.int32), keys.view(np.int64)
 
+    def draw_all(self, hashes: np.ndarray, weights: np.ndarray, sizes: np.ndarray, most: int = 1 << 12) -> tuple[np.ndarray, np.ndarray]:
+        """``draw`` for the texts with words among all of a slice, of ``sizes`` shingles; about ``most`` shingles at a time stay in the cache."""
+        sizes = sizes[sizes > 0]
+        ends, found = np.cumsum(sizes), []
+        for lo, hi in slices(sizes.tolist(), most):
+            first = int(ends[lo] - sizes[lo])
+            found.append(self.draw(hashes[first : ends[hi - 1]], weights[first : ends[hi - 1]], ends[lo:hi] - sizes[lo:hi] - first))
+        if not found:
+            return np.empty((0, len(self.k)), dtype=np.int32), np.empty((0, self.bands), dtype=np.int64)
+        return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+
 
 def signatures(docs: DataFrame, idf: np.ndarray, config: NearDupConfig) -> DataFrame:
     """(id, h1, h2, weight, samples, keys): the text's 128-bit hash and total weight, its samples and band keys (empty without words)."""
@@ -137,7 +154,8 @@ def signatures(docs: DataFrame, idf: np.ndarray, config: NearDupConfig) -> DataF
             for ids, rows in text_slices(batch):
                 doc, h, w = weighted_sets(rows, config.words, idf)
                 at = np.searchsorted(doc, np.arange(len(rows) + 1))
-                drawn = [sampler.draw(h[lo:hi], w[lo:hi]) if hi > lo else None for lo, hi in zip(at[:-1], at[1:], strict=True)]
+                samples, keys = sampler.draw_all(h, w, np.diff(at))
+                ends = np.append(0, np.cumsum(np.diff(at) > 0)).astype(np.int32)
                 digest = np.array([np.frombuffer(hashlib.blake2b(t.encode(), digest_size=16).digest(), np.int64) for t in rows])
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -145,8 +163,8 @@ def signatures(docs: DataFrame, idf: np.ndarray, config: NearDupConfig) -> DataF
                         pa.array(digest[:, 0]),
                         pa.array(digest[:, 1]),
                         pa.array(np.diff(np.concatenate([[0.0], np.cumsum(w)])[at])),
-                        pa.array([x[0] if x else [] for x in drawn], pa.list_(pa.int32())),
-                        pa.array([x[1] if x else [] for x in drawn], pa.list_(pa.int64())),
+                        pa.ListArray.from_arrays(ends * config.samples, samples.ravel()),
+                        pa.ListArray.from_arrays(ends * config.bands, keys.ravel()),
                     ],
                     ["id", "h1", "h2", "weight", "samples", "keys"],
                 )

@@ -17,13 +17,15 @@ Ties go by length, id (missing ones first), piece. An empty table gives no rows.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import write_shared
+from vellum.llm.common import slices, write_shared
 
 
 @dataclass(frozen=True)
@@ -108,3 +110,36 @@ def pack(
 def word_length(text_col: str = "text") -> Column:
     """Words between white space, and one end."""
     return F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"\S+")) + 1
+
+
+#: White space of ``word_length``.
+SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\x0b\f\r", dtype=np.uint8))
+
+
+def count_words(texts: pa.Array) -> np.ndarray:
+    """Words between white space of each text, read from the bytes of the column."""
+    column = texts.fill_null("").cast(pa.large_binary())
+    at = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    out = np.zeros(len(column), dtype=np.int64)
+    for lo, hi in slices(np.diff(at).tolist(), 1 << 20):
+        begin, ends = at[lo], at[lo + 1 : hi + 1] - at[lo]
+        if ends[-1]:
+            inside = ~SPACE[np.frombuffer(column.buffers()[2], dtype=np.uint8)[begin : at[hi]]]
+            first = inside.copy()
+            first[1:] &= ~inside[:-1]
+            borders = ends[:-1][ends[:-1] < ends[-1]]
+            first[borders] = inside[borders]  # a text begins anew
+            out[lo:hi] = np.diff(np.searchsorted(np.flatnonzero(first), ends), prepend=0)
+    return out
+
+
+def word_lengths(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows with ``word_length`` (words) in place of their text."""
+    kept = [f for f in docs.schema.fields if f.name != text_col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = batch.select([f.name for f in kept])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(count_words(batch.column(text_col)) + 1)], [*rest.schema.names, "words"])
+
+    return docs.mapInArrow(run, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "words long"]))

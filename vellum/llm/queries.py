@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from vellum.llm.alignment import alignment_digests
 from vellum.llm.bpe import bpe_digests
-from vellum.llm.common import fold, read_table, row_key
+from vellum.llm.common import fold, read_table, row_key, write_shared
 from vellum.llm.language import fit_language, identify_language
 from vellum.llm.lattice import lattice_scores
 from vellum.llm.multiprobe import nearest
 from vellum.llm.neardup import near_duplicates
-from vellum.llm.packing import pack, word_length
+from vellum.llm.packing import pack, word_lengths
 from vellum.llm.phrases import collocations
 from vellum.llm.quality import fit_quality, score_quality
 from vellum.llm.suffixes import repeat_digests
@@ -86,7 +86,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     keyed = docs.withColumn("row_key", row_key())  # rows without id come after all others, so that they lead no bucket
     classes = near_duplicates(keyed, "row_key").select(F.col("doc_id").alias("row_key"), "class_id").distinct()
-    rows = keyed.select("doc_id", "source", "row_key", word_length().alias("words")).join(classes, "row_key", "left")
+    # stored: the join would count the words again whenever adaptive execution plans it anew
+    lengths = write_shared(word_lengths(keyed), "lengths")
+    rows = lengths.join(classes, "row_key", "left")
     return pack(rows, F.col("words"), F.col("source"), F.col("class_id"))
 
 

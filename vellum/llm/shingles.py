@@ -26,6 +26,21 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=U)
 
 
+#: Powers of the base and its inverse for up to this many bytes are kept.
+KEPT = 1 << 21
+TABLES: dict[int, np.ndarray] = {}
+
+
+def kept_powers(base: np.uint64, n: int) -> np.ndarray:
+    """``powers``, from a table unless they are very many."""
+    if n > KEPT:
+        return powers(base, n)
+    held = TABLES.get(int(base))
+    if held is None or len(held) < n:
+        TABLES[int(base)] = held = powers(base, min(KEPT, 2 * n))
+    return held[:n]
+
+
 def words(docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the lower-cased words of all texts, and the number of words of each text."""
     encoded = [t.lower().encode() for t in docs]
@@ -33,8 +48,8 @@ def words(docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
     inside = IN_WORD[a]
     edge = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0))
     start, end = edge[::2], edge[1::2]
-    sums = np.concatenate([np.zeros(1, U), np.cumsum((a.astype(U) + U(1)) * powers(BASE, len(a)), dtype=U)])
-    back = powers(INVERSE, len(a))
+    sums = np.concatenate([np.zeros(1, U), np.cumsum((a.astype(U) + U(1)) * kept_powers(BASE, len(a)), dtype=U)])
+    back = kept_powers(INVERSE, len(a))
     hashes = mix((sums[end] - sums[start]) * back[start] + (end - start).astype(U))
     borders = np.cumsum([len(b) + 1 for b in encoded])
     return hashes, np.diff(np.searchsorted(start, borders), prepend=0)
@@ -53,12 +68,16 @@ def shingles(hashes: np.ndarray, counts: np.ndarray, k: int, weights: np.ndarray
     at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + first[doc]
     length = size[doc]
     total, weight = length.astype(U), np.zeros(len(at))
+    whole = length == k
     for j in range(k):
-        there = j < length
-        i = np.where(there, at + j, 0)
         if len(hashes):
-            total = np.where(there, (total ^ hashes[i]) * STEP + (hashes[i] >> U(7)), total)
-            weight += np.where(there, weights[i], 0.0)
+            i = np.minimum(at + j, len(hashes) - 1)
+            word = hashes[i]
+            step, more = (total ^ word) * STEP + (word >> U(7)), weight + weights[i]
+            if not whole.all():
+                there = whole | (j < length)
+                step, more = np.where(there, step, total), np.where(there, more, weight)
+            total, weight = step, more
     return doc, mix(total), weight / np.maximum(length, 1)
 
 
@@ -66,7 +85,8 @@ def weighted_sets(docs: list[str], k: int, idf: np.ndarray) -> tuple[np.ndarray,
     """Distinct shingles of each text, sorted: (text number, hash, count x mean idf of its words)."""
     hashes, counts = words(docs)
     doc, h, w = shingles(hashes, counts, k, idf[buckets(hashes, len(idf))])
-    order = np.lexsort((h, doc))
+    order = np.argsort(h)  # equal hashes of a text have equal weights
+    order = order[np.argsort(doc[order].astype(np.uint16) if len(docs) < 1 << 16 else doc[order], kind="stable")]
     doc, h, w = doc[order], h[order], w[order]
     new = np.ones(len(h), dtype=bool)
     new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
