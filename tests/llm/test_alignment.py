@@ -9,6 +9,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from llm.samples import awkward_texts, collected, documents
+from vellum.llm import alignment
 from vellum.llm.alignment import AlignmentConfig, alignment_digests, byte_level, token_links
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -94,3 +95,25 @@ def test_empty_table_and_no_tokens(spark):
     assert alignment_digests(documents(spark, []), A, B).collect() == []
     found = alignment_digests(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string"), A, B).collect()
     assert sorted(map(tuple, found)) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
+
+
+def test_a_process_holds_a_bounded_table_and_aligns_small_parts(monkeypatch):
+    """The words that are kept and the texts that are aligned at once are bounded, however large a batch is."""
+    sizes, align = [], alignment.align
+    monkeypatch.setattr(alignment, "align", lambda a, b: sizes.append(int(a["end"].max())) or align(a, b))
+    monkeypatch.setattr(alignment, "SIDES", {})
+    docs = [" ".join(f"w{i}x{j}" for j in range(20)) for i in range(400)]
+    run, held = alignment_batches(docs, AlignmentConfig(batch=1 << 20, part=4096, kept=500))
+    assert len(run) == 1 and max(sizes) <= 4096 + len(docs)
+    assert len(held.words.number) <= 500 + 4096 and len(held.older.number) <= 500 + 4096
+    assert run[0].column("doc_ids")[0].as_py() == list(range(400))
+    whole, _ = alignment_batches(docs, AlignmentConfig(batch=1 << 20, part=1 << 20))
+    assert run[0].drop_columns(["batch"]).equals(whole[0].drop_columns(["batch"]))
+
+
+def alignment_batches(docs, config):
+    """What one task sends for the texts, and the table of its process."""
+    import pyarrow as pa
+
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(docs)), pa.int64()), pa.array(docs)], ["id", "text"])
+    return [*alignment.batch_links(iter([rows]), A, B, config, 0)], alignment.both_sides(A, B, config.kept)

@@ -34,9 +34,11 @@ from vellum.llm.wordtable import WordTokens, byte_level
 
 @dataclass(frozen=True)
 class AlignmentConfig:
-    """batch: bytes of text aligned at once."""
+    """batch: bytes of text whose pairs are sent together. part: bytes of it aligned at once. kept: words in the table of a Python process, twice at most."""
 
     batch: int = 1 << 20
+    part: int = 1 << 18
+    kept: int = 150_000
 
 
 class ByteLevelSide:
@@ -79,10 +81,11 @@ class PieceSide:
 SIDES: dict[tuple[str, str], WordTokens] = {}
 
 
-def both_sides(a: str, b: str) -> WordTokens:
+def both_sides(a: str, b: str, kept: int = AlignmentConfig.kept) -> WordTokens:
     """The two tokenizers, loaded once in a Python process."""
     if (a, b) not in SIDES:
         SIDES[a, b] = WordTokens((ByteLevelSide(a), PieceSide(b)))
+    SIDES[a, b].kept = kept
     return SIDES[a, b]
 
 
@@ -192,6 +195,17 @@ def aligned_batch(sides: WordTokens, docs: list[str]) -> Alignment:
     return align(tokens(ids_a, n_a, sides.sizes[0]), tokens(ids_b, n_b, sides.sizes[1]))
 
 
+def batch_part(sides: WordTokens, docs: list[str], first: int) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
+    """Tokens of A and of B, groups and links of each text; the groups' digests; the text, counted from ``first``, and the pair of each link."""
+    found, n = aligned_batch(sides, docs), len(docs)
+    doc_a, doc_b = found.a["doc"].to_numpy(), found.b["doc"].to_numpy()
+    links_of = doc_a[found.link_a]
+    numbers = np.stack([found.of_text(x, n) for x in (doc_a, doc_b, doc_a[found.closes_a], links_of)])
+    digests = [hashlib.sha256(t).hexdigest() if t else "" for t in group_texts(found, n)]
+    code = (found.a["id"].to_numpy().astype(np.int64)[found.link_a] << 32) | found.b["id"].to_numpy()[found.link_b]
+    return numbers, digests, links_of.astype(np.int64) + first, code
+
+
 def token_links(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", text_col: str = "text", config: AlignmentConfig | None = None) -> DataFrame:
     """(doc_id, a_ids, a_ends, b_ids, b_ends, links, group_ends) of every document.
 
@@ -202,7 +216,7 @@ def token_links(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", text_co
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = both_sides(a, b)
+        sides = both_sides(a, b, config.kept)
         for ids, held in batched(batches, config.batch):
             found = aligned_batch(sides, held)
             out = []
@@ -226,6 +240,32 @@ def token_links(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", text_co
     return rows.mapInArrow(run, f"doc_id {kind}, {arrays}, links array<array<int>>, group_ends array<int>")
 
 
+NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
+
+
+def batch_links(batches: Iterator[pa.RecordBatch], a: str, b: str, config: AlignmentConfig, number: int) -> Iterator[pa.RecordBatch]:
+    """A row for each batch of texts: its numbers and digests, its distinct pairs, and which of them each text holds how often."""
+    sides = both_sides(a, b, config.kept)
+    for ids, held in batched(batches, config.batch):
+        n = len(held)
+        parts = [batch_part(sides, held[lo:hi], lo) for lo, hi in slices([len(t) for t in held], config.part)]
+        numbers, digests, links_of, code = zip(*parts, strict=True)
+        del parts
+        numbers, digests = np.concatenate(numbers, axis=1), [t for part in digests for t in part]
+        links_of, code = np.concatenate(links_of), np.concatenate(code)
+        pairs, at = np.unique(code, return_inverse=True)
+        cells, times = np.unique(links_of * max(1, len(pairs)) + at, return_counts=True)
+        cell_doc, cell_pair = cells // max(1, len(pairs)), cells % max(1, len(pairs))
+        docs_of = np.bincount(cell_pair, minlength=len(pairs))
+        blobs = [np.searchsorted(cell_doc, np.arange(n + 1)), cell_pair, times]
+        columns = [pa.array([number], pa.int64()), pa.array([ids.to_pylist()], pa.list_(ids.type))]
+        columns += [pa.array([x], pa.list_(pa.int64())) for x in numbers]
+        columns += [pa.array([digests], pa.list_(pa.string())), pa.array([pairs], pa.list_(pa.int64())), pa.array([docs_of], pa.list_(pa.int64()))]
+        columns += [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in blobs]
+        yield pa.RecordBatch.from_arrays(columns, ["batch", "doc_ids", *NUMBERS, "digests", "pairs", "docs_of", "borders", "cells", "times"])
+        number += 1
+
+
 def alignment_digests(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", text_col: str = "text", config: AlignmentConfig | None = None) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every document.
 
@@ -234,30 +274,10 @@ def alignment_digests(docs: DataFrame, a: str, b: str, id_col: str = "doc_id", t
     config = config or AlignmentConfig()
     rows = texts(docs, id_col, text_col)
     kind = rows.schema["id"].dataType.simpleString()
-    names = ["n_a", "n_b", "n_groups", "n_links"]
+    names = NUMBERS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = both_sides(a, b)
-        number = TaskContext.get().partitionId() << 32
-        for ids, held in batched(batches, config.batch):
-            found = aligned_batch(sides, held)
-            n = len(held)
-            doc_a, doc_b = found.a["doc"].to_numpy(), found.b["doc"].to_numpy()
-            links_of = doc_a[found.link_a]
-            numbers = [found.of_text(x, n) for x in (doc_a, doc_b, doc_a[found.closes_a], links_of)]
-            digests = [hashlib.sha256(t).hexdigest() if t else "" for t in group_texts(found, n)]
-            code = (found.a["id"].to_numpy().astype(np.int64)[found.link_a] << 32) | found.b["id"].to_numpy()[found.link_b]
-            pairs, at = np.unique(code, return_inverse=True)
-            cells, times = np.unique(links_of.astype(np.int64) * max(1, len(pairs)) + at, return_counts=True)
-            cell_doc, cell_pair = cells // max(1, len(pairs)), cells % max(1, len(pairs))
-            docs_of = np.bincount(cell_pair, minlength=len(pairs))
-            blobs = [np.searchsorted(cell_doc, np.arange(n + 1)), cell_pair, times]
-            columns = [pa.array([number], pa.int64()), pa.array([ids.to_pylist()], pa.list_(ids.type))]
-            columns += [pa.array([x], pa.list_(pa.int64())) for x in numbers]
-            columns += [pa.array([digests], pa.list_(pa.string())), pa.array([pairs], pa.list_(pa.int64())), pa.array([docs_of], pa.list_(pa.int64()))]
-            columns += [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in blobs]
-            yield pa.RecordBatch.from_arrays(columns, ["batch", "doc_ids", *names, "digests", "pairs", "docs_of", "borders", "cells", "times"])
-            number += 1
+        return batch_links(batches, a, b, config, TaskContext.get().partitionId() << 32)
 
     longs = ", ".join(f"{c} array<long>" for c in names)
     stored = write_shared(

@@ -72,92 +72,149 @@ class Words:
         return self.ids[side].data[np.arange(total) + np.repeat(starts - ends + n, n)], n
 
 
+#: Kinds of bytes for cuts inside words: ASCII letters, other ASCII bytes, the apostrophe (which may begin a contraction); the rest has none.
+LETTER, SIGN, APOSTROPHE = 1, 2, 3
+KINDS = np.array([0 if b >= 0x80 or b == 0x20 else APOSTROPHE if b == 0x27 else LETTER if chr(b).isalpha() else SIGN for b in range(256)], dtype=np.uint8)
+#: White space of ASCII.
+BLANK = np.array([b < 0x80 and chr(b).isspace() for b in range(256)])
+
+
+def blanks_meet(docs: list[str], encoded: list[bytes]) -> np.ndarray:
+    """Which texts begin with white space or have white space side by side."""
+    found = np.array([t[:1].isspace() for t in docs], dtype=bool)
+    raw = np.frombuffer(b"a".join([b"", *encoded]), dtype=np.uint8)  # a letter before each text
+    ends = np.cumsum([1 + len(x) for x in encoded])
+    after, before = raw[1:], raw[:-1]
+    # other white space has two bytes that begin with C2, or three that begin with E1, E2 or E3
+    wide = ((before - 0xE1).astype(np.uint8) <= 2) | ((before == 0xC2) & ((after == 0x85) | (after == 0xA0)))
+    for i in np.unique(np.searchsorted(ends, np.flatnonzero(wide), side="right")).tolist():
+        found[i] |= DOUBLE_SPACE.search(docs[i]) is not None
+    blank = BLANK[raw]
+    found[np.searchsorted(ends, np.flatnonzero(blank[1:] & blank[:-1]), side="right")] = True
+    return found
+
+
+def unit_starts(raw: np.ndarray, fine: bool) -> np.ndarray:
+    """Where units of a text begin: at spaces and, if ``fine``, where ASCII letters begin after or end before other ASCII signs."""
+    starts = raw == 0x20
+    if fine and len(raw):
+        kind = KINDS[raw]
+        before, after = kind[:-1], kind[1:]
+        starts[1:] |= ((before == LETTER) & (after > LETTER)) | ((before == SIGN) & (after == LETTER))
+    return starts
+
+
 class WordTokens:
-    """Ids of a space and a word on every side, asked once for each distinct word while it stays in the table.
+    """Ids of units of texts on every side, asked once for each distinct unit while it stays in the table.
 
+    A unit is a space and a word, or the first word of a text. With ``spaced`` a space stands before every text too.
     A side has ``encode`` (ids of texts) and ``bytes`` (of each id). No token of a side may hold a space after another character.
-    With ``spaced`` a space stands before every text; without, before every word of a text but the first, which
-    the table has with a blank in front of it to tell the two apart.
+    With ``fine`` words are cut where letters meet other signs, which is only right for sides that never
+    join those, nor white space with what follows it.
     """
 
-    def __init__(self, sides: Sequence, spaced: bool = True):
-        self.sides, self.spaced = tuple(sides), spaced
+    def __init__(self, sides: Sequence, spaced: bool = True, fine: bool = False):
+        self.sides, self.spaced, self.fine, self.kept = tuple(sides), spaced, fine, KEPT
         self.sizes = [np.array([len(x) for x in side.bytes], dtype=np.int64) for side in self.sides]
         self.words, self.older = Words(len(self.sides)), Words(len(self.sides))
 
-    def written(self, word: str) -> str:
-        """What a word of the table stands for."""
-        return word[1:] if not self.spaced and word[:1] == " " else " " + word
-
-    def alone(self, words: list[str]) -> np.ndarray:
-        """Add words encoded each on its own."""
-        ids, sizes, right = [], [], np.ones(len(words), dtype=bool)
-        texts = [self.written(w) for w in words]
+    def alone(self, units: list[str]) -> np.ndarray:
+        """Add units encoded each on its own."""
+        ids, sizes, right = [], [], np.ones(len(units), dtype=bool)
         for side in self.sides:
-            found = side.encode(texts)
-            right &= [b"".join([side.bytes[t] for t in x]) == t.encode() for t, x in zip(texts, found, strict=True)]
+            found = side.encode(units)
+            right &= [b"".join([side.bytes[t] for t in x]) == u.encode() for u, x in zip(units, found, strict=True)]
             sizes.append(np.array([len(x) for x in found], dtype=np.int64))
             ids.append(np.array([t for x in found for t in x], dtype=np.int32))
-        return self.words.add(words, ids, sizes, right)
+        return self.words.add(units, ids, sizes, right)
 
-    def joined(self, words: list[str]) -> np.ndarray:
-        """Add words without blanks that neither begin nor end with white space, encoded as one text and cut where each ends."""
-        text = " " + " ".join(words)
+    def joined(self, units: list[str], between: str) -> np.ndarray:
+        """Add units that neither end with white space nor hold a space inside, encoded as one text and cut where each begins and ends."""
+        text = between.join(units)
         raw = text.encode()
-        ends = np.append(np.flatnonzero(np.frombuffer(raw, dtype=np.uint8) == 0x20)[1:], len(raw))
+        length = np.array([len(u) if u.isascii() else len(u.encode()) for u in units])
+        ends = np.cumsum(length + len(between)) - len(between)
         ids, counts = [], []
         for side, sizes in zip(self.sides, self.sizes, strict=True):
             found = side.encode([text])[0]
-            if b"".join([side.bytes[t] for t in found]) != raw:
-                return self.alone(words)  # one of them is not its tokens' bytes
-            ids.append(np.array(found, dtype=np.int32))
-            at = np.searchsorted(np.cumsum(sizes[ids[-1]]), ends) + 1
-            counts.append(np.diff(at, prepend=0))
-        return self.words.add(words, ids, counts, np.ones(len(words), dtype=bool))
+            given, found = b"".join(map(side.bytes.__getitem__, found)), np.array(found, dtype=np.int32)
+            if given != raw:
+                return self.alone(units)  # one of them is not its tokens' bytes
+            borders = np.concatenate([[0], np.cumsum(sizes[found])])
+            first, last = np.searchsorted(borders, ends - length), np.searchsorted(borders, ends)
+            if not (np.array_equal(borders[first], ends - length) and np.array_equal(borders[last], ends)):
+                return self.alone(units)  # a token reaches over a border
+            if between:
+                inside = np.zeros(len(found) + 1, dtype=np.int8)
+                np.add.at(inside, first, 1)
+                np.add.at(inside, last, -1)
+                found = found[np.cumsum(inside[:-1]) > 0]
+            ids.append(found)
+            counts.append(last - first)
+        return self.words.add(units, ids, counts, np.ones(len(units), dtype=bool))
 
     def numbers(self, wanted: list[str]) -> np.ndarray:
-        """Each word's number in the table; words that are not in it are added."""
-        if len(self.words.number) > KEPT or self.words.ids[0].n > 32 * KEPT:
+        """Each unit's number in the table; units that are not in it are added."""
+        if len(self.words.number) > self.kept or self.words.ids[0].n > 32 * self.kept:
             self.older, self.words = self.words, Words(len(self.sides))
-        out = np.array(list(map(self.words.number.get, wanted, repeat(-1))), dtype=np.int64)
+        out = np.fromiter(map(self.words.number.get, wanted, repeat(-1)), dtype=np.int64, count=len(wanted))
         new = np.flatnonzero(out < 0)
-        before = np.array(list(map(self.older.number.get, map(wanted.__getitem__, new.tolist()), repeat(-1))), dtype=np.int64)
-        kept, before, new = new[before >= 0], before[before >= 0], new[before < 0]
-        if len(kept):
-            found = [self.older.of(side, before) for side in range(len(self.sides))]
-            right = self.older.right.data[before]
-            out[kept] = self.words.add([wanted[i] for i in kept.tolist()], [x for x, _ in found], [n for _, n in found], right)
-        words = [wanted[i] for i in new.tolist()]
-        bare = np.array([0 < len(w) <= LONGEST and w == w.strip() and " " not in w for w in words], dtype=bool)
-        for some, encode in ((new[bare], self.joined), (new[~bare], self.alone)):
+        units = list(map(wanted.__getitem__, new.tolist()))
+        if self.older.number:
+            before = np.fromiter(map(self.older.number.get, units, repeat(-1)), dtype=np.int64, count=len(units))
+            held = before >= 0
+            if held.any():
+                kept, known = new[held], before[held]
+                found = [self.older.of(side, known) for side in range(len(self.sides))]
+                right = self.older.right.data[known]
+                out[kept] = self.words.add([wanted[i] for i in kept.tolist()], [x for x, _ in found], [n for _, n in found], right)
+                new = new[~held]
+                units = list(map(wanted.__getitem__, new.tolist()))
+        # 0: on its own, 1: begins with its only space, 2: has no space; a line feed may stand between such units if ``fine``
+        kind = np.array(
+            [0 if not u or len(u) > LONGEST or u[-1].isspace() or u.rfind(" ") > 0 else 1 if u[0] == " " and not u[1].isspace() else 2 if self.fine and not u[0].isspace() else 0 for u in units],
+            dtype=np.int8,
+        )
+        for this, encode in ((1, lambda x: self.joined(x, "")), (2, lambda x: self.joined(x, "\n")), (0, self.alone)):
+            some = np.flatnonzero(kind == this)
+            some = np.array(sorted(some.tolist(), key=units.__getitem__), dtype=np.int64)  # like ones after another are encoded faster
             for lo in range(0, len(some), 512):
                 part = some[lo : lo + 512]
-                out[part] = encode([wanted[i] for i in part.tolist()])
+                out[new[part]] = encode([units[i] for i in part.tolist()])
         return out
 
     def encode(self, docs: list[str], whole: Sequence[bool] | None = None) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
         """Ids of all texts in a row and the number of tokens of each text, for every side; which texts are their tokens' bytes.
 
-        A text is cut before single spaces. A text with white space side by side, or marked in ``whole``, is one word.
+        A text with white space side by side, or marked in ``whole``, is one unit.
         """
-        odd = np.array([bool(t) and (t[0].isspace() or DOUBLE_SPACE.search(t) is not None) for t in docs], dtype=bool)
+        encoded = [t.encode() for t in docs]
+        odd = blanks_meet(docs, encoded)
         whole = odd if whole is None else odd | np.array(whole, dtype=bool)
-        held = pa.array([None if w or not t else t for w, t in zip(whole.tolist(), docs, strict=True)], pa.large_string())
-        cut = pc.split_pattern(held, " ")
-        counts = pc.fill_null(pc.list_value_length(cut), 0).to_numpy().astype(np.int64)
-        coded = pc.dictionary_encode(pc.list_flatten(cut))
+        mark = " " if self.spaced else ""
+        parts = [b"" if w or not x else mark.encode() + x for w, x in zip(whole.tolist(), encoded, strict=True)]
+        raw = np.frombuffer(b"".join(parts), dtype=np.uint8)
+        begin = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int64)
+        del encoded, parts
+        starts = np.append(unit_starts(raw, self.fine), True)
+        starts[begin] = True
+        at = np.flatnonzero(starts)
+        counts = np.diff(np.searchsorted(at, begin))
+        units = pa.Array.from_buffers(pa.large_string(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(raw)])
+        coded = pc.dictionary_encode(units)
         wanted = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # strings at once, not one scalar each
-        first = np.flatnonzero(whole if self.spaced else whole | (counts > 0))
-        mark = "" if self.spaced else " "
-        begins = [mark + (docs[i] if w else docs[i].partition(" ")[0]) for i, w in zip(first.tolist(), whole[first].tolist(), strict=True)]
-        number = self.numbers([*wanted, *begins])
+        number = self.numbers([*wanted, *[mark + docs[i] for i in np.flatnonzero(whole).tolist()]])
         # the units of each text: its words, or itself
         counts[whole] = 1
         of = np.repeat(np.arange(len(docs)), counts)
-        at = np.empty(len(of), dtype=np.int64)
-        at[~whole[of]] = coded.indices.to_numpy()
-        at[(np.cumsum(counts) - counts)[first]] = len(wanted) + np.arange(len(first))
-        at = number[at]
+        if whole.any():
+            itself = whole[of]
+            at = np.empty(len(of), dtype=np.int64)
+            at[~itself] = coded.indices.to_numpy()
+            at[itself] = len(wanted) + np.arange(int(itself.sum()))
+            at = number[at]
+        else:
+            at = number[coded.indices.to_numpy()]
         ids, tokens_of = [], []
         for side in range(len(self.sides)):
             found, n = self.words.of(side, at)
