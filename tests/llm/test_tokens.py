@@ -209,3 +209,17 @@ def test_new_words_take_no_call_of_python_each():
     finally:
         sys.setprofile(None)
     assert ids.tolist() == Tokenizer.from_file(JSON).encode(text, add_special_tokens=False).ids and len(calls) < 1500
+
+
+def test_words_with_other_signs_share_their_letters_ids():
+    """A word and the signs behind it are units of their own, so the library is asked once for the word; ids are those of the plain call."""
+    encoder, library = tokenfiles.TextEncoder(JSON), Tokenizer.from_file(JSON)
+    texts = ["thonre thonre, Thonre&&& thonre.\nThonre 'thonre' thonre's 12thonre\xa0thonre é\né,", "a\x1cb,\u3000c 1's,'s 't's' x\u200by \x85 z", "", "it's,", "\n", "a\n b"]
+    rng = random.Random(3)
+    texts += ["".join(rng.choices([*PARTS, ",", "&&", "re", "’", "\u0301"], k=rng.randint(0, 20))) for _ in range(2000)]
+    ids, counts = encoder.encode(texts)
+    at = np.cumsum(counts)
+    assert [ids[lo:hi].tolist() for lo, hi in zip(at - counts, at, strict=True)] == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    encoder = tokenfiles.TextEncoder(JSON)
+    encoder.encode(texts[:1])
+    assert {" thonre", ",", "&&&", "Thonre"} <= set(encoder.table.words.number) and " thonre," not in encoder.table.words.number

@@ -67,7 +67,7 @@ class LibrarySide:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         letters, names = byte_level(), self.library.get_vocab()
@@ -76,6 +76,9 @@ class LibrarySide:
             self.bytes[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
         #: Strings that the library takes out of a text before it looks for words.
         self.added = [token.content for token in self.library.get_added_tokens_decoder().values() if token.content]
+        first = self.library.pre_tokenizer
+        #: Whether texts are first cut by the usual pattern, where letters, numbers, other signs and white space part.
+        self.by_kind = self.library.normalizer is None and isinstance(first, pre_tokenizers.ByteLevel) and first.use_regex and not first.add_prefix_space
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -90,7 +93,7 @@ class TextEncoder:
     def __init__(self, path: str):
         self.side = LibrarySide(path)
         self.bits = bits_for(self.side.library.get_vocab_size())
-        self.table = WordTokens([self.side], spaced=False)
+        self.table = WordTokens([self.side], spaced=False, fine=self.side.by_kind)
 
     def encode(self, docs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and how many each has."""
@@ -150,7 +153,7 @@ def write_token_files(
         for batch in batches:
             if batch.num_rows:
                 shard, id_type = batch.column("shard")[0].as_py(), batch.schema.field("id").type
-            for ids, rows in text_slices(batch):
+            for ids, rows in text_slices(batch, 1 << 21):
                 found, counts = words.encode(rows)
                 flat, sizes = with_ends(found, counts, config.end), (counts + 1).tolist()
                 first = at = begin = 0
