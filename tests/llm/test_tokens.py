@@ -191,6 +191,20 @@ def test_lattice_scores(spark, chunk):
         assert math.isclose(row.base_score, expected[3], rel_tol=1e-9) and row.score < 0
 
 
+def test_files_hold_few_chunks(spark, monkeypatch):
+    stored, write = {}, lattice.write_shared
+
+    def kept(df, name, *more):
+        stored[name] = write(df, name, *more)
+        return stored[name]
+
+    monkeypatch.setattr(lattice, "write_shared", kept)
+    docs = documents(spark).coalesce(1)
+    assert lattice.lattice_scores(docs, PIECES, F.lit(True), config=lattice.LatticeConfig(chunk=1)).count() == docs.count()
+    rows = [r["n"] for r in stored["chunks"].groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert sum(rows) >= 30 and max(rows) <= 2
+
+
 def test_token_operators_take_empty_tables(spark):
     docs = documents(spark, [])
     assert bpe.bpe_digests(docs, RANKS, public_tokenizers.PATTERN).collect() == []

@@ -34,10 +34,14 @@ def fold(id_col: str | Column, folds: int) -> Column:
     return F.coalesce(F.crc32((F.col(id_col) if isinstance(id_col, str) else id_col).cast("string")) % folds, F.lit(-1))
 
 
-def write_shared(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: computed once, and not lost with an executor."""
+def write_shared(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
+    """Write to the shared folder and read back: computed once, and not lost with an executor.
+
+    ``file_rows`` is for rows of megabytes: a file holds so many at most. Parquet looks at a page's size every 100 rows, and readers
+    take 4,096 rows at once if the file has them, so the memory of both would follow the size of a task's input.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

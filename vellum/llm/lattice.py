@@ -40,12 +40,13 @@ SHORT, LEAST = 24, 1e-6
 
 @dataclass(frozen=True)
 class LatticeConfig:
-    """chunk: bytes of text of a chunk. rounds: refits of the pieces' weights. scale: parts into which an expected use is rounded."""
+    """chunk: bytes of text of a chunk. stored: chunks in a file at most. rounds: refits of the pieces' weights. scale: parts into which an expected use is rounded."""
 
     chunk: int = 8 << 20
     rounds: int = 1
     smoothing: float = 0.1
     scale: int = 1 << 16
+    stored: int = 2
 
 
 def read_pieces(model: str) -> dict[bytes, float]:
@@ -270,7 +271,7 @@ def lattice_scores(
     config = config or LatticeConfig()
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    chunks = write_shared(chunked(rows, config), "chunks")
+    chunks = write_shared(chunked(rows, config), "chunks", config.stored)
     entries = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "e"))
     vocabulary = entries.select(F.col("e.words").alias("word"), F.col("e.counts").alias("c")).groupBy("word").agg(F.sum("c").alias("c"))
     vocabulary = write_shared(vocabulary, "vocabulary")
