@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from vellum.operators.upsert import upsert
+from vellum.plans import fixtures, streams
+from vellum.sources import keyed
 from vellum.sources.keyed import KeyedLog, RangeTable
 
 SCHEMA = "id string, day int, text string"
@@ -72,6 +74,70 @@ def test_log_is_not_shuffled_to_find_keys(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_whole_log_is_read_without_a_shuffle_of_its_texts(spark, tmp_path):
+    log = KeyedLog(spark, str(tmp_path), "id", SCHEMA, ("day",), buckets=4)
+    log.append(spark.createDataFrame([(f"k{i}", 5, "old") for i in range(50)] + [(None, 1, "old")], SCHEMA), 0)
+    log.append(spark.createDataFrame([("k1", 6, "new"), ("k2", 5, "new"), ("k3", 4, "stale"), ("k4", None, "undated"), (None, 2, "new")], SCHEMA), 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = log.read()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "SortMergeJoin" not in plan
+        expected = {f"k{i}": (5, "old") for i in range(50)} | {"k1": (6, "new"), "k2": (5, "new"), None: (2, "new")}
+        assert found.count() == 51 and state(found) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_key_that_a_batch_has_twice_is_one_row(spark, tmp_path):
+    log = KeyedLog(spark, str(tmp_path), "id", SCHEMA, ("day",), buckets=2)
+    log.append(spark.createDataFrame([("a", 1, "x"), ("a", 1, "x"), ("b", 1, "x"), ("c", 1, "x"), (None, 1, "x"), (None, 1, "x")], SCHEMA), 0)
+    log.append(spark.createDataFrame([("a", 0, "y"), ("b", 2, "y")], SCHEMA), 1)
+    assert log.read().count() == 4
+    assert state(log.read()) == {"a": (1, "x"), "b": (2, "y"), "c": (1, "x"), None: (1, "x")}
+
+
+def test_large_batches_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyed, "PART_ROWS", 20)
+    log = KeyedLog(spark, str(tmp_path), "id", SCHEMA, ("day",), buckets=2, fan=2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for batch in range(2):  # the second one is merged with the first
+            rows = spark.range(400).select(F.concat(F.lit("k"), "id").alias("id"), F.lit(batch).alias("day"), F.lit("t").alias("text"))
+            log.append(rows, batch, 400)
+            assert len({f for f in log.read().inputFiles() if "_bucket=0" in f}) > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert log.deltas() == 1 and state(log.read()) == {f"k{i}": (1, "t") for i in range(400)}
+
+
+def test_days_are_published_in_files_that_follow_rows_not_tasks(spark, tmp_path, monkeypatch):
+    rows = spark.range(0, 600, 1, 12).selectExpr(
+        "CASE WHEN id % 50 > 0 THEN concat('W', id) END AS id", "concat('D', id) AS doi", "'t' AS title", "DATE '2024-04-01' + CAST(id % 3 AS INT) AS updated_date"
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for folder, most, files in (("one", 1000, (3, 3)), ("more", 200, (4, 9))):
+            monkeypatch.setattr(streams, "DAY_ROWS", most)
+            streams.publish_days(rows, f"{tmp_path}/{folder}")
+            found = spark.read.parquet(f"{tmp_path}/{folder}")
+            assert files[0] <= len(found.inputFiles()) <= files[1] and found.where("day = updated_date").count() == 600
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_short_labels_go_to_the_texts(spark, tmp_path):
+    spark.createDataFrame([(1, "text", "en", "src1", 4), (2, "text", "en", "src1", 4)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = fixtures.update(spark, str(tmp_path))
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString()
+        assert [(r["id"], r["abstract"]) for r in found.collect()] == [("W1", "text")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def rows_of(spark, keys, mark):
     return spark.createDataFrame([(k, f"{mark}{k}", None if k % 3 else "x") for k in keys], "id bigint, a string, b string")
 

@@ -157,16 +157,17 @@ def _set_where(df: DataFrame, condition: Column, changes: dict[str, Column], col
     )
 
 
-def updated_documents(index: DataFrame, update: DataFrame, now: Column) -> DataFrame:
+def updated_documents(index: DataFrame, update: DataFrame, now: Column, found: bool = False) -> DataFrame:
     """The documents to write for updated works, so that no abstract is lost.
 
     An updated work replaces its document. Where only the old document has an abstract it is kept, and its source
     becomes ``OpenAlex_old`` when it was ``OpenAlex``. A changed abstract gets a new ``abstract_date``, an
-    unchanged one keeps the old date.
+    unchanged one keeps the old date. ``found``: the index given is what was found of the updates' ids.
     """
     keeps = F.col("abstract").isNull() & F.col("_abstract").isNotNull()
     # an update is small beside the index: its ids, not the index's texts, travel first
-    before = index.join(update.select("id"), "id", "left_semi").select(
+    held = index if found else index.join(update.select("id"), "id", "left_semi")
+    before = held.select(
         F.col("id").alias("_id"),
         F.col("abstract").alias("_abstract"),
         F.col("abstract_source").alias("_source"),

@@ -212,8 +212,9 @@ def old_works(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    return _select(documents.join(table(spark, sf_dir, "labels"), "doc_id"), UPDATE)
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    # short labels go to the texts
+    return _select(documents.join(F.broadcast(labels) if labels.count() <= SENT_KEYS else labels, "doc_id"), UPDATE)
 
 
 def merged_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

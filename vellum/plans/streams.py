@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions.ids import strip_id
+from vellum.operators.joins import spread_nulls
 from vellum.plans import fixtures as fx
 from vellum.plans.registry import ORACLES, job
 from vellum.plans.scans import publish
@@ -14,6 +16,9 @@ from vellum.sources.keyed import KeyedLog
 from vellum.sources.writers import read_log
 from vellum.streaming import incremental
 
+#: Changes that are published together are cut into so many of them for every file of a day.
+DAY_ROWS = 1 << 20
+
 
 @job(
     "str_snapshot_incremental",
@@ -45,6 +50,14 @@ def str_snapshot_incremental(spark, sf_dir):
     return KeyedLog(spark, f"{root}/log", "id", schema, ("updated_date",)).read()
 
 
+def publish_days(rows: DataFrame, path: str) -> None:
+    """Add changes as one folder per day. A batch of a stream takes files, so their number follows the rows, not the tasks that made them."""
+    files = -(-rows.count() // DAY_ROWS)
+    part = F.pmod(F.xxhash64(spread_nulls(F.col("id"), ["doi", "title"])), F.lit(max(files, 1)))
+    dealt = rows.withColumn("day", F.col("updated_date")).repartition("day", part)
+    dealt.write.mode("append").partitionBy("day").parquet(path)
+
+
 @job(
     "str_daily_update",
     ORACLES["upd_preserve_abstract"].replace("SELECT id, title,", "SELECT 'index' AS part, id, title,")
@@ -59,12 +72,12 @@ def str_daily_update(spark, sf_dir):
     update = fx.update(spark, sf_dir)
     # the index as it was, and the changes as one folder per day
     documents = incremental.index_log(spark, f"{root}/index", update.schema)
-    documents.append(index, -1)
+    documents.append(index, -1, index.count())
     stale = update.where("is_xpac").withColumns(
         {"updated_date": F.date_sub("updated_date", 20), "title": F.lit("stale"), "abstract": F.lit(None).cast("string")}
     )
     for rows in (update, stale):  # older states of some works arrive last
-        rows.withColumn("day", F.col("updated_date")).write.mode("append").partitionBy("day").parquet(f"{root}/changes")
+        publish_days(rows, f"{root}/changes")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in update.schema.fields)
     changes = (
         spark.readStream.schema(f"{schema}, day DATE").option("maxFilesPerTrigger", "2").parquet(f"{root}/changes")

@@ -22,11 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from vellum.operators import upsert
-from vellum.operators.joins import first_per_key, with_keys
+from vellum.operators.joins import SENT_KEYS, first_per_key, with_keys
 from vellum.session import cut_lineage
 from vellum.sources.manifest import Manifest, Version
 
 
+#: Rows of a bucket that one task writes, where their number is known.
+PART_ROWS = 1 << 15
+
+
 class KeyedLog:
     """The last row of every key, by ``order`` and then by batch, of all batches added.
 
@@ -47,21 +51,29 @@ class KeyedLog:
     def _bucket(self, key: str) -> Column:
         return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(self.buckets)).cast("int")
 
+    def _dealt(self, rows: DataFrame, most: int) -> DataFrame:
+        """Rows dealt by bucket, a bucket of ``most`` rows at most to as many tasks as those need; the rows of a key to one."""
+        part = F.pmod(F.hash(F.col(self.key).cast("string")), F.lit(max(1, -(-most // PART_ROWS))))
+        return rows.withColumn("_part", part).repartition("_bucket", "_part")
+
     def _write(self, rows: DataFrame, folder: str) -> dict[int, int]:
-        """One file for each bucket hit, of rows dealt by bucket; the rows of each bucket."""
+        """A file of each task for each bucket it has, of rows dealt by bucket; the rows of each bucket."""
         path = f"{self.root}/data/{folder}"
-        rows.sortWithinPartitions("_bucket", self.key).write.mode("overwrite").partitionBy("_bucket").parquet(path)
+        rows.drop("_part").sortWithinPartitions("_bucket", self.key).write.mode("overwrite").partitionBy("_bucket").parquet(path)
         stored = self.spark.read.schema(StructType([*self.stored.fields, StructField("_bucket", IntegerType())])).parquet(path)
         return {r["_bucket"]: r["n"] for r in stored.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
 
-    def append(self, rows: DataFrame, batch: int) -> None:
-        """Add a batch (one row per key). A batch that is in already, or an older one, is left out."""
+    def append(self, rows: DataFrame, batch: int, n: int = 0) -> None:
+        """Add a batch (one row per key). A batch that is in already, or an older one, is left out.
+
+        ``n``, the number of rows where it is known, spreads the writing of a large batch.
+        """
         latest = self.manifest.latest() or Version(0, None, [], {"buckets": self.buckets})
         if latest.batch is not None and latest.batch >= batch:
             return
         folder = f"batch-{batch}"
         dealt = rows.select(*self.schema.names, F.lit(batch).cast("long").alias("_batch"), self._bucket(self.key).alias("_bucket"))
-        found = self._write(dealt.repartition("_bucket"), folder)
+        found = self._write(self._dealt(dealt, n // self.buckets), folder)
         entries = latest.entries + [{"bucket": b, "folder": folder, "rows": n} for b, n in sorted(found.items())]
         following = Version(latest.number + 1, batch, entries, latest.facts)
         self.manifest.commit(following)
@@ -84,10 +96,11 @@ class KeyedLog:
         due = {b: merge for b, entries in by_bucket.items() if (merge := self._due(entries))}
         if not due:
             return
-        # dealt once: the last row of a key is found in its bucket, where it is written
-        rows = self._read([e for merge in due.values() for e in merge]).repartition("_bucket")
+        # dealt once: the last row of a key is found in its part of its bucket, where it is written
+        rows = self._read([e for merge in due.values() for e in merge])
+        rows = self._dealt(rows, max(sum(e["rows"] for e in merge) for merge in due.values()))
         folder = f"merge-{version.number + 1}-{uuid.uuid4().hex[:8]}"
-        found = self._write(self._last(rows), folder)
+        found = self._write(self._last(rows, "_bucket", "_part"), folder)
         entries = []
         for b, held in sorted(by_bucket.items()):
             entries += held[: len(held) - len(due.get(b, []))]
@@ -99,14 +112,33 @@ class KeyedLog:
         paths = sorted(f"{self.root}/data/{e['folder']}/_bucket={e['bucket']}" for e in entries)
         return self.spark.read.schema(self.stored).parquet(*paths).withColumn("_bucket", self._bucket(self.key))
 
-    def _last(self, rows: DataFrame) -> DataFrame:
-        return first_per_key(rows, ["_bucket", self.key], [*self.order, "_batch"], last=True)
+    def _last(self, rows: DataFrame, *dealt: str) -> DataFrame:
+        return first_per_key(rows, [*dealt, self.key], [*self.order, "_batch"], last=True)
+
+    def _last_of_all(self, rows: DataFrame) -> DataFrame:
+        """The same of a whole log, whose texts stay where they are: keys with several rows, and the batch of the last of
+        these, are found from the columns that order them and go to every task. Keys that one batch has twice are numbered."""
+        known = rows.groupBy(F.col(self.key).alias("_of")).agg(
+            F.max(F.struct(*self.order, "_batch")).alias("_best"), F.count(F.lit(1)).alias("_n"), F.size(F.collect_set("_batch")).alias("_in")
+        )
+        again = known.where("_n > 1").select("_of", F.when(F.col("_n") == F.col("_in"), F.col("_best._batch")).alias("_keep"), F.lit(True).alias("_again"))
+        again = cut_lineage(again, "again")
+        n, twice = again.agg(F.count(F.lit(1)), F.count_if(F.col("_keep").isNull())).first()
+        if n > SENT_KEYS:
+            return self._last(rows)
+        if not n:
+            return rows
+        marked = rows.join(F.broadcast(again), F.col(self.key).eqNullSafe(F.col("_of")), "left")
+        found = marked.where("_again IS NULL OR _batch = _keep").select(rows.columns)
+        if not twice:
+            return found
+        return found.unionByName(self._last(marked.where("_again AND _keep IS NULL").select(rows.columns)))
 
     def read(self, only: DataFrame | None = None, before: int | None = None) -> DataFrame:
         """The last row of every key, or of the keys in ``only``; ``before`` a batch: as it was when that batch came.
 
         Of ``only`` the bucket numbers and their counts come to the driver, at most ``buckets`` of them; other buckets are not
-        opened, and the log's rows are not shuffled to find a batch's keys.
+        opened, and the log's rows are not shuffled to find a batch's keys. What is found is dealt by key, as joins on it need it.
         """
         version = self.manifest.latest(before)
         entries = version.entries if version else []
@@ -117,9 +149,9 @@ class KeyedLog:
         if not entries:
             return self.spark.createDataFrame([], self.schema)
         rows = self._read(entries)
-        if only is not None:
-            rows = with_keys(rows, only, self.key, sum(wanted.values()))
-        return self._last(rows).select(self.schema.names)
+        if only is None:
+            return self._last_of_all(rows).select(self.schema.names)
+        return self._last(with_keys(rows, only, self.key, sum(wanted.values()))).select(self.schema.names)
 
     def deltas(self) -> int:
         """The most files a bucket has now."""

@@ -82,7 +82,7 @@ def start_daily_update(updates: DataFrame, index: str, queue: str, checkpoint: s
         newer = before.select("id", F.col("updated_date").alias("_known"))
         latest = latest.join(newer, "id", "left").where(F.coalesce(F.col("updated_date") >= F.col("_known"), F.lit(True)))
         latest = latest.drop("_known")
-        documents.append(updated_documents(before, latest, now), number)
+        documents.append(updated_documents(before, latest, now, found=True), number)
         lacking = latest.where(F.col("abstract").isNull() & F.col("doi").isNotNull())
         entries = lacking.select(F.col("id").alias("openalex_id"), "doi", now.alias("time_created"))
         queue_log(batch.sparkSession, queue).append(entries, number)
